@@ -111,3 +111,15 @@ def score_pair(text: str | Column) -> tuple[Column, Column]:
 
 def iso_date_text(ts: str | Column) -> Column:
     return F.date_format(col(ts), "yyyy-MM-dd")
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Average of a double column that does not depend on summation order.
+
+    Double sums change in the last bits with the order rows arrive in, i.e.
+    with partitioning, and averages that sit exactly on a threshold or a
+    rounding boundary then flip. The values are summed as decimal(28,10)
+    (exact, order-independent) and divided once.
+    """
+    d = col(c).cast("decimal(28,10)")
+    return F.try_divide(F.sum(d), F.count(d)).cast("double")

@@ -1,9 +1,11 @@
 """Rank statistics inside groups that may be few and large (tiers).
 
 A window ``over (partition by tier)`` with four tiers runs in four tasks no
-matter how big the cluster is. Both helpers here place rows with the
-skew-safe ``sequence_index`` instead, then read off what they need with
-aggregates and bounded broadcasts.
+matter how big the cluster is, and an exact ``percentile_cont`` aggregate
+merges every value of a tier in one task. Both helpers here place rows with
+the skew-safe ``sequence_index`` instead. Several statistics are handled in
+one pass: the rows are unpivoted to (stat, group, value) and placed once with
+``(stat, group)`` as the group key, then pivoted back.
 """
 
 from __future__ import annotations
@@ -15,48 +17,46 @@ from .joins import broadcast_if_small
 from .sequence import sequence_index
 
 
-def percent_rank(df: DataFrame, group_cols: list[str], value: str, out: str,
-                 tiebreak: list[str], nulls_last: bool = True) -> DataFrame:
-    """``percent_rank() over (partition by group order by value asc)``.
-
-    (rank - 1) / (rows in group - 1), 0 for a one-row group. ``tiebreak``
-    columns make the placement total; they do not change the result.
-    """
-    v = F.col(value).asc_nulls_last() if nulls_last else F.col(value).asc_nulls_first()
-    placed = sequence_index(df, group_cols, [v] + [F.col(c).asc() for c in tiebreak],
-                            out="_pr_pos", rank_out="_pr_rank", tie_cols=[value])
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_pr_n"))
-    sizes = broadcast_if_small(sizes)  # one row per group
-    j = placed.join(sizes, [placed[c].eqNullSafe(sizes[c]) for c in group_cols], "left")
-    j = j.select(placed["*"], sizes["_pr_n"])
-    pr = F.when(F.col("_pr_n") > 1, F.col("_pr_rank") / (F.col("_pr_n") - 1)).otherwise(F.lit(0.0))
-    return j.withColumn(out, pr.cast("double")).drop("_pr_pos", "_pr_rank", "_pr_n")
-
-
-def percentile_cont(df: DataFrame, group_cols: list[str], value: str, p: float, out: str,
-                    tiebreak: list[str]) -> DataFrame:
-    """Exact ``percentile_cont(p) within group (order by value)`` per group, nulls ignored.
-
-    Rows are placed with ``sequence_index``; the two rows around position
-    p * (n - 1) are picked by filter (two rows per group) and interpolated.
-    """
-    nn = df.where(F.col(value).isNotNull())
-    placed = sequence_index(nn, group_cols, [F.col(value).asc()] + [F.col(c).asc() for c in tiebreak],
-                            out="_pc_pos")
-    sizes = nn.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_pc_n"))
-    sizes = sizes.select(*group_cols, "_pc_n",
-                         ((F.col("_pc_n") - 1) * F.lit(p)).alias("_pc_rn"))
-    sizes = sizes.select("*", F.floor("_pc_rn").alias("_pc_lo"), F.ceil("_pc_rn").alias("_pc_hi"))
-    sizes = broadcast_if_small(sizes)  # one row per group
-    j = placed.join(sizes, [placed[c].eqNullSafe(sizes[c]) for c in group_cols])
-    j = j.select(*[placed[c] for c in group_cols], placed[value], placed["_pc_pos"],
-                 sizes["_pc_rn"], sizes["_pc_lo"], sizes["_pc_hi"])
-    picked = j.where((F.col("_pc_pos") == F.col("_pc_lo")) | (F.col("_pc_pos") == F.col("_pc_hi")))
-    agg = picked.groupBy(*group_cols).agg(
-        F.max(F.when(F.col("_pc_pos") == F.col("_pc_lo"), F.col(value))).alias("_lo_v"),
-        F.max(F.when(F.col("_pc_pos") == F.col("_pc_hi"), F.col(value))).alias("_hi_v"),
-        F.max("_pc_rn").alias("_rn"), F.max("_pc_lo").alias("_lo"))
-    interp = F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * (F.col("_rn") - F.col("_lo"))
-    res = F.when(F.col("_hi_v") == F.col("_lo_v"), F.col("_lo_v")).otherwise(interp)
-    return agg.select(*group_cols, res.cast("double").alias(out))
-
+def _long(df: DataFrame, keep: list[str], stats: list[str]) -> DataFrame:
+    """(keep..., _stat, _v) rows, one per input row and statistic (one scan)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("_stat"), F.col(s).cast("double").alias("_v"))
+                                for s in stats])).alias("_p")
+    return df.select(*keep, pairs).select(*keep, "_p._stat", "_p._v")
+
+
+def percent_ranks(df: DataFrame, group_cols: list[str], stats: dict[str, str], key_cols: list[str]) -> DataFrame:
+    """Add ``percent_rank() over (partition by group order by stat asc nulls last)``
+    for each ``stat -> output`` in ``stats``. ``key_cols`` identify a row."""
+    long = _long(df, key_cols + group_cols, list(stats))
+    g = ["_stat"] + group_cols
+    placed = sequence_index(long, g, [F.col("_v").asc_nulls_last()] + [F.col(c).asc() for c in key_cols],
+                            out="_pos", rank_out="_rank", tie_cols=["_v"], size_out="_n")
+    pr = F.when(F.col("_n") > 1, F.col("_rank") / (F.col("_n") - 1)).otherwise(F.lit(0.0)).cast("double")
+    wide = placed.groupBy(*key_cols).agg(*[F.max(F.when(F.col("_stat") == s, pr)).alias(o)
+                                          for s, o in stats.items()])
+    return df.join(wide, key_cols, "left")
+
+
+def percentiles_cont(df: DataFrame, group_cols: list[str], stats: dict[str, str], p: float,
+                     key_cols: list[str]) -> DataFrame:
+    """Exact ``percentile_cont(p) within group (order by stat)`` per group for each
+    ``stat -> output``; nulls ignored. The two rows around position p * (n - 1)
+    are picked by filter and interpolated."""
+    long = _long(df, key_cols + group_cols, list(stats)).where(F.col("_v").isNotNull())
+    g = ["_stat"] + group_cols
+    placed = sequence_index(long, g, [F.col("_v").asc()] + [F.col(c).asc() for c in key_cols],
+                            out="_pos", size_out="_n")
+    rn = (F.col("_n") - 1) * F.lit(p)
+    lo, hi = F.floor(rn), F.ceil(rn)
+    picked = placed.where((F.col("_pos") == lo) | (F.col("_pos") == hi)).select(
+        *g, "_v", "_pos", rn.alias("_rn"), lo.alias("_lo"), hi.alias("_hi"))
+    per = picked.groupBy(*g).agg(
+        F.max(F.when(F.col("_pos") == F.col("_lo"), F.col("_v"))).alias("_lo_v"),
+        F.max(F.when(F.col("_pos") == F.col("_hi"), F.col("_v"))).alias("_hi_v"),
+        F.max("_rn").alias("_rn"), F.max("_lo").alias("_lo"))
+    val = F.when(F.col("_hi_v") == F.col("_lo_v"), F.col("_lo_v")).otherwise(
+        F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * (F.col("_rn") - F.col("_lo")))
+    wide = per.groupBy(*group_cols).agg(*[F.max(F.when(F.col("_stat") == s, val)).alias(o)
+                                          for s, o in stats.items()])
+    groups = df.select(*group_cols).distinct()
+    return groups.join(broadcast_if_small(wide), group_cols, "left")

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import broadcast_if_small
+
 _PID = "_seq_pid"
 _LOCAL = "_seq_local"
 _LRANK = "_seq_lrank"
@@ -107,11 +109,13 @@ def sequence_index(
     rank_out: str | None = None,
     tie_cols: list[str] | None = None,
     num_tasks: int | None = None,
+    size_out: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside ``group_cols`` by ``order``.
 
     ``order`` must be a total order inside a group (end it with key columns),
-    otherwise the positions of equal rows are arbitrary.
+    otherwise the positions of equal rows are arbitrary. ``size_out`` adds the
+    number of rows of the group (a per-group table, broadcast when small).
     """
     spark = df.sparkSession
     n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -164,4 +168,12 @@ def sequence_index(
                .select(cur["*"], F.col("f._gstart").alias("_gstart"))
                .withColumn(rank_out, F.coalesce(F.col("_gstart"), F.col(_LRANK) + F.col("_off")))
                .drop("_gstart"))
+    if size_out is not None:
+        sizes = counts.groupBy(*group_cols).agg(F.sum("_n").alias(size_out))
+        sizes = broadcast_if_small(sizes).alias("z")
+        cur = res.alias("cur2")
+        cond = F.lit(True)
+        for c in group_cols:
+            cond = cond & F.col("cur2." + c).eqNullSafe(F.col("z." + c))
+        res = cur.join(sizes, cond, "left").select(cur["*"], F.col("z." + size_out))
     return res.drop(_PID, _LOCAL, "_off", *([_LRANK] if want_rank else []))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import UNRANKED, flag, safe_ratio, strict_greatest, tier
+from ..functions.expr import UNRANKED, exact_avg, flag, safe_ratio, strict_greatest, tier
 from ..operators.joins import broadcast_if_small, one_row
-from ..operators.ranking import percent_rank, percentile_cont
+from ..operators.ranking import percent_ranks, percentiles_cont
 from ..sources.tables import Catalog
 from . import core, staging as stg
 
@@ -139,21 +139,20 @@ def mart_player_leaderboard(cat: Catalog) -> DataFrame:
     j = _player_team(cat)
     agg = j.groupBy("player_id", "display_name", F.col("_team_key").alias("team_id")).agg(
         F.count(F.lit(1)).alias("matches_played"),
-        F.round(F.avg("adr"), 2).alias("avg_adr"),
-        F.round(F.avg("kd_ratio"), 3).alias("avg_kd_ratio"),
-        F.round(F.avg("kast"), 2).alias("avg_kast"),
-        F.round(F.avg("rating"), 3).alias("avg_rating"),
-        F.round(F.avg("kills"), 1).alias("avg_kills"),
-        F.round(F.avg("deaths"), 1).alias("avg_deaths"),
+        F.round(exact_avg("adr"), 2).alias("avg_adr"),
+        F.round(exact_avg("kd_ratio"), 3).alias("avg_kd_ratio"),
+        F.round(exact_avg("kast"), 2).alias("avg_kast"),
+        F.round(exact_avg("rating"), 3).alias("avg_rating"),
+        F.round(exact_avg("kills"), 1).alias("avg_kills"),
+        F.round(exact_avg("deaths"), 1).alias("avg_deaths"),
         F.max("elo").alias("peak_elo"),
     )
     teams = broadcast_if_small(core.dim_teams(cat).select("team_id", "world_ranking"))
     t = agg.join(teams, "team_id", "left").withColumn("tier", tier("world_ranking"))
-    key = ["player_id", "display_name", "team_id"]
-    for stat, out in [("avg_adr", "adr_pct_rank"), ("avg_kd_ratio", "kd_pct_rank"),
-                      ("avg_kast", "kast_pct_rank"), ("avg_rating", "rating_pct_rank"),
-                      ("avg_kills", "kills_pct_rank")]:
-        t = percent_rank(t, ["tier"], stat, out, tiebreak=key)
+    t = percent_ranks(t, ["tier"], {"avg_adr": "adr_pct_rank", "avg_kd_ratio": "kd_pct_rank",
+                                    "avg_kast": "kast_pct_rank", "avg_rating": "rating_pct_rank",
+                                    "avg_kills": "kills_pct_rank"},
+                      key_cols=["player_id", "display_name", "team_id"])
     return t.select("player_id", "display_name", "team_id", "matches_played", "avg_adr", "avg_kd_ratio",
                     "avg_kast", "avg_rating", "avg_kills", "avg_deaths", "peak_elo", "world_ranking", "tier",
                     "adr_pct_rank", "kd_pct_rank", "kast_pct_rank", "rating_pct_rank", "kills_pct_rank")
@@ -177,9 +176,9 @@ def hidden_gem_player_agg(cat: Catalog) -> DataFrame:
     return pms.groupBy("player_id", "display_name", "team_id", "team_name", "team_region", "world_ranking",
                        "player_tier").agg(
         F.count(F.lit(1)).alias("matches_played"),
-        F.avg("adr").alias("avg_adr"), F.avg("kd_ratio").alias("avg_kd_ratio"),
-        F.avg("kast").alias("avg_kast"), F.avg("rating").alias("avg_rating"),
-        F.avg("kills").alias("avg_kills"), F.max("recorded_at").alias("latest_recorded_at"))
+        exact_avg("adr").alias("avg_adr"), exact_avg("kd_ratio").alias("avg_kd_ratio"),
+        exact_avg("kast").alias("avg_kast"), exact_avg("rating").alias("avg_rating"),
+        exact_avg("kills").alias("avg_kills"), F.max("recorded_at").alias("latest_recorded_at"))
 
 
 GEM_STATS = [("avg_adr", "adr_threshold"), ("avg_kd_ratio", "kd_threshold"),
@@ -189,13 +188,8 @@ GEM_STATS = [("avg_adr", "adr_threshold"), ("avg_kd_ratio", "kd_threshold"),
 def tier_thresholds(cat: Catalog) -> DataFrame:
     """85th percentile (exact, interpolated) of four averages per tier."""
     pa = hidden_gem_player_agg(cat)
-    key = ["player_id", "display_name", "team_id", "team_name", "team_region"]
-    out = None
-    for stat, name in GEM_STATS:
-        p = percentile_cont(pa, ["player_tier"], stat, HIDDEN_GEM_PERCENTILE, name, tiebreak=key)
-        out = p if out is None else out.join(p, "player_tier", "full")
-    tiers = pa.select("player_tier").distinct()
-    return tiers.join(out, "player_tier", "left")
+    return percentiles_cont(pa, ["player_tier"], dict(GEM_STATS), HIDDEN_GEM_PERCENTILE,
+                            key_cols=["player_id", "display_name", "team_id", "team_name", "team_region"])
 
 
 def player_trends(cat: Catalog) -> DataFrame:
@@ -212,9 +206,9 @@ def player_trends(cat: Catalog) -> DataFrame:
     aggs = [F.sum(flag(recent)).cast("bigint").alias("recent_90_day_maps_played"),
             F.sum(flag(prev)).cast("bigint").alias("previous_90_day_maps_played")]
     for s in ["adr", "kd_ratio", "kast", "rating"]:
-        aggs.append(F.avg(F.when(recent, F.col(s))).alias(f"recent_90_day_{s}"))
+        aggs.append(exact_avg(F.when(recent, F.col(s))).alias(f"recent_90_day_{s}"))
     for s in ["adr", "kd_ratio", "kast", "rating"]:
-        aggs.append(F.avg(F.when(prev, F.col(s))).alias(f"previous_90_day_{s}"))
+        aggs.append(exact_avg(F.when(prev, F.col(s))).alias(f"previous_90_day_{s}"))
     return j.groupBy("player_id").agg(*aggs)
 
 

@@ -66,6 +66,10 @@ def ranked_suppliers(cat: Catalog) -> DataFrame:
 
 
 def raw_csapi_team_rankings(cat: Catalog) -> DataFrame:
+    return cat.raw("raw_csapi_team_rankings", _csapi_team_rankings)
+
+
+def _csapi_team_rankings(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         s = ranked_suppliers(c)
         key = F.col("s_suppkey")
@@ -87,10 +91,14 @@ def raw_csapi_team_rankings(cat: Catalog) -> DataFrame:
             F.col("snap.d").alias("ranking_date"),
             F.concat(F.col("snap.d"), F.lit("T06:00:00")).alias("ingested_at"),
         )
-    return cat.memo("raw_csapi_team_rankings", build)
+    return build(cat)
 
 
 def raw_liquipedia_teams(cat: Catalog) -> DataFrame:
+    return cat.raw("raw_liquipedia_teams", _liquipedia_teams)
+
+
+def _liquipedia_teams(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         g = supplier_geo(c)
         key = F.col("s_suppkey")
@@ -103,10 +111,14 @@ def raw_liquipedia_teams(cat: Catalog) -> DataFrame:
                         F.lit(None).cast("bigint").alias("world_ranking"),
                         F.concat(F.lit("2026-05-0"), F.col("load").cast("string"), F.lit("T00:00:00"))
                         .alias("ingested_at")))
-    return cat.memo("raw_liquipedia_teams", build)
+    return build(cat)
 
 
 def raw_valve_team_regions(cat: Catalog) -> DataFrame:
+    return cat.raw("raw_valve_team_regions", _valve_team_regions)
+
+
+def _valve_team_regions(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         g = supplier_geo(c)
         key = F.col("s_suppkey")
@@ -125,7 +137,7 @@ def raw_valve_team_regions(cat: Catalog) -> DataFrame:
                         F.lit(None).cast("string").alias("roster"),
                         F.concat(F.lit("/team/"), key.cast("string")).alias("detail_path"),
                         F.lit("valve").alias("source")))
-    return cat.memo("raw_valve_team_regions", build)
+    return build(cat)
 
 
 # --------------------------------------------------------------------------- matches
@@ -155,7 +167,11 @@ def lineitem_pairs(cat: Catalog) -> DataFrame:
 
 
 def raw_matches_all(cat: Catalog) -> DataFrame:
-    """All raw match rows of the three providers (``source`` tells them apart)."""
+    """All raw match rows of the three providers, stored partitioned by ``source``."""
+    return cat.raw("raw_matches", _matches_all, partition_by=("source",))
+
+
+def _matches_all(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         p = lineitem_pairs(c)
         orders = c.table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
@@ -181,7 +197,7 @@ def raw_matches_all(cat: Catalog) -> DataFrame:
             F.when(even, F.col("a.l_suppkey") % 60 + 1).cast("bigint").alias("team_a_ranking"),
             F.when(even, F.col("b.l_suppkey") % 60 + 1).cast("bigint").alias("team_b_ranking"),
         )
-    return cat.memo("raw_matches_all", build)
+    return build(cat)
 
 
 def raw_matches(cat: Catalog, source: str) -> DataFrame:
@@ -191,7 +207,12 @@ def raw_matches(cat: Catalog, source: str) -> DataFrame:
 # --------------------------------------------------------------------------- players
 
 def raw_player_rows(cat: Catalog) -> DataFrame:
-    """Match-level player rows of the three providers plus profile rows."""
+    """Match-level player rows of the three providers plus profile rows,
+    stored partitioned by ``source``."""
+    return cat.raw("raw_players", _player_rows, partition_by=("source",))
+
+
+def _player_rows(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         li = c.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
@@ -231,7 +252,7 @@ def raw_player_rows(cat: Catalog) -> DataFrame:
             F.lit(PROFILE_DATE).alias("recorded_at"),
         )
         return rows.unionByName(profiles)
-    return cat.memo("raw_player_rows", build)
+    return build(cat)
 
 
 _PLAYER_COLS = ["player_id", "source", "display_name", "team_id", "nationality", "kills", "deaths", "adr",
@@ -262,6 +283,10 @@ def raw_csapi_player_stats(cat: Catalog) -> DataFrame:
 def raw_hltv_round_history(cat: Catalog) -> DataFrame:
     """Events of a user in time order are rounds; a map is a run of 24, 27, 30
     or 33 of them (longer maps go to overtime)."""
+    return cat.raw("raw_hltv_round_history", _round_history)
+
+
+def _round_history(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         ev = c.table("events").select("event_id", "ts", "user_id", "event_type")
         idx = sequence_index(ev, ["user_id"], [F.col("ts").asc(), F.col("event_id").asc()], out="i")
@@ -317,4 +342,4 @@ def raw_hltv_round_history(cat: Catalog) -> DataFrame:
             (rn > 24).alias("is_overtime"),
             F.lit(ROUND_LOADED_AT).alias("ingested_at"),
         )
-    return cat.memo("raw_hltv_round_history", build)
+    return build(cat)
