@@ -64,3 +64,271 @@ from hidden_gems_scored
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_ctes(v) for k, v in _SQL.items()}
+
+
+sql("latest_snapshot_filter", "select * from latest_valve_regions")
+sql("unique_keys_only", "select * from liquipedia_region_names")
+sql("unambiguous_values", """
+select 'normalized' as kind, normalized_team_name as name_key, region from valve_region_names
+union all
+select 'exact', team_name_key, region from exact_valve_region_names
+""")
+sql("join_cascade_lookup", """
+select team_id, team_name, region, world_ranking, last_updated, ranking_source, ranking_source_priority
+from teams_unioned where ranking_source = 'csapi'
+""")
+sql("join_dim_left", """
+select f.match_sk, f.map_name, d.map_sk as dim_map_sk from fact_matches f left join dim_maps d on f.map_name = d.map_name
+""")
+sql("join_computed_key", "select * from player_match_stats")
+sql("join_tier_above", """
+select player_id, display_name, team_id, player_tier, adr_threshold, kd_threshold, kast_threshold, rating_threshold
+from hidden_gems_scored
+""")
+sql("asof_ranking", "select * from asof_ranking")
+sql("anti_join_loaded", """
+select k.source, k.d, k.object_key from batch_keys k
+where k.object_key not in (select object_key from batch_keys where d <= date '1999-12-31')
+""")
+sql("semi_join_selection", """
+select match_sk, match_id, team_a_region, team_b_region from mart_upset_features
+where team_a_region in ('EUROPE', 'ASIA', 'AFRICA') or team_b_region in ('EUROPE', 'ASIA', 'AFRICA')
+""")
+sql("latest_complete_snapshot", """
+select * from (with files as (
+  select distinct 'standings_' || case o_orderpriority when '1-URGENT' then 'americas' when '2-HIGH' then 'asia'
+      when '3-MEDIUM' then 'europe' when '4-NOT SPECIFIED' then 'global' when '5-LOW' then 'global' end
+      || '_' || strftime(o_orderdate, '%Y_%m_%d') || '.md' as filename
+  from orders
+), parsed as (
+  select regexp_extract(filename, '^standings_([a-z]+)_(\\d{4})_(\\d{2})_(\\d{2})\\.md$', 1) as kind,
+         try_cast(regexp_extract(filename, '^standings_([a-z]+)_(\\d{4})_(\\d{2})_(\\d{2})\\.md$', 2) as int) as year,
+         make_date(try_cast(regexp_extract(filename, '^standings_([a-z]+)_(\\d{4})_(\\d{2})_(\\d{2})\\.md$', 2) as int),
+                   try_cast(regexp_extract(filename, '^standings_([a-z]+)_(\\d{4})_(\\d{2})_(\\d{2})\\.md$', 3) as int),
+                   try_cast(regexp_extract(filename, '^standings_([a-z]+)_(\\d{4})_(\\d{2})_(\\d{2})\\.md$', 4) as int))
+           as snapshot_date
+  from files where filename is not null
+), ok as (
+  select * from parsed where kind in ('americas', 'asia', 'europe', 'global') and year is not null
+), per_date as (
+  select snapshot_date, count(distinct kind) as kinds from ok
+  where year = (select max(year) from ok) group by snapshot_date
+)
+select max(snapshot_date) as snapshot_date, count(*) as complete_dates from per_date where kinds = 4)
+""")
+sql("match_window", """
+select match_sk, match_id, source, map_name, played_at from fact_matches
+order by played_at desc, match_id desc, source asc, map_name asc nulls last limit 150
+""")
+sql("win_partition_max", """
+select map_stats_id, round_number, team1_id, team2_id,
+  max(round_number) over (partition by map_stats_id) as total_rounds,
+  max(score_team1_after) over (partition by map_stats_id) as final_team1_score,
+  max(score_team2_after) over (partition by map_stats_id) as final_team2_score
+from stg_hltv_round_history
+""")
+
+_NN = "select '{t}' as \"table\", 'not_null' as rule, '{c}' as \"column\", cast(count_if({c} is null) as bigint) as failures from {t}"
+sql("dq_not_null", "\nunion all\n".join([_NN.format(t="fact_matches", c=c) for c in
+                                         ("match_sk", "match_id", "source", "team_a_id", "team_b_id")]
+                                        + ["""select 'fact_matches', 'accepted_values', 'source',
+       cast(count_if(source is not null and source not in ('faceit', 'pandascore', 'csapi')) as bigint)
+       from fact_matches"""]
+                                        + [_NN.format(t="dim_teams", c=c) for c in ("team_id", "ranking_source")]
+                                        + [_NN.format(t="dim_players", c=c) for c in ("player_id", "primary_source")]))
+_UQ = ("select '{t}' as \"table\", 'unique' as rule, '{c}' as \"column\", cast(count(*) as bigint) as failures "
+       "from (select {c} from {t} group by {c} having count(*) > 1)")
+sql("dq_unique", "\nunion all\n".join([
+    _UQ.format(t="fact_matches", c="match_sk"),
+    _UQ.format(t="fact_matches", c="match_id,source,map_name"),
+    _UQ.format(t="fact_player_stats", c="player_stat_sk"),
+    _UQ.format(t="dim_teams", c="team_id"),
+    _UQ.format(t="dim_players", c="player_id")]))
+sql("dq_accepted_values", """
+select 'mart_hidden_gems' as "table", 'accepted_values' as rule, 'trend_direction' as "column",
+  cast(count_if(trend_direction is not null and trend_direction not in
+      ('gap_growing', 'gap_shrinking', 'gap_flat', 'insufficient_history')) as bigint) as failures
+from mart_hidden_gems
+union all
+select 'mart_choke_profile', 'accepted_values', 'sample_quality',
+  cast(count_if(sample_quality is not null and sample_quality not in ('limited', 'directional', 'stable')) as bigint)
+from mart_choke_profile
+union all
+select 'stg_hltv_round_history', 'accepted_values', 'winner_side',
+  cast(count_if(winner_side is not null and winner_side not in ('t', 'ct')) as bigint)
+from stg_hltv_round_history
+""")
+sql("dq_relationship", """
+select 'fact_player_stats' as "table", 'relationships' as rule, 'player_id' as "column", cast(count(*) as bigint) as failures
+from fact_player_stats s where s.player_id is not null
+  and not exists (select 1 from dim_players p where p.player_id = s.player_id)
+""")
+sql("dq_expression", "\nunion all\n".join(
+    f"select 'mart_choke_profile' as \"table\", 'expression_is_true' as rule, '{e}' as \"column\", "
+    f"cast(count_if(not coalesce({e}, true)) as bigint) as failures from mart_choke_profile"
+    for e in ("total_maps >= 0", "leads_blown >= 0", "lead_blown_rate >= 0", "close_map_win_rate >= 0")))
+sql("dq_non_empty", "\nunion all\n".join(
+    f"select '{t}' as \"table\", cast(count(*) as bigint) as row_count, count(*) = 0 as is_empty from {t}"
+    for t in ("mart_team_performance", "mart_head2head", "mart_map_meta", "mart_player_leaderboard")))
+
+_RL = "case when trim({c}) is null or trim({c}) = '' or lower(trim({c})) = 'global' then 'Unknown' else trim({c}) end"
+_TL = ("case when trim({n}) is not null and trim({n}) != '' then trim({n}) "
+       "when trim(cast({i} as varchar)) is not null and trim(cast({i} as varchar)) != '' then 'Team ' || trim(cast({i} as varchar)) "
+       "else 'Unknown team' end")
+_LB = ("case when lower(trim(cast({c} as varchar))) in ('1', 'true', 't', 'yes', 'y') then true "
+       "when lower(trim(cast({c} as varchar))) in ('0', 'false', 'f', 'no', 'n') then false end")
+
+sql("serve_home_kpis", """
+select u.matches, u.upsets, g.hidden_gems, c.pressure_teams, u.upsets::double / nullif(u.matches::double, 0) as upset_rate
+from (select count(*) as matches, cast(sum(is_upset) as bigint) as upsets from mart_upset_features) u,
+     (select count(*) as hidden_gems from mart_hidden_gems) g,
+     (select count(*) as pressure_teams from mart_choke_profile) c
+""")
+_MF = f"""
+select match_id, map_name, played_at, {_TL.format(n='team_a_name', i='team_a_id')} as team_a,
+  {_TL.format(n='team_b_name', i='team_b_id')} as team_b,
+  {_RL.format(c='team_a_region')} as team_a_region_label, {_RL.format(c='team_b_region')} as team_b_region_label,
+  ranking_delta, case when is_upset = 1 then 'upset' else 'expected' end as outcome, is_cross_region
+from mart_upset_features
+where ({_RL.format(c='team_a_region')} in ('EUROPE', 'ASIA') or {_RL.format(c='team_b_region')} in ('EUROPE', 'ASIA'))
+  and coalesce(ranking_delta, 0) >= 10
+"""
+sql("serve_match_filter", f"select * from ({_MF}) where outcome = 'upset'")
+sql("serve_match_kpis", f"""
+select count(*) as visible_matches, count_if(outcome = 'upset') as upsets,
+  cast(sum(is_cross_region) as bigint) as cross_region, median(ranking_delta) as median_ranking_delta
+from ({_MF})
+""")
+sql("scalar_labels", f"""
+select match_sk, {_TL.format(n='team_a_name', i='team_a_id')} as team_a, {_TL.format(n='team_b_name', i='team_b_id')} as team_b,
+  {_RL.format(c='team_a_region')} as team_a_region_label, {_RL.format(c='team_b_region')} as team_b_region_label,
+  {_LB.format(c='is_overtime')} as overtime_flag, {_LB.format(c='is_upset')} as upset_flag
+from mart_upset_features
+""")
+_GF = """select * from mart_hidden_gems where player_tier in (2, 3, 4) and stats_above_tier_threshold >= 3
+  and coalesce(recent_90_day_maps_played, 0) >= 0"""
+sql("serve_gem_filter", _GF)
+sql("serve_gem_kpis", f"""
+select count(*) as prospects, median(prospect_score) as median_prospect_score, median(matches_played) as median_maps,
+  count_if(trend_direction = 'gap_growing') as gap_growing
+from ({_GF})
+""")
+sql("topk_gems", """
+select player_id, display_name, team_id, player_tier, prospect_score, trend_direction from mart_hidden_gems
+order by prospect_score desc, player_id asc, team_id asc limit 8
+""")
+sql("melt_gap_windows", """
+select player_id, display_name, 'Previous 90 days' as "window", previous_90_day_gap_to_tier_above as gap
+from (select * from mart_hidden_gems order by prospect_score desc, player_id asc, team_id asc limit 15)
+union all
+select player_id, display_name, 'Recent 90 days', recent_90_day_gap_to_tier_above
+from (select * from mart_hidden_gems order by prospect_score desc, player_id asc, team_id asc limit 15)
+""")
+sql("serve_team_filter", """
+select team_id, team_name, total_maps, sample_quality, lead_blown_rate as metric_value from mart_choke_profile
+where total_maps >= 20 and sample_quality in ('stable', 'directional') and lead_blown_rate is not null
+order by lead_blown_rate desc nulls last, team_id asc limit 20
+""")
+sql("serve_team_kpis", """
+select cast(sum(total_maps) as bigint) as maps, cast(sum(rounds_analyzed) as bigint) as rounds,
+  median(lead_blown_rate) as median_lead_blown_rate, median(comeback_rate) as median_comeback_rate,
+  median(ot_win_rate) as median_ot_win_rate, median(close_map_win_rate) as median_close_map_win_rate
+from mart_choke_profile
+""")
+sql("serve_scatter", """
+select team_id, team_name, lead_blown_rate, comeback_rate, total_maps from mart_choke_profile
+where lead_blown_rate is not null and comeback_rate is not null
+""")
+sql("agg_value_counts", """
+select 'trend_direction' as metric, coalesce(trend_direction, 'unknown') as value, count(*) as n
+from mart_hidden_gems group by 2
+union all
+select 'sample_quality', coalesce(sample_quality, 'unknown'), count(*) from mart_choke_profile group by 2
+""")
+sql("agg_daily", """
+select d, count(*) as matches, cast(sum(is_upset) as bigint) as upsets
+from (select try_cast(played_at as date) as d, is_upset from mart_upset_features) where d is not null
+group by d order by d desc limit 14
+""")
+sql("agg_share", """
+select avg(cast(sample_quality = 'limited' as int)) as limited_share from mart_choke_profile
+""")
+sql("agg_bound", """
+select 'ranking_delta' as "column", greatest(coalesce(max(try_cast(ranking_delta as int)), 1), 1) as bound
+from mart_upset_features
+union all
+select 'matches_played', greatest(coalesce(max(try_cast(matches_played as int)), 1), 1) from mart_hidden_gems
+union all
+select 'total_maps', greatest(coalesce(max(try_cast(total_maps as int)), 1), 1) from mart_choke_profile
+""")
+sql("region_slots", f"""
+select region, count(*) as slots from (
+  select {_RL.format(c='team_a_region')} as region from mart_upset_features
+  union all
+  select {_RL.format(c='team_b_region')} from mart_upset_features
+) group by region
+""")
+sql("distinct_sorted", """
+select distinct region from (select team_a_region as region from mart_upset_features
+                             union all select team_b_region from mart_upset_features)
+where region is not null order by region
+""")
+sql("scalar_tier", """
+select team_id, world_ranking, case when world_ranking between 1 and 10 then 1 when world_ranking between 11 and 30 then 2
+  when world_ranking between 31 and 50 then 3 else 4 end as tier
+from dim_teams
+""")
+sql("scalar_null", """
+select team_id, ranking_date, coalesce(world_ranking, 999) as rank_or_default,
+  vrs_points::double / nullif(rank_diff, 0)::double as points_per_rank_step,
+  case when lower(region) = 'global' then null else region end as region
+from stg_csapi_team_rankings
+""")
+sql("scalar_math", """
+select match_sk, abs(score_diff) as abs_diff, greatest(score_a, score_b) as high_score, least(score_a, score_b) as low_score,
+  sround(score_a / nullif(total_rounds, 0), 4) as share_a
+from mart_upset_features
+""")
+sql("scalar_surrogate_key", """
+select match_sk,
+  md5(coalesce(cast(match_id as varchar), '_dbt_utils_surrogate_key_null_') || '-'
+      || coalesce(cast(winner_id as varchar), '_dbt_utils_surrogate_key_null_')) as match_winner_sk,
+  md5(coalesce(cast(map_name as varchar), '_dbt_utils_surrogate_key_null_')) as map_sk2
+from fact_matches
+""")
+sql("scalar_cast", """
+select map_stats_id, cast(round_number as int) as round_number, try_cast(played_at as timestamp) as played_ts,
+  try_cast(reported_score as int) as reported_as_int,
+  try_cast(split_part(reported_score, '-', 1) as int) as reported_team1,
+  cast(is_overtime as int) as overtime_int
+from raw_hltv_round_history
+""")
+sql("scalar_date", """
+select match_sk, d, d - interval 1 day as day_before, d - interval 89 day as window_start, d >= date '2000-01-01' as is_recent
+from (select match_sk, try_cast(played_at as date) as d from fact_matches) where d is not null
+""")
+sql("scalar_ratio", "select player_stat_sk, computed_kd, kill_share from fact_player_stats")
+sql("scalar_flags", """
+select match_sk, is_cross_region, ranking_delta > 5 as delta_over_5, team_a_region != team_b_region as regions_differ
+from mart_upset_features
+""")
+sql("scalar_bool", f"""
+select event_id, {_LB.format(c="case when event_type = 'click' then 'Yes' when event_type = 'view' then ' true ' when event_type = 'error' then '0' when event_type = 'signup' then 'N' else event_type end")} as flag
+from events
+""")
+sql("scalar_record", """
+select team_id, cast(wins as varchar) || '-' || cast(losses as varchar) as record,
+  greatest(close_maps - close_map_wins, 0) as close_map_losses,
+  case when sround(close_map_win_rate * 100, 1) is null then 'n/a'
+       else cast(sround(close_map_win_rate * 100, 1) as varchar) || '%' end as close_rate_text
+from mart_choke_profile
+""")
+sql("json_extract", """
+select event_id, cast(json_extract_string(props, '$.k') as int) as k_path, cast(json_extract(props, '$.k') as int) as k_struct
+from events
+""")
+sql("agg_player", """
+select player_id, display_name, team_id, count(*) as matches_played, xavg(adr) as avg_adr, xavg(kast) as avg_kast,
+  max(recorded_at) as latest
+from player_match_stats group by player_id, display_name, team_id
+""")

@@ -787,3 +787,36 @@ select ta.team_id, coalesce(t.team_name, ta.team_name) as team_name, t.world_ran
   cast(null as double) as elimination_win_pct, cast(null as double) as winners_bracket_win_pct
 from team_pressure ta cross join league_averages la left join dim_teams t on ta.team_id = t.team_id
 """)
+
+
+# --------------------------------------------------------------------------- lookups
+cte("monthly_rankings", """
+select ranking_date, cast(l_suppkey as varchar) as team_id,
+  cast(row_number() over (partition by ranking_date order by revenue desc, l_suppkey asc) as bigint) as rank
+from (
+  select date_trunc('month', l_shipdate)::date as ranking_date, l_suppkey,
+         sum(cast(l_extendedprice as decimal(28,2))) as revenue
+  from lineitem group by 1, 2
+)
+""")
+
+cte("asof_ranking", """
+select m.match_id, m.map_name, m.team_a_id, m.team_b_id, m.match_date, m.asof_date,
+       ra.rank as team_a_rank, rb.rank as team_b_rank
+from (
+  select f.*, (select max(d.ranking_date) from (select distinct ranking_date from monthly_rankings) d
+               where d.ranking_date between f.match_date - interval 15 day and f.match_date - interval 1 day)::date
+           as asof_date
+  from (select match_id, map_name, team_a_id, team_b_id, try_cast(played_at as date) as match_date
+        from fact_matches where source = 'csapi') f
+) m
+left join monthly_rankings ra on ra.ranking_date = m.asof_date and ra.team_id = m.team_a_id
+left join monthly_rankings rb on rb.ranking_date = m.asof_date and rb.team_id = m.team_b_id
+""")
+
+cte("batch_keys", """
+select source, d, 'raw/' || source || '/matches/year=' || strftime(d, '%Y') || '/month=' || strftime(d, '%m')
+       || '/day=' || strftime(d, '%d') || '/matches.parquet' as object_key
+from (select distinct source, try_cast(played_at as date) as d from fact_matches)
+where d is not null
+""")
