@@ -332,3 +332,142 @@ select player_id, display_name, team_id, count(*) as matches_played, xavg(adr) a
   max(recorded_at) as latest
 from player_match_stats group by player_id, display_name, team_id
 """)
+
+
+# --------------------------------------------------------------------------- normalisers
+_MAPID = "cast(cast(split_part({c}, '-', 1) as bigint) * 1000 + cast(split_part({c}, '-', 2) as bigint) as varchar)"
+_NAME = "'Supplier#' || lpad({c}, 9, '0')"
+
+sql("norm_match_json", """
+select match_id, 'faceit' as source, coalesce(team_a_id, 'unknown') as team_a_id, coalesce(team_b_id, 'unknown') as team_b_id,
+  winner_id, played_at, map_name, score_a, score_b, is_overtime
+from raw_matches_all where source = 'faceit'
+""")
+sql("norm_match_array", """
+select cast(cast(match_id as bigint) as varchar) as match_id, 'pandascore' as source, team_a_id, team_b_id, winner_id,
+  played_at, map_name, score_a, score_b, is_overtime
+from raw_matches_all where source = 'pandascore'
+""")
+sql("norm_rankings", """
+select team_id, name, world_ranking, vrs_points, cast(null as varchar) as region, ranking_date from raw_csapi_team_rankings
+""")
+sql("norm_nested_explode", """
+select player_id, 'faceit' as source, display_name, team_id, nationality, cast(null as bigint) as kills,
+  cast(null as bigint) as deaths, elo, match_id
+from raw_player_rows where source = 'faceit' and match_id is not null
+""")
+_NR = f"""
+select 'hltv_unofficial' as source, {_MAPID.format(c='map_stats_id')} as map_stats_id,
+  {_MAPID.format(c='match_id')} as match_id, regexp_extract(event_id, '(\\d+)$', 1) as event_id, event_name, map_name,
+  strftime(cast(min(played_at) over (partition by map_stats_id) as timestamp), '%Y-%m-%d') as played_at,
+  round_number, t_team_id, t_team_name, ct_team_id, ct_team_name, winner_side, winner_team_id, winner_team_name,
+  team1_id, team1_name, team2_id, team2_name, score_team1_after, score_team2_after, reported_score, round_outcome,
+  is_overtime, '2026-05-04T00:00:00' as ingested_at
+from raw_hltv_round_history where map_name != 'Map6'
+"""
+sql("norm_rounds", _NR)
+sql("running_score", f"select map_stats_id, round_number, score_team1_after, score_team2_after from ({_NR})")
+sql("round_side_assignment", f"""
+select cast(cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as bigint) as map_id,
+  round_number,
+  case when map_name = 'Map6' and round_number <= 24 then null
+       when ct_team_id = team1_id then 'ct' else 't' end as team1_side
+from raw_hltv_round_history
+""")
+sql("round_side", """
+select map_stats_id, round_number, round_outcome,
+  case when lower(trim(round_outcome)) in ('ct_win', 'bomb_defused', 'stopwatch') then 'ct'
+       when lower(trim(round_outcome)) in ('t_win', 'bomb_exploded') then 't' end as side
+from raw_hltv_round_history
+""")
+sql("score_parse", """
+select map_stats_id, round_number, coalesce(reported_score, round_outcome) as text,
+  case when regexp_matches(coalesce(reported_score, round_outcome), '^\\s*(\\d+)\\s*-\\s*(\\d+)\\s*$')
+       then cast(regexp_extract(coalesce(reported_score, round_outcome), '^\\s*(\\d+)\\s*-\\s*(\\d+)\\s*$', 1) as bigint) end as score_1,
+  case when regexp_matches(coalesce(reported_score, round_outcome), '^\\s*(\\d+)\\s*-\\s*(\\d+)\\s*$')
+       then cast(regexp_extract(coalesce(reported_score, round_outcome), '^\\s*(\\d+)\\s*-\\s*(\\d+)\\s*$', 2) as bigint) end as score_2
+from raw_hltv_round_history
+""")
+sql("reject_invalid_groups", f"""
+select {_MAPID.format(c='map_stats_id')} as map_stats_id, cast(count(*) as int) as rounds, max(map_name) != 'Map6' as kept
+from raw_hltv_round_history group by map_stats_id
+""")
+sql("start_sides", """
+select cast(cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as bigint) as map_id,
+  case when round_number <= 24 then -1 else (round_number - 25) // 3 end as slice,
+  case when ct_team_id = team1_id then 'CT' else 'T' end as team1,
+  case when ct_team_id = team1_id then 'T' else 'CT' end as team2
+from raw_hltv_round_history
+where round_number = 1 or (round_number > 24 and (round_number - 25) % 3 = 0)
+""")
+sql("batch_summary", """
+select event_id as batch_id, count(*) as scanned, count_if(map_name != 'Map6') as valid,
+  greatest(count(*) - count_if(map_name != 'Map6'), 0) as skipped, cast(sum(case when map_name != 'Map6' then n else 0 end) as bigint) as rows
+from (select map_stats_id, max(event_id) as event_id, max(map_name) as map_name, count(*) as n
+      from raw_hltv_round_history group by map_stats_id)
+group by event_id
+""")
+sql("entity_counts", """
+select 'faceit' as source, 'match' as entity, count(*) as documents from raw_matches_all where source = 'faceit'
+union all select 'pandascore', 'match', count(*) from raw_matches_all where source = 'pandascore'
+union all select 'csapi', 'ranking', count(distinct ranking_date) from raw_csapi_team_rankings
+union all select 'faceit', 'match_stats', count(distinct match_id) from raw_player_rows where source = 'faceit' and match_id is not null
+union all select 'hltv', 'mapstats', count(distinct map_stats_id) from raw_hltv_round_history
+""")
+sql("parse_pipe_table", """
+select snapshot_date, region, regional_rank as line_no, regional_rank, points, team_name, roster, detail_path,
+  normalized_team_name
+from raw_valve_team_regions
+""")
+sql("attach_first_rank", """
+select c.team_id, c.ranking_date, c.name, f.first_rank
+from stg_csapi_team_rankings c
+left join (
+  select normalized_team_name, regional_rank as first_rank from (
+    select *, row_number() over (partition by normalized_team_name order by snapshot_date, region, regional_rank) as rn
+    from raw_valve_team_regions) where rn = 1
+) f on regexp_replace(lower(regexp_replace(trim(c.name), '^team[\\s_-]+', '', 'i')), '[^a-z0-9]+', '', 'g') = f.normalized_team_name
+""")
+sql("normalize_name", """
+select source, name, regexp_replace(lower(regexp_replace(trim(name), '^team[\\s_-]+', '', 'i')), '[^a-z0-9]+', '', 'g') as normalized
+from (select distinct * from (
+  select 'csapi' as source, name from raw_csapi_team_rankings
+  union all select 'liquipedia', name from raw_liquipedia_teams
+  union all select 'valve', team_name from raw_valve_team_regions))
+""")
+sql("stat_cell_parse", """
+select player_id, match_id, kind, cell,
+  case when kind in ('kd', 'colon') then kills end as pair_left,
+  case when kind in ('kd', 'colon') then deaths end as pair_right,
+  case when kind = 'paren' then kills end as main_value,
+  case when kind = 'paren' then cast(cast(deaths / 5 as bigint) as double) end as paren_value,
+  case when kind = 'pct' then cast(floor(kast) as double) end as percent
+from (
+  select player_id, match_id, kills, deaths, kast, k.kind,
+    case k.kind when 'kd' then cast(cast(kills as bigint) as varchar) || '-' || cast(cast(deaths as bigint) as varchar)
+      when 'colon' then cast(cast(kills as bigint) as varchar) || ' : ' || cast(cast(deaths as bigint) as varchar)
+      when 'paren' then cast(cast(kills as bigint) as varchar) || ' (' || cast(cast(deaths / 5 as bigint) as varchar) || ')'
+      when 'pct' then cast(cast(floor(kast) as bigint) as varchar) || '%'
+      else 'n/a' end as cell
+  from raw_csapi_player_stats
+  cross join (select unnest(['kd', 'colon', 'paren', 'pct', 'junk']) as kind) k
+  where player_id is not null and match_id is not null
+)
+""")
+sql("half_scores", """
+select map_stats_id, half, team1_rounds, team2_rounds from (
+  select map_stats_id, 0 as half, h1 as team1_rounds, h2 as team2_rounds from m where h1 is not null
+  union all select map_stats_id, 1, f1 - h1, f2 - h2 from m where h1 is not null
+  union all select map_stats_id, 0, f1, f2 from m where h1 is null
+) x, (select 1) dummy
+""".replace("from m", "from (select map_stats_id, max(score_team1_after) as f1, max(score_team2_after) as f2, "
+            "max(case when round_number = 12 then score_team1_after end) as h1, "
+            "max(case when round_number = 12 then score_team2_after end) as h2 from stg_hltv_round_history group by map_stats_id) m"))
+sql("series_result", """
+select match_id, source, count_if(coalesce(score_a, 0) > coalesce(score_b, 0)) as team1_maps,
+  count_if(coalesce(score_b, 0) > coalesce(score_a, 0)) as team2_maps,
+  case when count_if(coalesce(score_a, 0) > coalesce(score_b, 0)) > count_if(coalesce(score_b, 0) > coalesce(score_a, 0)) then 1
+       when count_if(coalesce(score_b, 0) > coalesce(score_a, 0)) > count_if(coalesce(score_a, 0) > coalesce(score_b, 0)) then 2 end
+    as winner
+from fact_matches group by match_id, source
+""")
