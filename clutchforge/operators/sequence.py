@@ -63,17 +63,20 @@ def _run_start(new: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, pos, -1))
 
 
-def _local_positions(group_cols: list[str], tie_cols: list[str] | None):
-    """mapInPandas body: local position (and local tie start) per group, rows sorted."""
+def _local_positions(group_cols: list[str], tie_cols: list[str] | None, sum_cols: tuple[str, ...] = ()):
+    """mapInPandas body: local position (and local tie start, running sums) per group, rows sorted."""
 
     def run(batches):
         prev_g, prev_t = None, None
         carry_n, carry_t = 0, 0   # rows of the open group, local start of the open tie run
+        carry_s = {c: 0 for c in sum_cols}  # running sums of the open group
         for pdf in batches:
             if pdf.empty:
                 extra = {_LOCAL: pd.Series(dtype="int64")}
                 if tie_cols is not None:
                     extra[_LRANK] = pd.Series(dtype="int64")
+                for c in sum_cols:
+                    extra["_seq_sum_" + c] = pd.Series(dtype="int64")
                 yield pdf.assign(**extra)
                 continue
             pos = np.arange(len(pdf), dtype=np.int64)
@@ -81,6 +84,14 @@ def _local_positions(group_cols: list[str], tie_cols: list[str] | None):
             gs = _run_start(~g_same)
             local = np.where(gs < 0, pos + carry_n, pos - gs)
             out = pdf.assign(**{_LOCAL: local})
+            # running sums restart at each group start; the first group may continue
+            grp_id = np.cumsum(~g_same)
+            for c in sum_cols:
+                v = pdf[c].fillna(0).to_numpy(dtype=np.int64)
+                cs = pd.Series(v).groupby(grp_id).cumsum().to_numpy(dtype=np.int64)
+                cs = np.where(grp_id == 0, cs + carry_s[c], cs)
+                out["_seq_sum_" + c] = cs
+                carry_s[c] = int(cs[-1])
             if tie_cols is not None:
                 t_same = _same_as_prev(pdf[group_cols + tie_cols], prev_t) & g_same
                 ts = _run_start(~t_same)
@@ -110,12 +121,15 @@ def sequence_index(
     tie_cols: list[str] | None = None,
     num_tasks: int | None = None,
     size_out: str | None = None,
+    sum_cols: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside ``group_cols`` by ``order``.
 
     ``order`` must be a total order inside a group (end it with key columns),
     otherwise the positions of equal rows are arbitrary. ``size_out`` adds the
     number of rows of the group (a per-group table, broadcast when small).
+    ``sum_cols`` (integer columns) add ``running_<col>``: the sum of the column
+    over the group's rows up to and including this one, in ``order``.
     """
     spark = df.sparkSession
     n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -129,22 +143,30 @@ def sequence_index(
     fields = ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)]
     if want_rank:
         fields.append(T.StructField(_LRANK, T.LongType(), False))
-    local = ranged.mapInPandas(_local_positions(group_cols, tie_cols if want_rank else None),
+    fields += [T.StructField("_seq_sum_" + c, T.LongType(), False) for c in sum_cols]
+    local = ranged.mapInPandas(_local_positions(group_cols, tie_cols if want_rank else None, tuple(sum_cols)),
                                T.StructType(fields))
 
     # Rows per (task, group); only groups found in more than one task get an offset.
-    counts = local.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    counts = local.groupBy(_PID, *group_cols).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("long").alias("_s_" + c)
+                                         for c in sum_cols])
     gw = Window.partitionBy(*group_cols)
+    before = gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     spans = (counts.withColumn("_tasks", F.count(F.lit(1)).over(gw))
              .filter(F.col("_tasks") > 1)
-             .withColumn("_off", F.coalesce(
-                 F.sum("_n").over(gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0).cast("long")))
-             .select(_PID, *group_cols, "_n", "_off"))
+             .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
+             .select(_PID, *group_cols, "_n", "_off",
+                     *[F.coalesce(F.sum("_s_" + c).over(before), F.lit(0).cast("long")).alias("_soff_" + c)
+                       for c in sum_cols]))
     o = spans.alias("o")  # fewer than 2 * n rows
     res = (local.join(F.broadcast(o), _on(local, o, group_cols), "left")
-           .select(local["*"], F.coalesce(o["_off"], F.lit(0).cast("long")).alias("_off")))
+           .select(local["*"], F.coalesce(o["_off"], F.lit(0).cast("long")).alias("_off"),
+                   *[F.coalesce(o["_soff_" + c], F.lit(0).cast("long")).alias("_soff_" + c) for c in sum_cols]))
     res = res.withColumn(out, F.col(_LOCAL) + F.col("_off"))
+    for c in sum_cols:
+        res = (res.withColumn("running_" + c, F.col("_seq_sum_" + c) + F.col("_soff_" + c))
+               .drop("_seq_sum_" + c, "_soff_" + c))
 
     if want_rank:
         tkeys = group_cols + list(tie_cols)

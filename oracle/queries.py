@@ -471,3 +471,85 @@ select match_id, source, count_if(coalesce(score_a, 0) > coalesce(score_b, 0)) a
     as winner
 from fact_matches group by match_id, source
 """)
+
+
+# --------------------------------------------------------------------------- model
+cte_ml = """
+select match_sk, played_at, cast(ranking_delta as double) as ranking_delta,
+  cast(coalesce(cast(cast(is_cross_region as boolean) as int), 0) as double) as is_cross_region,
+  coalesce(cast(team_a_ranking as double), -1.0) as team_a_ranking,
+  coalesce(cast(team_b_ranking as double), -1.0) as team_b_ranking, cast(is_upset as int) as label
+from mart_upset_features
+"""
+sql("ml_features", cte_ml)
+sql("temporal_split", f"""
+select match_sk, played_at,
+  case when pos < greatest(1, least(floor(n * 0.8), n - 1)) then 'train' else 'test' end as split
+from (select *, row_number() over (order by played_at asc nulls last, match_sk asc) - 1 as pos, count(*) over () as n
+      from ({cte_ml}))
+""")
+_S3 = f"""
+select *, case when pos < n - v - t then 'train' when pos < n - t then 'validation' else 'test' end as split
+from (
+  select *, case when v0 + t0 >= n then greatest(1, least(t0, n - greatest(1, least(v0, n - 2)) - 1)) else t0 end as t,
+            case when v0 + t0 >= n then greatest(1, least(v0, n - 2)) else v0 end as v
+  from (select *, greatest(1, floor(n * 0.2)) as t0, greatest(1, floor(n * 0.2)) as v0
+        from (select *, row_number() over (order by played_at asc nulls last, match_sk asc) - 1 as pos,
+                     count(*) over () as n from ({cte_ml})))
+)
+"""
+sql("temporal_split3", f"select match_sk, played_at, split from ({_S3})")
+_SC = "case when ranking_delta >= 0 then ranking_delta / (ranking_delta + 50.0) else 0.0 end"
+_VAL = f"select {_SC} as score, label from ({_S3}) where split = 'validation'"
+_TEST = f"select {_SC} as score, label from ({_S3}) where split = 'test'"
+_THR = f"""
+select case when p = 0 or p = nn or b is null then 0.5 else b.threshold end as threshold,
+       case when p = 0 or p = nn then null else b.fbeta end as fbeta,
+       case when p = 0 or p = nn then null else b.positive_rate end as positive_rate,
+       p / nn as cap
+from (select count(*) as nn, sum(label) as p from ({_VAL})) tot,
+     (select max_by({{'threshold': threshold, 'fbeta': fbeta, 'positive_rate': positive_rate}}, [fbeta, -threshold]) as b
+      from (
+        select s as threshold,
+          case when tp > 0 then (1.5625 * tp) / (1.5625 * tp + 0.5625 * (p - tp) + (pp - tp)) else 0.0 end as fbeta,
+          pp / nn as positive_rate, p / nn as cap
+        from (
+          select s, sum(pos) over w as tp, sum(n) over w as pp, p, nn
+          from (select score as s, sum(label) as pos, count(*) as n from ({_VAL}) group by score),
+               (select count(*) as nn, sum(label) as p from ({_VAL}))
+          window w as (order by s desc rows between unbounded preceding and current row)
+        )
+      ) where positive_rate <= cap)
+"""
+sql("ml_threshold", _THR)
+_AUC = """
+select case when p = 0 or q = 0 then 0.5 else num / (2.0 * p * q) end as roc_auc
+from (select sum(pos * (2 * below + neg)) as num, sum(pos) as p, sum(neg) as q
+      from (select *, sum(neg) over (order by s rows between unbounded preceding and current row) - neg as below
+            from (select score as s, sum(label) as pos, count(*) - sum(label) as neg from ({src}) group by score)))
+"""
+sql("ml_metrics", f"""
+select threshold,
+  case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as precision,
+  case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall,
+  case when tp > 0 then (2.0 * tp) / (2.0 * tp + fn + fp) else 0.0 end as f1,
+  case when tp > 0 then (1.5625 * tp) / (1.5625 * tp + 0.5625 * fn + fp) else 0.0 end as fbeta,
+  case when tp > 0 then (5.0 * tp) / (5.0 * tp + 4.0 * fn + fp) else 0.0 end as f2,
+  (tp + fp) / n as predicted_positive_rate, a.roc_auc
+from (select max(t.threshold) as threshold, sum(case when score >= t.threshold then label else 0 end) as tp,
+             sum(case when score >= t.threshold then 1 - label else 0 end) as fp,
+             sum(case when score < t.threshold then label else 0 end) as fn, count(*) as n
+      from ({_TEST}), ({_THR}) t) m,
+     ({_AUC.format(src=_TEST)}) a
+""")
+sql("ml_auc", _AUC.format(src=f"select {_SC} as score, label from ({cte_ml})"))
+sql("ml_calibration", f"""
+select (case when score > 0.2 then 1 else 0 end + case when score > 0.4 then 1 else 0 end
+        + case when score > 0.6 then 1 else 0 end + case when score > 0.8 then 1 else 0 end) as bin,
+  avg(score) as mean_predicted, avg(label) as fraction_positive, count(*) as n
+from ({_TEST}) group by 1
+""")
+sql("ml_confusion", f"""
+select label, cast(score >= t.threshold as int) as prediction, count(*) as n
+from ({_TEST}), ({_THR}) t group by 1, 2
+""")
