@@ -553,3 +553,15 @@ sql("ml_confusion", f"""
 select label, cast(score >= t.threshold as int) as prediction, count(*) as n
 from ({_TEST}), ({_THR}) t group by 1, 2
 """)
+
+
+# --------------------------------------------------------------------------- sources / sinks
+sql("scan_parquet", "select * from raw_matches_all")
+sql("partition_pruned_scan", "select * from raw_matches_all where source = 'csapi'")
+sql("data_freshness", """
+select 'raw_matches' as product, count(*) as row_count, true as has_loaded_at from raw_matches_all
+union all select 'raw_players', count(*), true from raw_player_rows
+union all select 'raw_csapi_team_rankings', count(*), true from raw_csapi_team_rankings
+union all select 'raw_hltv_round_history', count(*), true from raw_hltv_round_history
+""")
+sql("incremental_load", "select * from raw_matches_all")
