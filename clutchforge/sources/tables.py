@@ -60,11 +60,22 @@ class Catalog:
                 h.update(fh.read())
         return f"{base}/clutchforge_raw/{h.hexdigest()[:16]}"
 
-    def _exists(self, path: str) -> bool:
+    _DONE = "_CLUTCHFORGE_COMPLETE"
+
+    def _marker(self, path: str):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        return p.getFileSystem(conf).exists(p)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{self._DONE}")
+        return p, p.getFileSystem(conf)
+
+    def _exists(self, path: str) -> bool:
+        """A table counts as present only after its completion marker is written."""
+        p, fs = self._marker(path)
+        return fs.exists(p)
+
+    def _mark_done(self, path: str) -> None:
+        p, fs = self._marker(path)
+        fs.create(p, True).close()
 
     def raw(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """A raw table: derived once with ``build(self)`` and written as Parquet
@@ -77,5 +88,6 @@ class Catalog:
                 if partition_by:
                     w = w.partitionBy(*partition_by)
                 w.parquet(path)
+                self._mark_done(path)
             self._memo[key] = self.spark.read.parquet(path)
         return self._memo[key]
