@@ -12,7 +12,7 @@ DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (no job runs). None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001  (remote / connect sessions)
         return None
 

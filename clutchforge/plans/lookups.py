@@ -63,8 +63,13 @@ def snapshot_listing(cat: Catalog) -> DataFrame:
 
 def latest_complete_snapshot(cat: Catalog) -> DataFrame:
     """Newest date of the newest year whose four kinds of file are all present."""
+    return latest_complete_from_listing(snapshot_listing(cat))
+
+
+def latest_complete_from_listing(listing: DataFrame) -> DataFrame:
+    """``listing(filename)`` -> one row (snapshot_date, complete_dates)."""
     pat = r"^standings_([a-z]+)_(\d{4})_(\d{2})_(\d{2})\.md$"
-    f = snapshot_listing(cat).select(
+    f = listing.select(
         F.regexp_extract("filename", pat, 1).alias("kind"),
         F.regexp_extract("filename", pat, 2).try_cast("int").alias("year"),
         F.to_date(F.concat_ws("-", F.regexp_extract("filename", pat, 2), F.regexp_extract("filename", pat, 3),
