@@ -233,3 +233,46 @@ def half_scores(df: DataFrame, col: str) -> DataFrame:
         F.trim(F.split(p, ":")[0]).try_cast("int").alias("team1_rounds"),
         F.trim(F.split(p, ":")[1]).try_cast("int").alias("team2_rounds")))
     return df.select("*", as_struct.alias("halves"))
+
+
+CSAPI_MATCH = ("id bigint, team1 struct<id: bigint, name: string, score: int, rank: int>, "
+               "team2 struct<id: bigint, name: string, score: int, rank: int>, maps array<struct<name: string>>, "
+               "best_of int, format string, date string, event string, winner struct<id: bigint, name: string>")
+
+
+def csapi_matches(docs: DataFrame) -> DataFrame:
+    """CS API series -> canonical match: map and overtime are not known at
+    series level (null); rankings are kept from the payload; format is
+    "Best of N" -> boN, else taken from the number of maps."""
+    d = docs.select(F.from_json("doc", CSAPI_MATCH).alias("d")).select("d.*")
+    n = F.regexp_extract(F.coalesce(F.col("format"), F.lit("")), r"(?i)best of (\d+)", 1)
+    fmt = F.when(n != "", F.concat(F.lit("bo"), n)).otherwise(F.concat(F.lit("bo"), F.size("maps").cast("string")))
+    return d.select(
+        F.col("id").cast("string").alias("match_id"), F.lit("csapi").alias("source"),
+        F.col("team1.id").cast("string").alias("team_a_id"), F.col("team2.id").cast("string").alias("team_b_id"),
+        F.col("winner.id").cast("string").alias("winner_id"), F.col("date").alias("played_at"),
+        F.lit(None).cast("string").alias("map_name"),
+        F.col("team1.score").cast("bigint").alias("score_a"), F.col("team2.score").cast("bigint").alias("score_b"),
+        F.lit(None).cast("boolean").alias("is_overtime"),
+        F.col("team1.rank").cast("bigint").alias("team_a_ranking"), F.col("team2.rank").cast("bigint").alias("team_b_ranking"),
+        fmt.alias("series_format"))
+
+
+def contract_split(df: DataFrame, required: tuple[str, ...], allowed: tuple[str, ...]) -> DataFrame:
+    """Mark rows that break the contract: a required field null, or a column
+    outside the contract (then every row fails). Adds ``contract_ok``."""
+    extra = sorted(set(df.columns) - set(allowed))
+    ok = F.lit(not extra)
+    for c in required:
+        ok = ok & F.col(c).isNotNull()
+    return df.withColumn("contract_ok", ok)
+
+
+def scan_documents(lines: DataFrame, schema: str, required: tuple[str, ...]) -> DataFrame:
+    """JSON lines -> parsed documents; malformed or incomplete documents are
+    dropped (the rest of the batch continues)."""
+    p = lines.select(F.from_json("value", schema).alias("d"), *[c for c in lines.columns if c != "value"])
+    ok = F.col("d").isNotNull()
+    for c in required:
+        ok = ok & F.col("d." + c).isNotNull()
+    return p.where(ok)

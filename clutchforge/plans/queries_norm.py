@@ -198,3 +198,34 @@ def q_series_result(cat: Catalog) -> DataFrame:
     g = f.groupBy("match_id", "source").agg(F.count_if(a > b).alias("team1_maps"), F.count_if(b > a).alias("team2_maps"))
     return g.withColumn("winner", F.when(F.col("team1_maps") > F.col("team2_maps"), F.lit(1))
                         .when(F.col("team2_maps") > F.col("team1_maps"), F.lit(2)))
+
+
+@query("norm_match_series")
+def q_norm_match_series(cat: Catalog) -> DataFrame:
+    """NRM-08 / NRM-22: CS API series documents -> canonical matches with format."""
+    return N.csapi_matches(P.csapi_match_docs(cat))
+
+
+@query("contract_validation")
+def q_contract_validation(cat: Catalog) -> DataFrame:
+    """NRM-14: canonical matches of two providers checked against the contract."""
+    from .. import schemas
+    rows = N.faceit_matches(P.faceit_match_docs(cat)).unionByName(N.pandascore_matches(P.pandascore_match_docs(cat)))
+    allowed = tuple(f.name for f in schemas.RAW_MATCHES.fields)
+    checked = N.contract_split(rows, schemas.CANONICAL_MATCH_REQUIRED, allowed)
+    return checked.groupBy("source", "contract_ok").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("scan_documents")
+def q_scan_documents(cat: Catalog) -> DataFrame:
+    """SRC-04 / SRC-06: a directory of exported JSON lines; malformed documents are
+    skipped, the file path of each kept document is recorded."""
+    path = f"{cat.raw_store}/hltv_documents"
+    if not cat._exists(path):
+        P.document_lines(cat).write.mode("overwrite").text(path)
+        cat._mark_done(path)
+    lines = cat.spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    docs = N.scan_documents(lines, N.HLTV_MAP, ("id", "team1", "team2", "roundHistory"))
+    return docs.select(F.col("d.id").alias("map_id"), F.col("d.map").alias("map_name"),
+                       F.size("d.roundHistory").alias("rounds"),
+                       F.col("file_path").startswith("file:").alias("has_file_path"))

