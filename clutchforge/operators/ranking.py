@@ -10,7 +10,7 @@ one pass: the rows are unpivoted to (stat, group, value) and placed once with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small
@@ -26,14 +26,33 @@ def _long(df: DataFrame, keep: list[str], stats: list[str]) -> DataFrame:
 
 def percent_ranks(df: DataFrame, group_cols: list[str], stats: dict[str, str], key_cols: list[str]) -> DataFrame:
     """Add ``percent_rank() over (partition by group order by stat asc nulls last)``
-    for each ``stat -> output`` in ``stats``. ``key_cols`` identify a row."""
+    for each ``stat -> output`` in ``stats``. ``key_cols`` identify a row.
+
+    rank - 1 is the number of rows of the group with a smaller value, so it
+    is read off a value histogram: one aggregate to (stat, group, value) ->
+    count (map-side combined), running counts over the histogram, and an
+    equi-join back. The histogram holds distinct values, not rows: for the
+    rounded averages ranked here its size is fixed by value range and
+    precision, whatever the number of players. Nulls sort last.
+    """
     long = _long(df, key_cols + group_cols, list(stats))
     g = ["_stat"] + group_cols
-    placed = sequence_index(long, g, [F.col("_v").asc_nulls_last()] + [F.col(c).asc() for c in key_cols],
-                            out="_pos", rank_out="_rank", tie_cols=["_v"], size_out="_n")
-    pr = F.when(F.col("_n") > 1, F.col("_rank") / (F.col("_n") - 1)).otherwise(F.lit(0.0)).cast("double")
-    wide = placed.groupBy(*key_cols).agg(*[F.max(F.when(F.col("_stat") == s, pr)).alias(o)
-                                          for s, o in stats.items()])
+    hist = long.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # window over distinct values of one (stat, group): bounded by the value domain
+    w = Window.partitionBy(*g)
+    ranks = hist.select(*g, "_v",
+                        (F.sum("_c").over(w.orderBy(F.col("_v").asc_nulls_last())
+                                          .rowsBetween(Window.unboundedPreceding, -1))).alias("_below"),
+                        F.sum("_c").over(w).alias("_n"))
+    ranks = ranks.withColumn("_below", F.coalesce("_below", F.lit(0)))
+    pr = F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0)).cast("double")
+    lg, rk = long.alias("l"), ranks.alias("r")
+    cond = [F.col("l." + c).eqNullSafe(F.col("r." + c)) for c in g + ["_v"]]
+    pr = F.when(F.col("r._n") > 1, F.col("r._below") / (F.col("r._n") - 1)).otherwise(F.lit(0.0)).cast("double")
+    j = lg.join(rk, cond, "left").select(*[F.col("l." + c).alias(c) for c in key_cols],
+                                         F.col("l._stat").alias("_stat"), pr.alias("_pr"))
+    wide = j.groupBy(*key_cols).agg(*[F.max(F.when(F.col("_stat") == s, F.col("_pr"))).alias(o)
+                                      for s, o in stats.items()])
     return df.join(wide, key_cols, "left")
 
 

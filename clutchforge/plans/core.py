@@ -136,3 +136,20 @@ def fact_player_stats(cat: Catalog) -> DataFrame:
             F.when((kills + deaths) > 0, kills / (kills + deaths)).alias("kill_share"),
         )
     return cat.memo("fact_player_stats", build)
+
+
+# ----------------------------------------------------------------------------- materialised core
+CORE_TABLES = {
+    "dim_teams": dim_teams,
+    "dim_players": dim_players,
+    "fact_matches": fact_matches,
+    "fact_player_stats": fact_player_stats,
+}
+
+
+def table(cat: Catalog, name: str) -> DataFrame:
+    """A core table as the marts read it: built once per input and code version
+    and stored as Parquet (the reference materialises dims and facts as tables,
+    staging stays a view). The registered ``dim_*`` / ``fact_*`` queries run
+    the builders themselves."""
+    return cat.raw(f"core_{name}", CORE_TABLES[name])

@@ -36,7 +36,7 @@ def monthly_rankings(cat: Catalog) -> DataFrame:
 def asof_ranking(cat: Catalog) -> DataFrame:
     """Each csapi match with both teams' rank from the newest snapshot dated
     1-15 days before the match; no snapshot or team missing -> null."""
-    m = core.fact_matches(cat).where(F.col("source") == "csapi").select(
+    m = core.table(cat, "fact_matches").where(F.col("source") == "csapi").select(
         "match_id", "map_name", "team_a_id", "team_b_id", F.col("played_at").try_cast("date").alias("match_date"))
     r = monthly_rankings(cat)
     m = asof_lookup(m, F.col("match_date"), r, "ranking_date", ASOF_MAX_DAYS_BACK, ASOF_MIN_DAYS_BACK,
@@ -86,7 +86,7 @@ def latest_complete_from_listing(listing: DataFrame) -> DataFrame:
 def match_window(cat: Catalog, profile: str = "daily", offset: int = 0) -> DataFrame:
     """Newest matches of a load profile: skip ``offset``, keep at most the cap."""
     cap = PROFILE_CAPS[profile]
-    m = core.fact_matches(cat)
+    m = core.table(cat, "fact_matches")
     ordered = m.orderBy(F.col("played_at").desc(), F.col("match_id").desc(), F.col("source").asc(),
                         F.col("map_name").asc_nulls_last())
     if offset:
@@ -96,7 +96,7 @@ def match_window(cat: Catalog, profile: str = "daily", offset: int = 0) -> DataF
 
 def batch_keys(cat: Catalog) -> DataFrame:
     """Object keys a load would write: one per (source, played date)."""
-    m = core.fact_matches(cat).select("source", F.col("played_at").try_cast("date").alias("d")).distinct()
+    m = core.table(cat, "fact_matches").select("source", F.col("played_at").try_cast("date").alias("d")).distinct()
     key = F.concat(F.lit("raw/"), F.col("source"), F.lit("/matches/year="), F.date_format("d", "yyyy"),
                    F.lit("/month="), F.date_format("d", "MM"), F.lit("/day="), F.date_format("d", "dd"),
                    F.lit("/matches.parquet"))

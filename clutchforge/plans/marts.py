@@ -28,8 +28,8 @@ SAMPLE_STABLE_FROM = 50
 def mart_upset_features(cat: Catalog) -> DataFrame:
     """csapi matches with a winner, both teams' rankings, delta, favourite and upset label."""
     def build(c: Catalog) -> DataFrame:
-        m = core.fact_matches(c).where(F.col("winner_id").isNotNull() & (F.col("source") == "csapi"))
-        teams = broadcast_if_small(core.dim_teams(c).select("team_id", "team_name", "world_ranking", "region"))
+        m = core.table(c, "fact_matches").where(F.col("winner_id").isNotNull() & (F.col("source") == "csapi"))
+        teams = broadcast_if_small(core.table(c, "dim_teams").select("team_id", "team_name", "world_ranking", "region"))
         ta = teams.select(F.col("team_id").alias("_ta_id"), F.col("team_name").alias("team_a_name"),
                           F.col("world_ranking").alias("_ta_wr"), F.col("region").alias("team_a_region"))
         tb = teams.select(F.col("team_id").alias("_tb_id"), F.col("team_name").alias("team_b_name"),
@@ -60,7 +60,7 @@ def mart_upset_features(cat: Catalog) -> DataFrame:
 
 def team_match_rows(cat: Catalog) -> DataFrame:
     """Each match twice, once per team, from one scan (explode of two structs)."""
-    m = core.fact_matches(cat)
+    m = core.table(cat, "fact_matches")
     w = F.col("winner_id")
 
     def side(team: str) -> Column:
@@ -82,14 +82,14 @@ def mart_team_performance(cat: Catalog) -> DataFrame:
         F.sum("is_draw").cast("bigint").alias("draws"),
     )
     agg = agg.withColumn("win_rate", F.round(safe_ratio("wins", "total_matches"), 4))
-    teams = broadcast_if_small(core.dim_teams(cat).select("team_id", "team_name", "region", "world_ranking"))
+    teams = broadcast_if_small(core.table(cat, "dim_teams").select("team_id", "team_name", "region", "world_ranking"))
     return (agg.join(teams, "team_id", "left")
             .select("team_id", "team_name", "region", "world_ranking", "total_matches", "wins", "losses",
                     "draws", "win_rate"))
 
 
 def mart_head2head(cat: Catalog) -> DataFrame:
-    m = core.fact_matches(cat)
+    m = core.table(cat, "fact_matches")
     a, b = F.col("team_a_id"), F.col("team_b_id")
     p = m.select(F.when(a < b, a).otherwise(b).alias("team_1_id"),
                  F.when(a < b, b).otherwise(a).alias("team_2_id"), "winner_id", "played_at")
@@ -105,7 +105,7 @@ def mart_head2head(cat: Catalog) -> DataFrame:
 
 
 def mart_map_meta(cat: Catalog) -> DataFrame:
-    m = core.fact_matches(cat).where(F.col("map_name").isNotNull())
+    m = core.table(cat, "fact_matches").where(F.col("map_name").isNotNull())
     total = one_row(m.agg(F.count(F.lit(1)).alias("total")))
     w = F.col("winner_id")
     decided = F.count(F.when(w.isNotNull(), F.lit(1)))
@@ -129,8 +129,8 @@ def mart_map_meta(cat: Catalog) -> DataFrame:
 
 def _player_team(cat: Catalog) -> DataFrame:
     """Player stat rows with the team taken from the player's latest record."""
-    s = core.fact_player_stats(cat)
-    cp = core.dim_players(cat).select("player_id", F.col("team_id").alias("_current_team_id"))
+    s = core.table(cat, "fact_player_stats")
+    cp = core.table(cat, "dim_players").select("player_id", F.col("team_id").alias("_current_team_id"))
     j = s.join(cp, "player_id", "left")
     return j.withColumn("_team_key", F.coalesce("_current_team_id", "team_id"))
 
@@ -147,7 +147,7 @@ def mart_player_leaderboard(cat: Catalog) -> DataFrame:
         F.round(exact_avg("deaths"), 1).alias("avg_deaths"),
         F.max("elo").alias("peak_elo"),
     )
-    teams = broadcast_if_small(core.dim_teams(cat).select("team_id", "world_ranking"))
+    teams = broadcast_if_small(core.table(cat, "dim_teams").select("team_id", "world_ranking"))
     t = agg.join(teams, "team_id", "left").withColumn("tier", tier("world_ranking"))
     t = percent_ranks(t, ["tier"], {"avg_adr": "adr_pct_rank", "avg_kd_ratio": "kd_pct_rank",
                                     "avg_kast": "kast_pct_rank", "avg_rating": "rating_pct_rank",
@@ -161,7 +161,7 @@ def mart_player_leaderboard(cat: Catalog) -> DataFrame:
 def player_match_stats(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         j = _player_team(c)
-        teams = broadcast_if_small(core.dim_teams(c).select(
+        teams = broadcast_if_small(core.table(c, "dim_teams").select(
             F.col("team_id").alias("_t_id"), "team_name", F.col("region").alias("team_region"), "world_ranking"))
         j = j.join(teams, j["_team_key"] == teams["_t_id"], "left")
         return j.select("player_id", "display_name", F.col("_team_key").alias("team_id"), "team_name",
@@ -395,7 +395,7 @@ def league_averages(team_agg: DataFrame) -> DataFrame:
 def mart_choke_profile(cat: Catalog) -> DataFrame:
     ta = team_pressure(cat)
     la = one_row(league_averages(ta))
-    teams = broadcast_if_small(core.dim_teams(cat).select(
+    teams = broadcast_if_small(core.table(cat, "dim_teams").select(
         F.col("team_id").alias("_t_id"), F.col("team_name").alias("_t_name"), "world_ranking"))
     j = ta.crossJoin(la).join(teams, ta["team_id"] == teams["_t_id"], "left")
     c = F.col

@@ -46,7 +46,7 @@ def q_join_cascade_lookup(cat: Catalog) -> DataFrame:
 @query("join_dim_left")
 def q_join_dim_left(cat: Catalog) -> DataFrame:
     """JON-01: fact left join the map dimension by name."""
-    f = core.fact_matches(cat).select("match_sk", "map_name")
+    f = core.table(cat, "fact_matches").select("match_sk", "map_name")
     d = broadcast_if_small(core.dim_maps(cat).select(F.col("map_name").alias("_m"), F.col("map_sk").alias("dim_map_sk")))
     return f.join(d, f["map_name"] == d["_m"], "left").select("match_sk", "map_name", "dim_map_sk")
 
@@ -107,7 +107,7 @@ def q_win_partition_max(cat: Catalog) -> DataFrame:
 
 # --------------------------------------------------------------------------- data quality
 def _dq_fact_rules(cat: Catalog) -> DataFrame:
-    f = core.fact_matches(cat)
+    f = core.table(cat, "fact_matches")
     return dq.row_rules("fact_matches", f, [
         dq.NotNull("match_sk"), dq.NotNull("match_id"), dq.NotNull("source"), dq.NotNull("team_a_id"),
         dq.NotNull("team_b_id"), dq.AcceptedValues("source", ("faceit", "pandascore", "csapi"))])
@@ -116,8 +116,8 @@ def _dq_fact_rules(cat: Catalog) -> DataFrame:
 @query("dq_not_null")
 def q_dq_not_null(cat: Catalog) -> DataFrame:
     """DQ-01 (+ DQ-03 on the same pass): not-null rules of the fact and dimensions."""
-    t = core.dim_teams(cat)
-    p = core.dim_players(cat)
+    t = core.table(cat, "dim_teams")
+    p = core.table(cat, "dim_players")
     return dq.stack([
         _dq_fact_rules(cat),
         dq.row_rules("dim_teams", t, [dq.NotNull("team_id"), dq.NotNull("ranking_source")]),
@@ -128,13 +128,13 @@ def q_dq_not_null(cat: Catalog) -> DataFrame:
 @query("dq_unique")
 def q_dq_unique(cat: Catalog) -> DataFrame:
     """DQ-02 / DQ-07: key uniqueness, including the fact grain after reloads."""
-    f = core.fact_matches(cat)
+    f = core.table(cat, "fact_matches")
     return dq.stack([
         dq.unique("fact_matches", f, ["match_sk"]),
         dq.unique("fact_matches", f, ["match_id", "source", "map_name"]),
-        dq.unique("fact_player_stats", core.fact_player_stats(cat), ["player_stat_sk"]),
-        dq.unique("dim_teams", core.dim_teams(cat), ["team_id"]),
-        dq.unique("dim_players", core.dim_players(cat), ["player_id"]),
+        dq.unique("fact_player_stats", core.table(cat, "fact_player_stats"), ["player_stat_sk"]),
+        dq.unique("dim_teams", core.table(cat, "dim_teams"), ["team_id"]),
+        dq.unique("dim_players", core.table(cat, "dim_players"), ["player_id"]),
     ])
 
 
@@ -154,8 +154,8 @@ def q_dq_accepted_values(cat: Catalog) -> DataFrame:
 @query("dq_relationship")
 def q_dq_relationship(cat: Catalog) -> DataFrame:
     """DQ-04 / JON-10: every stat row's player exists in dim_players (left anti)."""
-    return dq.relationship("fact_player_stats", core.fact_player_stats(cat), "player_id",
-                           core.dim_players(cat), "player_id")
+    return dq.relationship("fact_player_stats", core.table(cat, "fact_player_stats"), "player_id",
+                           core.table(cat, "dim_players"), "player_id")
 
 
 @query("dq_expression")
@@ -274,7 +274,7 @@ def q_distinct_sorted(cat: Catalog) -> DataFrame:
 @query("scalar_tier")
 def q_scalar_tier(cat: Catalog) -> DataFrame:
     """SCL-03: tier buckets (null rank -> 4)."""
-    t = core.dim_teams(cat)
+    t = core.table(cat, "dim_teams")
     return t.select("team_id", "world_ranking", tier("world_ranking").alias("tier"))
 
 
@@ -302,7 +302,7 @@ def q_scalar_math(cat: Catalog) -> DataFrame:
 @query("scalar_surrogate_key")
 def q_scalar_surrogate_key(cat: Catalog) -> DataFrame:
     """SCL-06: md5 surrogate keys with null markers."""
-    f = core.fact_matches(cat)
+    f = core.table(cat, "fact_matches")
     return f.select("match_sk", surrogate_key("match_id", "winner_id").alias("match_winner_sk"),
                     surrogate_key("map_name").alias("map_sk2"))
 
@@ -321,7 +321,7 @@ def q_scalar_cast(cat: Catalog) -> DataFrame:
 @query("scalar_date")
 def q_scalar_date(cat: Catalog) -> DataFrame:
     """SCL-09/24: text to date, day offsets and comparisons."""
-    f = core.fact_matches(cat).select("match_sk", F.col("played_at").try_cast("date").alias("d"))
+    f = core.table(cat, "fact_matches").select("match_sk", F.col("played_at").try_cast("date").alias("d"))
     return f.where(F.col("d").isNotNull()).select(
         "match_sk", "d", F.date_sub("d", 1).alias("day_before"), F.date_sub("d", 89).alias("window_start"),
         (F.col("d") >= F.lit("2000-01-01").cast("date")).alias("is_recent"))
@@ -330,7 +330,7 @@ def q_scalar_date(cat: Catalog) -> DataFrame:
 @query("scalar_ratio")
 def q_scalar_ratio(cat: Catalog) -> DataFrame:
     """SCL-12: guarded kd and kill share."""
-    s = core.fact_player_stats(cat)
+    s = core.table(cat, "fact_player_stats")
     return s.select("player_stat_sk", "computed_kd", "kill_share")
 
 

@@ -193,7 +193,7 @@ def q_half_scores(cat: Catalog) -> DataFrame:
 @query("series_result")
 def q_series_result(cat: Catalog) -> DataFrame:
     """NRM-21: maps won per side and series winner per (match, source)."""
-    f = core.fact_matches(cat)
+    f = core.table(cat, "fact_matches")
     a, b = F.coalesce("score_a", F.lit(0)), F.coalesce("score_b", F.lit(0))
     g = f.groupBy("match_id", "source").agg(F.count_if(a > b).alias("team1_maps"), F.count_if(b > a).alias("team2_maps"))
     return g.withColumn("winner", F.when(F.col("team1_maps") > F.col("team2_maps"), F.lit(1))

@@ -48,16 +48,18 @@ class Catalog:
         """Folder of the raw (bronze) tables derived from this input directory.
 
         Lives under the shared checkpoint folder (spark.checkpoint.dir), keyed
-        by the input path and the version of the derivation code, so a
-        changed rule never reads tables written by an older one.
+        by the input path and the version of the package code, so a changed
+        rule never reads tables written by an older one.
         """
         from ..session import ensure_checkpoint_dir
         base = os.environ.get("CLUTCHFORGE_RAW_DIR") or ensure_checkpoint_dir(self.spark).rstrip("/")
-        here = os.path.dirname(os.path.abspath(__file__))
+        pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         h = hashlib.md5(os.path.abspath(self.root).encode())
-        for f in ("standins.py", "tables.py", os.path.join("..", "operators", "sequence.py")):
-            with open(os.path.join(here, f), "rb") as fh:
-                h.update(fh.read())
+        for dirpath, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(dirpath, f), "rb") as fh:
+                        h.update(fh.read())
         return f"{base}/clutchforge_raw/{h.hexdigest()[:16]}"
 
     _DONE = "_CLUTCHFORGE_COMPLETE"
