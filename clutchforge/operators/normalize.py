@@ -276,3 +276,24 @@ def scan_documents(lines: DataFrame, schema: str, required: tuple[str, ...]) ->
     for c in required:
         ok = ok & F.col("d." + c).isNotNull()
     return p.where(ok)
+
+
+PANDASCORE_PLAYER = ("id bigint, name string, nationality string, current_team struct<id: bigint, name: string>, "
+                     "match_id string, recorded_at string")
+LIQUIPEDIA_RESULT = "result array<struct<pagename: string, name: string, region: string, date: string>>"
+
+
+def pandascore_players(docs: DataFrame) -> DataFrame:
+    """PandaScore player -> canonical player (team id from the nullable current team)."""
+    d = docs.select(F.from_json("doc", PANDASCORE_PLAYER).alias("d")).select("d.*")
+    return d.select(F.col("id").cast("string").alias("player_id"), F.lit("pandascore").alias("source"),
+                    F.col("name").alias("display_name"), F.col("current_team.id").cast("string").alias("team_id"),
+                    "nationality", "match_id", "recorded_at")
+
+
+def liquipedia_teams(docs: DataFrame) -> DataFrame:
+    """Liquipedia team pages -> canonical teams (world ranking is never set)."""
+    d = docs.select(F.explode(F.from_json("doc", LIQUIPEDIA_RESULT).getField("result")).alias("r"))
+    return d.select(F.col("r.pagename").alias("team_id"), F.lit("liquipedia").alias("source"),
+                    F.col("r.name").alias("name"), F.col("r.region").alias("region"),
+                    F.lit(None).cast("bigint").alias("world_ranking"), F.col("r.date").alias("ingested_at"))

@@ -229,3 +229,15 @@ def q_scan_documents(cat: Catalog) -> DataFrame:
     return docs.select(F.col("d.id").alias("map_id"), F.col("d.map").alias("map_name"),
                        F.size("d.roundHistory").alias("rounds"),
                        F.col("file_path").startswith("file:").alias("has_file_path"))
+
+
+@query("norm_players")
+def q_norm_players(cat: Catalog) -> DataFrame:
+    """NRM-04: PandaScore player objects -> canonical players."""
+    return N.pandascore_players(P.pandascore_player_docs(cat))
+
+
+@query("norm_teams")
+def q_norm_teams(cat: Catalog) -> DataFrame:
+    """NRM-05: Liquipedia team pages -> canonical teams."""
+    return N.liquipedia_teams(P.liquipedia_team_docs(cat))

@@ -177,3 +177,24 @@ def document_lines(cat: Catalog, truncate_map: str = "Map5") -> DataFrame:
     d = hltv_map_docs(cat)
     bad = F.get_json_object("doc", "$.map") == truncate_map
     return d.select(F.when(bad, F.expr("substring(doc, 1, length(doc) div 2)")).otherwise(F.col("doc")).alias("value"))
+
+
+def pandascore_player_docs(cat: Catalog) -> DataFrame:
+    """PandaScore player objects; profile rows arrive without a current team."""
+    p = raw.raw_player_rows(cat).where(F.col("source") == "pandascore")
+    doc = F.struct(F.col("player_id").cast("long").alias("id"), F.col("display_name").alias("name"),
+                   F.col("nationality").alias("nationality"),
+                   F.when(F.col("team_id").isNotNull(), F.struct(F.col("team_id").cast("long").alias("id"),
+                                                                 F.concat(F.lit("Team "), F.col("team_id")).alias("name")))
+                   .alias("current_team"),
+                   F.col("match_id").alias("match_id"), F.col("recorded_at").alias("recorded_at"))
+    return p.select(F.lit("pandascore").alias("source"), F.lit("player").alias("entity"), F.to_json(doc).alias("doc"))
+
+
+def liquipedia_team_docs(cat: Catalog) -> DataFrame:
+    """Liquipedia API pages: ``{"result": [...]}`` with string fields only."""
+    t = raw.raw_liquipedia_teams(cat)
+    item = F.struct(F.col("team_id").alias("pagename"), F.col("name").alias("name"), F.col("region").alias("region"),
+                    F.col("ingested_at").alias("date"))
+    return t.select(F.lit("liquipedia").alias("source"), F.lit("team").alias("entity"),
+                    F.to_json(F.struct(F.array(item).alias("result"))).alias("doc"))

@@ -580,3 +580,12 @@ select cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part
   max(map_name) as map_name, cast(count(*) as int) as rounds, true as has_file_path
 from raw_hltv_round_history group by map_stats_id having max(map_name) != 'Map5'
 """)
+sql("norm_players", """
+select cast(cast(player_id as bigint) as varchar) as player_id, 'pandascore' as source, display_name, team_id,
+  nationality, match_id, recorded_at
+from raw_player_rows where source = 'pandascore'
+""")
+sql("norm_teams", """
+select team_id, 'liquipedia' as source, name, region, cast(null as bigint) as world_ranking, ingested_at
+from raw_liquipedia_teams
+""")
