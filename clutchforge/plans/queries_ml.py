@@ -67,3 +67,17 @@ def q_ml_score(cat: Catalog) -> DataFrame:
     model = ml.fit_model(s.where(F.col("split") == "train"))
     return ml.score_rows(model, s.where(F.col("split") == "test")).select(
         "match_sk", "played_at", "label", "upset_probability")
+
+
+@query("ml_attribution")
+def q_ml_attribution(cat: Catalog) -> DataFrame:
+    """ML-11 / ML-12: per-row Shapley attribution of the model probability on the
+    holdout, plus the watchlist flag at the threshold tuned on validation scores."""
+    s = ml.split3_frame(cat)
+    train = s.where(F.col("split") == "train")
+    model = ml.fit_model(train)
+    val = ml.score_rows(model, s.where(F.col("split") == "validation")).withColumnRenamed("upset_probability", "score")
+    thr = ml.threshold_search(val)
+    att = ml.shapley_attribution(model, s.where(F.col("split") == "test"), ml.background_sample(train))
+    return (att.crossJoin(thr.select(F.col("threshold").alias("decision_threshold")))
+            .withColumn("on_watchlist", F.col("upset_probability") >= F.col("decision_threshold")))

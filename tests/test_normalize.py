@@ -96,3 +96,15 @@ def test_auc_matches_pairwise_definition(spark):
     neg = [s for y, s in pts if y == 0]
     brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     assert abs(ml.roc_auc(df).collect()[0].roc_auc - brute) < 1e-12
+
+
+def test_shapley_values_add_up(spark):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    from .conftest import SF_CHECK
+    df = E.queries()["ml_attribution"](spark, SF_CHECK)
+    phis = [c for c in df.columns if c.startswith("phi_")]
+    gap = df.select(F.max(F.abs(sum((F.col(c) for c in phis), F.lit(0.0))
+                                - (F.col("upset_probability") - F.col("base_value")))).alias("g")).collect()[0].g
+    assert len(phis) == 4 and gap < 1e-9
+    assert df.count() > 0
