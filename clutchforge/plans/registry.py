@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import configure
 from ..sources.tables import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,7 @@ def query(name: str):
     """Register ``fn(cat) -> DataFrame`` under ``name``."""
     def wrap(fn: Callable[[Catalog], DataFrame]):
         def run(spark: SparkSession, root: str) -> DataFrame:
+            configure(spark)  # UTC, ANSI, AQE settings the jobs rely on
             return fn(Catalog(spark, root))
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
