@@ -27,9 +27,35 @@ JOB_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (the one Python pass,
+    ``mapInPandas`` in operators.sequence, runs there): zip it once per
+    application and hand it to ``addPyFile``, which distributes it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="clutchforge-pyfiles-"), "clutchforge.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in JOB_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
@@ -48,6 +74,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
