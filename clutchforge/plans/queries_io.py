@@ -53,3 +53,15 @@ def q_incremental_load(cat: Catalog) -> DataFrame:
     ckpt = f"{cat.raw_store}/stream_checkpoint/raw_matches"
     incremental_load(cat.spark, src, target, ckpt, schemas.RAW_MATCHES)
     return cat.spark.read.parquet(target).drop("batch_id")
+
+
+@query("snapshot_roundtrip")
+def q_snapshot_roundtrip(cat: Catalog) -> DataFrame:
+    """SNK-05 / SRC-09: export a mart snapshot (warehouse-style upper-case names),
+    read it back with lower-case column names."""
+    from .. import sinks
+    from . import marts
+    path = f"{cat.raw_store}/snapshots/mart_team_performance"
+    m = marts.mart_team_performance(cat)
+    sinks.export_snapshot(m.toDF(*[c.upper() for c in m.columns]), path)
+    return sinks.read_snapshot(cat.spark, path)

@@ -589,3 +589,4 @@ sql("norm_teams", """
 select team_id, 'liquipedia' as source, name, region, cast(null as bigint) as world_ranking, ingested_at
 from raw_liquipedia_teams
 """)
+sql("snapshot_roundtrip", "select * from mart_team_performance")
