@@ -81,13 +81,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared file system; it is only
-    filled in here when unset (local runs and tests).
+    On a cluster the operator sets it to a shared file system; a session folder
+    is made up only where it is unset and everything runs in one process
+    (local runs and tests). Elsewhere an unset folder is an error: executors
+    would write to their own disks.
     """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir.
-        path = tempfile.mkdtemp(prefix="clutchforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if path:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
+        return path
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="clutchforge-ckpt-"))
+    return sc.getCheckpointDir()
