@@ -143,10 +143,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seen = words.withColumn("hits", F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
         lambda h: h["word"].isin(anchors)))
-    found = F.flatten(F.array(*[
-        F.transform(_places(t, weights), lambda p, t=t: F.struct(
+
+    def labelled(t: Template) -> Column:
+        return F.transform(_places(t, weights), lambda p: F.struct(
             F.lit(t.label).alias("label"), p["start"].cast("long").alias("start"), p["share"].alias("share"),
-            F.lit(t.base).alias("base"))) for t in templates]))
+            F.lit(t.base).alias("base")))
+
+    found = F.flatten(F.array(*[labelled(t) for t in templates]))
     # Most files hold no anchor: they skip the templates.
     typ = "array<struct<label:string,start:bigint,share:double,base:boolean>>"
     out = seen.select("doc_id", F.size("words").cast("long").alias("n_words"),
@@ -175,7 +178,7 @@ def oracle() -> str:
                       for i, t in enumerate(TEMPLATES))
     vocab = ", ".join(f"('{w}')" for w in vocabulary(TEMPLATES))
     return rf"""
-with templates(tid, label, ws, ks, at, base) as (values {rows}),
+with templates(tid, label, ws, ks, off, base) as (values {rows}),
 vocab(word) as (values {vocab}),
 d as (select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -186,8 +189,9 @@ idf as (select v.word, floor(1000 * ln(((select count(*) from d) + 1) / (coalesc
 total as (select tid, sum(wt) as total from (select tid, unnest(ws) as word from templates) join idf using (word)
           group by tid),
 cand as (select rid, w, t.*, unnest(list_filter(range(len(w)::bigint), lambda i: w[i + 1] = ks[1]
-           and w[i + 1 : i + len(ks)] = ks)) as kp from d, templates t),
-wordwise as (select rid, tid, kp, kp - at as start, unnest(ws) as word, generate_subscripts(ws, 1) as j, w from cand),
+           and w[i + 1 : i + len(ks)] = ks)) as kp
+         from d, templates t where list_has_all(w, ks)),
+wordwise as (select rid, tid, kp, kp - off as start, unnest(ws) as word, generate_subscripts(ws, 1) as j, w from cand),
 place as (select rid, tid, start, sum(case when start + j >= 1 and w[start + j] = word then wt else 0 end) as got
           from wordwise join idf using (word) group by rid, tid, kp, start),
 p as (select rid, label, base, start, got::double / total::double as share
