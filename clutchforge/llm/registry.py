@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan
+from . import exact_dedup, license_scan, source_mix
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op8_source_mix": source_mix.op8_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.oracle(),
+        "op2_exact_dedup": exact_dedup.oracle(),
     }
