@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, source_mix
+from . import exact_dedup, license_scan, source_mix, token_output, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op4_token_output": token_output.op4_token_output,
         "op8_source_mix": source_mix.op8_source_mix,
+        "op9_warc": warc.op9_warc,
     }
 
 
@@ -21,4 +23,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.oracle(),
         "op2_exact_dedup": exact_dedup.oracle(),
+        "op9_warc": warc.oracle(),
     }
