@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, source_mix, token_output, warc
+from . import exact_dedup, license_scan, quality, source_mix, token_output, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_output": token_output.op4_token_output,
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_warc": warc.op9_warc,
+        "op10_quality": quality.op10_quality,
     }
 
 
