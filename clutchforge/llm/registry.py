@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, license_scan, quality, source_mix, token_output, toxicity, warc
+from . import decontaminate, exact_dedup, license_scan, quality, source_mix, token_output, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_output": token_output.op4_token_output,
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_warc": warc.op9_warc,
         "op10_quality": quality.op10_quality,
@@ -25,5 +26,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.oracle(),
         "op2_exact_dedup": exact_dedup.oracle(),
+        "op5_decontaminate": decontaminate.oracle(),
         "op9_warc": warc.oracle(),
     }
