@@ -17,7 +17,7 @@ LONG_WORD = 64  # longer words are hashed one by one
 
 _rng = np.random.Generator(np.random.PCG64(77))
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACE = _rng.integers(0, 1 << 63, LONG_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = _rng.integers(0, 1 << 63, LONG_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _GRAM = _rng.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _C1, _C2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -82,7 +82,7 @@ def hash_slices(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         first = np.cumsum(n) - n
         place = np.arange(int(n.sum())) - np.repeat(first, n)
         at = place + np.repeat(s, n)
-        out[short] = np.add.reduceat(_BYTE[buffer[at]] * _PLACE[place], first)
+        out[short] = np.add.reduceat(_BYTE[buffer[at]] * PLACES[place], first)
     for i in np.flatnonzero(~short).tolist():
         out[i] = xxhash.xxh64_intdigest(buffer[starts[i]:ends[i]].tobytes())
     return mix(out)
