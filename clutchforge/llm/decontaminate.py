@@ -302,17 +302,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_match: int = 0, max_coverage: float = 0.5,
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """``docs`` (all columns) with matches longer than ``max_match`` words cut out of
-    the texts and documents hit over ``max_coverage`` dropped."""
+    the texts and documents hit over ``max_coverage`` dropped. ``chars_col``: a
+    column with the texts' lengths, to follow."""
     out = docs
     for b in item_blocks(benchmark):
         name = next(n for n in (f"_cleaned{i}" for i in range(len(out.columns) + 1)) if n not in out.columns)
         text = F.col(text_col).cast("string")
         out = out.withColumn(name, cleaner(*b, window, max_match, max_coverage)(text)) \
             .filter(~F.col(f"{name}.dropped"))
-        out = out.withColumn(text_col, F.when(F.col(f"{name}.changed"), F.col(f"{name}.text")).otherwise(F.col(text_col))) \
-            .drop(name)
+        changed, left = F.col(f"{name}.changed"), F.col(f"{name}.text")
+        new = {text_col: F.when(changed, left).otherwise(F.col(text_col))}
+        if chars_col:
+            new[chars_col] = F.when(changed, F.length(left).cast(out.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+        out = out.withColumns(new).drop(name)
     return out
 
 

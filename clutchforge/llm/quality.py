@@ -15,15 +15,15 @@ scored each; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit
-from .common import prepare, table, text_rows
+from .common import materialise, prepare, table, text_rows
 from .labelled import fold, training_rows
 
 BITS = 18
@@ -110,30 +110,35 @@ def train(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
     return np.average([np.frombuffer(w, "<f4") for _, w in parts], axis=0, weights=[n for n, _ in parts])
 
 
-def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the column ``score``, one narrow pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 2**BITS + 1 floats
+def scorer(spark: SparkSession, weights: np.ndarray) -> Callable[[Column], Column]:
+    """The score of a text column under ``weights``."""
+    shared = spark.sparkContext.broadcast(weights.astype("<f4"))  # 2**BITS + 1 floats
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = shared.value.astype(float)
-        for pdf in batches:
-            out = np.full(len(pdf), w[-1])
-            for first, part in textkit.pieces(pdf["text"].tolist(), 1 << 20):
+        for series in texts:
+            out = np.full(len(series), w[-1])
+            for first, part in textkit.pieces(series.tolist(), 1 << 20):
                 place, value, bounds = features(part)
                 row = np.repeat(np.arange(len(part)), np.diff(bounds))
                 out[first:first + len(part)] += np.bincount(row, w[place] * value, minlength=len(part))
-            yield pdf.drop(columns="text").assign(score=1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))
+            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))
 
-    # Ids travel as text: pandas would turn nullable integers into floats.
-    slim = text_rows(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("string"))
-    return slim.mapInPandas(run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return score
+
+
+def fitted_scorer(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
+                  max_rows: int = MAX_TRAIN_ROWS) -> Callable[[Column], Column]:
+    rows = training_rows(docs, labels, "quality", folds, held_out, max_rows)
+    return scorer(docs.sparkSession, train(materialise(rows, "train")))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
                      max_rows: int = MAX_TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
-    weights = train(training_rows(docs, labels, "quality", folds, held_out, max_rows))
-    return score(docs, weights).select(
+    score = fitted_scorer(docs, labels, folds, held_out, max_rows)
+    return text_rows(docs).select("doc_id", score("text").alias("score")).select(
         "doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 

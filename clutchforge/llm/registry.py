@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, license_scan, quality, source_mix, token_output, toxicity, warc
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality, source_mix, token_output, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_output": token_output.op4_token_output,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_chat_format": chat_format.op6_chat_format,
         "op7_jaccard_join": jaccard_join.op7_jaccard_join,
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_warc": warc.op9_warc,
@@ -28,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": license_scan.oracle(),
         "op2_exact_dedup": exact_dedup.oracle(),
         "op5_decontaminate": decontaminate.oracle(),
+        "op6_chat_format": chat_format.oracle(),
         "op9_warc": warc.oracle(),
     }

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITESPACE, materialise, prepare, split_words, table
@@ -143,12 +143,12 @@ def round_pivotal(items: DataFrame, block: int = BLOCK) -> DataFrame:
     return out
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken."""
-    words = F.size(split_words(F.col(text_col).cast("string"), WHITESPACE)).cast("long")
+def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES) -> DataFrame:
+    """One row per distinct (source, doc_id, size) with its number of rows, source_size, target and
+    the copies that its rows take together."""
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                        words.alias("size"))
+                        _size(text_col).alias("size"))
     items = materialise(sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows")), "items")
     plan = materialise(targets(items.select("source", (F.col("size") * F.col("rows")).alias("size")),
                                weights, share, max_copies), "targets")
@@ -159,12 +159,44 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("whole", F.least(F.floor("want"), F.col("rows") * max_copies)) \
         .withColumn("p", F.when(F.col("size") > 0, F.greatest(F.col("want") - F.col("whole"), F.lit(0.0))).otherwise(0.0))
     open_ = items.filter((F.col("p") > 0) & (F.col("p") < 1)).select("source", "key", "size", "p")
-    extra = round_pivotal(open_)
-    copies = items.join(extra, "key", "left").withColumn("copies", F.col("whole") + F.coalesce("extra", F.lit(0)))
-    each = F.floor(F.col("copies") / F.col("rows")) + (F.col("row") <= F.col("copies") % F.col("rows")).cast("long")
-    return copies.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row")) \
-        .select("doc_id", "source", "size", "source_size", "target", each.cast("long").alias("copies")) \
-        .withColumn("taken", F.col("size") * F.col("copies"))
+    return items.join(round_pivotal(open_), "key", "left").select(
+        "source", "doc_id", "size", "rows", "source_size", "target",
+        (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long").alias("copies"))
+
+
+def _size(text_col: str) -> Column:
+    return F.size(split_words(F.col(text_col).cast("string"), WHITESPACE)).cast("long")
+
+
+def _each(row: Column) -> Column:
+    """The copies of row number ``row`` (from 1) of an item: as even as can be."""
+    more = (row <= F.col("copies") % F.col("rows")).cast("long")
+    return (F.floor(F.col("copies") / F.col("rows")) + more).cast("long")
+
+
+def mix_sources(docs: DataFrame, **how) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken."""
+    row = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row")
+    return decide(docs, **how).select("*", row).withColumn("copies", _each(F.col("row"))).select(
+        "doc_id", "source", "size", "source_size", "target", "copies",
+        (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns), every row as often as the mix takes it."""
+    names = [n for n in (f"_mix{i}" for i in range(len(docs.columns) + 3)) if n not in docs.columns][:3]
+    size, copies, row = names
+    plan = materialise(decide(docs), "plan")
+    rows = docs.withColumn(size, _size("text")).alias("d").join(
+        plan.alias("p"), F.expr(f"d.source <=> p.source and d.doc_id <=> p.doc_id and d.{size} = p.size")) \
+        .select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col(f"d.{size}"), F.col("p.rows").alias(row),
+                F.col("p.copies").alias(copies))
+    single = rows.filter(F.col(row) == 1).withColumn(row, F.col(copies))
+    number = F.row_number().over(Window.partitionBy("source", "doc_id", size).orderBy("text"))  # repeated rows only
+    more = (number <= F.col(copies) % F.col(row)).cast("long")
+    again = rows.filter(F.col(row) > 1).withColumn(row, (F.floor(F.col(copies) / F.col(row)) + more).cast("long"))
+    return single.unionByName(again).filter(F.col(row) > 0) \
+        .withColumn(size, F.explode(F.sequence(F.lit(1).cast("long"), F.col(row)))).select(*docs.columns)
 
 
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -15,14 +15,14 @@ rows); repeated rows are scored each; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit
@@ -138,34 +138,29 @@ def learn_lexicon(rows: DataFrame, size: int = LEARNED_WORDS) -> tuple[list[str]
     return [w.decode() for w in telling(F.col("words"))], telling(stems)
 
 
-def with_features(rows: DataFrame, lexicon: tuple[list[str], list[bytes]], *more: str) -> DataFrame:
-    """doc_id, the columns ``more`` and ``features`` (array) of rows (doc_id, text, more)."""
-    kinds = dict(rows.dtypes)
+def feature_column(lexicon: tuple[list[str], list[bytes]]) -> Callable[[Column], Column]:
+    """The features of a text column, as an array; ``lexicon`` as learned."""
     known, stems = word_hashes(lexicon[0]), np.zeros(0, dtype=np.uint64)
     if lexicon[1]:
         joined = np.frombuffer(b"".join(lexicon[1]), dtype=np.uint8)
         at = np.arange(0, len(joined), STEM_BYTES)
         stems = np.sort(textkit.hash_slices(joined, at, at + STEM_BYTES))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [features(part, known, stems) for _, part in textkit.pieces(pdf["text"].tolist(), 1 << 20)]
-            out = pdf.drop(columns="text")
-            out["features"] = list(np.concatenate(found)) if found else []
-            yield out
+    @F.pandas_udf("array<double>")
+    def described(texts: pd.Series) -> pd.Series:
+        found = [features(part, known, stems) for _, part in textkit.pieces(texts.tolist(), 1 << 20)]
+        return pd.Series(list(np.concatenate(found)) if found else [], dtype=object)
 
-    # Ids travel as text: pandas would turn nullable integers into floats.
-    slim = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text", *more)
-    schema = ", ".join(["doc_id string", *[f"{c} {kinds[c]}" for c in more], "features array<double>"])
-    return slim.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return described
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1,
                    max_rows: int = MAX_TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
     train = materialise(training_rows(docs, labels, "toxic", folds, held_out, max_rows), "train")
-    learned = learn_lexicon(train)
-    train = materialise(with_features(train, learned, "label").withColumn("features", array_to_vector("features"))
+    described = feature_column(learn_lexicon(train))
+    train = materialise(train.select("doc_id", "label", described("text").alias("features"))
+                        .withColumn("features", array_to_vector("features"))
                         .withColumn("part", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(5)))
                         .withColumn("label", F.col("label").cast("double")), "features")
     fit, held = train.filter("part <> 0").coalesce(4), train.filter("part = 0")
@@ -181,7 +176,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
         calibrate = held if held.filter("label = 1").limit(1).count() else fit
         iso = IsotonicRegression(featuresCol="raw", labelCol="label").fit(
             trees.transform(calibrate).select("label", margin.alias("raw")))
-        all_ = with_features(slim, learned).withColumn("features", array_to_vector("features"))
+        all_ = slim.select("doc_id", described("text").alias("features")) \
+            .withColumn("features", array_to_vector("features"))
         raw = trees.transform(all_).select("doc_id", margin.alias("raw"))
         # Isotonic steps tie many scores; a trace of the raw score keeps their order inside a step.
         scored = iso.transform(raw).select("doc_id", F.least(F.lit(1.0), F.greatest(
