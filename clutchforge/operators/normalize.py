@@ -228,7 +228,7 @@ def half_scores(df: DataFrame, col: str) -> DataFrame:
     """"(16 : 14) ( 7 : 8 ) ..." -> array of (team1, team2) half scores; the
     first pair is the total and is dropped when more than two pairs are present."""
     pairs = F.regexp_extract_all(F.col(col), F.lit(r"(\d+\s*:\s*\d+)"), 1)
-    kept = F.when(F.size(pairs) > 2, F.slice(pairs, 2, 1000)).otherwise(pairs)
+    kept = F.when(F.size(pairs) > 2, F.slice(pairs, F.lit(2), F.size(pairs) - 1)).otherwise(pairs)
     as_struct = F.transform(kept, lambda p: F.struct(
         F.trim(F.split(p, ":")[0]).try_cast("int").alias("team1_rounds"),
         F.trim(F.split(p, ":")[1]).try_cast("int").alias("team2_rounds")))

@@ -28,17 +28,6 @@ def dim_players(cat: Catalog) -> DataFrame:
     return cat.memo("dim_players", build)
 
 
-def dim_tournaments(cat: Catalog) -> DataFrame:
-    return cat.spark.range(1).select(
-        surrogate_key(F.lit("placeholder")).alias("tournament_sk"),
-        F.lit("unknown").alias("tournament_id"),
-        F.lit("Unknown Tournament").alias("tournament_name"),
-        F.lit(None).cast("string").alias("tier"),
-        F.lit(None).cast("date").alias("start_date"),
-        F.lit(None).cast("date").alias("end_date"),
-    )
-
-
 def liquipedia_region_names(cat: Catalog) -> DataFrame:
     """Normalised liquipedia name -> region, only names seen exactly once."""
     lq = stg.stg_liquipedia_teams(cat).where(F.col("name").isNotNull() & F.col("region").isNotNull())

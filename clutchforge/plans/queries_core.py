@@ -76,11 +76,6 @@ def q_dim_teams(cat: Catalog) -> DataFrame:
     return core.dim_teams(cat)
 
 
-@query("dim_tournaments")
-def q_dim_tournaments(cat: Catalog) -> DataFrame:
-    return core.dim_tournaments(cat)
-
-
 @query("fact_matches")
 def q_fact_matches(cat: Catalog) -> DataFrame:
     return core.fact_matches(cat)

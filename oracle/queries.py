@@ -24,10 +24,6 @@ sql("dedupe_priority", "select * from int_players_unioned")
 sql("dim_maps", "select * from dim_maps")
 sql("dim_players", "select * from dim_players")
 sql("dim_teams", "select * from dim_teams")
-sql("dim_tournaments", """
-select md5('placeholder') as tournament_sk, 'unknown' as tournament_id, 'Unknown Tournament' as tournament_name,
-       cast(null as varchar) as tier, cast(null as date) as start_date, cast(null as date) as end_date
-""")
 sql("fact_matches", "select * from fact_matches")
 sql("fact_player_stats", "select * from fact_player_stats")
 sql("mart_upset_features", "select * from mart_upset_features")
@@ -42,23 +38,23 @@ from mart_player_leaderboard
 """)
 sql("mart_hidden_gems", "select * from mart_hidden_gems")
 sql("mart_choke_profile", "select * from mart_choke_profile")
-sql("agg_percentile", "select * from tier_thresholds")
-sql("agg_trend_windows", "select * from player_trends")
-sql("agg_map_team", "select * from map_team_summary")
-sql("map_team_flags", "select * from map_team_flags")
-sql("agg_team_pressure", "select * from team_pressure")
-sql("agg_league", "select * from league_averages")
+sql("agg_percentile", "select * from tier_bars")
+sql("agg_trend_windows", "select * from form_windows")
+sql("agg_map_team", "select * from map_sides")
+sql("map_team_flags", "select * from map_sides_flagged")
+sql("agg_team_pressure", "select * from pressure")
+sql("agg_league", "select * from league")
 sql("mirror_team_rounds", """
 select map_stats_id, match_id, map_name, played_at, round_number, winner_team_id, is_overtime, team_id, team_name,
        opponent_id, opponent_name, own_score_after, opp_score_after, won_round, own_score_before, opp_score_before
-from team_round_state
+from round_sides
 """)
 sql("unpivot_team_rows", "select * from team_match_rows")
 sql("gem_gap", """
 select player_id, display_name, team_id, player_tier, stats_above_tier_threshold,
        round(recent_90_day_gap_to_tier_above, 6) as recent_gap,
        round(previous_90_day_gap_to_tier_above, 6) as previous_gap
-from hidden_gems_scored
+from gem_candidates
 """)
 
 
@@ -66,24 +62,22 @@ def oracle_sql() -> dict[str, str]:
     return {k: with_ctes(v) for k, v in _SQL.items()}
 
 
-sql("latest_snapshot_filter", "select * from latest_valve_regions")
-sql("unique_keys_only", "select * from liquipedia_region_names")
+sql("latest_snapshot_filter", "select team_name, normalized_team_name, region from newest_regions")
+sql("unique_keys_only", "select name_key as normalized_team_name, region from region_hints where kind = 'unique'")
 sql("unambiguous_values", """
-select 'normalized' as kind, normalized_team_name as name_key, region from valve_region_names
-union all
-select 'exact', team_name_key, region from exact_valve_region_names
+select kind, name_key, region from region_hints where kind <> 'unique'
 """)
 sql("join_cascade_lookup", """
 select team_id, team_name, region, world_ranking, last_updated, ranking_source, ranking_source_priority
-from teams_unioned where ranking_source = 'csapi'
+from ranked_teams
 """)
 sql("join_dim_left", """
 select f.match_sk, f.map_name, d.map_sk as dim_map_sk from fact_matches f left join dim_maps d on f.map_name = d.map_name
 """)
-sql("join_computed_key", "select * from player_match_stats")
+sql("join_computed_key", "select * from stat_rows")
 sql("join_tier_above", """
 select player_id, display_name, team_id, player_tier, adr_threshold, kd_threshold, kast_threshold, rating_threshold
-from hidden_gems_scored
+from gem_candidates
 """)
 sql("asof_ranking", "select * from asof_ranking")
 sql("anti_join_loaded", """
@@ -330,7 +324,7 @@ from events
 sql("agg_player", """
 select player_id, display_name, team_id, count(*) as matches_played, xavg(adr) as avg_adr, xavg(kast) as avg_kast,
   max(recorded_at) as latest
-from player_match_stats group by player_id, display_name, team_id
+from stat_rows group by player_id, display_name, team_id
 """)
 
 
