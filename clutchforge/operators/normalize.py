@@ -9,7 +9,7 @@ the JVM inside whole-stage code generation; no Python runs per record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import normalize_team_name, round_side, score_pair
@@ -103,74 +103,116 @@ def _side_for(assign: Column, team: str) -> Column:
     return F.lower(F.trim(assign.getField(team)))
 
 
+def _round(r: Column, pos: Column) -> Column:
+    """One entry of a round list with its sides, winner and validity. Refers to
+    the document ``d``; everything is an expression inside one row."""
+    t1, t2, start = F.col("d.team1.id"), F.col("d.team2.id"), F.col("d.startSides")
+    rn = F.when(r["round"] != 0, r["round"]).otherwise(pos + 1)  # a missing or zero number counts from the place
+    rn = F.coalesce(rn, pos + 1)
+    swapped = F.struct(start.getField("team2").alias("team1"), start.getField("team1").alias("team2"))
+    half = F.get(F.col("d.overtimeStartSides"), F.floor((rn - (REGULATION_ROUNDS + 1)) / OT_HALF_ROUNDS).cast("int"))
+    side1 = _side_for(F.when(rn <= HALF_ROUNDS, start).when(rn <= REGULATION_ROUNDS, swapped).otherwise(half), "team1")
+    won_by = round_side(r["outcome"])
+    explicit = r["tTeam"].isNotNull() & r["ctTeam"].isNotNull()
+    t_id = F.when(explicit, r["tTeam"]).when(side1 == "t", t1).when(side1 == "ct", t2)
+    ct_id = F.when(explicit, r["ctTeam"]).when(side1 == "ct", t1).when(side1 == "t", t2)
+    winner = (F.when(r["winner"] == 1, t1).when(r["winner"] == 2, t2)
+              .when(explicit & (won_by == "ct"), r["ctTeam"]).when(explicit & (won_by == "t"), r["tTeam"]))
+    a, b = score_pair(r["score"])
+    # A score without a dash counts as absent; one with a dash must be two integers.
+    bad_score = F.coalesce(r["score"].contains("-"), F.lit(False)) & (a.isNull() | b.isNull())
+    valid = (r["outcome"].isNotNull() & t_id.isNotNull() & ct_id.isNotNull() & ((winner == t1) | (winner == t2))
+             & (explicit | side1.isin("t", "ct")) & (~explicit | won_by.isNotNull()) & ~bad_score)
+    side = F.when(explicit, won_by).when(winner == t_id, F.lit("t")).otherwise(F.lit("ct"))
+    return F.struct(rn.alias("round_number"), t_id.alias("t_id"), ct_id.alias("ct_id"), winner.alias("winner_id"),
+                    side.alias("side"), a.alias("a"), b.alias("b"), r["score"].alias("score"),
+                    r["outcome"].alias("outcome"), F.coalesce(r["isOvertime"], rn > REGULATION_ROUNDS).alias("is_overtime"),
+                    F.coalesce(valid, F.lit(False)).alias("valid"))
+
+
 def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
     """Map document -> one row per round (25 columns); a document with any
-    invalid round is dropped whole.
+    invalid round, or without date, match id, map or teams, is dropped whole.
 
     Side per round: rounds 1-12 start sides, 13-24 swapped, overtime rounds
     the start sides of their 3-round half. Winner: 1/2, else by side. Score:
     a reported "a-b" overrides, otherwise the previous score plus the win.
+    A document is judged by itself (array functions, no shuffle), so repeated
+    documents neither mix their scores nor reject each other.
     """
-    d = docs.select(F.from_json("doc", HLTV_MAP).alias("d"), *[c for c in docs.columns if c != "doc"])
-    d = d.select("*", F.posexplode_outer("d.roundHistory").alias("pos", "r"))
-    rn = F.coalesce(F.col("r.round"), F.col("pos") + 1)
+    d = docs.select(F.from_json("doc", HLTV_MAP).alias("d"))
     t1, t2 = F.col("d.team1.id"), F.col("d.team2.id")
-    start = F.col("d.startSides")
-    swapped = F.struct(start.getField("team2").alias("team1"), start.getField("team1").alias("team2"))
-    ot = F.try_element_at(F.col("d.overtimeStartSides"),
-                          (F.floor((rn - (REGULATION_ROUNDS + 1)) / OT_HALF_ROUNDS) + 1).cast("int"))
-    assign = F.when(rn <= HALF_ROUNDS, start).when(rn <= REGULATION_ROUNDS, swapped).otherwise(ot)
-    d = d.select("*", rn.alias("round_number"), _side_for(assign, "team1").alias("team1_side"),
-                 round_side(F.col("r.outcome")).alias("outcome_side"))
-    explicit = F.col("r.tTeam").isNotNull() & F.col("r.ctTeam").isNotNull()
-    t_id = F.when(explicit, F.col("r.tTeam")).when(F.col("team1_side") == "t", t1).when(F.col("team1_side") == "ct", t2)
-    ct_id = F.when(explicit, F.col("r.ctTeam")).when(F.col("team1_side") == "ct", t1).when(F.col("team1_side") == "t", t2)
-    d = d.select("*", t_id.alias("t_id"), ct_id.alias("ct_id"))
-    winner = (F.when(F.col("r.winner") == 1, t1).when(F.col("r.winner") == 2, t2)
-              .when(F.col("outcome_side") == "ct", F.col("r.ctTeam")).when(F.col("outcome_side") == "t", F.col("r.tTeam")))
-    d = d.select("*", winner.alias("winner_id"))
-    side = F.when(explicit, F.col("outcome_side")).when(F.col("winner_id") == F.col("t_id"), F.lit("t")).otherwise(F.lit("ct"))
-    valid = (F.col("r").isNotNull() & t1.isNotNull() & t2.isNotNull() & F.col("t_id").isNotNull()
-             & F.col("ct_id").isNotNull() & F.col("winner_id").isNotNull()
-             & F.col("winner_id").isin(t1, t2) & (explicit | F.col("team1_side").isin("t", "ct"))
-             & (~explicit | F.col("outcome_side").isNotNull()))
-    doc_key = Window.partitionBy("d.id")
-    d = d.select("*", side.alias("winner_side"), F.coalesce(valid, F.lit(False)).alias("_valid"))
-    # one invalid round rejects the whole document (a map document is a few dozen rounds)
-    d = d.select("*", F.bool_and("_valid").over(doc_key).alias("_doc_valid")).where("_doc_valid")
-    rep1, rep2 = score_pair(F.col("r.score"))
-    d = d.select("*", rep1.alias("_rep1"), rep2.alias("_rep2"),
-                 F.when(F.col("winner_id") == t1, 1).otherwise(0).alias("_w1"),
-                 F.when(F.col("winner_id") == t2, 1).otherwise(0).alias("_w2"))
-    run = doc_key.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    cum1, cum2 = F.sum("_w1").over(run), F.sum("_w2").over(run)
-    d = d.select("*", cum1.alias("_c1"), cum2.alias("_c2"))
-    has = F.col("_rep1").isNotNull() & F.col("_rep2").isNotNull()
-    anchor = lambda c: F.last(F.when(has, F.col(c)), ignorenulls=True).over(run)
-    d = d.select("*", anchor("_rep1").alias("_a1"), anchor("_rep2").alias("_a2"),
-                 anchor("_c1").alias("_ac1"), anchor("_c2").alias("_ac2"))
-    s1 = F.when(has, F.col("_rep1")).otherwise(F.coalesce(F.col("_a1") + F.col("_c1") - F.col("_ac1"), F.col("_c1")))
-    s2 = F.when(has, F.col("_rep2")).otherwise(F.coalesce(F.col("_a2") + F.col("_c2") - F.col("_ac2"), F.col("_c2")))
-    name_of = lambda i: F.when(i == t1, F.col("d.team1.name")).when(i == t2, F.col("d.team2.name"))
+    required = F.least(*[F.col(c).isNotNull().cast("int") for c in ("d.date", "d.matchId", "d.map")]) == 1
+    d = d.where(required & t1.isNotNull() & t2.isNotNull() & (F.size("d.roundHistory") > 0))
+    d = d.select("d", F.transform("d.roundHistory", _round).alias("rounds")).where(F.forall("rounds", lambda x: x["valid"]))
+    points = "array<struct<s1:bigint,s2:bigint>>"
+
+    def score(acc: Column, x: Column) -> Column:
+        both = x["a"].isNotNull() & x["b"].isNotNull()
+        s1 = F.when(both, x["a"]).otherwise(acc["s1"] + (x["winner_id"] == t1).cast("bigint"))
+        s2 = F.when(both, x["b"]).otherwise(acc["s2"] + (x["winner_id"] == t2).cast("bigint"))
+        return F.struct(s1.alias("s1"), s2.alias("s2"),
+                        F.concat(acc["all"], F.array(F.struct(s1.alias("s1"), s2.alias("s2")))).alias("all"))
+
+    zero = F.struct(F.lit(0).cast("bigint").alias("s1"), F.lit(0).cast("bigint").alias("s2"),
+                    F.array().cast(points).alias("all"))
+    d = d.select("d", "rounds", F.aggregate("rounds", zero, score, lambda acc: acc["all"]).alias("scores"))
+    d = d.select("d", F.explode(F.arrays_zip("rounds", "scores")).alias("z")).select("d", "z.rounds.*", "z.scores.*")
+    name_of = lambda i: F.when(F.col(i) == t1, F.col("d.team1.name")).when(F.col(i) == t2, F.col("d.team2.name"))
+    text = lambda c, n: F.col(c).cast("string").alias(n)
     return d.select(
-        F.lit("hltv_unofficial").alias("source"),
-        F.col("d.id").cast("string").alias("map_stats_id"), F.col("d.matchId").cast("string").alias("match_id"),
-        F.col("d.event.id").cast("string").alias("event_id"), F.col("d.event.name").alias("event_name"),
-        F.col("d.map").alias("map_name"),
+        F.lit("hltv_unofficial").alias("source"), text("d.id", "map_stats_id"), text("d.matchId", "match_id"),
+        text("d.event.id", "event_id"), F.col("d.event.name").alias("event_name"), F.col("d.map").alias("map_name"),
         F.date_format(F.to_date(F.timestamp_millis(F.col("d.date"))), "yyyy-MM-dd").alias("played_at"),
         F.col("round_number").cast("bigint").alias("round_number"),
-        F.col("t_id").cast("string").alias("t_team_id"), name_of(F.col("t_id")).alias("t_team_name"),
-        F.col("ct_id").cast("string").alias("ct_team_id"), name_of(F.col("ct_id")).alias("ct_team_name"),
-        F.col("winner_side"),
-        F.col("winner_id").cast("string").alias("winner_team_id"), name_of(F.col("winner_id")).alias("winner_team_name"),
-        t1.cast("string").alias("team1_id"), F.col("d.team1.name").alias("team1_name"),
-        t2.cast("string").alias("team2_id"), F.col("d.team2.name").alias("team2_name"),
-        s1.cast("bigint").alias("score_team1_after"), s2.cast("bigint").alias("score_team2_after"),
-        F.col("r.score").alias("reported_score"), F.col("r.outcome").alias("round_outcome"),
-        F.coalesce(F.col("r.isOvertime"), F.col("round_number") > REGULATION_ROUNDS).alias("is_overtime"),
+        text("t_id", "t_team_id"), name_of("t_id").alias("t_team_name"),
+        text("ct_id", "ct_team_id"), name_of("ct_id").alias("ct_team_name"), F.col("side").alias("winner_side"),
+        text("winner_id", "winner_team_id"), name_of("winner_id").alias("winner_team_name"),
+        text("d.team1.id", "team1_id"), F.col("d.team1.name").alias("team1_name"),
+        text("d.team2.id", "team2_id"), F.col("d.team2.name").alias("team2_name"),
+        F.col("s1").alias("score_team1_after"), F.col("s2").alias("score_team2_after"),
+        F.col("score").alias("reported_score"), F.col("outcome").alias("round_outcome"), "is_overtime",
         F.lit(ingested_at).alias("ingested_at"))
 
 
+CSAPI_STATS_PLAYER = "struct<id: bigint, name: string, k: double, d: double, swing: double, adr: double, kast: double, rating: double>"
+CSAPI_STATS_TEAM = f"struct<id: bigint, name: string, players: array<{CSAPI_STATS_PLAYER}>>"
+CSAPI_STATS = ("match struct<id: string, date: string, team1: struct<id: bigint, name: string>, team2: struct<id: bigint, "
+               f"name: string>>, stats array<struct<id: bigint, name: string, team1: {CSAPI_STATS_TEAM}, "
+               f"team2: {CSAPI_STATS_TEAM}>>")
+
+
+def csapi_player_stats(docs: DataFrame) -> DataFrame:
+    """Statistics document of a match -> one row per player of both teams, from the
+    first block with id 0 or named "all" (any case). The block's team id and name
+    count, else (absent, or 0 / empty) the match's. Documents without such a block, match id or
+    date give no rows; entries that aren't players (null) and players that lack a
+    required value are left out."""
+    d = docs.select(F.from_json("doc", CSAPI_STATS).alias("d")).where(
+        F.col("d.match.id").isNotNull() & F.col("d.match.date").isNotNull())
+    whole = F.filter("d.stats", lambda b: (b["id"] == 0) | (F.lower(F.coalesce(b["name"], F.lit(""))) == "all"))
+    d = d.select("d.match", F.get(whole, F.lit(0)).alias("block")).where("block is not null")
+
+    def side(team: str) -> Column:
+        own, match = F.col(f"block.{team}"), F.col(f"match.{team}")
+        return F.struct(F.coalesce(F.nullif(own["id"], F.lit(0).cast("bigint")), match["id"]).alias("team_id"),
+                        F.coalesce(F.nullif(own["name"], F.lit("")), match["name"]).alias("team_name"),
+                        own["players"].alias("players"))
+
+    t = d.select("match", F.explode(F.array(side("team1"), side("team2"))).alias("t"))
+    p = t.select("match", "t.team_id", "t.team_name", F.explode("t.players").alias("p"))
+    p = p.where(F.forall(F.array(*[F.col(f"p.{c}").cast("string") for c in (
+        "id", "name", "k", "d", "swing", "adr", "kast", "rating")]), lambda x: x.isNotNull()))
+    null = lambda t, n: F.lit(None).cast(t).alias(n)
+    return p.select(
+        F.col("p.id").cast("string").alias("player_id"), F.lit("csapi").alias("source"), F.col("p.name").alias("display_name"),
+        F.col("team_id").cast("string").alias("team_id"), "team_name", null("string", "nationality"),
+        F.col("p.k").alias("kills"), F.col("p.d").alias("deaths"), F.col("p.adr").alias("adr"),
+        F.when(F.col("p.d") > 0, F.col("p.k") / F.col("p.d")).alias("kd_ratio"), F.col("p.kast").alias("kast"),
+        F.col("p.rating").alias("rating"), F.col("p.swing").alias("swing"), F.lit(1).cast("bigint").alias("matches_played"),
+        null("bigint", "elo"), F.col("match.id").alias("match_id"), F.col("match.date").alias("recorded_at"))
+
+
 def start_sides(docs: DataFrame) -> DataFrame:
     """Start sides per map (regulation) and per 3-round overtime half, from the
     first round of the slice whose outcome has a known side and whose winner is 1 or 2."""

@@ -53,7 +53,8 @@ def percent_ranks(df: DataFrame, group_cols: list[str], stats: dict[str, str], k
                                          F.col("l._stat").alias("_stat"), pr.alias("_pr"))
     wide = j.groupBy(*key_cols).agg(*[F.max(F.when(F.col("_stat") == s, F.col("_pr"))).alias(o)
                                       for s, o in stats.items()])
-    return df.join(wide, key_cols, "left")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in key_cols]  # a key may be null
+    return df.alias("d").join(wide.alias("w"), same, "left").select("d.*", *[F.col(f"w.{o}") for o in stats.values()])
 
 
 def percentiles_cont(df: DataFrame, group_cols: list[str], stats: dict[str, str], p: float,

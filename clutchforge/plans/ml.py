@@ -12,6 +12,8 @@ For the SQL-comparable checks a deterministic score stands in for the model
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -143,11 +145,12 @@ def roc_auc(scored: DataFrame, score: str = "score") -> DataFrame:
 
 
 def classification_metrics(scored: DataFrame, threshold: DataFrame, score: str = "score") -> DataFrame:
-    """Precision, recall, F1, F0.75, F2 and predicted-positive rate at the threshold (0 on zero division)."""
-    j = scored.crossJoin(one_row(threshold.select(F.col("threshold").alias("_t"))))
+    """Precision, recall, F1, F0.75, F2 and predicted-positive rate at the threshold (0 on zero
+    division), and the cap on that rate that the threshold was chosen under."""
+    j = scored.crossJoin(one_row(threshold.select(F.col("threshold").alias("_t"), F.col("cap").alias("_cap"))))
     pred = (F.col(score) >= F.col("_t")).cast("int")
     y = F.col("label")
-    c = j.agg(F.sum(pred * y).alias("tp"), F.sum(pred * (1 - y)).alias("fp"),
+    c = j.agg(F.max("_cap").alias("validation_positive_rate_cap"), F.sum(pred * y).alias("tp"), F.sum(pred * (1 - y)).alias("fp"),
               F.sum((1 - pred) * y).alias("fn"), F.count(F.lit(1)).alias("n"), F.max("_t").alias("threshold"))
     tp, fp, fn, n = F.col("tp"), F.col("fp"), F.col("fn"), F.col("n")
 
@@ -159,7 +162,7 @@ def classification_metrics(scored: DataFrame, threshold: DataFrame, score: str =
         F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0)).alias("precision"),
         F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0)).alias("recall"),
         fb(1.0).alias("f1"), fb(DECISION_THRESHOLD_BETA ** 2).alias("fbeta"), fb(4.0).alias("f2"),
-        ((tp + fp) / n).alias("predicted_positive_rate"))
+        ((tp + fp) / n).alias("predicted_positive_rate"), "validation_positive_rate_cap")
 
 
 def calibration_table(scored: DataFrame, score: str = "score", bins: int = CALIBRATION_BINS) -> DataFrame:
@@ -204,12 +207,33 @@ def test_scored(cat: Catalog) -> DataFrame:
 
 
 # ----------------------------------------------------------------- feature attribution
-BACKGROUND_ROWS = 100
-
-
-def background_sample(train: DataFrame, n: int = BACKGROUND_ROWS) -> DataFrame:
-    """The first ``n`` training rows in time order (a bounded, deterministic sample)."""
-    return train.orderBy(F.col(DATE_COLUMN).asc_nulls_last(), F.col("match_sk").asc()).limit(n)
+class FittedTrees:
+    """The trees of a fitted model as plain nested tuples: (value, rows) for a leaf,
+    (feature, threshold, left, right, share of rows that go left) for a split."""
+
+    def __init__(self, model: PipelineModel):
+        gbt = model.stages[-1]
+        self.weights = list(gbt.treeWeights)
+        self.trees = [self._node(t._java_obj.rootNode()) for t in gbt.trees]
+
+    def _node(self, node):
+        if node.numDescendants() == 0:
+            return (node.prediction(),)
+        left, right = node.leftChild(), node.rightChild()
+        n, m = (c.impurityStats().count() for c in (left, right))
+        return (node.split().featureIndex(), node.split().threshold(), self._node(left), self._node(right), n / (n + m))
+
+    def margin(self, x: np.ndarray, known: frozenset[int]) -> np.ndarray:
+        """Expected margin of rows ``x`` when only the features ``known`` are: at other
+        splits both sides count, by the training rows that went there."""
+        def walk(node) -> np.ndarray | float:
+            if len(node) == 1:
+                return node[0]
+            feature, threshold, left, right, share = node
+            if feature in known:
+                return np.where(x[:, feature] <= threshold, walk(left), walk(right))
+            return share * walk(left) + (1 - share) * walk(right)
+        return sum((w * (walk(t) + np.zeros(len(x))) for w, t in zip(self.weights, self.trees)), np.zeros(len(x)))
 
 
 def _shapley_weight(s: int, n: int) -> float:
@@ -217,31 +241,28 @@ def _shapley_weight(s: int, n: int) -> float:
     return factorial(s) * factorial(n - s - 1) / factorial(n)
 
 
-def shapley_attribution(model: PipelineModel, rows: DataFrame, background: DataFrame,
-                        key: str = "match_sk") -> DataFrame:
-    """Exact Shapley values of the model probability for every row.
+def tree_attribution(model: PipelineModel, rows: DataFrame, key: str = "match_sk") -> DataFrame:
+    """Exact Shapley values of the model's margin for every row, from the trees
+    themselves: one row per (key, feature), with ``position`` by size within the key.
 
-    v(S) = mean over the background rows of f(x with features S from the row,
-    the rest from the background row). Each row is expanded to its 2^4
-    coalitions (explode) and paired with the background (a broadcast of at
-    most ``BACKGROUND_ROWS`` rows), scored in one ``transform``, averaged per
-    (row, coalition) and combined with the Shapley weights. The values add up:
-    sum(phi) = f(x) - v(empty). Work is rows x 16 x background, linear in rows.
+    v(S) is the expected margin along the tree paths with the features S known, so no
+    background rows are needed. sum(phi) = margin(x) - base_value. One narrow pass:
+    trees x 2^4 coalitions x splits, all bounded by the model.
     """
-    feats = FEATURE_COLUMNS
-    n = len(feats)
-    masks = list(range(1 << n))
-    bg = F.broadcast(background.select(*[F.col(c).alias("_bg_" + c) for c in feats]))  # bounded sample
-    x = rows.select(key, *feats, F.explode(F.array(*[F.lit(m) for m in masks])).alias("_mask"))
-    mixed = x.join(bg, how="cross").select(
-        key, "_mask", *[F.when((F.col("_mask").bitwiseAND(1 << i)) != 0, F.col(c)).otherwise(F.col("_bg_" + c)).alias(c)
-                        for i, c in enumerate(feats)])
-    scored = score_rows(model, mixed)
-    v = scored.groupBy(key, "_mask").agg(F.avg("upset_probability").alias("_v"))
-    wide = v.groupBy(key).agg(*[F.max(F.when(F.col("_mask") == m, F.col("_v"))).alias(f"_v{m}") for m in masks])
-    out = [F.col(key), F.col("_v0").alias("base_value"), F.col(f"_v{masks[-1]}").alias("upset_probability")]
-    for i, c in enumerate(feats):
-        terms = [F.lit(_shapley_weight(bin(s).count("1"), n)) * (F.col(f"_v{s | (1 << i)}") - F.col(f"_v{s}"))
-                 for s in masks if not s & (1 << i)]
-        out.append(sum(terms[1:], terms[0]).alias(f"phi_{c}"))
-    return wide.select(*out)
+    trees, n = FittedTrees(model), len(FEATURE_COLUMNS)
+    coalitions = [frozenset(i for i in range(n) if m >> i & 1) for m in range(1 << n)]
+
+    @F.pandas_udf("phi array<double>, base_value double, margin double")
+    def attribute(*cols: pd.Series) -> pd.DataFrame:
+        x = np.stack([c.to_numpy(dtype=float) for c in cols], axis=1)
+        v = {c: trees.margin(x, c) for c in coalitions}
+        phi = np.stack([sum(_shapley_weight(len(c), n) * (v[c | {i}] - v[c]) for c in coalitions if i not in c)
+                        for i in range(n)], axis=1)
+        return pd.DataFrame({"phi": list(phi), "base_value": v[coalitions[0]], "margin": v[coalitions[-1]]})
+
+    found = rows.select(key, attribute(*FEATURE_COLUMNS).alias("a"))
+    named = F.transform(F.arrays_zip(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]).alias("f"), F.col("a.phi").alias("p")),
+                        lambda z: F.struct((-F.abs(z["p"])).alias("size"), z["f"].alias("feature"), z["p"].alias("phi")))
+    return found.select(key, "a.base_value", "a.margin", F.posexplode(F.array_sort(named)).alias("position", "z")).select(
+        key, F.col("z.feature").alias("feature"), F.col("z.phi").alias("phi"), "position", "base_value", "margin",
+        (1 / (1 + F.exp(-2 * F.col("margin")))).alias("upset_probability"))

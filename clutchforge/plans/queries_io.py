@@ -14,8 +14,7 @@ from .registry import query
 
 
 def _raw_matches_path(cat: Catalog) -> str:
-    raw.raw_matches_all(cat)  # make sure the raw layer exists
-    return f"{cat.raw_store}/raw_matches"
+    return raw.raw_matches_path(cat)
 
 
 @query("scan_parquet")

@@ -61,15 +61,8 @@ def q_running_score(cat: Catalog) -> DataFrame:
 @query("round_side_assignment")
 def q_round_side_assignment(cat: Catalog) -> DataFrame:
     """NRM-10c: team1's side per round from start / swapped / overtime-half sides."""
-    d = P.hltv_map_docs(cat).select(F.from_json("doc", N.HLTV_MAP).alias("d"))
-    r = d.select(F.col("d.id").alias("map_id"), F.col("d.startSides").alias("start"),
-                 F.col("d.overtimeStartSides").alias("ot"), F.explode("d.roundHistory").alias("r"))
-    rn = F.col("r.round")
-    swapped = F.struct(F.col("start.team2").alias("team1"), F.col("start.team1").alias("team2"))
-    ot = F.try_element_at("ot", (F.floor((rn - 25) / 3) + 1).cast("int"))
-    assign = F.when(rn <= 12, F.col("start")).when(rn <= 24, swapped).otherwise(ot)
-    return r.select("map_id", rn.cast("bigint").alias("round_number"),
-                    F.lower(F.trim(assign.getField("team1"))).alias("team1_side"))
+    return _rounds(cat).select(F.col("map_stats_id").cast("bigint").alias("map_id"), "round_number",
+                               F.when(F.col("ct_team_id") == F.col("team1_id"), "ct").otherwise("t").alias("team1_side"))
 
 
 @query("round_side")
@@ -98,10 +91,16 @@ def q_reject_invalid_groups(cat: Catalog) -> DataFrame:
         "map_stats_id", "rounds", F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
+@query("norm_player_stats")
+def q_norm_player_stats(cat: Catalog) -> DataFrame:
+    """NRM-09: statistics documents of matches -> player rows with team fallback and kd ratio."""
+    return N.csapi_player_stats(P.csapi_stats_docs(cat))
+
+
 @query("start_sides")
 def q_start_sides(cat: Catalog) -> DataFrame:
     """NRM-19: start sides per map and per overtime half from the round list."""
-    return N.start_sides(P.hltv_map_docs(cat))
+    return N.start_sides(P.hltv_map_docs(cat, malformed=False))
 
 
 @query("batch_summary")
@@ -121,7 +120,7 @@ def q_entity_counts(cat: Catalog) -> DataFrame:
     """NRM-06: documents per (source, entity) in one pass over the stacked documents."""
     docs = reduce(DataFrame.unionByName, [
         P.faceit_match_docs(cat), P.pandascore_match_docs(cat), P.ranking_snapshot_docs(cat),
-        P.faceit_stats_docs(cat), P.hltv_map_docs(cat).drop("batch_id")])
+        P.faceit_stats_docs(cat), P.hltv_map_docs(cat, malformed=False).drop("batch_id")])
     return docs.groupBy("source", "entity").agg(F.count(F.lit(1)).alias("documents"))
 
 
@@ -220,15 +219,12 @@ def q_contract_validation(cat: Catalog) -> DataFrame:
 def q_scan_documents(cat: Catalog) -> DataFrame:
     """SRC-04 / SRC-06: a directory of exported JSON lines; malformed documents are
     skipped, the file path of each kept document is recorded."""
-    path = f"{cat.raw_store}/hltv_documents"
-    if not cat._exists(path):
-        P.document_lines(cat).write.mode("overwrite").text(path)
-        cat._mark_done(path)
+    path = cat.stored("hltv_documents", lambda folder: P.document_lines(cat).write.text(folder))
     lines = cat.spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
     docs = N.scan_documents(lines, N.HLTV_MAP, ("id", "team1", "team2", "roundHistory"))
     return docs.select(F.col("d.id").alias("map_id"), F.col("d.map").alias("map_name"),
                        F.size("d.roundHistory").alias("rounds"),
-                       F.col("file_path").startswith("file:").alias("has_file_path"))
+                       F.col("file_path").isNotNull().alias("has_file_path"))
 
 
 @query("norm_players")

@@ -1,7 +1,8 @@
 """Named queries: key -> (spark, data_dir) -> DataFrame.
 
-Each query builds its own Catalog over the data directory, so it reads the
-whole input tables; nothing is cached between queries.
+Each query builds its own Catalog over the data directory. Raw and core tables
+are derived from the whole input tables once per state of the input files and code
+(sources.tables) and shared between queries.
 """
 
 from __future__ import annotations

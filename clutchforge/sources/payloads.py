@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from . import standins as raw
 from .tables import Catalog
 
-# Maps whose documents arrive without start sides (the normaliser must reject them).
-MAP_WITHOUT_SIDES = "Map6"
+# Of the maps of these pools a second, malformed document arrives (under the negative id); the
+# normaliser must reject it and keep the other one.
+WITHOUT_SIDES, WITH_BAD_SCORE, WITHOUT_DATE = "Map6", "Map4", "Map3"
 
 
 def faceit_match_docs(cat: Catalog) -> DataFrame:
@@ -56,17 +57,21 @@ def pandascore_match_docs(cat: Catalog) -> DataFrame:
     return m.select(F.lit("pandascore").alias("source"), F.lit("match").alias("entity"), F.to_json(doc).alias("doc"))
 
 
+PAGE_TEAMS = 500
+
+
 def ranking_snapshot_docs(cat: Catalog) -> DataFrame:
     """One document per ranking date with the list of teams.
 
-    A snapshot is one document by nature (a provider page); the teams of one
-    date are collected into it. At scale a date holds the ranked teams of
-    that day (a few thousand), not a share of the data.
+    A provider page lists a bounded stretch of the ranking, so a document holds
+    the teams of one date and page (``PAGE_TEAMS`` ranks or points), however many teams there are.
     """
     r = raw.raw_csapi_team_rankings(cat)
     team = F.struct(F.col("world_ranking").alias("rank"), F.col("vrs_points").alias("points"),
                     F.col("name").alias("name"), F.col("team_id").alias("id"), F.col("region").alias("region"))
-    per_date = r.groupBy("ranking_date").agg(F.collect_list(team).alias("teams"))
+    page = F.floor(F.coalesce(F.col("world_ranking"), F.col("team_id").cast("bigint")) / PAGE_TEAMS)
+    per_date = r.groupBy("ranking_date", F.col("world_ranking").isNull().alias("unranked"), page.alias("page")) \
+        .agg(F.collect_list(team).alias("teams"))
     doc = F.struct(F.col("ranking_date").alias("date"),
                    F.concat(F.lit("/ranking/"), F.col("ranking_date")).alias("url"), F.col("teams"))
     return per_date.select(F.lit("csapi").alias("source"), F.lit("ranking").alias("entity"),
@@ -88,9 +93,10 @@ def faceit_stats_docs(cat: Catalog) -> DataFrame:
                             F.to_json(doc).alias("doc"))
 
 
-def hltv_map_docs(cat: Catalog) -> DataFrame:
+def hltv_map_docs(cat: Catalog, malformed: bool = True) -> DataFrame:
     """One map document per map: teams, event, start sides, overtime start
-    sides and the round list (winner 1/2, outcome, reported score).
+    sides and the round list (winner 1/2, outcome, reported score); with
+    ``malformed``, a bad second document for the maps of three pools.
 
     A map holds at most a few dozen rounds, so collecting its rounds into one
     document is bounded by the game, not by the data size.
@@ -114,21 +120,26 @@ def hltv_map_docs(cat: Catalog) -> DataFrame:
         F.sort_array(F.collect_list(F.when(ot_start, F.struct(F.col("round_number").alias("r"), sides.alias("s")))))
         .alias("ot"),
         F.sort_array(F.collect_list(rnd)).alias("rounds"))
+    copies = F.array(F.lit(False), F.lit(True)) if malformed else F.array(F.lit(False))
+    pools = F.col("map_name").isin(WITHOUT_SIDES, WITH_BAD_SCORE, WITHOUT_DATE)
+    g = g.select("*", F.explode(F.when(pools, copies).otherwise(F.array(F.lit(False)))).alias("bad"))
+    is_bad = lambda pool: F.col("bad") & (F.col("map_name") == pool)
     num = lambda c: F.regexp_extract(F.col(c), r"(\d+)$", 1).cast("long")
     # numeric provider ids from the "user-n" keys: user * 1000 + n
     nid = lambda c: (F.split(F.col(c), "-").getItem(0).cast("long") * 1000
                      + F.split(F.col(c), "-").getItem(1).cast("long"))
     doc = F.struct(
-        nid("map_stats_id").alias("id"),
+        F.when(F.col("bad"), -nid("map_stats_id")).otherwise(nid("map_stats_id")).alias("id"),
         nid("match_id").alias("matchId"),
         F.col("map_name").alias("map"),
-        (F.unix_timestamp(F.to_timestamp("played_at")) * 1000).alias("date"),
+        F.when(~is_bad(WITHOUT_DATE), F.unix_timestamp(F.to_timestamp("played_at")) * 1000).alias("date"),
         F.struct(F.col("team1_id").cast("long").alias("id"), F.col("team1_name").alias("name")).alias("team1"),
         F.struct(F.col("team2_id").cast("long").alias("id"), F.col("team2_name").alias("name")).alias("team2"),
         F.struct(num("event_id").alias("id"), F.col("event_name").alias("name")).alias("event"),
-        F.when(F.col("map_name") != MAP_WITHOUT_SIDES, F.col("start_sides")).alias("startSides"),
+        F.when(~is_bad(WITHOUT_SIDES), F.col("start_sides")).alias("startSides"),
         F.transform("ot", lambda x: x["s"]).alias("overtimeStartSides"),
-        F.col("rounds").alias("roundHistory"),
+        F.when(is_bad(WITH_BAD_SCORE), F.transform("rounds", lambda x: x.withField("score", F.lit("x-y"))))
+        .otherwise(F.col("rounds")).alias("roundHistory"),
     )
     return g.select(F.lit("hltv").alias("source"), F.lit("mapstats").alias("entity"),
                     F.col("event_id").alias("batch_id"), F.to_json(doc).alias("doc"))
@@ -172,11 +183,11 @@ def csapi_match_docs(cat: Catalog) -> DataFrame:
 
 
 def document_lines(cat: Catalog, truncate_map: str = "Map5") -> DataFrame:
-    """Map documents as JSON lines, with the documents of one map pool
-    written truncated (a malformed export the scan must skip)."""
-    d = hltv_map_docs(cat)
-    bad = F.get_json_object("doc", "$.map") == truncate_map
-    return d.select(F.when(bad, F.expr("substring(doc, 1, length(doc) div 2)")).otherwise(F.col("doc")).alias("value"))
+    """Map documents as JSON lines; those of one map pool come a second time,
+    truncated (a malformed export the scan must skip)."""
+    d = hltv_map_docs(cat, malformed=False)
+    half = F.when(F.get_json_object("doc", "$.map") == truncate_map, F.expr("substring(doc, 1, length(doc) div 2)"))
+    return d.select(F.explode(F.array_compact(F.array(F.col("doc"), half))).alias("value"))
 
 
 def pandascore_player_docs(cat: Catalog) -> DataFrame:
@@ -198,3 +209,36 @@ def liquipedia_team_docs(cat: Catalog) -> DataFrame:
                     F.col("ingested_at").alias("date"))
     return t.select(F.lit("liquipedia").alias("source"), F.lit("team").alias("entity"),
                     F.to_json(F.struct(F.array(item).alias("result"))).alias("doc"))
+
+
+def csapi_stats_docs(cat: Catalog) -> DataFrame:
+    """Statistics documents of matches, one per match and team of the raw player rows. The wanted
+    block goes by id or by name, and some blocks leave the team to the match. Every document
+    also has a block of a single map, and of every seventh match a second document comes without a date."""
+    p = raw.raw_csapi_player_stats(cat)
+    player = F.struct(F.col("player_id").cast("bigint").alias("id"), F.col("display_name").alias("name"),
+                      F.col("kills").alias("k"), F.col("deaths").alias("d"), F.lit(0.0).alias("swing"), "adr", "kast", "rating")
+    # Line items of one order, supplier and day: a handful.
+    per = p.groupBy("match_id", "team_id", "team_name", "recorded_at").agg(F.collect_list(player).alias("players"))
+    key = F.col("match_id").cast("bigint")
+    team = F.struct(F.col("team_id").cast("bigint").alias("id"), F.col("team_name").alias("name"))
+    in_block = F.struct(F.when(key % 3 != 0, F.col("team_id").cast("bigint")).alias("id"),
+                        F.when(key % 3 != 0, F.col("team_name")).otherwise(F.lit("")).alias("name"), "players")
+    none = F.struct(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("string").alias("name"),
+                    F.array().cast("array<struct<id:bigint,name:string,k:double,d:double,swing:double,adr:double,"
+                                   "kast:double,rating:double>>").alias("players"))
+    first = key % 2 == 0
+
+    def block(id_, name):
+        return F.struct(id_.alias("id"), name.alias("name"), F.when(first, in_block).otherwise(none).alias("team1"),
+                        F.when(first, none).otherwise(in_block).alias("team2"))
+
+    blocks = F.array(block(F.lit(5).cast("bigint"), F.lit("Map 1")),
+                     block(F.when(key % 5 != 0, F.lit(0).cast("bigint")).otherwise(F.lit(9)),
+                           F.when(key % 5 == 0, F.lit("ALL")).otherwise(F.lit("total"))))
+    per = per.select("*", F.explode(F.when(key % 7 == 0, F.array(F.lit(True), F.lit(False)))
+                                    .otherwise(F.array(F.lit(True)))).alias("dated"))
+    match = F.struct(F.col("match_id").alias("id"), F.when(F.col("dated"), F.col("recorded_at")).alias("date"),
+                     F.when(first, team).alias("team1"), F.when(~first, team).alias("team2"))
+    doc = F.struct(match.alias("match"), blocks.alias("stats"))
+    return per.select(F.lit("csapi").alias("source"), F.lit("match_stats").alias("entity"), F.to_json(doc).alias("doc"))

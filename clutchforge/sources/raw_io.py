@@ -7,16 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scan_raw(spark: SparkSession, path: str, schema: T.StructType, base_path: str | None = None) -> DataFrame:
+def scan_raw(spark: SparkSession, path: str, schema: T.StructType, base_path: str | None = None,
+             skip_corrupt: bool = False) -> DataFrame:
     """Scan a Hive-partitioned Parquet prefix with an explicit contract schema.
 
     Columns bind by name (case-insensitive by default), a missing column
     reads as null, extra file columns are ignored; partition columns come
-    from the directory names below ``base_path``. Unreadable files are
-    skipped (``ignoreCorruptFiles``) instead of failing the load.
+    from the directory names below ``base_path``. An unreadable file fails the
+    load, unless ``skip_corrupt``; ``skipped_files`` then tells which ones.
     """
     return (spark.read.schema(schema).option("basePath", base_path or path)
-            .option("ignoreCorruptFiles", "true").parquet(path))
+            .option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path))
+
+
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files under ``path`` that a ``skip_corrupt`` scan gives no row of: unreadable or empty ones."""
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
+        .option("recursiveFileLookup", "true").load(path).select("path")
+    seen = scan_raw(spark, path, schema, skip_corrupt=True).select(F.col("_metadata.file_path").alias("path")).distinct()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    return there.withColumn("path", plain("path")).join(seen.withColumn("path", plain("path")), "path", "left_anti")
 
 
 def freshness(tables: dict[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,8 @@ DataFrame over the whole input, so the work grows with the data.
 
 Derivation rules use key arithmetic (``key % n``) only to give the stand-ins
 the variety the jobs must handle (unranked teams, ambiguous names, several
-providers); no rule drops input to make a query cheaper.
+providers); every supplier, part, line item and event has its rows. A match needs two
+lines of an order with different suppliers.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import iso_date_text, normalize_team_name
-from ..operators.dedupe import keep_first  # noqa: F401  (re-exported for callers)
 from ..operators.sequence import sequence_index
 from .tables import Catalog
 
@@ -103,11 +103,11 @@ def _liquipedia_teams(cat: Catalog) -> DataFrame:
         g = supplier_geo(c)
         key = F.col("s_suppkey")
         loads = F.explode(F.when(key % 10 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-        return (g.filter(key % 5 == 0).select("*", loads.alias("load"))
+        return (g.select("*", loads.alias("load"))
                 .select(F.concat(F.lit("lp_"), key.cast("string")).alias("team_id"),
                         F.lit("liquipedia").alias("source"),
                         F.lower("s_name").alias("name"),
-                        F.col("r_name").alias("region"),
+                        F.when(key % 5 == 0, F.col("r_name")).alias("region"),
                         F.lit(None).cast("bigint").alias("world_ranking"),
                         F.concat(F.lit("2026-05-0"), F.col("load").cast("string"), F.lit("T00:00:00"))
                         .alias("ingested_at")))
@@ -123,9 +123,9 @@ def _valve_team_regions(cat: Catalog) -> DataFrame:
         g = supplier_geo(c)
         key = F.col("s_suppkey")
         regions = F.when(key % 9 == 0, F.array(F.col("r_name"), F.lit("OTHER"))).otherwise(F.array(F.col("r_name")))
-        name = F.when(key % 2 == 0, F.concat(F.lit("Team "), F.col("s_name"))).otherwise(F.upper("s_name"))
-        return (g.filter(key % 3 == 0)
-                .select("*", F.explode(F.array(*[F.lit(d) for d in RANKING_DATES])).alias("snapshot_date"))
+        name = (F.when(key % 3 != 0, F.concat(F.lit("Academy "), F.col("s_name")))
+                .when(key % 2 == 0, F.concat(F.lit("Team "), F.col("s_name"))).otherwise(F.upper("s_name")))
+        return (g.select("*", F.explode(F.array(*[F.lit(d) for d in RANKING_DATES])).alias("snapshot_date"))
                 .select("*", F.explode(regions).alias("region_v"))
                 .select(F.col("snapshot_date"),
                         name.alias("team_name"),
@@ -171,6 +171,11 @@ def raw_matches_all(cat: Catalog) -> DataFrame:
     return cat.raw("raw_matches", _matches_all, partition_by=("source",))
 
 
+def raw_matches_path(cat: Catalog) -> str:
+    """The folder of the raw match rows."""
+    return cat.raw_path("raw_matches", _matches_all, partition_by=("source",))
+
+
 def _matches_all(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         p = lineitem_pairs(c)
@@ -296,8 +301,7 @@ def _round_history(cat: Catalog) -> DataFrame:
         r = idx.select("*", map_no.alias("map_no"),
                        ((F.col("i") % length) + 1).cast("long").alias("round_number"),
                        (u % 10).cast("string").alias("team1_id"),
-                       ((u + 1 + map_no) % 10).cast("string").alias("team2_id"))
-        r = r.filter(F.col("team1_id") != F.col("team2_id"))
+                       ((u + 1 + map_no % 9) % 10).cast("string").alias("team2_id"))  # never team1
         rn = F.col("round_number")
         start_ct = ((u + F.col("map_no")) % 2) == 0
         ot_chunk_even = (((rn - 25) / 3).cast("long") % 2) == 0

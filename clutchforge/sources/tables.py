@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,53 +44,88 @@ class Catalog:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     # ------------------------------------------------------------------ raw layer
+    def _path(self, path: str):
+        """The Hadoop path, fully qualified, and its file system."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.makeQualified(p), fs
+
+    def input_files(self) -> list[str]:
+        """``path length modification-time`` of every input file of the directory."""
+        root, fs = self._path(self.root)
+        out, todo = [], [root]
+        while todo:
+            for f in fs.listStatus(todo.pop()):
+                if f.isDirectory():
+                    todo.append(f.getPath())
+                else:
+                    out.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+        return sorted(out)
+
     @cached_property
     def raw_store(self) -> str:
-        """Folder of the raw (bronze) tables derived from this input directory.
+        """Folder of the tables derived from this input directory.
 
-        Lives under the shared checkpoint folder (spark.checkpoint.dir), keyed
-        by the input path and the version of the package code, so a changed
-        rule never reads tables written by an older one.
+        Lives under the shared checkpoint folder (spark.checkpoint.dir), keyed by the input
+        files (paths, lengths, modification times) and the package code, so
+        changed input or a changed rule never reads tables made before.
         """
         from ..session import ensure_checkpoint_dir
         base = os.environ.get("CLUTCHFORGE_RAW_DIR") or ensure_checkpoint_dir(self.spark).rstrip("/")
         pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        h = hashlib.md5(os.path.abspath(self.root).encode())
-        for dirpath, _, files in sorted(os.walk(pkg)):
+        h = hashlib.md5("\n".join(self.input_files()).encode())
+        for dirpath, dirs, files in sorted(os.walk(pkg)):
+            if "llm" in dirpath[len(pkg):].split(os.sep):
+                continue
             for f in sorted(files):
                 if f.endswith(".py"):
                     with open(os.path.join(dirpath, f), "rb") as fh:
                         h.update(fh.read())
         return f"{base}/clutchforge_raw/{h.hexdigest()[:16]}"
 
-    _DONE = "_CLUTCHFORGE_COMPLETE"
-
-    def _marker(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{self._DONE}")
-        return p, p.getFileSystem(conf)
-
-    def _exists(self, path: str) -> bool:
-        """A table counts as present only after its completion marker is written."""
-        p, fs = self._marker(path)
-        return fs.exists(p)
-
-    def _mark_done(self, path: str) -> None:
-        p, fs = self._marker(path)
-        fs.create(p, True).close()
+    def _published(self, name: str) -> str | None:
+        """The folder of a finished table: its marker names it."""
+        marker, fs = self._path(f"{self.raw_store}/{name}.published")
+        if not fs.exists(marker):
+            return None
+        stream = fs.open(marker)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _publish(self, name: str, path: str) -> str:
+        """Name ``path`` as the table, unless another job was first; the table's folder."""
+        marker, fs = self._path(f"{self.raw_store}/{name}.published")
+        own, _ = self._path(f"{self.raw_store}/{name}.{uuid.uuid4().hex}.marker")
+        stream = fs.create(own, False)
+        stream.writeUTF(path)
+        stream.close()
+        if fs.exists(marker) or not fs.rename(own, marker):
+            fs.delete(own, False)
+        return self._published(name)
+
+    def stored(self, name: str, write) -> str:
+        """The folder of derived data; ``write(folder)`` fills one of its own when it is not there yet."""
+        path = self._published(name)
+        if path is None:
+            path = f"{self.raw_store}/{name}/{uuid.uuid4().hex}"
+            write(path)
+            path = self._publish(name, path)
+        return path
+
+    def raw_path(self, name: str, build, partition_by: tuple[str, ...] = ()) -> str:
+        """The folder of a derived table, Parquet partitioned by ``partition_by``."""
+        def write(path: str) -> None:
+            w = build(self).write.option("compression", "snappy")
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return self.stored(name, write)
 
     def raw(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """A raw table: derived once with ``build(self)`` and written as Parquet
         (partitioned by ``partition_by``), then read like ingested raw files."""
         key = f"raw:{name}"
         if key not in self._memo:
-            path = f"{self.raw_store}/{name}"
-            if not self._exists(path):
-                w = build(self).write.mode("overwrite").option("compression", "snappy")
-                if partition_by:
-                    w = w.partitionBy(*partition_by)
-                w.parquet(path)
-                self._mark_done(path)
-            self._memo[key] = self.spark.read.parquet(path)
+            self._memo[key] = self.spark.read.parquet(self.raw_path(name, build, partition_by))
         return self._memo[key]

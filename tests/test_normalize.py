@@ -108,3 +108,39 @@ def test_shapley_values_add_up(spark):
                                 - (F.col("upset_probability") - F.col("base_value")))).alias("g")).collect()[0].g
     assert len(phis) == 4 and gap < 1e-9
     assert df.count() > 0
+
+
+def test_csapi_player_stats_rules(spark):
+    import json
+    player = {"id": 7, "name": "x", "k": 3, "d": 0, "swing": 0.5, "adr": 80, "kast": 70, "rating": 1.1}
+    both = {"id": 1, "name": "A"}
+
+    def doc(match, blocks):
+        return (json.dumps({"match": match, "stats": blocks}),)
+
+    match = {"id": "m", "date": "2026-01-01", "team1": both, "team2": {"id": 2, "name": "B"}}
+    docs = spark.createDataFrame([
+        doc(match, [{"id": 4, "name": "Map", "team1": {"players": [player]}},
+                    {"id": 9, "name": "aLL", "team1": {"players": [player, None]}, "team2": {"id": 3, "name": "C", "players": [
+                        {**player, "id": 8, "d": 2}, {**player, "rating": None}]}}]),
+        doc({**match, "id": "n"}, [{"id": 1, "name": "Map", "team1": {"players": [player]}}]),
+        doc({**match, "date": None}, [{"id": 0, "team1": {"players": [player]}}]),
+        doc({**match, "id": None}, [{"id": 0, "team1": {"players": [player]}}]),
+        ("not json",)], "doc string")
+    got = sorted((r.player_id, r.team_id, r.team_name, r.kd_ratio, r.match_id, r.matches_played)
+                 for r in N.csapi_player_stats(docs).collect())
+    assert got == [("7", "1", "A", None, "m", 1), ("8", "3", "C", 1.5, "m", 1)]
+
+
+def test_rounds_are_judged_per_document(spark):
+    import json
+    good = {"id": 1, "matchId": 2, "map": "M", "date": 0, "team1": {"id": 10, "name": "a"}, "team2": {"id": 20, "name": "b"},
+            "startSides": {"team1": "CT", "team2": "T"},
+            "roundHistory": [{"round": 1, "winner": 1, "outcome": "ct_win"}, {"round": 0, "winner": 2, "outcome": "t_win"}]}
+    bad = [{**good, "date": None}, {**good, "matchId": None}, {**good, "map": None}, {**good, "roundHistory": []},
+           {**good, "roundHistory": [{"round": 1, "winner": 1, "outcome": "ct_win", "score": "x-y"}]},
+           {**good, "roundHistory": [{"round": 1, "winner": 1}]},
+           {**good, "roundHistory": [{"round": 1, "outcome": "t_win", "tTeam": 10}]}]
+    docs = spark.createDataFrame([(json.dumps(d),) for d in [good, good, *bad]], "doc string")
+    got = sorted((r.round_number, r.score_team1_after, r.score_team2_after) for r in N.hltv_rounds(docs, "t").collect())
+    assert got == [(1, 1, 0), (1, 1, 0), (2, 1, 1), (2, 1, 1)]
