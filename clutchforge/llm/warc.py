@@ -191,7 +191,8 @@ def assemble(records: DataFrame) -> DataFrame:
                                         F.struct("record_id", "target_uri").alias("request"))
     metadata = by_type("metadata").select(F.col("concurrent_to").alias("capture_id"),
                                           F.struct("record_id", "page_id").alias("metadata"))
-    return main.join(request, "capture_id", "left").join(metadata, "capture_id", "left")
+    # Records made by readers look tiny to the planner, so it must not broadcast them.
+    return main.join(request.hint("merge"), "capture_id", "left").join(metadata.hint("merge"), "capture_id", "left")
 
 
 def archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
@@ -212,7 +213,8 @@ def archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str
 def op9_warc(spark, sf_dir: str) -> DataFrame:
     prepare(spark)
     ranges = archive(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
-    found = materialise(assemble(read_records(ranges.repartition(ranges.rdd.getNumPartitions() * 4))).select(
+    records = materialise(read_records(ranges.repartition(max(1, ranges.count()))).drop("payload"), "records")
+    found = materialise(assemble(records).select(
         "capture_id", "refers_to", "payload_bytes", "payload_digest", "type",
         F.col("metadata.page_id").alias("page_id")), "captures")
     first = found.filter("type = 'response'").select(F.col("capture_id").alias("refers_to"),
