@@ -184,19 +184,19 @@ def mix_sources(docs: DataFrame, **how) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns), every row as often as the mix takes it."""
+    own = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
     names = [n for n in (f"_mix{i}" for i in range(len(docs.columns) + 3)) if n not in docs.columns][:3]
     size, copies, row = names
     plan = materialise(decide(docs), "plan")
     rows = docs.withColumn(size, _size("text")).alias("d").join(
         plan.alias("p"), F.expr(f"d.source <=> p.source and d.doc_id <=> p.doc_id and d.{size} = p.size")) \
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col(f"d.{size}"), F.col("p.rows").alias(row),
-                F.col("p.copies").alias(copies))
+        .select("d.*", F.col("p.rows").alias(row), F.col("p.copies").alias(copies))
     single = rows.filter(F.col(row) == 1).withColumn(row, F.col(copies))
     number = F.row_number().over(Window.partitionBy("source", "doc_id", size).orderBy("text"))  # repeated rows only
     more = (number <= F.col(copies) % F.col(row)).cast("long")
     again = rows.filter(F.col(row) > 1).withColumn(row, (F.floor(F.col(copies) / F.col(row)) + more).cast("long"))
     return single.unionByName(again).filter(F.col(row) > 0) \
-        .withColumn(size, F.explode(F.sequence(F.lit(1).cast("long"), F.col(row)))).select(*docs.columns)
+        .withColumn(size, F.explode(F.sequence(F.lit(1).cast("long"), F.col(row)))).select(*own)
 
 
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:
