@@ -9,7 +9,8 @@ every frame is held against its checksum. A document lies whole in one frame.
 
 Encoding: the tokenizer's own pieces never span a single space or newline
 between two other characters, so those segments are encoded one by one and
-remembered; texts with other white space are encoded whole. Both give the ids
+remembered (letters and the marks behind them apart, as the tokenizer's pattern
+does for byte-level BPE); texts with other white space are encoded whole. Both give the ids
 of encoding the whole text, at a fraction of the time.
 
 Documents are range-partitioned by (doc_id, text hash) and written in that order, a
@@ -38,62 +39,89 @@ from .common import materialise, prepare, scratch, table, text_rows
 from .files import open_fs, write_whole
 
 FRAME_IDS = 1 << 18
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
+MARKS, LATIN = ".,!?;:", "\u0250"  # letters below LATIN are the same to Python and to the tokenizer
 END_ID = 0
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed by the seekable format
 INDEX = 0x184D2A50
 _RANGE = struct.Struct("<qqIQ")  # first id, last id, documents, ids before this frame in the file
 
 
+# Byte-level vocabularies write the bytes that are no visible Latin-1 signs as U+0100 and up, in order.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
+class _Segments(dict):
+    """Ids of segments, made on first use; two generations of at most CACHE_WORDS are kept."""
+
+    def __init__(self, tokenizer, before: str):
+        super().__init__()
+        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
+        self.old, self.known_marks = {}, {}
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.old.get(word)
+        if ids is None and word:
+            core = word.rstrip(MARKS)
+            if core and core.isalpha() and max(core) < LATIN:
+                # Letters, then marks: pieces of their own, so words share them.
+                ids = self[core] + self.marks(word[len(core):]) if core != word else self.piece(self.before + core)
+            elif not word[0].isspace() and not word[-1].isspace():
+                # (Next to other white space a segment is not encoded by itself.)
+                ids = _packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a text that the tokenizer's pattern would leave whole, from its model."""
+        written = text.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return _packed([t.id for t in self.model.tokenize(written)])
+
+    def marks(self, text: str) -> bytes:
+        if len(self.known_marks) > CACHE_WORDS:
+            self.known_marks.clear()
+        if text not in self.known_marks:
+            self.known_marks[text] = self.piece(text)
+        return self.known_marks[text]
+
+    def age(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
-    """Whole-text ids by way of remembered segments (bounded: two generations of ``CACHE_WORDS``)."""
+    """Whole-text ids by way of remembered segments."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.newline = self._ids(["\n"])[0]
-        # Segments at the start of a line, and segments after a space.
-        self.young: tuple[dict, dict] = ({}, {})
-        self.old: tuple[dict, dict] = ({}, {})
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str], kind: int) -> None:
-        young, old = self.young[kind], self.old[kind]
-        missing = []
-        for w in words - young.keys():
-            if w in old:
-                young[w] = old[w]
-            elif not w or w[0].isspace() or w[-1].isspace():
-                young[w] = None  # next to other white space: not a segment of its own
-            else:
-                missing.append(w)
-        young.update(zip(missing, self._ids([" " + w for w in missing] if kind else missing)))
+        self.newline = _packed(self.tokenizer.encode("\n", add_special_tokens=False).ids)
+        self.first, self.rest = _Segments(self.tokenizer, ""), _Segments(self.tokenizer, " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit integers."""
-        split = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        self._learn({line[0] for t in split for line in t}, 0)
-        self._learn(set().union(*(line[1:] for t in split for line in t)), 1)
-        first, rest = self.young[0].__getitem__, self.young[1].__getitem__
-        out: list[bytes | None] = []
-        for t in split:
+        first, rest = self.first.__getitem__, self.rest.__getitem__
+        out = []
+        for text in texts:
             parts: list[bytes | None] = []
-            for line in t:
+            for line in text.split("\n"):
+                words = line.split(" ")
                 parts.append(self.newline)
-                parts.append(first(line[0]))
-                parts.extend(map(rest, line[1:]))
-            out.append(None if None in parts else b"".join(parts[1:]))
-        whole = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = ids
-        for kind in (0, 1):
-            if len(self.young[kind]) > CACHE_WORDS:
-                self.old = tuple(self.young[k] if k == kind else self.old[k] for k in (0, 1))
-                self.young = tuple({} if k == kind else self.young[k] for k in (0, 1))
+                parts.append(first(words[0]))
+                parts.extend(map(rest, words[1:]))
+            if None in parts:
+                out.append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+            else:
+                out.append(b"".join(parts[1:]))
+        self.first.age()
+        self.rest.age()
         return out
 
 
