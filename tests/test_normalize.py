@@ -99,15 +99,25 @@ def test_auc_matches_pairwise_definition(spark):
 
 
 def test_shapley_values_add_up(spark):
-    import __spark_entry__ as E
-    from pyspark.sql import functions as F
+    from collections import defaultdict
+
+    from clutchforge.session import configure
+    from clutchforge.sources.tables import Catalog
     from .conftest import SF_CHECK
-    df = E.queries()["ml_attribution"](spark, SF_CHECK)
-    phis = [c for c in df.columns if c.startswith("phi_")]
-    gap = df.select(F.max(F.abs(sum((F.col(c) for c in phis), F.lit(0.0))
-                                - (F.col("upset_probability") - F.col("base_value")))).alias("g")).collect()[0].g
-    assert len(phis) == 4 and gap < 1e-9
-    assert df.count() > 0
+    frame = ml.split3_frame(Catalog(configure(spark), SF_CHECK)).cache()
+    model = ml.fit_model(frame.where("split = 'train'"))
+    test = frame.where("split = 'test'")
+    own = {r.match_sk: r.upset_probability for r in ml.score_rows(model, test).collect()}
+    parts = defaultdict(list)
+    for r in ml.tree_attribution(model, test).collect():
+        parts[r.match_sk].append(r)
+    assert set(parts) == set(own) and own
+    for key, rows in parts.items():
+        rows.sort(key=lambda r: r.position)
+        assert [r.position for r in rows] == [0, 1, 2, 3] and {r.feature for r in rows} == set(ml.FEATURE_COLUMNS)
+        assert [abs(r.phi) for r in rows] == sorted((abs(r.phi) for r in rows), reverse=True)
+        assert abs(rows[0].base_value + sum(r.phi for r in rows) - rows[0].margin) < 1e-9
+        assert abs(rows[0].upset_probability - own[key]) < 1e-9
 
 
 def test_csapi_player_stats_rules(spark):
