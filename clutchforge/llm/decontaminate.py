@@ -26,6 +26,7 @@ string; repeated documents are scanned each; empty tables give no rows or no hit
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 from collections import defaultdict
@@ -37,10 +38,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit
+from ..operators.joins import broadcast_if_small
 from .common import materialise, prepare, table, text_rows
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
+SMALL = 8 << 20  # bytes of a table of row numbers that may be broadcast; larger ones are shuffled
 
 
 class SuffixAutomaton:
@@ -151,9 +154,25 @@ class Index:
             begin = int(w.bounds[text] + f - bounds[text])
             yield text, begin, begin + n
 
-    def find(self, w: textkit.Words) -> tuple[list[list[int]], list[set[str]], list[list[int]]]:
+    def lengths(self, w: textkit.Words, at: list[list[int]]) -> list[list[int]]:
+        """Per text: the longest match that ends before each of the places ``at`` (ascending, in words of the text)."""
+        out = []
+        for text, places in enumerate(at):
+            state = length = done = 0
+            first, found = int(w.bounds[text]), []
+            for end in places:
+                for k in range(first + done, first + end):
+                    state, length = self.automaton.step(state, length, self.vocabulary.get(w.word(k)))
+                done = end
+                found.append(length)
+            out.append(found)
+        return out
+
+    def find(self, w: textkit.Words, ends: list[list[int]] | None = None) \
+            -> tuple[list[list[int]], list[set[str]], list[list[int]]]:
         """Per text: merged hit spans (first, end, first, end, ... in words of the
-        text), the ids of items with a window in it, and each span's longest match."""
+        text), the ids of items with a window in it, and each span's longest match.
+        ``ends`` (a list per text) takes the places where windows end."""
         n = len(w.counts)
         spans, ids, longest = [[] for _ in range(n)], [set() for _ in range(n)], [[] for _ in range(n)]
         if not self.shortest:
@@ -171,6 +190,8 @@ class Index:
                             reach = max(reach, size)
                     m = self.marked[a.link[m]]
                 if reach:
+                    if ends is not None:
+                        ends[text].append(k + 1 - int(w.bounds[text]))
                     add_span(spans[text], longest[text], k + 1 - reach - int(w.bounds[text]),
                              k + 1 - int(w.bounds[text]), length)
         return spans, ids, longest
@@ -190,6 +211,14 @@ def add_span(spans: list[int], longest: list[int], first: int, end: int, match:
         longest.append(match)
 
 
+def merge_spans(lists) -> list[int]:
+    """The spans of several blocks as one block would give them."""
+    flat: list[int] = []
+    for end, first in sorted((int(s[i + 1]), int(s[i])) for s in lists for i in range(0, len(s), 2)):
+        add_span(flat, [0] * len(flat), first, end, 0)
+    return flat
+
+
 _BUILT: dict[str, Index] = {}
 
 
@@ -246,11 +275,16 @@ def remove(index: Index, text: str, max_match: int) -> str:
         cuts = [(spans[0][2 * i], spans[0][2 * i + 1]) for i, m in enumerate(longest[0]) if m > max_match]
         if not cuts:
             return text
-        raw, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
-        for first, end in cuts:
-            kept.append(raw[at:w.starts[first]])
-            at = int(w.ends[end - 1])
-        text = b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
+        text = cut_words(text, w, cuts)
+
+
+def cut_words(text: str, w: textkit.Words, cuts: list[tuple[int, int]]) -> str:
+    """``text``, whose words are ``w``, without the words of ``cuts`` and what is between them."""
+    raw, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
+    for first, end in cuts:
+        kept.append(raw[at:w.starts[first]])
+        at = int(w.ends[end - 1])
+    return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[tuple]:
@@ -284,14 +318,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     @F.pandas_udf("array<int>")
     def merged(lists: pd.Series) -> pd.Series:
-        out = []
-        for spans in lists:
-            flat: list[int] = []
-            pairs = sorted((int(s[i + 1]), int(s[i])) for s in spans for i in range(0, len(s), 2))
-            for end, first in pairs:
-                add_span(flat, [0] * len(flat), first, end, 0)
-            out.append(flat)
-        return pd.Series(out)
+        return pd.Series([merge_spans(spans) for spans in lists])
 
     both = hits.groupBy("uid").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items")) \
         .select("uid", merged("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
@@ -301,23 +328,121 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
+HITS = "n_words long, spans array<int>, ends array<int>"
+
+
+def hits_finder(key: str, shared, window: int) -> Callable[[Column], Column]:
+    """A column of HITS for a text column; ``ends`` are the places where windows end."""
+    @F.pandas_udf(HITS)
+    def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index = _index(key, shared, window)
+        for series in texts:
+            out = []
+            for _, part in textkit.pieces(series.tolist()):
+                w = textkit.words(part, textkit.ALNUM)
+                ends: list[list[int]] = [[] for _ in part]
+                spans, _, _ = index.find(w, ends)
+                out += [(int(n), s, e) for n, s, e in zip(w.counts, spans, ends)]
+            yield pd.DataFrame(out, columns=["n_words", "spans", "ends"])
+    return find
+
+
+def lengths_finder(key: str, shared, window: int) -> Callable[[Column, Column], Column]:
+    """A column of the longest matches with a block's items at the places ``ends`` of a text column."""
+    @F.pandas_udf("array<int>")
+    def lengths(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        index = _index(key, shared, window)
+        for texts, ends in columns:
+            w = textkit.words(texts.tolist(), textkit.ALNUM)
+            yield pd.Series(index.lengths(w, [e.tolist() for e in ends]), dtype=object)
+    return lengths
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _hits(texts: DataFrame, blocks: list[tuple], window: int) -> DataFrame:
+    """uid, n_words, spans and ends (both of all blocks) of the rows (uid, text) that are hit."""
+    parts = [materialise(texts.select("uid", hits_finder(*b, window)("text").alias("f")).select("uid", "f.*")
+                         .filter(F.size("spans") > 0), "hits") for b in blocks]
+
+    @F.pandas_udf("array<int>")
+    def merged(lists: pd.Series) -> pd.Series:
+        return pd.Series([merge_spans(spans) for spans in lists])
+
+    return materialise(_union(parts).groupBy("uid").agg(
+        F.first("n_words").alias("n_words"), F.collect_list("spans").alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ends")))).alias("ends"))
+        .withColumn("spans", merged("spans")), "merged")
+
+
+def _cut(rows: DataFrame, blocks: list[tuple], window: int, max_match: int) -> DataFrame:
+    """uid and text of the rows (uid, text, spans, ends) that lose spans."""
+    if max_match > 0:  # a longer match may be with the items of a block that has no window there
+        parts = [materialise(rows.select("uid", lengths_finder(*b, window)("text", "ends").alias("l")), "lengths") for b in blocks]
+        longest = _union(parts).select("uid", F.posexplode("l").alias("at", "l")).groupBy("uid", "at").agg(F.max("l").alias("l")) \
+            .filter(F.col("l") > max_match).groupBy("uid").agg(F.collect_list("at").alias("long"))
+        rows = rows.join(longest, "uid").withColumn("long", F.transform("long", lambda i: F.col("ends")[i]))
+    else:
+        rows = rows.withColumn("long", F.col("ends"))
+
+    @F.pandas_udf("string")
+    def without(texts: pd.Series, spans: pd.Series, long: pd.Series) -> pd.Series:
+        out = []
+        for text, s, at in zip(texts, spans, long):
+            at = np.sort(at)
+            cuts = [(int(f), int(e)) for f, e in zip(s[::2], s[1::2])
+                    if np.searchsorted(at, f, side="right") < np.searchsorted(at, e, side="right")]
+            out.append(cut_words(text, textkit.words([text], textkit.ALNUM), cuts))
+        return pd.Series(out, dtype=object)
+
+    return rows.select("uid", without("text", "spans", "long").alias("text"))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_match: int = 0, max_coverage: float = 0.5,
           text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """``docs`` (all columns) with matches longer than ``max_match`` words cut out of
     the texts and documents hit over ``max_coverage`` dropped. ``chars_col``: a
-    column with the texts' lengths, to follow."""
-    out = docs
-    for b in item_blocks(benchmark):
-        name = next(n for n in (f"_cleaned{i}" for i in range(len(out.columns) + 1)) if n not in out.columns)
-        text = F.col(text_col).cast("string")
-        out = out.withColumn(name, cleaner(*b, window, max_match, max_coverage)(text)) \
-            .filter(~F.col(f"{name}.dropped"))
-        changed, left = F.col(f"{name}.changed"), F.col(f"{name}.text")
+    column with the texts' lengths, to follow. With several blocks ``docs`` must be read from files
+    (row numbers tie the passes); every round runs all blocks over the rows the last one cut."""
+    blocks = item_blocks(benchmark)
+    free = (n for n in (f"_cleaned{i}" for i in range(len(docs.columns) + 2)) if n not in docs.columns)
+    name = next(free)
+
+    def renewed(rows: DataFrame, changed: Column, left: Column) -> DataFrame:
         new = {text_col: F.when(changed, left).otherwise(F.col(text_col))}
         if chars_col:
-            new[chars_col] = F.when(changed, F.length(left).cast(out.schema[chars_col].dataType)).otherwise(F.col(chars_col))
-        out = out.withColumns(new).drop(name)
-    return out
+            new[chars_col] = F.when(changed, F.length(left).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+        return rows.withColumns(new)
+
+    if len(blocks) == 1:
+        out = docs.withColumn(name, cleaner(*blocks[0], window, max_match, max_coverage)(F.col(text_col).cast("string"))) \
+            .filter(~F.col(f"{name}.dropped"))
+        return renewed(out, F.col(f"{name}.changed"), F.col(f"{name}.text")).drop(name)
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    texts = numbered.select(F.col(name).alias("uid"), F.col(text_col).cast("string").alias("text"))
+    hits = _hits(texts, blocks, window)
+    hit = F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0), lambda acc, x: acc + x)
+    over = hit > F.lit(float(max_coverage)) * F.col("n_words")
+    dropped, hits = hits.filter(over).select("uid"), hits.filter(~over)
+    rounds: list[DataFrame] = []
+    while True:
+        held = materialise(texts.join(broadcast_if_small(hits.select("uid"), SMALL), "uid").join(hits, "uid"), "hit")
+        texts = materialise(_cut(held, blocks, window, max_match), "cut")
+        if texts.isEmpty():
+            break
+        rounds.append(texts.withColumn("round", F.lit(len(rounds))))
+        hits = _hits(texts, blocks, window)
+    if not rounds:
+        return numbered.join(broadcast_if_small(dropped.withColumnRenamed("uid", name), SMALL), name, "left_anti").drop(name)
+    text = next(free)
+    last = materialise(_union(rounds).groupBy(F.col("uid").alias(name)).agg(F.max_by("text", "round").alias(text)), "last")
+    gone = dropped.withColumnRenamed("uid", name).unionByName(last.select(name))
+    # Only the rows that changed meet their texts; the others just pass by the numbers.
+    kept = numbered.join(broadcast_if_small(gone, SMALL), name, "left_anti")
+    cut = numbered.join(broadcast_if_small(last.select(name), SMALL), name, "left_semi").join(last, name)
+    return kept.unionByName(renewed(cut, F.lit(True), F.col(text)).drop(text)).drop(name).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

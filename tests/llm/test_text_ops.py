@@ -171,6 +171,29 @@ def test_coverage_limit(llm):
     assert set(left) == {2, 3} and left[2].split() == ["k"] * 90
 
 
+@pytest.mark.parametrize("max_match, max_coverage", [(0, 0.5), (4, 0.8)])
+def test_blocks_do_not_change_what_is_cleaned(llm, monkeypatch, max_match, max_coverage):
+    r = random.Random(7)
+    say = lambda n: " ".join(f"x{r.randrange(10_000)}" for _ in range(n))
+    items = [(k, say(30)) for k in range(12)]
+    items += [(20 + k, " ".join(items[k][1].split()[:3])) for k in range(4)]  # short items inside longer ones
+    half = lambda k: (" ".join(items[k][1].split()[:5]), " ".join(items[k][1].split()[5:10]))
+    rows = [(k, f"{say(20)} {items[k][1]} {items[j][1]} {say(20)}", "s") for k in range(12) for j in range(k)]
+    rows += [(200 + k, f"{say(60)} {half(k)[0]} {items[j][1]} {half(k)[1]} {say(60)}", "s") for k in range(12) for j in range(k)]
+    rows += [(400 + k, f"{say(9)} {' '.join(items[k][1].split()[:n])} {say(9)}", "s") for k in range(4) for n in (3, 4, 5)]
+    rows += [(500, None, "s"), (501, say(30), "s")]
+    benchmark = llm.createDataFrame(items, "item_id long, text string")
+    docs = frame(llm, rows)
+    clean = lambda: sorted((c.doc_id, c.text, c.n_chars) for c in decontaminate.clean(
+        docs, benchmark, max_match=max_match, max_coverage=max_coverage, chars_col="n_chars").collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 10**6)
+    want = clean()
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 300)
+    got = clean()
+    assert len(want) < len(rows) or max_coverage > 0.5
+    assert got == want
+
+
 # ------------------------------------------------------------------ WARC
 def test_warc_round_trip(llm):
     long = "<p>ä</p>" * 40
