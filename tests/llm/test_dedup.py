@@ -104,6 +104,25 @@ def test_jaccard_components_by_brute_force(llm, monkeypatch, n, percent, block,
     assert sum(r.first for r in got) == components
 
 
+@pytest.mark.parametrize("n, percent, block, work, frequent", [(3, 90, 1 << 20, 1 << 29, 64), (5, 80, 1500, 1 << 29, 8), (5, 80, 1 << 20, 20_000, 8)])
+def test_links_by_brute_force(llm, monkeypatch, n, percent, block, work, frequent):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "WORK", work)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+    rows = near_copies(1, 8, 14) + [(1000 + i if i is not None else None, t, s) for i, t, s in hard_rows()]
+    rows += [(2000 + k, rows[k][1], "s") for k in range(0, 60, 3)]  # copies inside groups of near copies
+    got = jaccard_join.jaccard_join(frame(llm, rows), n, percent, links=True).collect()
+    words = [(t or "").split() for _, t, _ in rows]
+    sets = [{tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))} if w else set() for w in words]
+    key = lambda d: -1 if d is None else d
+    want = sorted((key(d), sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= percent * len(a | b)))
+                  for i, ((d, _, _), a) in enumerate(zip(rows, sets)))
+    assert sorted((key(r.doc_id), r.n_links) for r in got) == want
+    components, _ = components_by_brute_force(rows, n, percent)
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == components
+    assert max(x for _, x in want) > 13
+
+
 def test_jaccard_empty_and_drop(llm):
     docs = frame(llm, near_copies(2, 3, 5))
     assert jaccard_join.jaccard_join(docs.limit(0)).count() == 0
