@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality, source_mix, token_output, toxicity, warc
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, periodic_runs, quality, source_mix, token_output, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_warc": warc.op9_warc,
         "op10_quality": quality.op10_quality,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontaminate": decontaminate.oracle(),
         "op6_chat_format": chat_format.oracle(),
         "op9_warc": warc.oracle(),
+        "op11_periodic_runs": periodic_runs.oracle(),
     }
