@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, periodic_runs, quality, source_mix, token_output, toxicity, warc
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, periodic_runs, quality, source_mix, token_output, topk_search, toxicity, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": warc.op9_warc,
         "op10_quality": quality.op10_quality,
         "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+        "op12_topk_search": topk_search.op12_topk_search,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
@@ -33,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_format": chat_format.oracle(),
         "op9_warc": warc.oracle(),
         "op11_periodic_runs": periodic_runs.oracle(),
+        "op12_topk_search": topk_search.oracle(),
     }
