@@ -40,13 +40,22 @@ HLTV_MAP = ("id bigint, matchId bigint, map string, date bigint, team1 struct<id
             "isOvertime: boolean, tTeam: bigint, ctTeam: bigint>>")
 
 
+def parsed(docs: DataFrame, schema: str, doc: str = "doc") -> DataFrame:
+    """``docs`` with the JSON text of ``doc`` parsed once into the struct ``d``.
+
+    The generator keeps the optimizer from copying ``from_json`` into every later filter
+    and lambda that looks into the document (it merges projections, and pushes filters below them)."""
+    rest = [F.col(c) for c in docs.columns if c != doc]
+    return docs.select(*rest, F.explode(F.array(F.from_json(doc, schema))).alias("d"))
+
+
 def _iso_date_from_seconds(c: Column) -> Column:
     return F.date_format(F.to_date(F.timestamp_seconds(c)), "yyyy-MM-dd")
 
 
 def faceit_matches(docs: DataFrame) -> DataFrame:
     """FACEIT match -> canonical match."""
-    d = docs.select(F.from_json("doc", FACEIT_MATCH).alias("d")).select("d.*")
+    d = parsed(docs, FACEIT_MATCH).select("d.*")
     a = F.coalesce(F.col("teams.faction1.faction_id"), F.lit(UNKNOWN))
     b = F.coalesce(F.col("teams.faction2.faction_id"), F.lit(UNKNOWN))
     sa, sb = F.col("results.score.faction1"), F.col("results.score.faction2")
@@ -63,7 +72,7 @@ def faceit_matches(docs: DataFrame) -> DataFrame:
 
 def pandascore_matches(docs: DataFrame) -> DataFrame:
     """PandaScore match -> canonical match (ids by array position)."""
-    d = docs.select(F.from_json("doc", PANDASCORE_MATCH).alias("d")).select("d.*")
+    d = parsed(docs, PANDASCORE_MATCH).select("d.*")
     opp = lambda i: F.try_element_at("opponents", F.lit(i)).getField("opponent").getField("id")
     a = F.coalesce(opp(1).cast("string"), F.lit(UNKNOWN))
     b = F.coalesce(opp(2).cast("string"), F.lit(UNKNOWN))
@@ -81,7 +90,7 @@ def pandascore_matches(docs: DataFrame) -> DataFrame:
 
 def ranking_rows(docs: DataFrame) -> DataFrame:
     """Ranking snapshot -> one row per team with the snapshot date injected."""
-    d = docs.select(F.from_json("doc", RANKING_SNAPSHOT).alias("d"))
+    d = parsed(docs, RANKING_SNAPSHOT)
     return d.select(F.col("d.date").alias("ranking_date"), F.explode("d.teams").alias("t")).select(
         F.col("t.id").alias("team_id"), F.col("t.name").alias("name"), F.col("t.rank").alias("world_ranking"),
         F.col("t.points").alias("vrs_points"), F.lit(None).cast("string").alias("region"), "ranking_date")
@@ -90,7 +99,7 @@ def ranking_rows(docs: DataFrame) -> DataFrame:
 def faceit_stat_players(docs: DataFrame) -> DataFrame:
     """rounds[] -> teams[] -> players[]: one row per player; stat columns stay
     null as in the reference's default (the profile model keeps no stats)."""
-    d = docs.select(F.from_json("doc", FACEIT_STATS).alias("d")).select("d.match_id", F.explode("d.rounds").alias("r"))
+    d = parsed(docs, FACEIT_STATS).select("d.match_id", F.explode("d.rounds").alias("r"))
     t = d.select("match_id", F.explode("r.teams").alias("t"))
     p = t.select("match_id", F.col("t.team_id").alias("team_id"), F.explode("t.players").alias("p"))
     return p.select(F.col("p.player_id").alias("player_id"), F.lit("faceit").alias("source"),
@@ -140,7 +149,7 @@ def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
     A document is judged by itself (array functions, no shuffle), so repeated
     documents neither mix their scores nor reject each other.
     """
-    d = docs.select(F.from_json("doc", HLTV_MAP).alias("d"))
+    d = parsed(docs.select("doc"), HLTV_MAP)
     t1, t2 = F.col("d.team1.id"), F.col("d.team2.id")
     required = F.least(*[F.col(c).isNotNull().cast("int") for c in ("d.date", "d.matchId", "d.map")]) == 1
     d = d.where(required & t1.isNotNull() & t2.isNotNull() & (F.size("d.roundHistory") > 0))
@@ -188,7 +197,7 @@ def csapi_player_stats(docs: DataFrame) -> DataFrame:
     count, else (absent, or 0 / empty) the match's. Documents without such a block, match id or
     date give no rows; entries that aren't players (null) and players that lack a
     required value are left out."""
-    d = docs.select(F.from_json("doc", CSAPI_STATS).alias("d")).where(
+    d = parsed(docs.select("doc"), CSAPI_STATS).where(
         F.col("d.match.id").isNotNull() & F.col("d.match.date").isNotNull())
     whole = F.filter("d.stats", lambda b: (b["id"] == 0) | (F.lower(F.coalesce(b["name"], F.lit(""))) == "all"))
     d = d.select("d.match", F.get(whole, F.lit(0)).alias("block")).where("block is not null")
@@ -216,7 +225,7 @@ def csapi_player_stats(docs: DataFrame) -> DataFrame:
 def start_sides(docs: DataFrame) -> DataFrame:
     """Start sides per map (regulation) and per 3-round overtime half, from the
     first round of the slice whose outcome has a known side and whose winner is 1 or 2."""
-    d = docs.select(F.from_json("doc", HLTV_MAP).alias("d"))
+    d = parsed(docs.select("doc"), HLTV_MAP)
     r = d.select(F.col("d.id").alias("map_id"), F.explode("d.roundHistory").alias("r"))
     ot = F.coalesce(F.col("r.isOvertime"), F.col("r.round") > REGULATION_ROUNDS)
     r = r.select("map_id", "r.*", F.when(ot, F.floor((F.col("round") - (REGULATION_ROUNDS + 1)) / OT_HALF_ROUNDS))
@@ -286,7 +295,7 @@ def csapi_matches(docs: DataFrame) -> DataFrame:
     """CS API series -> canonical match: map and overtime are not known at
     series level (null); rankings are kept from the payload; format is
     "Best of N" -> boN, else taken from the number of maps."""
-    d = docs.select(F.from_json("doc", CSAPI_MATCH).alias("d")).select("d.*")
+    d = parsed(docs, CSAPI_MATCH).select("d.*")
     n = F.regexp_extract(F.coalesce(F.col("format"), F.lit("")), r"(?i)best of (\d+)", 1)
     fmt = F.when(n != "", F.concat(F.lit("bo"), n)).otherwise(F.concat(F.lit("bo"), F.size("maps").cast("string")))
     return d.select(
@@ -313,7 +322,7 @@ def contract_split(df: DataFrame, required: tuple[str, ...], allowed: tuple[str,
 def scan_documents(lines: DataFrame, schema: str, required: tuple[str, ...]) -> DataFrame:
     """JSON lines -> parsed documents; malformed or incomplete documents are
     dropped (the rest of the batch continues)."""
-    p = lines.select(F.from_json("value", schema).alias("d"), *[c for c in lines.columns if c != "value"])
+    p = parsed(lines, schema, "value")
     ok = F.col("d").isNotNull()
     for c in required:
         ok = ok & F.col("d." + c).isNotNull()
@@ -327,7 +336,7 @@ LIQUIPEDIA_RESULT = "result array<struct<pagename: string, name: string, region:
 
 def pandascore_players(docs: DataFrame) -> DataFrame:
     """PandaScore player -> canonical player (team id from the nullable current team)."""
-    d = docs.select(F.from_json("doc", PANDASCORE_PLAYER).alias("d")).select("d.*")
+    d = parsed(docs, PANDASCORE_PLAYER).select("d.*")
     return d.select(F.col("id").cast("string").alias("player_id"), F.lit("pandascore").alias("source"),
                     F.col("name").alias("display_name"), F.col("current_team.id").cast("string").alias("team_id"),
                     "nationality", "match_id", "recorded_at")

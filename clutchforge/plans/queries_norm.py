@@ -84,7 +84,7 @@ def q_score_parse(cat: Catalog) -> DataFrame:
 @query("reject_invalid_groups")
 def q_reject_invalid_groups(cat: Catalog) -> DataFrame:
     """NRM-10h: per map document, whether it survived (one bad round drops the map)."""
-    docs = P.hltv_map_docs(cat).select(F.from_json("doc", N.HLTV_MAP).alias("d")).select(
+    docs = N.parsed(P.hltv_map_docs(cat).select("doc"), N.HLTV_MAP).select(
         F.col("d.id").cast("string").alias("map_stats_id"), F.size("d.roundHistory").alias("rounds"))
     kept = _rounds(cat).select("map_stats_id").distinct().withColumn("kept", F.lit(True))
     return docs.join(kept, "map_stats_id", "left").select(

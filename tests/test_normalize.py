@@ -154,3 +154,13 @@ def test_rounds_are_judged_per_document(spark):
     docs = spark.createDataFrame([(json.dumps(d),) for d in [good, good, *bad]], "doc string")
     got = sorted((r.round_number, r.score_team1_after, r.score_team2_after) for r in N.hltv_rounds(docs, "t").collect())
     assert got == [(1, 1, 0), (1, 1, 0), (2, 1, 1), (2, 1, 1)]
+
+
+def test_documents_are_parsed_once(spark):
+    """However many filters, lambdas and columns look into a document, its JSON is parsed once."""
+    docs = _docs(spark, [HLTV_DOC])
+    lines = docs.withColumnRenamed("doc", "value")
+    for df in (N.hltv_rounds(docs, "2026-01-01T00:00:00"), N.csapi_player_stats(docs), N.start_sides(docs), N.faceit_matches(docs),
+               N.pandascore_matches(docs), N.csapi_matches(docs), N.ranking_rows(docs), N.faceit_stat_players(docs),
+               N.pandascore_players(docs), N.scan_documents(lines, N.HLTV_MAP, ("id", "team1", "map"))):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
