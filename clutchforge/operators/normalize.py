@@ -239,22 +239,48 @@ def start_sides(docs: DataFrame) -> DataFrame:
                         F.when(F.col("f.winner") == 2, win_side).otherwise(lose_side).alias("team2"))
 
 
+def _cells(line: Column) -> Column:
+    """The trimmed cells of a pipe row; ``<br />`` and the outer pipes don't count."""
+    bare = F.regexp_replace(F.trim(F.replace(line, F.lit("<br />"), F.lit(""))), r"^\|+|\|+$", "")
+    return F.transform(F.split(bare, r"\|"), lambda c: F.trim(c))
+
+
+def _number(cell: Column) -> Column:
+    """"1,871" and "12." are numbers: only digits and minus signs count; null without a number."""
+    return F.regexp_replace(cell, r"[^0-9-]+", "").try_cast("bigint")
+
+
+def _table_cells(lines: DataFrame, least: int) -> DataFrame:
+    """The data rows of markdown tables as ``cells``: pipe rows with ``least`` cells that aren't header or separator."""
+    bare = F.trim(F.replace(F.col("line"), F.lit("<br />"), F.lit("")))
+    t = lines.where(bare.startswith("|")).select(*[c for c in lines.columns if c != "line"], _cells(F.col("line")).alias("cells"))
+    first = F.col("cells")[0]
+    return t.where((F.size("cells") >= least) & ~first.rlike("^[:-]*$") & (F.lower(first) != "standing"))
+
+
 def pipe_table_rows(lines: DataFrame) -> DataFrame:
-    """Markdown standings lines -> (rank, points, team, roster, details): keep
-    pipe rows, drop header and separator, need at least four cells and
-    numeric rank and points."""
-    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
-    t = lines.where(F.trim("line").startswith("|")).select("*", cells.alias("cells"))
-    t = t.where((F.size("cells") >= 4) & ~F.col("cells")[0].rlike(r"^:?-+:?$")
-                & (F.lower(F.col("cells")[0]) != "standing"))
-    rank = F.col("cells")[0].try_cast("bigint")
-    points = F.col("cells")[1].try_cast("bigint")
-    link = F.regexp_extract(F.coalesce(F.try_element_at("cells", F.lit(5)), F.lit("")), r"\(([^)]+)\)", 1)
-    t = t.select(*[c for c in lines.columns if c != "line"], rank.alias("regional_rank"), points.alias("points"),
-                 F.col("cells")[2].alias("team_name"), F.nullif(F.col("cells")[3], F.lit("")).alias("roster"),
-                 F.nullif(link, F.lit("")).alias("detail_path"))
-    return t.where(F.col("regional_rank").isNotNull() & F.col("points").isNotNull()).withColumn(
-        "normalized_team_name", normalize_team_name("team_name"))
+    """Markdown standings lines -> (rank, points, team, roster, details). A row needs four
+    cells, a rank and a name that has letters or digits; points may be missing."""
+    link = F.regexp_extract(F.coalesce(F.try_element_at("cells", F.lit(5)), F.lit("")), r"(?i)\[details\]\(([^)]+)\)", 1)
+    t = _table_cells(lines, 4)
+    t = t.select(*[c for c in t.columns if c != "cells"], _number(F.col("cells")[0]).alias("regional_rank"),
+                 _number(F.col("cells")[1]).alias("points"), F.col("cells")[2].alias("team_name"),
+                 F.nullif(F.col("cells")[3], F.lit("")).alias("roster"), F.nullif(F.trim(link), F.lit("")).alias("detail_path"),
+                 normalize_team_name(F.col("cells")[2]).alias("normalized_team_name"))
+    return t.where(F.col("regional_rank").isNotNull() & (F.col("normalized_team_name") != ""))
+
+
+def global_ranks(lines: DataFrame) -> DataFrame:
+    """Global standings lines -> one rank per snapshot and normalised name, that of its first line."""
+    t = _table_cells(lines, 3).select("snapshot_date", "line_no", _number(F.col("cells")[0]).alias("rank"),
+                                      normalize_team_name(F.col("cells")[2]).alias("normalized_team_name"))
+    return t.where(F.col("rank").isNotNull() & (F.col("normalized_team_name") != "")) \
+        .groupBy("snapshot_date", "normalized_team_name").agg(F.min_by("rank", "line_no").alias("global_rank"))
+
+
+def attach_global_rank(regional: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Regional standings rows with the global rank of their name in the same snapshot."""
+    return regional.join(ranks, ["snapshot_date", "normalized_team_name"], "left")
 
 
 def stat_cells(df: DataFrame, col: str) -> DataFrame:

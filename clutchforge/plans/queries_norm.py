@@ -136,13 +136,10 @@ def q_parse_pipe_table(cat: Catalog) -> DataFrame:
 
 @query("attach_first_rank")
 def q_attach_first_rank(cat: Catalog) -> DataFrame:
-    """NRM-12: rank of the first occurrence of each normalised name, joined to ranking rows."""
-    s = _standings(cat)
-    first = s.groupBy("normalized_team_name").agg(
-        F.min_by("regional_rank", F.struct("snapshot_date", "region", "line_no")).alias("first_rank"))
-    c = stg.stg_csapi_team_rankings(cat).select("team_id", "ranking_date", "name",
-                                                normalize_team_name("name").alias("normalized_team_name"))
-    return c.join(first, "normalized_team_name", "left").select("team_id", "ranking_date", "name", "first_rank")
+    """NRM-12: the global standings' rank of each regional row, by snapshot and first line of the normalised name."""
+    ranks = N.global_ranks(P.global_standings_lines(cat))
+    return N.attach_global_rank(_standings(cat), ranks).select(
+        "snapshot_date", "region", "team_name", "normalized_team_name", "regional_rank", "global_rank", "points")
 
 
 @query("normalize_name")

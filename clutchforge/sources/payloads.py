@@ -145,24 +145,54 @@ def hltv_map_docs(cat: Catalog, malformed: bool = True) -> DataFrame:
                     F.col("event_id").alias("batch_id"), F.to_json(doc).alias("doc"))
 
 
+TABLE_HEAD = ("| Standing | Points | Team Name | Roster | |", "| :-- | --: | :-- | :-- | :-- |")
+
+
+def _standing_line(rank: F.Column, points: F.Column, name: F.Column, key: F.Column, roster: F.Column, detail: F.Column) -> F.Column:
+    """A standings row as it is published: points with thousands separators or missing, line ends as markup."""
+    points = F.when(key % 6 == 0, F.lit("")).otherwise(F.format_number(points, 0))
+    return F.concat(F.lit("| "), rank, F.lit(" | "), points, F.lit(" | "), name, F.lit(" | "), roster, F.lit(" |"),
+                    F.when(key % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(" [details]("), detail, F.lit(") |"))),
+                    F.when(key % 2 == 1, F.lit("<br />")).otherwise(F.lit("")))
+
+
+def _heads(of: DataFrame, title: F.Column) -> DataFrame:
+    """The lines around the rows of each document: headings, table head, a row that is too short and a nameless one."""
+    lines = [(-4, F.concat(F.lit("### "), title, F.lit("<br />"))), (-3, F.lit("<br />")), (-2, F.lit(TABLE_HEAD[0])),
+             (-1, F.lit(TABLE_HEAD[1])), (1_000_000, F.lit("| broken |")), (1_000_001, F.lit("| 7 | 1,000 | !!! | nobody | |"))]
+    rows = F.explode(F.array(*[F.struct(F.lit(n).cast("bigint").alias("line_no"), line.alias("line")) for n, line in lines]))
+    return of.distinct().select("*", rows.alias("h")).select(*of.columns, "h.line_no", "h.line")
+
+
 def standings_lines(cat: Catalog) -> DataFrame:
-    """Markdown standings text of every valve snapshot, one row per line:
-    two heading lines, the table header and separator, then one pipe row
-    per team (plus a short malformed row per snapshot)."""
+    """Markdown standings of every region and valve snapshot, one row per line."""
     v = raw.raw_valve_team_regions(cat)
-    row = F.concat(F.lit("| "), F.col("regional_rank").cast("string"), F.lit(" | "), F.col("points").cast("string"),
-                   F.lit(" | "), F.col("team_name"), F.lit(" | "), F.coalesce(F.col("roster"), F.lit("")),
-                   F.lit(" | [details]("), F.col("detail_path"), F.lit(") |"))
-    body = v.select("snapshot_date", "region", F.col("regional_rank").alias("line_no"), row.alias("line"))
-    heads = v.select("snapshot_date", "region").distinct().select(
-        "snapshot_date", "region", F.explode(F.array(
-            F.struct(F.lit(-4).alias("line_no"), F.concat(F.lit("# Standings "), F.col("region"), F.lit("<br />")).alias("line")),
-            F.struct(F.lit(-3).alias("line_no"), F.concat(F.lit("## "), F.col("snapshot_date"), F.lit("<br />")).alias("line")),
-            F.struct(F.lit(-2).alias("line_no"), F.lit("| Standing | Points | Team Name | Roster | |").alias("line")),
-            F.struct(F.lit(-1).alias("line_no"), F.lit("| :-- | :-- | :-- | :-- | :-- |").alias("line")),
-            F.struct(F.lit(1000000).alias("line_no"), F.lit("| broken |").alias("line")))).alias("h")
-    ).select("snapshot_date", "region", "h.line_no", "h.line")
-    return body.unionByName(heads)
+    key = F.col("regional_rank")
+    rank = F.concat(key.cast("string"), F.when(key % 8 == 3, F.lit(".")).otherwise(F.lit("")))
+    roster = F.when(key % 4 == 0, F.lit("one, two")).otherwise(F.lit(""))
+    body = v.select("snapshot_date", "region", key.alias("line_no"),
+                    _standing_line(rank, F.col("points"), F.col("team_name"), key, roster, F.col("detail_path")).alias("line"))
+    title = F.concat(F.lit("Regional Standings for "), F.col("region"), F.lit(" as of "), F.col("snapshot_date"))
+    return body.unionByName(_heads(v.select("snapshot_date", "region"), title))
+
+
+def global_standings_lines(cat: Catalog) -> DataFrame:
+    """Markdown standings of all teams of every valve snapshot, by world rank. Some teams are not
+    ranked, some aren't listed, and of some a second line comes further down under another spelling."""
+    r = raw.raw_csapi_team_rankings(cat).select(F.col("team_id").cast("bigint").alias("key"), "ranking_date", "world_ranking")
+    v = raw.raw_valve_team_regions(cat).select(F.col("regional_rank").alias("key"), F.col("snapshot_date").alias("ranking_date"),
+                                               "team_name", "points", "detail_path").distinct()
+    t = v.join(r, ["key", "ranking_date"]).where("world_ranking is not null")
+    again = F.when(F.col("key") % 11 == 0, F.array(F.lit(0), F.lit(100_000))).otherwise(F.array(F.lit(0)))
+    t = t.select("*", F.explode(again).alias("later"))
+    rank = F.when(F.col("key") % 13 == 4, F.lit("n/a")).otherwise(F.format_number(F.col("world_ranking") + F.col("later"), 0))
+    name = F.when(F.col("later") > 0, F.lower("team_name")).otherwise(F.col("team_name"))
+    # Equal ranks keep the order of their keys.
+    line_no = (F.col("world_ranking") + F.col("later")) * 1_000_000 + F.col("key")
+    body = t.select(F.col("ranking_date").alias("snapshot_date"), line_no.alias("line_no"),
+                    _standing_line(rank, F.col("points"), name, F.col("key"), F.lit(""), F.col("detail_path")).alias("line"))
+    title = F.concat(F.lit("Standings as of "), F.col("snapshot_date"))
+    return body.unionByName(_heads(body.select("snapshot_date"), title))
 
 
 def csapi_match_docs(cat: Catalog) -> DataFrame:

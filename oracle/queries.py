@@ -415,19 +415,12 @@ union all select 'csapi', 'ranking', count(distinct (ranking_date, world_ranking
 union all select 'faceit', 'match_stats', count(distinct match_id) from raw_player_rows where source = 'faceit' and match_id is not null
 union all select 'hltv', 'mapstats', count(distinct map_stats_id) from raw_hltv_round_history
 """)
-sql("parse_pipe_table", """
-select snapshot_date, region, regional_rank as line_no, regional_rank, points, team_name, roster, detail_path,
-  normalized_team_name
-from raw_valve_team_regions
-""")
+sql("parse_pipe_table", "select * from regional_standings")
 sql("attach_first_rank", """
-select c.team_id, c.ranking_date, c.name, f.first_rank
-from stg_csapi_team_rankings c
-left join (
-  select normalized_team_name, regional_rank as first_rank from (
-    select *, row_number() over (partition by normalized_team_name order by snapshot_date, region, regional_rank) as rn
-    from raw_valve_team_regions) where rn = 1
-) f on regexp_replace(lower(regexp_replace(trim(c.name), '^team[\\s_-]+', '', 'i')), '[^a-z0-9]+', '', 'g') = f.normalized_team_name
+select t.snapshot_date, t.region, t.team_name, t.normalized_team_name, t.regional_rank, t.points,
+  (select arg_min(g.world_rank, g.place) from global_standings g
+   where g.snapshot_date = t.snapshot_date and g.spelled = t.normalized_team_name) as global_rank
+from regional_standings t
 """)
 sql("normalize_name", """
 select source, name, regexp_replace(lower(regexp_replace(trim(name), '^team[\\s_-]+', '', 'i')), '[^a-z0-9]+', '', 'g') as normalized

@@ -50,14 +50,29 @@ def test_start_sides_from_first_known_round(spark):
 def test_pipe_table(spark):
     lines = spark.createDataFrame([
         (1, "# Regional Standings<br />"), (2, "| Standing | Points | Team Name | Roster | |"),
-        (3, "| :-- | :-- | :-- | :-- | :-- |"),
-        (4, "| 1 | 2081 | Team Vitality | apEX, ZywOo | [details](details/0001--vitality.md) |"),
-        (5, "| x | 10 | Broken | a |"), (6, "| 2 | 1900 | Natus Vincere | b |"), (7, "| short |")],
+        (3, "| :- | -: | :- | :- | :- |"),
+        (4, "| 1 | 2,081 | Team Vitality | apEX, ZywOo | [details](details/0001--vitality.md) |<br />"),
+        (5, "| x | 10 | No rank | a |"), (6, "  | 2. |  | Natus Vincere | b | [Details]( d.md ) |"), (7, "| short | 1 | x |"),
+        (8, "| 3 | 1900 | !!! | nameless |"), (9, "|  | 4 | No first cell | c |"), (10, "|| 5 | n/a | Doubled |  ||"),
+        (11, "| 6 | -3 | Minus | d | [other](e.md) |"), (12, "7 | 1 | No pipe | e"), (13, None), (14, "")],
         "line_no int, line string")
     rows = N.pipe_table_rows(lines).orderBy("line_no").collect()
-    assert [(r.regional_rank, r.points, r.team_name, r.normalized_team_name) for r in rows] == [
-        (1, 2081, "Team Vitality", "vitality"), (2, 1900, "Natus Vincere", "natusvincere")]
-    assert rows[0].detail_path == "details/0001--vitality.md" and rows[1].detail_path is None
+    assert [(r.line_no, r.regional_rank, r.points, r.team_name, r.normalized_team_name, r.roster, r.detail_path) for r in rows] == [
+        (4, 1, 2081, "Team Vitality", "vitality", "apEX, ZywOo", "details/0001--vitality.md"),
+        (6, 2, None, "Natus Vincere", "natusvincere", "b", "d.md"),
+        (10, 5, None, "Doubled", "doubled", None, None),
+        (11, 6, -3, "Minus", "minus", "d", None)]
+
+
+def test_global_rank_is_that_of_the_first_line_of_the_snapshot(spark):
+    table = [("a", 9, "| 4 | 10 | Team Alpha |"), ("a", 7, "| 1,002 | | ALPHA | |"), ("a", 3, "| n/a | 5 | alpha | x |"),
+             ("a", 1, "| Standing | Points | Team Name |"), ("a", 11, "| 5 | Bravo |"), ("a", 12, "| 6 | 1 | ?? |"), ("b", 1, "| 8 | 1 | Bravo |")]
+    ranks = N.global_ranks(spark.createDataFrame(table, "snapshot_date string, line_no long, line string"))
+    assert {(r.snapshot_date, r.normalized_team_name): r.global_rank for r in ranks.collect()} == {("a", "alpha"): 1002, ("b", "bravo"): 8}
+    regional = spark.createDataFrame([("a", "alpha"), ("a", "bravo"), ("b", "bravo"), ("b", "alpha")],
+                                     "snapshot_date string, normalized_team_name string")
+    got = {(r.snapshot_date, r.normalized_team_name): r.global_rank for r in N.attach_global_rank(regional, ranks).collect()}
+    assert got == {("a", "alpha"): 1002, ("a", "bravo"): None, ("b", "bravo"): 8, ("b", "alpha"): None}
 
 
 def test_stat_cells_and_halves(spark):
