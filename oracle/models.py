@@ -19,7 +19,7 @@ def normalised(x: str) -> str:
 
 def tier(rank: str) -> str:
     """1 to 10, 11 to 30, 31 to 50, and everything else."""
-    return f"coalesce(if({rank} >= 1, 4 - ({rank} <= 50)::int - ({rank} <= 30)::int - ({rank} <= 10)::int, 4), 4)"
+    return f"case when {rank} between 1 and 10 then 1 when {rank} between 11 and 30 then 2 when {rank} between 31 and 50 then 3 else 4 end"
 
 
 # ------------------------------------------------------------------ teams
@@ -140,7 +140,7 @@ with c as (select p.*, b.* exclude (player_tier), f.* exclude (player_id),
   from profiles p left join tier_bars b on b.player_tier + 1 = p.player_tier
   left join form_windows f on f.player_id = p.player_id
   where p.player_tier between 2 and 4)
-select *, round(25 * stats_above_tier_threshold + if(matches_played < 50, matches_played, 50) / 10.0, 2) as prospect_score,
+select *, round(25 * stats_above_tier_threshold + least(matches_played, 50) / 10.0, 2) as prospect_score,
   {_gap('recent')} as recent_90_day_gap_to_tier_above, {_gap('previous')} as previous_90_day_gap_to_tier_above
 from c
 """)
@@ -150,7 +150,7 @@ _FORM = ", ".join(f"round({w}_90_day_{c}, {d}) as {w}_90_day_{c}" for w in ("rec
 
 cte("mart_hidden_gems", f"""
 with g as (select *, recent_90_day_gap_to_tier_above as now, previous_90_day_gap_to_tier_above as earlier
-           from gem_candidates where stats_above_tier_threshold > 2)
+           from gem_candidates where stats_above_tier_threshold >= 3)
 select {_WHO}, player_tier - 1 as comparison_tier, matches_played,
   {", ".join(f"round(avg_{c}, {d}) as avg_{c}" for c, d in _DIGITS.items())}, round(avg_kills, 1) as avg_kills,
   {", ".join(f"round({s}_threshold, {_DIGITS[c]}) as tier_above_{s}_threshold" for c, s in STATS.items())},
@@ -158,8 +158,8 @@ select {_WHO}, player_tier - 1 as comparison_tier, matches_played,
   20 as minimum_recent_90_day_maps, recent_90_day_maps_played >= 20 as meets_recent_sample_size, {_FORM},
   round(now, 4) as recent_90_day_gap_to_tier_above, round(earlier, 4) as previous_90_day_gap_to_tier_above,
   round(now - earlier, 4) as gap_delta_to_tier_above,
-  coalesce(['gap_shrinking', 'gap_flat', 'gap_growing'][(sign(now - earlier) + 2)::int], 'insufficient_history')
-    as trend_direction,
+  case when now is null or earlier is null then 'insufficient_history' when now > earlier then 'gap_growing'
+       when now < earlier then 'gap_shrinking' else 'gap_flat' end as trend_direction,
   true as is_hidden_gem
 from g
 """)
@@ -183,7 +183,7 @@ select map_stats_id, team_id, max(match_id) as match_id, max(map_name) as map_na
   max(team_name) as team_name, max(opponent_id) as opponent_id, max(opponent_name) as opponent_name,
   max(own_score_after) as final_own_score, max(opp_score_after) as final_opp_score, max(round_number) as total_rounds,
   coalesce(bool_or(is_overtime), false)::int as is_overtime_map,
-  max(list_max([own_score_before - opp_score_before, own_score_after - opp_score_after]))
+  max(greatest(own_score_before - opp_score_before, own_score_after - opp_score_after))
     filter (where own_score_before - opp_score_before + own_score_after - opp_score_after is not null) as largest_lead,
   max(own_score_after) filter (where round_number = 12) as halftime_own_score,
   max(opp_score_after) filter (where round_number = 12) as halftime_opp_score
@@ -195,7 +195,7 @@ with d as (select *, coalesce(sign(final_own_score - final_opp_score), 0) as res
     coalesce(sign(halftime_own_score - halftime_opp_score), 0) as half, coalesce(largest_lead >= 5, false) as led
   from map_sides)
 select * exclude (result, half, led), (result = 1)::int as won_map, (result = -1)::int as lost_map,
-  coalesce(final_own_score - final_opp_score between -2 and 2, false)::int as is_close_map, led::int as had_5plus_lead,
+  coalesce(abs(final_own_score - final_opp_score) <= 2, false)::int as is_close_map, led::int as had_5plus_lead,
   (led and result = -1)::int as lead_blown_5plus, (half = 1)::int as had_halftime_lead,
   (half = 1 and result = -1)::int as halftime_lead_lost, (half = -1 and result = 1)::int as halftime_comeback_win
 from d
@@ -235,7 +235,7 @@ select p.* exclude (team_name, halftime_comeback_wins), coalesce(t.team_name, p.
   ot_win_rate - league_ot_win_rate as ot_win_rate_delta,
   close_map_win_rate - league_close_map_win_rate as close_map_win_rate_delta,
   'round_history_exact' as comeback_metric_type, 'hltv_unofficial' as metric_source, 50 as minimum_stable_maps,
-  ['limited', 'directional', 'stable'][1 + (total_maps >= 20)::int + (total_maps >= 50)::int] as sample_quality,
+  case when total_maps >= 50 then 'stable' when total_maps >= 20 then 'directional' else 'limited' end as sample_quality,
   total_maps < 20 as sample_size_warning, true as halftime_data_available, true as round_history_available,
   false as clutch_data_available, false as bracket_data_available, null::double as elimination_win_pct,
   null::double as winners_bracket_win_pct
