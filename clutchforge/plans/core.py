@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import RANKING_SOURCE_PRIORITY, normalize_team_name, surrogate_key
 from ..operators.dedupe import (asc_nulls_last, desc_nulls_first, desc_nulls_last, keep_first,
                                 keep_unambiguous, keep_unique, whole_row)
 from ..operators.joins import broadcast_if_small, one_row
+from .. import schemas
 from ..sources.tables import Catalog
+from ..streaming.merge import KeyedTable, merge_load
 from . import staging as stg
 
 
@@ -103,16 +105,43 @@ def fact_matches(cat: Catalog) -> DataFrame:
     """
     def build(c: Catalog) -> DataFrame:
         m = stg.int_matches_unioned(c)
-        order = desc_nulls_last(F.col("played_at").try_cast("date")) + [whole_row(m)]
-        d = keep_first(m, ["match_id", "source", "map_name"], order)
-        return d.select(
-            surrogate_key("match_id", "source", "map_name").alias("match_sk"),
-            "match_id", "source", "team_a_id", "team_b_id", "winner_id",
-            F.when(F.col("map_name").isNotNull(), surrogate_key("map_name")).alias("map_sk"),
-            "map_name", "played_at", "score_a", "score_b", "is_overtime", "team_a_ranking", "team_b_ranking")
+        return _fact_rows(keep_first(m, MATCH_GRAIN, newest_match(m)))
     return cat.memo("fact_matches", build)
 
 
+MATCH_GRAIN = ["match_id", "source", "map_name"]
+MATCH_BUCKETS = 32  # of the merged match table; a property of the table, whatever the session's settings
+
+
+def newest_match(m: DataFrame) -> list[Column]:
+    """The order that picks a match row of its grain: newest ``played_at``, then the whole row."""
+    return desc_nulls_last(F.col("played_at").try_cast("date")) + [whole_row(m)]
+
+
+def _fact_rows(d: DataFrame) -> DataFrame:
+    return d.select(
+        surrogate_key(*MATCH_GRAIN).alias("match_sk"),
+        "match_id", "source", "team_a_id", "team_b_id", "winner_id",
+        F.when(F.col("map_name").isNotNull(), surrogate_key("map_name")).alias("map_sk"),
+        "map_name", "played_at", "score_a", "score_b", "is_overtime", "team_a_ranking", "team_b_ranking")
+
+
+def match_table(cat: Catalog, path: str) -> KeyedTable:
+    """The match rows at fact grain that loads are merged into."""
+    schema = stg.int_matches_unioned(cat).schema
+    return KeyedTable(cat.spark, path, schema, MATCH_GRAIN, newest_match, MATCH_BUCKETS)
+
+
+def load_matches(cat: Catalog, landing: str, table: KeyedTable, checkpoint: str) -> None:
+    """Merge the raw match files that haven't been loaded yet into ``table``."""
+    merge_load(cat.spark, landing, schemas.RAW_MATCHES, stg.staged_matches, table, checkpoint)
+
+
+def fact_of_loads(table: KeyedTable) -> DataFrame:
+    """``fact_matches`` from the merged rows: no dedupe is left to do."""
+    return _fact_rows(table.read())
+
+
 def fact_player_stats(cat: Catalog) -> DataFrame:
     def build(c: Catalog) -> DataFrame:
         p = stg.int_players_unioned(c).where(F.col("match_id").isNotNull())

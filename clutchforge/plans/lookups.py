@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import asof_lookup
 from ..operators.sequence import sequence_index
 from ..sources.tables import Catalog
+from ..streaming.manifest import LoadManifest, load_pending
 from . import core
 
 ASOF_MAX_DAYS_BACK = 15   # the day before the match, then up to 14 more days
@@ -103,12 +104,21 @@ def batch_keys(cat: Catalog) -> DataFrame:
     return m.where(F.col("d").isNotNull()).select("source", "d", key.alias("object_key"))
 
 
-def keys_to_load(cat: Catalog, loaded_until: str = "1999-12-31") -> DataFrame:
-    """Keys not in the manifest of an earlier run (which loaded every date up
-    to ``loaded_until``): a left-anti join on the key."""
-    keys = batch_keys(cat)
-    manifest = keys.where(F.col("d") <= F.lit(loaded_until).cast("date")).select("object_key")
-    return keys.join(manifest, "object_key", "left_anti")
+def matches_by_key(cat: Catalog) -> DataFrame:
+    """Fact rows with the key of the object that a load would write them to."""
+    m = core.table(cat, "fact_matches").withColumn("d", F.col("played_at").try_cast("date"))
+    return m.select("match_sk", "source", "d").join(batch_keys(cat), ["source", "d"])
+
+
+def second_load(cat: Catalog, folder: str, first_until: str = "1995-06-30") -> tuple[LoadManifest, str]:
+    """Two loads into ``folder``: the first of what was played up to a day (and all of one provider), the
+    second of everything there is. The manifest, and the second load's id."""
+    rows = matches_by_key(cat)
+    manifest = LoadManifest(cat.spark, f"{folder}/manifest")
+    early = rows.where((F.col("d") <= F.lit(first_until).cast("date")) | (F.col("source") == "pandascore"))
+    load_pending(early, f"{folder}/matches", manifest, "load-1")
+    load_pending(rows, f"{folder}/matches", manifest, "load-2")
+    return manifest, "load-2"
 
 
 def selection_semi_join(cat: Catalog, regions: tuple[str, ...] = ("EUROPE", "ASIA", "AFRICA")) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators.joins import broadcast_if_small
 from ..sources import standins as raw
 from ..sources.tables import Catalog
 from . import core, lookups, marts, serving, staging as stg
+from ..streaming.manifest import LoadManifest
 from .registry import query
 
 
@@ -73,8 +74,13 @@ def q_asof_ranking(cat: Catalog) -> DataFrame:
 
 @query("anti_join_loaded")
 def q_anti_join_loaded(cat: Catalog) -> DataFrame:
-    """JON-11: object keys not yet in the load manifest."""
-    return lookups.keys_to_load(cat)
+    """JON-11: the keys that a second load found missing in the manifest of the first, and wrote."""
+    def load(folder: str) -> None:
+        lookups.second_load(cat, folder)
+
+    manifest = LoadManifest(cat.spark, cat.stored("two_loads", load) + "/manifest")
+    new = manifest.loaded().where(F.col("load_id") == "load-2").select("object_key")
+    return lookups.batch_keys(cat).join(new, "object_key").select("source", "d", "object_key")
 
 
 @query("semi_join_selection")

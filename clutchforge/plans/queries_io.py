@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, sinks
+from ..sinks import warehouse
 from ..sources import raw_io
 from ..sources import standins as raw
 from ..sources.tables import Catalog
 from ..streaming.incremental import incremental_load
+from . import core, marts
+from . import staging as stg
 from .registry import query
 
 
@@ -45,22 +50,57 @@ def q_data_freshness(cat: Catalog) -> DataFrame:
 
 @query("incremental_load")
 def q_incremental_load(cat: Catalog) -> DataFrame:
-    """SRC-03 / STR-01/02: exactly-once file load; the result is the loaded table
+    """SRC-03 / STR-01: exactly-once file load; the result is the loaded table
     (a second run adds nothing, so it always equals the source files)."""
-    src = _raw_matches_path(cat)
-    target = f"{cat.raw_store}/stream_target/raw_matches"
-    ckpt = f"{cat.raw_store}/stream_checkpoint/raw_matches"
-    incremental_load(cat.spark, src, target, ckpt, schemas.RAW_MATCHES)
-    return cat.spark.read.parquet(target).drop("batch_id")
+    def load(folder: str) -> None:
+        for _ in range(2):
+            incremental_load(cat.spark, _raw_matches_path(cat), f"{folder}/rows", f"{folder}/checkpoint", schemas.RAW_MATCHES)
+
+    return cat.spark.read.parquet(cat.stored("loaded_matches", load) + "/rows").drop("batch_id")
+
+
+# Days between which the raw matches of a load were played. The loads overlap.
+MATCH_LOADS = (("1900-01-01", "1995-06-30"), ("1994-07-01", "1997-03-31"), ("1996-10-01", "9999-12-31"))
+
+
+@query("merge_fact_matches")
+def q_merge_fact_matches(cat: Catalog) -> DataFrame:
+    """STR-02: the match fact from a table that three overlapping loads were merged into, one of them twice."""
+    def load(folder: str) -> None:
+        landing, table = f"{folder}/landing", core.match_table(cat, f"{folder}/matches")
+        raw_rows = raw.raw_matches_all(cat)
+        loads = [raw_rows.where(F.coalesce(F.col("played_at"), F.lit("1900-01-01")).between(*days)) for days in MATCH_LOADS]
+        for rows in loads:
+            rows.write.mode("append").parquet(landing)
+            core.load_matches(cat, landing, table, f"{folder}/checkpoint")
+        table.merge(stg.staged_matches(loads[1]))  # a load that comes again
+
+    path = cat.stored("merged_matches", load)
+    return core.fact_of_loads(core.match_table(cat, f"{path}/matches"))
 
 
 @query("snapshot_roundtrip")
 def q_snapshot_roundtrip(cat: Catalog) -> DataFrame:
     """SNK-05 / SRC-09: export a mart snapshot (warehouse-style upper-case names),
     read it back with lower-case column names."""
-    from .. import sinks
-    from . import marts
-    path = f"{cat.raw_store}/snapshots/mart_team_performance"
     m = marts.mart_team_performance(cat)
-    sinks.export_snapshot(m.toDF(*[c.upper() for c in m.columns]), path)
+    path = cat.stored("snapshot_team_performance", lambda folder: sinks.export_snapshot(
+        m.toDF(*[c.upper() for c in m.columns]), folder))
     return sinks.read_snapshot(cat.spark, path)
+
+
+@query("warehouse_objects")
+def q_warehouse_objects(cat: Catalog) -> DataFrame:
+    """SNK-04: staging models as views, marts as tables that are replaced under their readers; rows as the catalog serves them."""
+    top = f"{cat.raw_store}/warehouse"
+    views = {"stg_csapi_team_rankings": stg.stg_csapi_team_rankings, "stg_liquipedia_teams": stg.stg_liquipedia_teams,
+             "stg_hltv_round_history": stg.stg_hltv_round_history, "int_matches_unioned": stg.int_matches_unioned}
+    tables = {"mart_team_performance": marts.mart_team_performance, "mart_head2head": marts.mart_head2head,
+              "mart_map_meta": marts.mart_map_meta}
+    out = [(warehouse.publish_view(build(cat), model), model, "view") for model, build in views.items()]
+    for model, build in tables.items():
+        warehouse.publish_table(build(cat).limit(0), model, top)  # the version before
+        out.append((warehouse.publish_table(build(cat), model, top), model, "table"))
+    rows = [cat.spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(model).alias("model"), F.lit(kind).alias("kind"), "row_count") for name, model, kind in out]
+    return reduce(DataFrame.unionByName, rows)

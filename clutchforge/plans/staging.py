@@ -133,6 +133,15 @@ def int_matches_unioned(cat: Catalog) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def staged_matches(rows: DataFrame) -> DataFrame:
+    """Raw match rows of any provider as ``int_matches_unioned`` has them, in one pass (a load's micro-batch)."""
+    csapi = F.col("source") == "csapi"
+    teams = F.col("team_a_id").isNotNull() & F.col("team_b_id").isNotNull()
+    known = F.col("source").isin("faceit", "pandascore", "csapi") & F.col("match_id").isNotNull() & (~csapi | teams)
+    ranks = [F.when(csapi, F.col(c)).cast("bigint").alias(c) for c in MATCH_COLS[10:]]
+    return rows.where(known).select(*MATCH_COLS[:10], *ranks)
+
+
 def players_unioned_raw(cat: Catalog) -> DataFrame:
     parts = [stg_faceit_players(cat), stg_pandascore_players(cat), stg_csapi_player_stats(cat)]
     return reduce(DataFrame.unionByName, parts)

@@ -48,11 +48,6 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> bool:
     return True
 
 
-def save_table(df: DataFrame, path: str) -> None:
-    """Materialise a mart (overwrite); staging stays a lazy view."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
 def export_snapshot(df: DataFrame, path: str) -> None:
     """Export a mart snapshot with lower-case column names."""
     df.toDF(*[c.lower() for c in df.columns]).write.mode("overwrite").parquet(path)

@@ -13,6 +13,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import hadoop
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -44,16 +46,9 @@ class Catalog:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     # ------------------------------------------------------------------ raw layer
-    def _path(self, path: str):
-        """The Hadoop path, fully qualified, and its file system."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.makeQualified(p), fs
-
     def input_files(self) -> list[str]:
         """``path length modification-time`` of every input file of the directory."""
-        root, fs = self._path(self.root)
+        root, fs = hadoop.locate(self.spark, self.root)
         out, todo = [], [root]
         while todo:
             for f in fs.listStatus(todo.pop()):
@@ -86,24 +81,11 @@ class Catalog:
 
     def _published(self, name: str) -> str | None:
         """The folder of a finished table: its marker names it."""
-        marker, fs = self._path(f"{self.raw_store}/{name}.published")
-        if not fs.exists(marker):
-            return None
-        stream = fs.open(marker)
-        try:
-            return stream.readUTF()
-        finally:
-            stream.close()
+        return hadoop.read_marker(self.spark, f"{self.raw_store}/{name}.published")
 
     def _publish(self, name: str, path: str) -> str:
         """Name ``path`` as the table, unless another job was first; the table's folder."""
-        marker, fs = self._path(f"{self.raw_store}/{name}.published")
-        own, _ = self._path(f"{self.raw_store}/{name}.{uuid.uuid4().hex}.marker")
-        stream = fs.create(own, False)
-        stream.writeUTF(path)
-        stream.close()
-        if fs.exists(marker) or not fs.rename(own, marker):
-            fs.delete(own, False)
+        hadoop.write_marker(self.spark, f"{self.raw_store}/{name}.published", path)
         return self._published(name)
 
     def stored(self, name: str, write) -> str:

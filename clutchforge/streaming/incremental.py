@@ -14,25 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import hadoop
+
 
 def incremental_load(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                      schema: T.StructType, max_files_per_trigger: int | None = None) -> int:
-    """Load new Parquet files from ``source_dir`` into ``target_dir``; returns rows added."""
+    """Load new Parquet files from ``source_dir`` into ``target_dir``; returns rows added.
+    A micro-batch that an earlier run had written already (a replay) adds none."""
     reader = spark.readStream.schema(schema).option("basePath", source_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(source_dir)
-    added = spark.sparkContext.accumulator(0)
+    before = set(hadoop.folders(spark, target_dir))
+    added: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        n = batch.count()
-        if n == 0:
-            return
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target_dir))
-        added.add(n)
+        if f"batch_id={batch_id}" not in before:
+            added.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return int(added.value)
+    if not added:
+        return 0
+    written = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(written).option("basePath", target_dir).parquet(target_dir).where(F.col("batch_id").isin(added)).count()

@@ -81,8 +81,7 @@ from gem_candidates
 """)
 sql("asof_ranking", "select * from asof_ranking")
 sql("anti_join_loaded", """
-select k.source, k.d, k.object_key from batch_keys k
-where k.object_key not in (select object_key from batch_keys where d <= date '1999-12-31')
+select source, d, object_key from batch_keys where d > date '1995-06-30' and source <> 'pandascore'
 """)
 sql("semi_join_selection", """
 select match_sk, match_id, team_a_region, team_b_region from mart_upset_features
@@ -564,6 +563,14 @@ union all select 'raw_csapi_team_rankings', count(*), true from raw_csapi_team_r
 union all select 'raw_hltv_round_history', count(*), true from raw_hltv_round_history
 """)
 sql("incremental_load", "select * from raw_matches_all")
+sql("merge_fact_matches", "select * from fact_matches")
+sql("warehouse_objects", "\nunion all\n".join(
+    f"select '{model}' as model, '{kind}' as kind, count(*) as row_count from {source}" for model, kind, source in [
+        ("stg_csapi_team_rankings", "view", "stg_csapi_team_rankings"),
+        ("stg_liquipedia_teams", "view", "(from raw_liquipedia_teams where team_id is not null)"),
+        ("stg_hltv_round_history", "view", "stg_hltv_round_history"), ("int_matches_unioned", "view", "int_matches_unioned"),
+        ("mart_team_performance", "table", "mart_team_performance"), ("mart_head2head", "table", "mart_head2head"),
+        ("mart_map_meta", "table", "mart_map_meta")]))
 sql("norm_match_series", """
 select cast(cast(match_id as bigint) as varchar) as match_id, 'csapi' as source, team_a_id, team_b_id, winner_id,
   played_at, cast(null as varchar) as map_name, score_a, score_b, cast(null as boolean) as is_overtime,
