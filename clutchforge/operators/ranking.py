@@ -10,7 +10,7 @@ one pass: the rows are unpivoted to (stat, group, value) and placed once with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small
@@ -80,3 +80,29 @@ def percentiles_cont(df: DataFrame, group_cols: list[str], stats: dict[str, str]
                                           for s, o in stats.items()])
     groups = df.select(*group_cols).distinct()
     return groups.join(broadcast_if_small(wide), group_cols, "left")
+
+
+def cohort_ranks(df: DataFrame, cohort: Column, probed: Column, stats: dict[str, str], key_cols: list[str]) -> DataFrame:
+    """Add, for each ``stat -> output``, which share of another cohort's rows has a smaller value.
+
+    A row belongs to ``cohort`` and is ranked in the values of cohort ``probed`` (null: in none).
+    All statistics are done together: values are counted once per (stat, cohort, value), each
+    entry counts as members of its cohort and, with no members, as a question to the cohorts it is ranked in;
+    running counts over the entries, placed by the sequence operator, answer them, and
+    rows meet the answers by an equi-join. Null values have no rank and no part in a cohort."""
+    keys = ["_stat", "_cohort", "_v"]
+    long = _long(df.select("*", cohort.alias("_own"), probed.alias("_probed")), key_cols + ["_own", "_probed"], list(stats)) \
+        .where(F.col("_v").isNotNull())
+    counted = long.groupBy("_stat", "_own", "_probed", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    entry = F.explode(F.array(F.struct(F.col("_own").alias("_cohort"), F.col("_n").alias("_members")),
+                              F.struct(F.col("_probed").alias("_cohort"), F.lit(0).cast("bigint").alias("_members"))))
+    entries = counted.select("_stat", "_v", entry.alias("_e")).select("_stat", "_e._cohort", "_v", "_e._members") \
+        .where(F.col("_cohort").isNotNull()).groupBy(*keys).agg(F.sum("_members").alias("_members"))
+    placed = sequence_index(entries, ["_stat", "_cohort"], [F.col("_v").asc()], out="_pos", sum_cols=("_members",))
+    sizes = entries.groupBy("_stat", "_cohort").agg(F.sum("_members").alias("_size"))
+    answers = placed.join(broadcast_if_small(sizes), ["_stat", "_cohort"]).where("_size > 0").select(
+        *keys, ((F.col("running__members") - F.col("_members")) / F.col("_size")).alias("_share"))
+    ranked = long.withColumnRenamed("_probed", "_cohort").join(answers, keys)
+    wide = ranked.groupBy(*key_cols).agg(*[F.max(F.when(F.col("_stat") == s, F.col("_share"))).alias(o) for s, o in stats.items()])
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in key_cols]
+    return df.alias("d").join(wide.alias("w"), same, "left").select("d.*", *[F.col(f"w.{o}") for o in stats.values()])

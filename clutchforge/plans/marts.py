@@ -135,7 +135,8 @@ def _player_team(cat: Catalog) -> DataFrame:
     return j.withColumn("_team_key", F.coalesce("_current_team_id", "team_id"))
 
 
-def mart_player_leaderboard(cat: Catalog) -> DataFrame:
+def player_board(cat: Catalog) -> DataFrame:
+    """Averages of each player under the current team, with the team's tier."""
     j = _player_team(cat)
     agg = j.groupBy("player_id", "display_name", F.col("_team_key").alias("team_id")).agg(
         F.count(F.lit(1)).alias("matches_played"),
@@ -148,8 +149,11 @@ def mart_player_leaderboard(cat: Catalog) -> DataFrame:
         F.max("elo").alias("peak_elo"),
     )
     teams = broadcast_if_small(core.table(cat, "dim_teams").select("team_id", "world_ranking"))
-    t = agg.join(teams, "team_id", "left").withColumn("tier", tier("world_ranking"))
-    t = percent_ranks(t, ["tier"], {"avg_adr": "adr_pct_rank", "avg_kd_ratio": "kd_pct_rank",
+    return agg.join(teams, "team_id", "left").withColumn("tier", tier("world_ranking"))
+
+
+def mart_player_leaderboard(cat: Catalog) -> DataFrame:
+    t = percent_ranks(player_board(cat), ["tier"], {"avg_adr": "adr_pct_rank", "avg_kd_ratio": "kd_pct_rank",
                                     "avg_kast": "kast_pct_rank", "avg_rating": "rating_pct_rank",
                                     "avg_kills": "kills_pct_rank"},
                       key_cols=["player_id", "display_name", "team_id"])

@@ -33,5 +33,5 @@ def query(name: str):
 
 def all_queries() -> dict[str, Query]:
     # importing the modules registers their queries
-    from . import queries_core, queries_extra, queries_io, queries_ml, queries_norm  # noqa: F401
+    from . import queries_core, queries_extra, queries_features, queries_io, queries_ml, queries_norm  # noqa: F401
     return dict(QUERIES)

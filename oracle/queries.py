@@ -596,3 +596,71 @@ select team_id, 'liquipedia' as source, name, region, cast(null as bigint) as wo
 from raw_liquipedia_teams
 """)
 sql("snapshot_roundtrip", "select * from mart_team_performance")
+
+
+# ------------------------------------------------------------------ planned features
+_RATE = "sround({w}::double / nullif({n}, 0), 4)"
+sql("rolling_form", f"""
+select match_sk, team_id, day, count(*) over last as matches_before,
+  {_RATE.format(w="sum(is_win) over last", n="count(*) over last")} as form
+from team_days where day is not null and team_id is not null
+window last as (partition by team_id order by day, match_sk rows between 10 preceding and 1 preceding)
+""")
+
+
+def _before(prefix: str, same: str) -> str:
+    """Matches and wins of the rows of ``team_days`` that meet ``same`` and lie on an earlier day."""
+    return f"""(select (count(*), count(*) filter (t.is_win = 1)) from team_days t
+      where {same} and t.day < m.day) as {prefix}"""
+
+
+_PRIOR = {"h2h": "t.team_id = m.team_a_id and t.opponent_id = m.team_b_id",
+          "h2h_map": "t.team_id = m.team_a_id and t.opponent_id = m.team_b_id and t.map_name = m.map_name",
+          "team_a_map": "t.team_id = m.team_a_id and t.map_name = m.map_name",
+          "team_b_map": "t.team_id = m.team_b_id and t.map_name = m.map_name"}
+sql("prior_records", f"""
+with known as (
+  select match_sk, team_a_id, team_b_id, map_name, day, {", ".join(_before(k, v) for k, v in _PRIOR.items())}
+  from (select *, try_cast(played_at as date) as day from fact_matches where source = 'csapi') m)
+select match_sk, team_a_id, team_b_id, map_name, day,
+  {", ".join(f"{k}[1] as {k}_matches, {_RATE.format(w=f'{k}[2]', n=f'{k}[1]')} as {k}_win_rate" for k in _PRIOR)}
+from known
+""")
+sql("rating_differential", """
+with sides as (select match_sk, try_cast(played_at as date) as day, unnest(['a', 'b']) as side, unnest([team_a_id, team_b_id]) as team_id
+               from fact_matches where source = 'csapi'),
+rated as (select team_id, try_cast(recorded_at as date) as day, round(rating * 10000)::bigint as units from fact_player_stats where rating is not null),
+known as (select s.match_sk, s.side, sround(sum(r.units)::double / (count(*) * 10000), 4) as rating
+          from sides s join rated r on r.team_id = s.team_id and r.day < s.day group by all)
+select f.match_sk, team_a_id, team_b_id, try_cast(played_at as date) as day, a.rating as team_a_rating, b.rating as team_b_rating,
+  sround(a.rating - b.rating, 4) as rating_differential
+from fact_matches f left join known a on a.match_sk = f.match_sk and a.side = 'a'
+left join known b on b.match_sk = f.match_sk and b.side = 'b' where f.source = 'csapi'
+""")
+sql("upset_rate_by_gap", """
+with m as (select ranking_delta as gap, (winner_id <> favored_team_id)::int as upset from mart_upset_features where favored_team_id is not null),
+placed as (select *, (10 * (rank() over (order by gap) - 1) // (select count(*) from m))::int as bucket from m),
+b as (select bucket, min(gap) as min_gap, max(gap) as max_gap, count(*) as matches, sum(upset) as upsets, avg(upset) as p
+      from placed group by bucket)
+select bucket, min_gap, max_gap, matches, upsets, sround(p, 4) as upset_rate,
+  round((p + 1.96 ** 2 / (2 * matches) - 1.96 * sqrt(p * (1 - p) / matches + 1.96 ** 2 / (4 * matches ** 2))) / (1 + 1.96 ** 2 / matches), 4) as lower,
+  round((p + 1.96 ** 2 / (2 * matches) + 1.96 * sqrt(p * (1 - p) / matches + 1.96 ** 2 / (4 * matches ** 2))) / (1 + 1.96 ** 2 / matches), 4) as upper
+from b
+""")
+sql("pressure_rates", f"""
+with n as (
+  select team_id, count(*) as maps, count(*) filter (largest_lead >= 10) as maps_led,
+    count(*) filter (largest_lead >= 10 and final_own_score < final_opp_score) as leads_blown,
+    count(*) filter (halftime_opp_score >= halftime_own_score + 3) as maps_trailed,
+    count(*) filter (halftime_opp_score >= halftime_own_score + 3 and final_own_score > final_opp_score) as comebacks
+  from map_sides group by team_id)
+select *, {_RATE.format(w="leads_blown", n="maps_led")} as lead_blown_rate, {_RATE.format(w="comebacks", n="maps_trailed")} as comeback_rate from n
+""")
+_COHORT = {"adr": "avg_adr", "kd": "avg_kd_ratio", "kast": "avg_kast", "rating": "avg_rating", "kills": "avg_kills"}
+sql("better_cohort_percentiles", f"""
+with b as (from mart_player_leaderboard)
+select player_id, display_name, team_id, tier, {", ".join(
+    f"case when {c} is not null then (select sround(count(*) filter (o.{c} < b.{c}) / nullif(count(o.{c}), 0), 6) from b o "
+    f"where o.tier = b.tier - 1) end as {s}_in_better_tier" for s, c in _COHORT.items())}
+from b
+""")
