@@ -139,6 +139,24 @@ def _round(r: Column, pos: Column) -> Column:
                     F.coalesce(valid, F.lit(False)).alias("valid"))
 
 
+MALFORMED, INVALID, EMPTY, VALID = "malformed", "invalid", "empty", "valid"
+
+
+def judged_maps(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """``docs`` with the parsed map document ``d``, its ``rounds`` with sides and winners, and a ``verdict``:
+    malformed (no JSON document, or a value of another type), invalid (no date, match id, map or
+    teams, or an invalid round), empty (no rounds) or valid."""
+    d = parsed(docs, f"{HLTV_MAP}, _corrupt_record string", doc)
+    present = F.lit(True)
+    for c in ("d.date", "d.matchId", "d.map", "d.team1.id", "d.team2.id"):
+        present = present & F.col(c).isNotNull()
+    d = d.select("*", F.transform("d.roundHistory", _round).alias("rounds"))
+    sound = present & F.coalesce(F.forall("rounds", lambda x: x["valid"]), F.lit(True))
+    malformed = F.col("d").isNull() | F.col("d._corrupt_record").isNotNull() | (F.trim("d._corrupt_record") == "")
+    return d.select("*", F.when(malformed, MALFORMED).when(~sound, INVALID)
+                    .when(F.coalesce(F.size("rounds"), F.lit(0)) <= 0, EMPTY).otherwise(VALID).alias("verdict"))
+
+
 def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
     """Map document -> one row per round (25 columns); a document with any
     invalid round, or without date, match id, map or teams, is dropped whole.
@@ -149,11 +167,8 @@ def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
     A document is judged by itself (array functions, no shuffle), so repeated
     documents neither mix their scores nor reject each other.
     """
-    d = parsed(docs.select("doc"), HLTV_MAP)
     t1, t2 = F.col("d.team1.id"), F.col("d.team2.id")
-    required = F.least(*[F.col(c).isNotNull().cast("int") for c in ("d.date", "d.matchId", "d.map")]) == 1
-    d = d.where(required & t1.isNotNull() & t2.isNotNull() & (F.size("d.roundHistory") > 0))
-    d = d.select("d", F.transform("d.roundHistory", _round).alias("rounds")).where(F.forall("rounds", lambda x: x["valid"]))
+    d = judged_maps(docs.select("doc")).where(F.col("verdict") == VALID).select("d", "rounds")
     points = "array<struct<s1:bigint,s2:bigint>>"
 
     def score(acc: Column, x: Column) -> Column:
@@ -345,19 +360,67 @@ def contract_split(df: DataFrame, required: tuple[str, ...], allowed: tuple[str,
     return df.withColumn("contract_ok", ok)
 
 
-def scan_documents(lines: DataFrame, schema: str, required: tuple[str, ...]) -> DataFrame:
-    """JSON lines -> parsed documents; malformed or incomplete documents are
-    dropped (the rest of the batch continues)."""
-    p = parsed(lines, schema, "value")
-    ok = F.col("d").isNotNull()
-    for c in required:
-        ok = ok & F.col("d." + c).isNotNull()
-    return p.where(ok)
+CACHED_SIDE_PLAYER = (
+    "struct<playerId: bigint, nickname: string, country: string, openingKills: double, openingDeaths: double, "
+    "ecoOpeningKills: double, ecoOpeningDeaths: double, multiKillRounds: double, kast: double, ecoKast: double, "
+    "clutchesWon: double, kills: double, headshots: double, ecoKills: double, ecoHeadshots: double, assists: double, "
+    "flashAssists: double, deaths: double, tradedDeaths: double, ecoDeaths: double, ecoTradedDeaths: double, adr: double, "
+    "ecoAdr: double, swing: double, rating: double>")
+CACHED_MATCH_PLAYER = (
+    "struct<playerId: bigint, nickname: string, country: string, kills: double, deaths: double, ecoKills: double, "
+    "ecoDeaths: double, swing: double, adr: double, ecoAdr: double, kast: double, ecoKast: double, rating: double>")
+_SIDES = f"struct<combined: array<{CACHED_SIDE_PLAYER}>, t: array<{CACHED_SIDE_PLAYER}>, ct: array<{CACHED_SIDE_PLAYER}>>"
+CACHED_MATCH = (f"id bigint, maps array<struct<mapstatsId: bigint, map: string, error: string, "
+                f"playerStats: struct<team1: {_SIDES}, team2: {_SIDES}>>>, "
+                f"matchAggregateStats struct<team1: array<{CACHED_MATCH_PLAYER}>, team2: array<{CACHED_MATCH_PLAYER}>>")
+NO_COUNT_IS_ZERO = ("multiKillRounds", "clutchesWon")
+
+
+def _snake(name: str) -> str:
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
+
+
+def _player_columns(player: str, zero: tuple[str, ...] = ()) -> list[Column]:
+    """The fields of a player struct ``p`` under the names of the contract."""
+    names = [f.split(":")[0].strip() for f in player[len("struct<"):-1].split(",")]
+    out = []
+    for n in names:
+        c = F.col(f"p.{n}")
+        if n == "playerId":
+            c = c.cast("string")
+        out.append((F.coalesce(c, F.lit(0.0)) if n in zero else c).alias(_snake(n)))
+    return out
+
+
+def side_players(docs: DataFrame) -> DataFrame:
+    """Cached match documents -> one row per map, team, side and player (25 fields). A map that was recorded as an
+    error, or whose statistics have another shape, gives no rows; the other maps do. Players need an id."""
+    m = parsed(docs.select("doc"), CACHED_MATCH).select(F.col("d.id").alias("match_id"), F.explode("d.maps").alias("m")) \
+        .where(F.col("m.error").isNull() & F.col("m.mapstatsId").isNotNull())
+    per_side = F.explode(F.array(*[F.struct(F.lit(team).alias("team"), F.lit(side).alias("side"), F.col(f"m.playerStats.{team}.{side}").alias("players"))
+                                   for team in ("team1", "team2") for side in ("combined", "t", "ct")])).alias("s")
+    p = m.select("match_id", "m.mapstatsId", "m.map", per_side).select(
+        "match_id", "mapstatsId", "map", "s.team", "s.side", F.explode("s.players").alias("p")).where(F.col("p.playerId").isNotNull())
+    return p.select(F.col("match_id").cast("string").alias("match_id"), F.col("mapstatsId").cast("string").alias("map_stats_id"),
+                    F.col("map").alias("map_name"), "team", "side", *_player_columns(CACHED_SIDE_PLAYER, NO_COUNT_IS_ZERO))
+
+
+def match_players(docs: DataFrame) -> DataFrame:
+    """Cached match documents -> one row per team and player over the whole match. Players need an id."""
+    d = parsed(docs.select("doc"), CACHED_MATCH)
+    per_team = F.explode(F.array(*[F.struct(F.lit(team).alias("team"), F.col(f"d.matchAggregateStats.{team}").alias("players"))
+                                   for team in ("team1", "team2")])).alias("t")
+    p = d.select(F.col("d.id").cast("string").alias("match_id"), per_team).select("match_id", "t.team", F.explode("t.players").alias("p")) \
+        .where(F.col("p.playerId").isNotNull())
+    return p.select("match_id", "team", *_player_columns(CACHED_MATCH_PLAYER))
 
 
 PANDASCORE_PLAYER = ("id bigint, name string, nationality string, current_team struct<id: bigint, name: string>, "
                      "match_id string, recorded_at string")
-LIQUIPEDIA_RESULT = "result array<struct<pagename: string, name: string, region: string, date: string>>"
+LIQUIPEDIA_RESULT = "result array<map<string, string>>"  # whatever a value's type, it arrives as text
+# Required fields of a record, by entity.
+LIQUIPEDIA_REQUIRED = {"team": ("pagename", "name"), "player": ("pagename", "id"), "match": ("match2id",),
+                       "tournament": ("pagename", "name"), "placement": ("pagename",)}
 
 
 def pandascore_players(docs: DataFrame) -> DataFrame:
@@ -368,9 +431,57 @@ def pandascore_players(docs: DataFrame) -> DataFrame:
                     "nationality", "match_id", "recorded_at")
 
 
-def liquipedia_teams(docs: DataFrame) -> DataFrame:
-    """Liquipedia team pages -> canonical teams (world ranking is never set)."""
-    d = docs.select(F.explode(F.from_json("doc", LIQUIPEDIA_RESULT).getField("result")).alias("r"))
-    return d.select(F.col("r.pagename").alias("team_id"), F.lit("liquipedia").alias("source"),
-                    F.col("r.name").alias("name"), F.col("r.region").alias("region"),
-                    F.lit(None).cast("bigint").alias("world_ranking"), F.col("r.date").alias("ingested_at"))
+def liquipedia_records(docs: DataFrame) -> DataFrame:
+    """Liquipedia pages (entity, doc) -> one row per record ``r`` (text by field name), each page parsed once and each record
+    held against the contract of its entity; the ones that lack a required field are left out."""
+    r = parsed(docs.select("entity", "doc"), LIQUIPEDIA_RESULT).select("entity", F.explode("d.result").alias("r"))
+    ok = F.lit(False)
+    for entity, fields in LIQUIPEDIA_REQUIRED.items():
+        present = F.col("entity") == entity
+        for f in fields:
+            present = present & F.col("r")[f].isNotNull()
+        ok = ok | present
+    return r.where(ok)
+
+
+def _of(records: DataFrame, entity: str) -> DataFrame:
+    return records.where(F.col("entity") == entity)
+
+
+def _field(name: str) -> Column:
+    return F.col("r")[name]
+
+
+def liquipedia_teams(records: DataFrame) -> DataFrame:
+    """Team records -> canonical teams (world ranking is never set)."""
+    return _of(records, "team").select(
+        _field("pagename").alias("team_id"), F.lit("liquipedia").alias("source"), _field("name").alias("name"),
+        _field("region").alias("region"), F.lit(None).cast("bigint").alias("world_ranking"), _field("date").alias("ingested_at"))
+
+
+def liquipedia_players(records: DataFrame, recorded_at: str) -> DataFrame:
+    """Player records -> canonical players; the handle is the display name."""
+    return _of(records, "player").select(
+        _field("pagename").alias("player_id"), F.lit("liquipedia").alias("source"), _field("id").alias("display_name"),
+        _field("teampagename").alias("team_id"), _field("nationality").alias("nationality"), F.lit(recorded_at).alias("recorded_at"))
+
+
+def liquipedia_matches(records: DataFrame) -> DataFrame:
+    """Match records -> canonical matches; a team or date that is absent or empty is unknown."""
+    known = lambda f: F.coalesce(F.nullif(_field(f), F.lit("")), F.lit(UNKNOWN))
+    return _of(records, "match").select(
+        _field("match2id").alias("match_id"), F.lit("liquipedia").alias("source"), known("team1").alias("team_a_id"),
+        known("team2").alias("team_b_id"), _field("winner").alias("winner_id"), known("date").alias("played_at"))
+
+
+def liquipedia_placements(records: DataFrame) -> DataFrame:
+    """Placement records with their tournament, if that is known; a shared place ("3-4") has its best and worst."""
+    t = _of(records, "tournament").select(_field("pagename").alias("_key"), _field("name").alias("tournament_name"), _field("tier").alias("tier"),
+                                          _field("startdate").try_cast("date").alias("start_date"), _field("enddate").try_cast("date").alias("end_date"),
+                                          _field("prizepool").try_cast("double").alias("prize_pool"))
+    place = _field("place")
+    best = F.regexp_extract(place, r"^\s*(\d+)\s*(?:-\s*(\d+)\s*)?$", 1).try_cast("int")
+    worst = F.regexp_extract(place, r"^\s*(\d+)\s*(?:-\s*(\d+)\s*)?$", 2).try_cast("int")
+    p = _of(records, "placement").select(_field("pagename").alias("page"), _field("tournament").alias("tournament"), _field("team").alias("team"),
+                                         place.alias("place"), best.alias("best_place"), F.coalesce(worst, best).alias("worst_place"))
+    return p.join(t, F.col("tournament") == F.col("_key"), "left").drop("_key")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import normalize_team_name, round_side, score_pair
 from ..operators import normalize as N
 from ..sources import payloads as P
+from ..sources import raw_io
 from ..sources import standins as raw
 from ..sources.tables import Catalog
 from . import core, staging as stg
@@ -117,11 +118,44 @@ def q_batch_summary(cat: Catalog) -> DataFrame:
 
 @query("entity_counts")
 def q_entity_counts(cat: Catalog) -> DataFrame:
-    """NRM-06: documents per (source, entity) in one pass over the stacked documents."""
+    """NRM-06: documents per (source, entity), and Liquipedia's valid records, each from one pass over the stacked documents."""
+    pages = P.liquipedia_docs(cat)
     docs = reduce(DataFrame.unionByName, [
         P.faceit_match_docs(cat), P.pandascore_match_docs(cat), P.ranking_snapshot_docs(cat),
-        P.faceit_stats_docs(cat), P.hltv_map_docs(cat, malformed=False).drop("batch_id")])
-    return docs.groupBy("source", "entity").agg(F.count(F.lit(1)).alias("documents"))
+        P.faceit_stats_docs(cat), P.hltv_map_docs(cat, malformed=False).drop("batch_id"), P.cached_match_docs(cat), pages])
+    documents = docs.groupBy("source", "entity").agg(F.count(F.lit(1)).alias("documents"))
+    records = N.liquipedia_records(pages).groupBy(F.lit("liquipedia").alias("source"), "entity").agg(F.count(F.lit(1)).alias("records"))
+    return documents.join(records, ["source", "entity"], "left")
+
+
+@query("norm_liquipedia_players")
+def q_norm_liquipedia_players(cat: Catalog) -> DataFrame:
+    """NRM-05: Liquipedia player records -> canonical players."""
+    return N.liquipedia_players(N.liquipedia_records(P.liquipedia_docs(cat)), ROUNDS_LOADED_AT)
+
+
+@query("norm_liquipedia_matches")
+def q_norm_liquipedia_matches(cat: Catalog) -> DataFrame:
+    """NRM-05: Liquipedia match records -> canonical matches."""
+    return N.liquipedia_matches(N.liquipedia_records(P.liquipedia_docs(cat)))
+
+
+@query("liquipedia_placements")
+def q_liquipedia_placements(cat: Catalog) -> DataFrame:
+    """NRM-06: placements with their tournaments, from the same pages."""
+    return N.liquipedia_placements(N.liquipedia_records(P.liquipedia_docs(cat)))
+
+
+@query("side_stats_flatten")
+def q_side_stats_flatten(cat: Catalog) -> DataFrame:
+    """NRM-16: player statistics per map, team and side of cached match documents."""
+    return N.side_players(P.cached_match_docs(cat))
+
+
+@query("match_player_stats")
+def q_match_player_stats(cat: Catalog) -> DataFrame:
+    """NRM-17: player statistics over the whole match of cached match documents."""
+    return N.match_players(P.cached_match_docs(cat))
 
 
 def _standings(cat: Catalog) -> DataFrame:
@@ -214,14 +248,13 @@ def q_contract_validation(cat: Catalog) -> DataFrame:
 
 @query("scan_documents")
 def q_scan_documents(cat: Catalog) -> DataFrame:
-    """SRC-04 / SRC-06: a directory of exported JSON lines; malformed documents are
-    skipped, the file path of each kept document is recorded."""
-    path = cat.stored("hltv_documents", lambda folder: P.document_lines(cat).write.text(folder))
-    lines = cat.spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    docs = N.scan_documents(lines, N.HLTV_MAP, ("id", "team1", "team2", "roundHistory"))
-    return docs.select(F.col("d.id").alias("map_id"), F.col("d.map").alias("map_name"),
-                       F.size("d.roundHistory").alias("rounds"),
-                       F.col("file_path").isNotNull().alias("has_file_path"))
+    """SRC-04 / SRC-06: a directory with one JSON document per file; every file with its verdict, by path. Only
+    valid documents count their rounds."""
+    path = cat.stored("hltv_documents", lambda folder: P.write_document_files(cat, folder))
+    files = N.judged_maps(raw_io.whole_files(cat.spark, path, "*.txt"))
+    valid = F.col("verdict") == N.VALID
+    return files.select(F.regexp_extract("file_path", "/document=([^/]+)/", 1).alias("document"), "verdict",
+                        F.when(valid, F.col("d.id")).alias("map_id"), F.when(valid, F.size("rounds")).otherwise(0).alias("rounds"))
 
 
 @query("norm_players")
@@ -233,4 +266,4 @@ def q_norm_players(cat: Catalog) -> DataFrame:
 @query("norm_teams")
 def q_norm_teams(cat: Catalog) -> DataFrame:
     """NRM-05: Liquipedia team pages -> canonical teams."""
-    return N.liquipedia_teams(P.liquipedia_team_docs(cat))
+    return N.liquipedia_teams(N.liquipedia_records(P.liquipedia_docs(cat)))

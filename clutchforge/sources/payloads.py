@@ -9,9 +9,12 @@ shape a file or stream source would deliver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.normalize import HLTV_MAP as MAP_DOCUMENT
 from . import standins as raw
 from .tables import Catalog
 
@@ -212,12 +215,24 @@ def csapi_match_docs(cat: Catalog) -> DataFrame:
     return m.select(F.lit("csapi").alias("source"), F.lit("match").alias("entity"), F.to_json(doc).alias("doc"))
 
 
-def document_lines(cat: Catalog, truncate_map: str = "Map5") -> DataFrame:
-    """Map documents as JSON lines; those of one map pool come a second time,
-    truncated (a malformed export the scan must skip)."""
-    d = hltv_map_docs(cat, malformed=False)
-    half = F.when(F.get_json_object("doc", "$.map") == truncate_map, F.expr("substring(doc, 1, length(doc) div 2)"))
-    return d.select(F.explode(F.array_compact(F.array(F.col("doc"), half))).alias("value"))
+def write_document_files(cat: Catalog, folder: str) -> None:
+    """Map documents as exported: one (pretty-printed, so multi-line) JSON document per file, below a folder named
+    after it. Beside sound and invalid documents there are files cut off in the middle, blank ones, ones that hold
+    no document and documents without rounds."""
+    d = hltv_map_docs(cat).select(F.get_json_object("doc", "$.id").cast("long").alias("id"), F.get_json_object("doc", "$.map").alias("map"),
+                                  F.to_json(F.from_json("doc", MAP_DOCUMENT), {"pretty": "true"}).alias("text"))
+    other = lambda kind, when, text: F.when(when, F.struct(F.concat(F.lit(f"{kind}-"), F.col("id").cast("string")).alias("document"),
+                                                          text.alias("text")))
+    sound = F.col("id") >= 0  # the second documents of some maps have negative ids
+    files = F.array_compact(F.array(
+        F.struct(F.concat(F.lit("map-"), F.col("id").cast("string")).alias("document"), F.col("text").alias("text")),
+        other("cut", sound & (F.col("map") == "Map5"), F.expr("substring(text, 1, length(text) div 2)")),
+        other("blank", sound & (F.col("map") == "Map2"), F.lit("  ")),
+        other("list", sound & (F.col("map") == "Map1"), F.lit("[1, 2]")),
+        other("bare", sound & (F.col("map") == "Map0"), F.concat(
+            F.lit('{"id": 1, "matchId": 2, "map": "m", "date": 3,\n "team1": {"id": 4}, "team2": {"id": 5}, "roundHistory": []}')))))
+    d.select(F.explode(files).alias("f")).select("f.document", F.col("f.text").alias("value")) \
+        .write.option("maxRecordsPerFile", 1).partitionBy("document").text(folder)
 
 
 def pandascore_player_docs(cat: Catalog) -> DataFrame:
@@ -241,6 +256,91 @@ def liquipedia_team_docs(cat: Catalog) -> DataFrame:
                     F.to_json(F.struct(F.array(item).alias("result"))).alias("doc"))
 
 
+def _page(entity: str, *records: F.Column) -> list[F.Column]:
+    """A Liquipedia page of records (structs of any fields), as JSON text."""
+    texts = F.array_join(F.array_compact(F.array(*[F.to_json(r) for r in records])), ",")
+    return [F.lit("liquipedia").alias("source"), F.lit(entity).alias("entity"), F.concat(F.lit('{"result":['), texts, F.lit("]}")).alias("doc")]
+
+
+def liquipedia_docs(cat: Catalog) -> DataFrame:
+    """Liquipedia pages of all five entities. Numbers arrive as numbers or text, fields may be absent or empty,
+    and some pages have a record that lacks what its entity requires."""
+    key = F.col("player_id").cast("long")
+    p = raw.raw_player_rows(cat).where(F.col("match_id").isNull())
+    players = p.select(*_page("player", F.struct(
+        F.concat(F.lit("lp_player_"), F.col("player_id")).alias("pagename"), F.col("display_name").alias("id"), F.lit(7).alias("extra"),
+        F.when(key % 3 == 0, F.concat(F.lit("lp_"), (key % 50).cast("string"))).alias("teampagename"),
+        F.when(key % 4 == 0, F.lit("Nowhere")).alias("nationality")),
+        F.when(key % 9 == 0, F.struct(F.concat(F.lit("no_handle_"), F.col("player_id")).alias("pagename")))))
+    m, number = raw.raw_matches(cat, "csapi"), F.col("match_id").cast("long")
+    team = lambda c: F.concat(F.lit("lp_"), F.col(c))
+    matches = m.select(*_page("match", F.struct(
+        number.alias("match2id"), F.when(number % 9 == 0, F.lit("")).otherwise(team("team_a_id")).alias("team1"),
+        F.when(number % 8 != 0, team("team_b_id")).alias("team2"), team("winner_id").alias("winner"),
+        F.when(number % 10 != 0, F.col("played_at")).alias("date"), F.col("map_name").alias("tournament")),
+        F.when(number % 7 == 0, F.struct(F.lit("a").alias("team1"), F.lit("b").alias("team2")))))
+    o = cat.table("orders").groupBy(F.trunc("o_orderdate", "month").cast("date").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(28,2)")).alias("total"))
+    cup, even = F.date_format("month", "'cup_'yyyy_MM"), F.month("month") % 2 == 0
+    tournaments = o.select(*_page("tournament", F.struct(
+        cup.alias("pagename"), F.concat(F.lit("Cup of "), F.date_format("month", "yyyy-MM")).alias("name"),
+        F.date_format("month", "yyyy-MM-dd").alias("startdate"), F.when(even, F.date_format(F.last_day("month"), "yyyy-MM-dd")).alias("enddate"),
+        F.when(even, F.col("total").cast("long")).alias("prizepool"), F.when(F.col("n") % 2 == 0, F.lit("S")).otherwise(F.lit("A")).alias("tier")),
+        F.when(even, F.struct(F.lit("nameless").alias("pagename")))))
+    li = cat.table("lineitem").groupBy(F.trunc("l_shipdate", "month").cast("date").alias("month"), "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    place = F.when(n <= 2, n.cast("string")).when(n <= 4, F.lit("3-4")).when(n <= 8, F.lit(" 5 - 8 ")).otherwise(F.lit("DNF"))
+    placements = li.select(*_page("placement", F.struct(
+        F.concat(F.lit("place_"), cup, F.lit("_"), F.col("l_suppkey").cast("string")).alias("pagename"),
+        F.when(F.col("l_suppkey") % 6 != 0, cup).alias("tournament"), place.alias("place"),
+        F.concat(F.lit("lp_"), F.col("l_suppkey").cast("string")).alias("team"))))
+    parts = [liquipedia_team_docs(cat), players, matches, tournaments, placements]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cached_match_docs(cat: Catalog) -> DataFrame:
+    """Cached match documents: player statistics per map, team and side, and over the match. A document has two maps; the
+    second of every third was not loaded (an error instead of statistics), that of every eleventh has text in their place."""
+    r = raw.raw_csapi_player_stats(cat).select(
+        F.col("match_id").cast("long").alias("id"), F.col("player_id").cast("long").alias("player"), "display_name",
+        F.col("team_id").cast("long").alias("team"), F.col("kills").cast("long").alias("k"), F.col("deaths").cast("long").alias("d"),
+        "adr", "kast", "rating")
+    k, d, player = F.col("k"), F.col("d"), F.col("player")
+
+    def on_map(kills: F.Column) -> F.Column:
+        return F.struct(
+            player.alias("playerId"), F.col("display_name").alias("nickname"), F.when(player % 4 != 0, F.lit("Nowhere")).alias("country"),
+            (k % 7).alias("openingKills"), (d % 5).alias("openingDeaths"), ((k % 7) / 2).alias("ecoOpeningKills"),
+            ((d % 5) / 2).alias("ecoOpeningDeaths"), F.when(k % 2 == 1, k % 3).alias("multiKillRounds"), F.col("kast").alias("kast"),
+            (F.col("kast") / 2).alias("ecoKast"), F.when(d % 2 == 0, k % 4).alias("clutchesWon"), kills.alias("kills"),
+            F.floor(kills / 3).alias("headshots"), (kills / 4).alias("ecoKills"), F.lit(None).cast("long").alias("ecoHeadshots"),
+            (k % 6).alias("assists"), (k % 2).alias("flashAssists"), d.alias("deaths"), F.floor(d / 4).alias("tradedDeaths"),
+            (d / 2).alias("ecoDeaths"), F.lit(0).alias("ecoTradedDeaths"), F.col("adr").alias("adr"), (F.col("adr") / 2).alias("ecoAdr"),
+            F.lit(1.5).alias("swing"), F.col("rating").alias("rating"))
+
+    over_match = F.struct(
+        F.when(player % 13 != 0, player).alias("playerId"), F.col("display_name").alias("nickname"), F.lit("Nowhere").alias("country"),
+        (2 * k).alias("kills"), (2 * d).alias("deaths"), (k / 2).alias("ecoKills"), (d / 2).alias("ecoDeaths"), F.lit(-0.5).alias("swing"),
+        F.col("adr").alias("adr"), (F.col("adr") / 2).alias("ecoAdr"), F.col("kast").alias("kast"), (F.col("kast") / 2).alias("ecoKast"),
+        F.col("rating").alias("rating"))
+    first = F.col("team") % 2 == 0
+    half = F.floor(k / 2)
+    # Line items of one order: a handful.
+    of = lambda team, value: F.collect_list(F.when(team, value))
+    g = r.groupBy("id").agg(*[of(team, value).alias(f"{name}_{side}") for name, team in (("team1", first), ("team2", ~first))
+                              for side, value in (("combined", on_map(k)), ("t", on_map(half)), ("ct", on_map(k - half)), ("match", over_match))])
+    sides = lambda team: F.struct(F.col(f"{team}_combined").alias("combined"),
+                                  F.when(F.col("id") % 2 == 0, F.col(f"{team}_t")).alias("t"), F.col(f"{team}_ct").alias("ct"))
+    head = lambda n: [(F.col("id") * 10 + n).alias("mapstatsId")]
+    stats = F.struct(sides("team1").alias("team1"), sides("team2").alias("team2")).alias("playerStats")
+    whole = lambda n: F.to_json(F.struct(*head(n), F.lit(f"Map{n}").alias("map"), stats))
+    second = F.when(F.col("id") % 3 == 0, F.to_json(F.struct(*head(2), F.lit("hltv_500").alias("error")))) \
+        .when(F.col("id") % 11 == 0, F.to_json(F.struct(*head(2), F.lit("n/a").alias("playerStats")))).otherwise(whole(2))
+    doc = F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit(',"maps":['), whole(1), F.lit(","), second, F.lit('],"matchAggregateStats":'),
+                   F.to_json(F.struct(F.col("team1_match").alias("team1"), F.col("team2_match").alias("team2"))), F.lit("}"))
+    return g.select(F.lit("hltv").alias("source"), F.lit("match").alias("entity"), doc.alias("doc"))
+
+
 def csapi_stats_docs(cat: Catalog) -> DataFrame:
     """Statistics documents of matches, one per match and team of the raw player rows. The wanted
     block goes by id or by name, and some blocks leave the team to the match. Every document

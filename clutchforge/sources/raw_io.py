@@ -29,6 +29,13 @@ def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return there.withColumn("path", plain("path")).join(seen.withColumn("path", plain("path")), "path", "left_anti")
 
 
+def whole_files(spark: SparkSession, path: str, glob: str = "*", text: str = "doc") -> DataFrame:
+    """One row per file below ``path``: its ``file_path`` and all its text. (Spark's readers
+    pass over files of no bytes, so these have no row.)"""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("path").alias("file_path"), F.decode("content", "UTF-8").alias(text))
+
+
 def freshness(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and newest file time of each table (file metadata column of the scan)."""
     parts = []

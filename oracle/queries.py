@@ -406,13 +406,66 @@ from (select map_stats_id, max(event_id) as event_id, max(map_name) as map_name,
       from raw_hltv_round_history group by map_stats_id)
 group by event_id
 """)
-sql("entity_counts", """
-select 'faceit' as source, 'match' as entity, count(*) as documents from raw_matches_all where source = 'faceit'
-union all select 'pandascore', 'match', count(*) from raw_matches_all where source = 'pandascore'
-union all select 'csapi', 'ranking', count(distinct (ranking_date, world_ranking is null, coalesce(world_ranking, team_id::bigint) // 500))
+_LP_PLAYERS = "(select distinct player_id::bigint as k, display_name from raw_player_rows where match_id is null)"
+_LP_MONTHS = "(select date_trunc('month', o_orderdate)::date as month, count(*) as n, sum(o_totalprice::decimal(28, 2)) as total from orders group by 1)"
+_LP_PLACES = "(select date_trunc('month', l_shipdate)::date as month, l_suppkey as k, count(*) as n from lineitem group by all)"
+sql("entity_counts", f"""
+select 'faceit' as source, 'match' as entity, count(*) as documents, null::bigint as records from raw_matches_all where source = 'faceit'
+union all select 'pandascore', 'match', count(*), null from raw_matches_all where source = 'pandascore'
+union all select 'csapi', 'ranking', count(distinct (ranking_date, world_ranking is null, coalesce(world_ranking, team_id::bigint) // 500)), null
   from raw_csapi_team_rankings
-union all select 'faceit', 'match_stats', count(distinct match_id) from raw_player_rows where source = 'faceit' and match_id is not null
-union all select 'hltv', 'mapstats', count(distinct map_stats_id) from raw_hltv_round_history
+union all select 'faceit', 'match_stats', count(distinct match_id), null from raw_player_rows where source = 'faceit' and match_id is not null
+union all select 'hltv', 'mapstats', count(distinct map_stats_id), null from raw_hltv_round_history
+union all select 'hltv', 'match', count(distinct match_id), null from raw_csapi_player_stats
+union all select 'liquipedia', 'team', count(*), count(*) from raw_liquipedia_teams
+union all select 'liquipedia', 'player', count(*), count(*) from {_LP_PLAYERS}
+union all select 'liquipedia', 'match', count(*), count(*) from raw_matches_all where source = 'csapi'
+union all select 'liquipedia', 'tournament', count(*), count(*) from {_LP_MONTHS}
+union all select 'liquipedia', 'placement', count(*), count(*) from {_LP_PLACES}
+""")
+sql("norm_liquipedia_players", f"""
+select 'lp_player_' || k as player_id, 'liquipedia' as source, display_name, case when k % 3 = 0 then 'lp_' || k % 50 end as team_id,
+  case when k % 4 = 0 then 'Nowhere' end as nationality, '2026-05-04T00:00:00' as recorded_at
+from {_LP_PLAYERS}
+""")
+sql("norm_liquipedia_matches", """
+select match_id, 'liquipedia' as source, case when match_id::bigint % 9 = 0 then 'unknown' else 'lp_' || team_a_id end as team_a_id,
+  case when match_id::bigint % 8 = 0 then 'unknown' else 'lp_' || team_b_id end as team_b_id, 'lp_' || winner_id as winner_id,
+  case when match_id::bigint % 10 = 0 then 'unknown' else played_at end as played_at
+from raw_matches_all where source = 'csapi'
+""")
+sql("liquipedia_placements", f"""
+with cups as (select strftime(month, 'cup_%Y_%m') as key, 'Cup of ' || strftime(month, '%Y-%m') as tournament_name,
+    if(n % 2 = 0, 'S', 'A') as tier, month as start_date, if(month(month) % 2 = 0, last_day(month), null) as end_date,
+    if(month(month) % 2 = 0, trunc(total), null)::double as prize_pool from {_LP_MONTHS}),
+places as (select strftime(month, 'cup_%Y_%m') as cup, * from {_LP_PLACES})
+select 'place_' || cup || '_' || k as page, p.tournament, 'lp_' || k as team, p.place, p.best_place::int as best_place,
+  p.worst_place::int as worst_place, tournament_name, tier, start_date, end_date, prize_pool
+from (select *, if(k % 6 <> 0, cup, null) as tournament,
+    case when n <= 2 then n::varchar when n <= 4 then '3-4' when n <= 8 then ' 5 - 8 ' else 'DNF' end as place,
+    case when n <= 2 then n when n <= 4 then 3 when n <= 8 then 5 end as best_place,
+    case when n <= 2 then n when n <= 4 then 4 when n <= 8 then 8 end as worst_place from places) p
+left join cups on cups.key = p.tournament
+""")
+_CACHED = """(select match_id::bigint as id, player_id::bigint as player, display_name, team_id::bigint as team, kills::bigint as k,
+    deaths::bigint as d, adr, kast, rating from raw_csapi_player_stats)"""
+sql("side_stats_flatten", f"""
+select id::varchar as match_id, (id * 10 + n)::varchar as map_stats_id, 'Map' || n as map_name, if(team % 2 = 0, 'team1', 'team2') as team, side,
+  player::varchar as player_id, display_name as nickname, if(player % 4 <> 0, 'Nowhere', null) as country, (k % 7)::double as opening_kills,
+  (d % 5)::double as opening_deaths, (k % 7) / 2 as eco_opening_kills, (d % 5) / 2 as eco_opening_deaths,
+  if(k % 2 = 1, k % 3, 0)::double as multi_kill_rounds, kast, kast / 2 as eco_kast, if(d % 2 = 0, k % 4, 0)::double as clutches_won,
+  here::double as kills, (here // 3)::double as headshots, here / 4 as eco_kills, null::double as eco_headshots, (k % 6)::double as assists,
+  (k % 2)::double as flash_assists, d::double as deaths, (d // 4)::double as traded_deaths, d / 2 as eco_deaths, 0::double as eco_traded_deaths,
+  adr, adr / 2 as eco_adr, 1.5::double as swing, rating
+from (select *, case side when 't' then k // 2 when 'ct' then k - k // 2 else k end as here
+      from {_CACHED}, (values (1), (2)) maps(n), (values ('combined'), ('t'), ('ct')) sides(side))
+where (n = 1 or (id % 3 <> 0 and id % 11 <> 0)) and (side <> 't' or id % 2 = 0)
+""")
+sql("match_player_stats", f"""
+select id::varchar as match_id, if(team % 2 = 0, 'team1', 'team2') as team, player::varchar as player_id, display_name as nickname,
+  'Nowhere' as country, (2 * k)::double as kills, (2 * d)::double as deaths, k / 2 as eco_kills, d / 2 as eco_deaths, -0.5::double as swing,
+  adr, adr / 2 as eco_adr, kast, kast / 2 as eco_kast, rating
+from {_CACHED} where player % 13 <> 0
 """)
 sql("parse_pipe_table", "select * from regional_standings")
 sql("attach_first_rank", """
@@ -582,9 +635,14 @@ select source, true as contract_ok, count(*) as n from raw_matches_all where sou
 group by source
 """)
 sql("scan_documents", """
-select cast(split_part(map_stats_id, '-', 1) as bigint) * 1000 + cast(split_part(map_stats_id, '-', 2) as bigint) as map_id,
-  max(map_name) as map_name, cast(count(*) as int) as rounds, true as has_file_path
-from raw_hltv_round_history group by map_stats_id
+with m as (select split_part(map_stats_id, '-', 1)::bigint * 1000 + split_part(map_stats_id, '-', 2)::bigint as id, max(map_name) as map,
+  count(*)::int as n from raw_hltv_round_history group by map_stats_id)
+select 'map-' || id as document, 'valid' as verdict, id as map_id, n as rounds from m
+union all select 'map-' || -id, 'invalid', null, 0 from m where map in ('Map3', 'Map4', 'Map6')
+union all select 'cut-' || id, 'malformed', null, 0 from m where map = 'Map5'
+union all select 'blank-' || id, 'malformed', null, 0 from m where map = 'Map2'
+union all select 'list-' || id, 'malformed', null, 0 from m where map = 'Map1'
+union all select 'bare-' || id, 'empty', null, 0 from m where map = 'Map0'
 """)
 sql("norm_players", """
 select cast(cast(player_id as bigint) as varchar) as player_id, 'pandascore' as source, display_name, team_id,

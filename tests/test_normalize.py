@@ -171,11 +171,61 @@ def test_rounds_are_judged_per_document(spark):
     assert got == [(1, 1, 0), (1, 1, 0), (2, 1, 1), (2, 1, 1)]
 
 
+def test_every_file_has_a_verdict(spark, tmp_path):
+    from clutchforge.sources import raw_io
+    files = {"ok.json": json.dumps(HLTV_DOC, indent=2), "cut.json": json.dumps(HLTV_DOC, indent=2)[:200], "nothing.json": "", "blank.json": " \n ",
+             "list.json": "[1]", "word.json": "null", "text_id.json": json.dumps(dict(HLTV_DOC, id={"a": 1})),
+             "no_team.json": json.dumps(dict(HLTV_DOC, team1=None)), "no_rounds.json": json.dumps(dict(HLTV_DOC, roundHistory=[])),
+             "null_rounds.json": json.dumps(dict(HLTV_DOC, roundHistory=None)), "below/deeper.json": json.dumps(dict(HLTV_DOC, extra=[1])),
+             "bad_round.json": json.dumps(dict(HLTV_DOC, roundHistory=[*HLTV_DOC["roundHistory"], {"round": 27, "winner": 9, "outcome": "?"}]))}
+    (tmp_path / "below").mkdir()
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    docs = N.judged_maps(raw_io.whole_files(spark, str(tmp_path), "*.json"))
+    got = {r.file_path.rsplit("/", 1)[1]: r.verdict for r in docs.select("file_path", "verdict").collect()}
+    assert got == {"ok.json": "valid", "cut.json": "malformed", "blank.json": "malformed", "list.json": "malformed",
+                   "word.json": "malformed", "text_id.json": "malformed", "no_team.json": "invalid", "no_rounds.json": "empty",
+                   "null_rounds.json": "empty", "deeper.json": "valid", "bad_round.json": "invalid"}
+
+
+def test_cached_matches_reject_map_by_map(spark):
+    full = {"playerId": 7, "nickname": "x", "kills": 3, "headshots": 1, "rating": 1.5, "swing": None, "unknown": [1]}
+    maps = [{"mapstatsId": 1, "map": "Nuke", "playerStats": {"team1": {"combined": [full, None], "t": [full]}, "team2": {"ct": [dict(full, playerId=None)]}}},
+            {"mapstatsId": 2, "error": "hltv_500"}, {"mapstatsId": 3, "playerStats": "n/a"}, {"mapstatsId": 4, "playerStats": None}, None,
+            {"mapstatsId": 5, "playerStats": {"team2": {"combined": [dict(full, multiKillRounds=2)]}}}]
+    docs = [{"id": 9, "maps": maps, "matchAggregateStats": {"team1": [{"playerId": 7, "kills": 8, "ecoAdr": 1}], "team2": [None, {"nickname": "no id"}]}},
+            {"id": 10, "maps": None}, {"id": 11, "maps": [{"mapstatsId": 6, "error": "x"}], "matchAggregateStats": None}]
+    rows = N.side_players(_docs(spark, docs)).collect()
+    assert len(rows[0]) == 5 + 25
+    assert sorted((r.match_id, r.map_stats_id, r.team, r.side, r.player_id, r.kills, r.multi_kill_rounds, r.swing) for r in rows) == [
+        ("9", "1", "team1", "combined", "7", 3.0, 0.0, None), ("9", "1", "team1", "t", "7", 3.0, 0.0, None),
+        ("9", "5", "team2", "combined", "7", 3.0, 2.0, None)]
+    assert [(r.match_id, r.team, r.player_id, r.kills, r.eco_adr, r.rating) for r in N.match_players(_docs(spark, docs)).collect()] == [
+        ("9", "team1", "7", 8.0, 1.0, None)]
+
+
+def test_liquipedia_records_by_entity(spark):
+    pages = [("player", {"result": [{"pagename": "p", "id": 7, "name": None}, {"pagename": "no handle"}, None]}),
+             ("match", {"result": [{"match2id": "m", "team1": "", "winner": "w", "date": None}, {"team1": "a"}]}),
+             ("tournament", {"result": [{"pagename": "c", "name": "Cup", "prizepool": 1000.5, "startdate": "2024-01-02", "tier": None}, {"pagename": "x"}]}),
+             ("placement", {"result": [{"pagename": "q", "tournament": "c", "place": "3-4"}, {"pagename": "r", "place": 1, "tournament": "z"}]}),
+             ("team", {"result": []}), ("team", {"error": "limit"}), ("other", {"result": [{"pagename": "q", "name": "n", "id": 1, "match2id": 2}]})]
+    df = spark.createDataFrame([(e, json.dumps(d)) for e, d in pages] + [("team", "no json"), ("team", None)], "entity string, doc string")
+    records = N.liquipedia_records(df)
+    assert records.groupBy("entity").count().count() == 4
+    assert [tuple(r) for r in N.liquipedia_players(records, "now").collect()] == [("p", "liquipedia", "7", None, None, "now")]
+    assert [tuple(r) for r in N.liquipedia_matches(records).collect()] == [("m", "liquipedia", "unknown", "unknown", "w", "unknown")]
+    assert N.liquipedia_teams(records).count() == 0
+    got = {r.page: (r.best_place, r.worst_place, r.tournament_name, r.prize_pool) for r in N.liquipedia_placements(records).collect()}
+    assert got == {"q": (3, 4, "Cup", 1000.5), "r": (1, 1, None, None)}
+
+
 def test_documents_are_parsed_once(spark):
     """However many filters, lambdas and columns look into a document, its JSON is parsed once."""
     docs = _docs(spark, [HLTV_DOC])
-    lines = docs.withColumnRenamed("doc", "value")
+    pages = docs.withColumn("entity", F.lit("team"))
     for df in (N.hltv_rounds(docs, "2026-01-01T00:00:00"), N.csapi_player_stats(docs), N.start_sides(docs), N.faceit_matches(docs),
                N.pandascore_matches(docs), N.csapi_matches(docs), N.ranking_rows(docs), N.faceit_stat_players(docs),
-               N.pandascore_players(docs), N.scan_documents(lines, N.HLTV_MAP, ("id", "team1", "map"))):
+               N.pandascore_players(docs), N.judged_maps(docs), N.side_players(docs), N.match_players(docs),
+               N.liquipedia_teams(N.liquipedia_records(pages))):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
