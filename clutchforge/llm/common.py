@@ -19,7 +19,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Ship this package to the Python workers; Arrow batches stay small however long the texts are."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 

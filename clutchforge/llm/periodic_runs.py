@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITESPACE, prepare, split_words, table, text_rows
+from .workers import tidy
 
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
@@ -237,6 +238,7 @@ def detector(min_length: int = MIN_LENGTH, min_exponent: int = MIN_EXPONENT):
     """UDF: the words, runs and collapsed text of a text column."""
 
     @F.pandas_udf(f"n_words long, runs {RUNS}, collapsed string")
+    @tidy
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             counts, found, short = [], [], []

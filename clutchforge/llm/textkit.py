@@ -104,7 +104,7 @@ def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[at]), bounds
 
 
-def pieces(texts: list, limit: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
+def pieces(texts: list, limit: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
     """(position, texts) in turns of about ``limit`` characters; null is empty."""
     held, size, first = [], 0, 0
     for i, t in enumerate(texts):

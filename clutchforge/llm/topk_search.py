@@ -40,6 +40,7 @@ from pyspark.sql.window import Window
 
 from .common import materialise, prepare, scratch, table
 from .vectors import FAR, LONG_MAX, finite_vectors, longest, matrix, scaled_floor
+from .workers import tidy
 
 SCALE = 256
 BITS = 7            # slices of an attribute
@@ -69,6 +70,7 @@ def build_block(ids: np.ndarray, named: np.ndarray, x: np.ndarray, bits: int) ->
 
 
 def _block_builder(dims: int, scale: int, bits: int, block_rows: int):
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -236,6 +238,7 @@ def boundary_rows(block: Block, query: Query, own: np.ndarray, k: int, bits: int
 def _searcher(shared, dims: int, k: int, bits: int):
     """Tasks: the k best rows of the task's blocks for every query of the part."""
 
+    @tidy
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries = [(number, vec_id, Query(np.frombuffer(x, "<i8"))) for number, vec_id, x in shared.value]
         best: list[list[tuple[int, bool, int]]] = [[] for _ in queries]  # (-score, id is null, id), ascending
@@ -265,6 +268,7 @@ def _searcher(shared, dims: int, k: int, bits: int):
 
 def _query_rows(dims: int):
     """Index rows to one row per vector: vec_id and its integers."""
+    @tidy
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.itertuples(index=False):

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, prepare, table
 from .vectors import LONG_MAX, finite_vectors, longest, matrix, scaled_floor
+from .workers import tidy
 
 SCALE = 1024
 OFFSET = 100000
@@ -78,6 +79,7 @@ def _as_decimals(values: list[int]) -> pa.Array:
 
 
 def _sum_rows(dims: int, scale: int, offset: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums = 0, [0] * dims
         for batch in batches:
@@ -93,6 +95,7 @@ def _sum_rows(dims: int, scale: int, offset: int):
 def _scatter_rows(dims: int, scale: int, offset: int, centre: list[int]):
     upper = np.triu_indices(dims)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(upper[0]), dtype=object)
         seen = False
@@ -223,6 +226,7 @@ def project(x: np.ndarray, model: Model) -> tuple[np.ndarray, list[int | None]]:
 def _whitener(model: Model, dims: int, scale: int, offset: int):
     schema = pa.schema([("vec_id", pa.int64()), ("deviation", pa.int64()), ("w", pa.list_(pa.float64()))])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w, deviations = project(integers(batch.column("v"), dims, scale, offset), model)
