@@ -37,9 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import materialise, prepare, scratch, table, text_rows
 from .files import open_fs, write_whole
+from .workers import tidy
 
 FRAME_IDS = 1 << 18
-CACHE_WORDS = 1 << 19
+CACHE_BYTES = 48 << 20  # of a generation of remembered segments; an encoder keeps four at most
+ENTRY_BYTES = 180       # of a segment besides its letters and ids
+KNOWN_MARKS, LONG_MARKS = 1 << 13, 16  # marks that are remembered, and letters of the longest
 MARKS, LATIN = ".,!?;:", "\u0250"  # letters below LATIN are the same to Python and to the tokenizer
 END_ID = 0
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed by the seekable format
@@ -53,12 +56,12 @@ BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 
 
 class _Segments(dict):
-    """Ids of segments, made on first use; two generations of at most CACHE_WORDS are kept."""
+    """Ids of segments, made on first use; two generations of about ``CACHE_BYTES`` are kept."""
 
     def __init__(self, tokenizer, before: str):
         super().__init__()
         self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
-        self.old, self.known_marks = {}, {}
+        self.old, self.known_marks, self.bytes = {}, {}, 0
 
     def __missing__(self, word: str) -> bytes | None:
         ids = self.old.get(word)
@@ -70,6 +73,11 @@ class _Segments(dict):
             elif not word[0].isspace() and not word[-1].isspace():
                 # (Next to other white space a segment is not encoded by itself.)
                 ids = _packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
+        self.bytes += ENTRY_BYTES + len(word) + len(ids or b"")
+        if self.bytes > CACHE_BYTES:  # the new generation is full: it takes the place of the old one
+            self.old = dict(self)
+            self.clear()
+            self.bytes = 0
         self[word] = ids
         return ids
 
@@ -79,17 +87,14 @@ class _Segments(dict):
         return _packed([t.id for t in self.model.tokenize(written)])
 
     def marks(self, text: str) -> bytes:
-        if len(self.known_marks) > CACHE_WORDS:
-            self.known_marks.clear()
+        if len(text) > LONG_MARKS:
+            return self.piece(text)
         if text not in self.known_marks:
+            if len(self.known_marks) >= KNOWN_MARKS:
+                self.known_marks.clear()
             self.known_marks[text] = self.piece(text)
         return self.known_marks[text]
 
-    def age(self) -> None:
-        if len(self) > CACHE_WORDS:
-            self.old = dict(self)
-            self.clear()
-
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -120,21 +125,9 @@ class Encoder:
                 out.append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
             else:
                 out.append(b"".join(parts[1:]))
-        self.first.age()
-        self.rest.age()
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One per worker process and tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def pack(docs: list[tuple[int | None, bytes]]) -> bytes:
     """The payload of a frame: ids, null marks, lengths, then all token ids."""
     n = len(docs)
@@ -220,8 +213,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     """Write every document under ``folder``; one row per file: part, file, documents, ids."""
     end = np.array([end_id], "<u4").tobytes()
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
+        part, enc = TaskContext.get().partitionId(), Encoder(tokenizer)  # the task's own: it goes with the task
         name, n_docs, writers = f"{folder}/part-{part:06d}.tokens.zst", 0, []
 
         def fill(out) -> None:
@@ -256,6 +250,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
 
 def read_tokens(files: DataFrame) -> DataFrame:
     """Every document of the files: doc_id, start, n_tokens, ids_crc32."""
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for file, base in zip(pdf["file"], pdf["start"]):
