@@ -12,9 +12,10 @@ among those of the items, and only runs of known ones that are long enough for
 a window are streamed (every occurrence lies inside such a run), word for word,
 so hash collisions cannot make a hit.
 
-The items are a stated set; they are broadcast in blocks of about
-``BLOCK_WORDS`` words, one pass over the documents each, and every worker builds the
-block's automaton once. Documents are never shuffled (with several blocks, only hits are).
+The items are a stated set; they are read and broadcast in blocks of about
+``BLOCK_WORDS`` words, one after the other, with one pass over the documents each; every
+task builds the block's automaton and frees it at its end. Documents are never shuffled (with
+several blocks, only hits are).
 
 ``clean`` removes the spans whose match is longer than ``max_match`` words, and drops
 documents of which more than ``max_coverage`` is hit.
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import functools
 import math
-import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from . import textkit
 from ..operators.joins import broadcast_if_small
-from .common import materialise, prepare, table, text_rows
+from .common import alnum_words, materialise, prepare, table, text_rows
+from .workers import tidy
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -219,25 +220,15 @@ def merge_spans(lists) -> list[int]:
     return flat
 
 
-_BUILT: dict[str, Index] = {}
-
-
-def _index(key: str, shared, window: int) -> Index:
-    """One per worker process; another block takes its place."""
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Index(shared.value, window)
-    return _BUILT[key]
-
-
 FOUND = "n_words long, spans array<int>, items array<string>"
 
 
-def finder(key: str, shared, window: int) -> Callable[[Column], Column]:
+def finder(shared, window: int) -> Callable[[Column], Column]:
     """A column of FOUND for a text column."""
     @F.pandas_udf(FOUND)
+    @tidy
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = _index(key, shared, window)
+        index = Index(shared.value, window)  # the task's own: it goes with the task
         for series in texts:
             out = []
             for _, part in textkit.pieces(series.tolist()):
@@ -248,11 +239,12 @@ def finder(key: str, shared, window: int) -> Callable[[Column], Column]:
     return find
 
 
-def cleaner(key: str, shared, window: int, max_match: int, max_coverage: float) -> Callable[[Column], Column]:
+def cleaner(shared, window: int, max_match: int, max_coverage: float) -> Callable[[Column], Column]:
     """The text without its long matches; null where more than ``max_coverage`` of the words is hit."""
     @F.pandas_udf("text string, changed boolean, dropped boolean")
+    @tidy
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = _index(key, shared, window)
+        index = Index(shared.value, window)  # the task's own: it goes with the task
         for series in texts:
             out = []
             for _, part in textkit.pieces(series.tolist()):
@@ -287,43 +279,72 @@ def cut_words(text: str, w: textkit.Words, cuts: list[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[tuple]:
-    """(key, broadcast (id, text) list) pairs, each of about BLOCK_WORDS words (one item at least)."""
-    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-                             F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
-    # Words are fewer than half of the characters, and one.
-    total = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
-    n = max(1, math.ceil(total / BLOCK_WORDS))
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    sc = benchmark.sparkSession.sparkContext
-    return [(uuid.uuid4().hex, sc.broadcast(sorted((r["id"], r["text"]) for r in items.filter(block == b).collect())))
-            for b in range(n)]
+class ItemBlocks:
+    """The items in blocks of about BLOCK_WORDS words. One block at a time is read to
+    the driver and broadcast; ``close`` takes it away from there and from the workers.
+
+    An item of more than twice as many words is dealt to blocks in parts that share ``overlap``
+    words, so that every window, and every match of up to ``overlap`` words, lies in one of them."""
+
+    def __init__(self, benchmark: DataFrame, overlap: int, id_col: str = "item_id", text_col: str = "text"):
+        items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
+                                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
+        # Words are fewer than half of the characters, and one.
+        most = F.octet_length("text") / 2 + 1
+        step = max(BLOCK_WORDS, overlap + 1)
+        if items.filter(most > 2 * step).isEmpty():
+            self.items = items
+        else:
+            words = items.filter(most > 2 * step).withColumn("w", alnum_words(F.col("text")))
+            starts = F.sequence(F.lit(0), F.greatest(F.size("w") - overlap - 1, F.lit(0)), F.lit(step))
+            parts = F.transform(starts, lambda at: F.array_join(F.slice("w", at + 1, F.lit(step + overlap)), " "))
+            parts = words.select("id", F.explode(parts).alias("text"))
+            self.items = materialise(items.filter(most <= 2 * step).unionByName(parts), "items")
+        total = self.items.agg(F.sum(most)).first()[0] or 0
+        self.count = max(1, math.ceil(total / BLOCK_WORDS))
+        self.sc = benchmark.sparkSession.sparkContext
+
+    def load(self, b: int):
+        """The broadcast of the (id, text) list of block ``b``."""
+        block = F.pmod(F.xxhash64("id", "text"), F.lit(self.count))
+        return self.sc.broadcast(sorted((r["id"], r["text"]) for r in self.items.filter(block == b).collect()))
+
+    def each(self, run: Callable[[object], DataFrame], tag: str) -> list[DataFrame]:
+        """What ``run`` makes of every block, written one after the other."""
+        out = []
+        for b in range(self.count):
+            shared = self.load(b)
+            out.append(materialise(run(shared), tag))
+            shared.destroy()
+        return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def spans_merger() -> Callable[[str], Column]:
+    @F.pandas_udf("array<int>")
+    def merged(lists: pd.Series) -> pd.Series:
+        return pd.Series([merge_spans(spans) for spans in lists])
+    return merged
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, spans (merged, in words), items (sorted ids)."""
-    blocks = item_blocks(benchmark)
+    blocks = ItemBlocks(benchmark, window)
     rows = text_rows(docs, id_col, text_col)
-    if len(blocks) == 1:
-        found = rows.select("doc_id", finder(*blocks[0], window)("text").alias("f"))
+    if blocks.count == 1:
+        found = rows.select("doc_id", finder(blocks.load(0), window)("text").alias("f"))
         return found.select("doc_id", "f.*")
     rows = rows.withColumn("uid", F.monotonically_increasing_id())
-    parts = [rows.select("uid", "doc_id", finder(*b, window)("text").alias("f")).select("uid", "doc_id", "f.*")
-             for b in blocks]
-    hits = None
-    for p in parts:
-        held = materialise(p.filter(F.size("spans") > 0).select("uid", "spans", "items"), "hits")
-        hits = held if hits is None else hits.unionByName(held)
-
-    @F.pandas_udf("array<int>")
-    def merged(lists: pd.Series) -> pd.Series:
-        return pd.Series([merge_spans(spans) for spans in lists])
-
+    hits = _union(blocks.each(lambda shared: rows.select("uid", finder(shared, window)("text").alias("f")).select("uid", "f.*")
+                              .filter(F.size("spans") > 0).select("uid", "spans", "items"), "hits"))
     both = hits.groupBy("uid").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items")) \
-        .select("uid", merged("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
-    empty = parts[0].select("uid", "doc_id", "n_words")
-    return empty.join(both, "uid", "left").select(
+        .select("uid", spans_merger()("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+    everyone = rows.select("uid", "doc_id", F.size(alnum_words(F.col("text"))).cast("long").alias("n_words"))
+    return everyone.join(both, "uid", "left").select(
         "doc_id", "n_words", F.coalesce("spans", F.array().cast("array<int>")).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
@@ -331,11 +352,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 HITS = "n_words long, spans array<int>, ends array<int>"
 
 
-def hits_finder(key: str, shared, window: int) -> Callable[[Column], Column]:
+def hits_finder(shared, window: int) -> Callable[[Column], Column]:
     """A column of HITS for a text column; ``ends`` are the places where windows end."""
     @F.pandas_udf(HITS)
+    @tidy
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = _index(key, shared, window)
+        index = Index(shared.value, window)  # the task's own: it goes with the task
         for series in texts:
             out = []
             for _, part in textkit.pieces(series.tolist()):
@@ -347,40 +369,32 @@ def hits_finder(key: str, shared, window: int) -> Callable[[Column], Column]:
     return find
 
 
-def lengths_finder(key: str, shared, window: int) -> Callable[[Column, Column], Column]:
+def lengths_finder(shared, window: int) -> Callable[[Column, Column], Column]:
     """A column of the longest matches with a block's items at the places ``ends`` of a text column."""
     @F.pandas_udf("array<int>")
+    @tidy
     def lengths(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        index = _index(key, shared, window)
+        index = Index(shared.value, window)  # the task's own: it goes with the task
         for texts, ends in columns:
             w = textkit.words(texts.tolist(), textkit.ALNUM)
             yield pd.Series(index.lengths(w, [e.tolist() for e in ends]), dtype=object)
     return lengths
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return functools.reduce(DataFrame.unionByName, parts)
-
-
-def _hits(texts: DataFrame, blocks: list[tuple], window: int) -> DataFrame:
+def _hits(texts: DataFrame, blocks: ItemBlocks, window: int) -> DataFrame:
     """uid, n_words, spans and ends (both of all blocks) of the rows (uid, text) that are hit."""
-    parts = [materialise(texts.select("uid", hits_finder(*b, window)("text").alias("f")).select("uid", "f.*")
-                         .filter(F.size("spans") > 0), "hits") for b in blocks]
-
-    @F.pandas_udf("array<int>")
-    def merged(lists: pd.Series) -> pd.Series:
-        return pd.Series([merge_spans(spans) for spans in lists])
-
+    parts = blocks.each(lambda shared: texts.select("uid", hits_finder(shared, window)("text").alias("f")).select("uid", "f.*")
+                        .filter(F.size("spans") > 0), "hits")
     return materialise(_union(parts).groupBy("uid").agg(
         F.first("n_words").alias("n_words"), F.collect_list("spans").alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("ends")))).alias("ends"))
-        .withColumn("spans", merged("spans")), "merged")
+        .withColumn("spans", spans_merger()("spans")), "merged")
 
 
-def _cut(rows: DataFrame, blocks: list[tuple], window: int, max_match: int) -> DataFrame:
+def _cut(rows: DataFrame, blocks: ItemBlocks, window: int, max_match: int) -> DataFrame:
     """uid and text of the rows (uid, text, spans, ends) that lose spans."""
     if max_match > 0:  # a longer match may be with the items of a block that has no window there
-        parts = [materialise(rows.select("uid", lengths_finder(*b, window)("text", "ends").alias("l")), "lengths") for b in blocks]
+        parts = blocks.each(lambda shared: rows.select("uid", lengths_finder(shared, window)("text", "ends").alias("l")), "lengths")
         longest = _union(parts).select("uid", F.posexplode("l").alias("at", "l")).groupBy("uid", "at").agg(F.max("l").alias("l")) \
             .filter(F.col("l") > max_match).groupBy("uid").agg(F.collect_list("at").alias("long"))
         rows = rows.join(longest, "uid").withColumn("long", F.transform("long", lambda i: F.col("ends")[i]))
@@ -406,7 +420,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_match
     the texts and documents hit over ``max_coverage`` dropped. ``chars_col``: a
     column with the texts' lengths, to follow. With several blocks ``docs`` must be read from files
     (row numbers tie the passes); every round runs all blocks over the rows the last one cut."""
-    blocks = item_blocks(benchmark)
+    blocks = ItemBlocks(benchmark, max(window, max_match + 1))
     free = (n for n in (f"_cleaned{i}" for i in range(len(docs.columns) + 2)) if n not in docs.columns)
     name = next(free)
 
@@ -416,8 +430,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_match
             new[chars_col] = F.when(changed, F.length(left).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
         return rows.withColumns(new)
 
-    if len(blocks) == 1:
-        out = docs.withColumn(name, cleaner(*blocks[0], window, max_match, max_coverage)(F.col(text_col).cast("string"))) \
+    if blocks.count == 1:
+        out = docs.withColumn(name, cleaner(blocks.load(0), window, max_match, max_coverage)(F.col(text_col).cast("string"))) \
             .filter(~F.col(f"{name}.dropped"))
         return renewed(out, F.col(f"{name}.changed"), F.col(f"{name}.text")).drop(name)
     numbered = docs.withColumn(name, F.monotonically_increasing_id())

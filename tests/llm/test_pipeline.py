@@ -24,7 +24,7 @@ def test_query_matches_sql(llm, name):
 
 def test_one_query_per_operator():
     names = [n.split("_")[0] for n in registry.queries()]
-    assert sorted(names) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(names) == sorted(f"op{k}" for k in range(1, 14))
     assert set(corpus_pipeline.queries()) == {"pipeline"}
 
 

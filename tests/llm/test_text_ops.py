@@ -54,14 +54,35 @@ def test_segments_give_the_ids_of_whole_texts(encoder, texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
 
 
-def test_cache_is_bounded(encoder, monkeypatch):
-    monkeypatch.setattr(token_output, "CACHE_WORDS", 50)
+def test_cache_is_bounded_inside_a_batch(encoder, monkeypatch):
+    monkeypatch.setattr(token_output, "CACHE_BYTES", 50 * (token_output.ENTRY_BYTES + 20))
+    monkeypatch.setattr(token_output, "KNOWN_MARKS", 5)
     own = token_output.Encoder(token_output.public_tokenizer())
-    texts = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(30)]
-    for t in texts:
-        own.encode([t])
-        assert len(own.rest) <= 70 and len(own.rest.old) <= 70
+    texts = [" ".join(f"w{k}x{j}" + ".!"[j % 2] * j for j in range(20)) for k in range(30)] + ["x" * 20_000 + " y", "a" + "!" * 9000]
     assert own.encode(texts) == encoder.encode(texts)
+    for cache in (own.rest, own.first):
+        assert len(cache) <= 50 and len(cache.old) <= 50 and len(cache.known_marks) <= 5
+
+
+def held_by_workers(spark, kind):
+    """How many objects of a class the Python workers hold that run the next tasks."""
+    def count(batches):
+        import gc
+        for pdf in batches:
+            yield pdf.assign(id=sum(type(o).__name__ == kind for o in gc.get_objects()))
+
+    return [r.id for r in spark.range(64).repartition(16).mapInPandas(count, "id long").distinct().collect()]
+
+
+def test_workers_keep_no_encoder(llm):
+    token_output.token_output(frame(llm, hard_rows())).count()
+    assert held_by_workers(llm, "Encoder") == [0]
+
+
+def test_workers_keep_no_index(llm):
+    benchmark = llm.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    assert decontaminate.clean(frame(llm, hard_rows()), benchmark).count() > 0
+    assert held_by_workers(llm, "SuffixAutomaton") == [0]
 
 
 def test_token_files(llm, encoder):
@@ -194,6 +215,33 @@ def test_blocks_do_not_change_what_is_cleaned(llm, monkeypatch, max_match, max_c
     assert got == want
 
 
+@pytest.mark.parametrize("max_match", [0, 25])
+def test_a_long_item_is_dealt_to_blocks(llm, monkeypatch, max_match):
+    r = random.Random(11)
+    long = [f"y{r.randrange(10 ** 6)}" for _ in range(2000)]
+    items = [(1, " ".join(long)), (2, "short item"), (3, " ".join(long[500:530]))]
+    rows = [(k, " ".join(["z"] * 9 + long[at:at + n] + ["z"] * 9), "s") for k, (at, n) in enumerate(
+        [(0, 10), (95, 10), (99, 26), (100, 30), (1970, 30), (1991, 9), (540, 300), (500, 30), (90, 27)])]
+    rows += [(50, "A short   item", "s"), (51, None, None), (52, "", "s")]
+    benchmark, docs = llm.createDataFrame(items, "item_id long, text string"), frame(llm, rows)
+    found = lambda: sorted((f.doc_id, f.n_words, list(f.spans), list(f["items"])) for f in
+                           decontaminate.find_contamination(docs, benchmark).collect())
+    clean = lambda: sorted((c.doc_id, c.text) for c in
+                           decontaminate.clean(docs, benchmark, max_match=max_match, max_coverage=1.0).collect() if c.text)
+    want = found(), clean()
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    assert decontaminate.ItemBlocks(benchmark, 10).count > 10
+    assert (found(), clean()) == want
+    assert sum(bool(s) for _, _, s, _ in want[0]) == 9
+
+
+def test_a_text_above_one_turn(llm):
+    benchmark = llm.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    long = "word " * 500_000 + "a b c d e f g h i j " + "word " * 9
+    got = decontaminate.find_contamination(frame(llm, [(1, long, "s"), (2, "a b c", "s")]), benchmark)
+    assert {r.doc_id: (r.n_words, list(r.spans)) for r in got.collect()} == {1: (500_019, [500_000, 500_010]), 2: (3, [])}
+
+
 # ------------------------------------------------------------------ WARC
 def test_warc_round_trip(llm):
     long = "<p>ä</p>" * 40
@@ -237,6 +285,106 @@ def _labelled(seed=1, n=240):
     return rows, labels
 
 
+def features_by_brute_force(text):
+    """A text's n-grams, each with its share, by kind."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    plain = [w.translate(LOWER) for w in words]
+    signs = lambda w: "".join("X" if "A" <= c <= "Z" else "x" if "a" <= c <= "z" or ord(c) > 127 else "9" if "0" <= c <= "9" else c
+                              for c in w)
+    shapes = [re.sub(r"(.)\1+", r"\1", signs(w)) for w in words]
+    out = []
+    for kind, of in enumerate((plain, shapes)):
+        for n in (1, 2):
+            grams = [tuple(of[k:k + n]) for k in range(len(of) - n + 1)]
+            for g in grams:
+                out.append(((kind, g), quality.SCALE / len(grams)))
+    return out
+
+
+def _by_place(places, values):
+    out = {}
+    for p, v in zip(places.tolist(), values.tolist()):
+        out[p] = out.get(p, 0.0) + v
+    return out
+
+
+NASTY = ["", "x", "THEY!! they?? 12 1234\n\nÄÖ  漢字字 ok", "a a a a b", " \t\n", "end\vof\rline\fhere Now", "AAA bbb" * 50]
+
+
+def test_features_by_brute_force():
+    """Equal grams share a place and different ones don't (but for rare chance); shares add up."""
+    place, value, row = quality.features(NASTY)
+    for t, text in enumerate(NASTY):
+        got = sorted(np.round(value[row == t], 12).tolist())
+        want = features_by_brute_force(text)
+        assert got == sorted(round(v, 12) for _, v in want)
+        shares = {}
+        for g, v in want:
+            shares[g] = shares.get(g, 0.0) + v
+        assert sorted(np.round(list(_by_place(place[row == t], value[row == t]).values()), 9)) == sorted(np.round(list(shares.values()), 9))
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 10 ** 6])
+def test_features_of_long_texts(limit):
+    r = random.Random(3)
+    texts = NASTY + [" ".join(r.choice(["Of", "to", "9", "x!!", "ü"]) + r.choice(["", "\n", "  "]) for _ in range(300)) for _ in range(3)]
+    for text in texts:
+        place, value, _ = quality.features([text])
+        want = _by_place(place, value)
+        got = _by_place(*quality.long_features(text, limit))
+        assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_ftrl_by_brute_force():
+    """The update rule of the method, weight by weight in plain Python."""
+    rows, labels = _labelled(n=40)
+    texts = [t for _, t, _ in rows] + ["", None]
+    marks = [x[1] for x in labels] + [1, 0]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.02
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - (l1 if zi > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    model = quality.Ftrl()
+    for _ in range(2):
+        model.learn(texts, marks)
+        for text, y in zip(texts, marks):
+            x = _by_place(*quality.features([text or ""])[:2])
+            x[1 << quality.BITS] = 1.0
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                step = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - step * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    got = model.weights()
+    assert model.rows == 84 and max(abs(got[i] - weight(i)) for i in z) < 1e-9
+    assert not got[[i for i in range(len(got)) if i not in z]].any()
+
+
+def test_training_streams_its_shards(llm, monkeypatch):
+    """A shard's rows in hash order, all epochs, batch by batch: the weights of learning them at once."""
+    rows, labels = _labelled(n=120)
+    table = llm.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    chosen = training_rows(frame(llm, rows + [(-5, "long " * 300_000, "s")]), table.union(llm.createDataFrame([(-5, 1, 0, "x")], table.schema)),
+                           "quality", 4, 2, 1000)
+    from pyspark.sql import functions as F
+    order = chosen.select("text", "label", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(3)).alias("s"),
+                          F.xxhash64(F.lit(4), "doc_id").alias("o")).orderBy("o").collect()
+    monkeypatch.setattr(quality, "SHARD_ROWS", -(-len(order) // 3))
+    parts = []
+    for s in range(3):
+        model = quality.Ftrl()
+        for _ in range(2):
+            model.learn([r.text for r in order if r.s == s], [r.label for r in order if r.s == s])
+        parts.append((model.weights().astype("<f4"), model.rows))
+    want = np.average([w for w, _ in parts], axis=0, weights=[n for _, n in parts])
+    assert np.allclose(quality.train(chosen, epochs=2), want, atol=1e-6)
+
+
 def _accuracy(got, labels, column):
     known = {x[0]: x[column] for x in labels}
     held = [g for g in got if g.held_out and g.doc_id in known]
