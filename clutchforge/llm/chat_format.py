@@ -5,11 +5,15 @@ backslash becomes ``\\b`` and ``<`` becomes ``\\l``, so no control string of the
 occur in them, and reading back undoes it exactly.
 
 Prefix sums of the turns' tokens (words of the text plus ``TURN_TOKENS`` for the
-template) cut a conversation into windows: a turn belongs to the window in
-whose stretch of ``budget - history`` tokens it starts, so spans are turn-aligned. Each window
-after the first repeats the conversation's opening system turn and the turns that end the
-previous window, as far as they fit into ``history`` tokens. A turn that passes the end of its
-stretch is kept whole; such a window is marked ``over_budget``.
+template) cut a conversation into turn-aligned windows. Each window after the first repeats the
+conversation's opening system turn; so ``budget - history`` less that turn is left for its own turns,
+and a window takes turns as long as their prefix sums stay within it. It also repeats the turns that end the
+previous window, as far as they fit into ``history`` tokens and the budget. So no window passes the
+budget, except that of a single turn that doesn't fit beside the system turn: it is kept whole and marked ``over_budget``.
+
+Windows are chosen by a fold over the prefix sums (numbers only) of a cell, the turns that start within
+``CELL_BUDGETS`` budgets of tokens, so that a conversation with very many turns is cut in many
+tasks; a window ends with its cell.
 
 The loss mask of a window lists the text spans (from, characters) of its own assistant
 turns; repeated turns are never in it, so each assistant text is a target once.
@@ -33,6 +37,7 @@ BUDGET = 1024
 HISTORY = 256
 TURN_TOKENS = 4
 BLOCK = 64
+CELL_BUDGETS = 64
 OPEN, ROLE_END, CLOSE = "<turn ", ">\n", "\n</turn>\n"
 
 
@@ -83,22 +88,45 @@ def _written(turns: Column) -> Column:
         F.lit(OPEN), escape_role(t["role"]), F.lit(ROLE_END), escape(t["text"]), F.lit(CLOSE)))
 
 
+def _placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """``turns`` with the tokens of their conversation's opening system turn (``lead``) and the ``window`` they
+    belong to, which is named by the tokens before its first turn."""
+    opens = (F.col("before") == 0) & (F.col("role") == "system")
+    leads = turns.filter(opens).select(F.col("conv_id").alias("c"), F.col("tokens").alias("lead"))
+    turns = turns.alias("t").join(leads.alias("l"), F.expr("t.conv_id <=> l.c"), "left") \
+        .select("t.*", F.coalesce("l.lead", F.lit(0).cast("long")).alias("lead")) \
+        .withColumn("cell", F.floor(F.col("before") / (CELL_BUDGETS * budget)))
+    room = F.greatest(F.lit(budget - history) - F.max("lead"), F.lit(0)).alias("room")
+    cells = turns.groupBy("conv_id", "cell").agg(
+        F.array_sort(F.collect_list(F.struct("before", "tokens"))).alias("sums"), room, F.max("lead").alias("lead"))
+
+    def step(acc: Column, t: Column) -> Column:
+        fits = acc["starts"].isNotNull() & (t["before"] + t["tokens"] - acc["from"] <= F.col("room"))
+        # The opening system turn takes no room: it has its own.
+        start = F.when(t["before"] == 0, F.col("lead")).otherwise(t["before"])
+        begun = F.concat(F.coalesce(acc["starts"], F.array().cast("array<bigint>")), F.array(t["before"]))
+        return F.struct(F.when(fits, acc["from"]).otherwise(start).alias("from"), F.when(fits, acc["starts"]).otherwise(begun).alias("starts"))
+
+    none = F.struct(F.lit(0).cast("long").alias("from"), F.lit(None).cast("array<bigint>").alias("starts"))
+    starts = cells.select("conv_id", "cell", F.aggregate("sums", none, step, lambda acc: acc["starts"]).alias("starts"))
+    return turns.alias("t").join(starts.alias("s"), F.expr("t.conv_id <=> s.conv_id and t.cell = s.cell")) \
+        .select("t.*", F.array_max(F.filter("s.starts", lambda x: x <= F.col("t.before"))).alias("window")).drop("cell")
+
+
 def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """One row per window: conv_id, window, text, loss (array of from, chars), tokens, repeated
     (turns at its start that are not its own), over_budget."""
-    stretch = budget - history
-    turns = materialise(_turns(conversations).withColumn("window", F.floor(F.col("before") / stretch)), "placed")
+    turns = materialise(_placed(_turns(conversations), budget, history), "placed")
     item = F.struct("before", "role", "text", "tokens")
     own = materialise(turns.groupBy("conv_id", "window").agg(
-        F.array_sort(F.collect_list(item)).alias("own")).withColumn("start", F.get("own", F.lit(0))["before"]), "own")
+        F.array_sort(F.collect_list(item)).alias("own"), F.sum("tokens").alias("size"), F.max("lead").alias("lead")), "own")
     # The window that follows each window, and how far back it reaches.
     after = Window.partitionBy("conv_id").orderBy("window")
-    next_ = own.select("conv_id", "window", "start").select(
-        "conv_id", "window", F.lead("window").over(after).alias("next"), F.lead("start").over(after).alias("at")) \
-        .filter("next is not null")
+    left = F.least(F.lit(history), F.lit(budget) - F.col("lead") - F.lead("size").over(after))
+    next_ = own.select("conv_id", "window", F.lead("window").over(after).alias("next"), left.alias("left")).filter("next is not null")
     tails = own.alias("o").join(next_.alias("n"), F.expr("o.conv_id <=> n.conv_id and o.window = n.window")).select(
         "o.conv_id", F.col("n.next").alias("window"),
-        F.filter("o.own", lambda t: (t["before"] >= F.col("n.at") - history)
+        F.filter("o.own", lambda t: (t["before"] >= F.col("n.next") - F.col("n.left"))
                  & ~((t["before"] == 0) & (t["role"] == "system"))).alias("tail"))
     system = turns.filter((F.col("before") == 0) & (F.col("role") == "system")) \
         .select("conv_id", F.array(item).alias("system"))
@@ -159,9 +187,9 @@ def op6_chat_format(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    stretch, mark = BUDGET - HISTORY, len(OPEN) + len(ROLE_END) + len(CLOSE)
+    mark, cell = len(OPEN) + len(ROLE_END) + len(CLOSE), CELL_BUDGETS * BUDGET
     return rf"""
-with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+with recursive c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
 t as (select row_number() over () as rid, *,
   len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) + {TURN_TOKENS} as tokens,
@@ -169,13 +197,24 @@ t as (select row_number() over () as rid, *,
     + length(regexp_replace(role, '[^>\n]', '', 'g')) as chars from c),
 o as (select *, coalesce(sum(tokens) over (partition by conv_id order by turn nulls first, role, text, rid
   rows between unbounded preceding and 1 preceding), 0) as before from t),
-w as (select *, before // {stretch} as win from o),
-starts as (select conv_id, win, min(before) as start, lag(win) over (partition by conv_id order by win) as prev
-  from w group by conv_id, win),
-history as (select s.conv_id, sum(w.chars) as chars from starts s join w on w.conv_id is not distinct from s.conv_id
-  and w.win = s.prev and w.before >= s.start - {HISTORY} and not (w.before = 0 and w.role = 'system') group by s.conv_id),
-system as (select w.conv_id, sum(w.chars) as chars from w join starts s on s.conv_id is not distinct from w.conv_id
-  and s.win > 0 where w.before = 0 and w.role = 'system' group by w.conv_id),
+lead as (select conv_id, tokens as lead, chars from o where before = 0 and role = 'system'),
+room as (select distinct o.conv_id, coalesce(lead, 0) as lead, greatest({BUDGET - HISTORY} - coalesce(lead, 0), 0) as room
+  from o left join lead on lead.conv_id is not distinct from o.conv_id),
+starts as (
+  select conv_id, 0::hugeint as win, lead as base, lead, room from room
+  union all
+  select conv_id, nxt, nxt, lead, room
+  from (select s.conv_id, s.lead, s.room, (select min(o.before) from o where o.conv_id is not distinct from s.conv_id and o.before > s.win
+          and (o.before + o.tokens - s.base > s.room or o.before // {cell} <> s.win // {cell})) as nxt
+        from starts s) where nxt is not null),
+w as (select o.*, s.win from o asof join starts s on o.conv_id is not distinct from s.conv_id and o.before >= s.win),
+sizes as (select conv_id, win, sum(tokens) as size, lag(win) over (partition by conv_id order by win) as prev from w group by conv_id, win),
+history as (select s.conv_id, sum(w.chars) as chars
+  from sizes s join room r on r.conv_id is not distinct from s.conv_id
+  join w on w.conv_id is not distinct from s.conv_id and w.win = s.prev and not (w.before = 0 and w.role = 'system')
+    and w.before >= s.win - least({HISTORY}, {BUDGET} - r.lead - s.size) group by s.conv_id),
+system as (select l.conv_id, sum(l.chars) as chars from lead l join sizes s on s.conv_id is not distinct from l.conv_id and s.win > 0
+  group by l.conv_id),
 a as (select conv_id, count(*) as n_turns, sum(chars) as chars,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by before, rid)) as turns_sha256,
   coalesce(string_agg(text, '' order by before, rid) filter (where role = 'assistant'), '') as loss from w group by conv_id)

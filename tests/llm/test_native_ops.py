@@ -1,9 +1,11 @@
 """License scan, chat formatting and source mixing: DataFrame operators."""
 
-import hashlib
+import random
 import re
 from collections import defaultdict
 
+import pytest
+
 from clutchforge.llm import chat_format, license_scan, source_mix
 
 from .conftest import frame, hard_rows
@@ -62,12 +64,68 @@ def test_chat_round_trip(llm):
         all_.sort()
         assert [(t.role, t.text) for t in got[c].turns] == [(r, x) for _, r, x in all_]
         assert list(got[c].targets) == [x for _, r, x in all_ if r == "assistant"]
+    fits = {c for c in turns if c != 2}  # one turn of 3,000 words doesn't
+    assert all(w.tokens <= 128 for w in windows if w.conv_id in fits) and sum(w.over_budget for w in windows) == 1
     many = [w for w in windows if w.conv_id == 4]
     assert len(many) > 10 and any(w.repeated for w in many)
     assert all(w.over_budget == (w.tokens > 128) for w in windows)
     assert all(w.text.startswith("<turn system>") for w in windows if w.conv_id == 1)
 
 
+def windows_by_brute_force(turns, budget, history):
+    """(own, repeated) turn numbers of the windows of turns (role, tokens), one after the other."""
+    lead = turns[0][1] if turns and turns[0][0] == "system" else 0
+    out, own, size = [], [], 0
+    for i, (_, n) in enumerate(turns):
+        used = 0 if i == 0 and lead else n
+        if own and size + used > max(0, budget - history - lead):
+            out.append(own)
+            own, size = [], 0
+        own.append(i)
+        size += used
+    out.append(own)
+    windows = [(out[0], [])]
+    for before, own in zip(out, out[1:]):
+        left, again = min(history, budget - lead - sum(turns[i][1] for i in own)), []
+        for i in reversed(before):
+            if (i == 0 and lead) or turns[i][1] > left:
+                break
+            again.insert(0, i)
+            left -= turns[i][1]
+        windows.append((own, ([0] if lead else []) + again))
+    return windows
+
+
+@pytest.mark.parametrize("budget, history, system", [(1024, 256, 0), (1024, 256, 40), (100, 30, 20), (100, 0, 0), (100, 30, 90), (60, 50, 5)])
+def test_windows_keep_the_budget(llm, budget, history, system):
+    r = random.Random(budget + system)
+    sizes = {1: [600] * 8, 2: [r.randrange(1, 90) for _ in range(120)], 3: [budget - 4, 1, budget - 4, 1], 4: [1], 5: [budget * 3, 5, 5]}
+    rows, plan = [], {}
+    for c, words in sizes.items():
+        turns = [("system", system - 4)] if system else []
+        turns += [(["user", "assistant"][k % 2], n) for k, n in enumerate(words)]
+        plan[c] = [(role, n + 4) for role, n in turns]
+        rows += [(c, k, role, " ".join(f"t{k}" for _ in range(n)), "w", "o") for k, (role, n) in enumerate(turns)]
+    windows = chat_format.format_windows(_conversations(llm, rows), budget, history).collect()
+    for c, turns in plan.items():
+        got = sorted((w for w in windows if w.conv_id == c), key=lambda w: w.window)
+        want = windows_by_brute_force(turns, budget, history)
+        assert [(w.repeated, w.tokens) for w in got] == [(len(again), sum(turns[i][1] for i in own + again)) for own, again in want]
+        lead = turns[0][1] if system else 0
+        for w, (own, _) in zip(got, want):
+            assert w.over_budget == (w.tokens > budget)
+            assert w.tokens <= budget or (len([i for i in own if i or not lead]) == 1 and lead + turns[own[-1]][1] > budget)
+
+
+def test_cells_cut_a_long_conversation(llm, monkeypatch):
+    monkeypatch.setattr(chat_format, "CELL_BUDGETS", 2)
+    rows = [(1, k, ["user", "assistant"][k % 2], "word " * (k % 23), "w", "o") for k in range(400)]
+    windows = chat_format.format_windows(_conversations(llm, rows), budget=100, history=20)
+    assert windows.filter("tokens > 100").count() == 0
+    read = chat_format.read_windows(windows).first()
+    assert [(t.role, t.text) for t in read.turns] == [(role, text) for _, _, role, text, *_ in rows]
+
+
 def test_chat_empty(llm):
     assert chat_format.read_windows(chat_format.format_windows(_conversations(llm, []))).count() == 0
 
@@ -116,7 +174,3 @@ def test_mix_empty_and_rows(llm):
     assert mixed.columns == docs.columns
     copies = sum(r.copies for r in source_mix.mix_sources(docs).collect())
     assert mixed.count() == copies
-
-
-def test_sha_of_an_empty_turn_list():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
