@@ -1,16 +1,18 @@
 """License scan by a positional rare-token index (DataFrame expressions only).
 
-Every template is a word sequence with a *mandatory key phrase* inside it. The
-index holds, per template, its rarest mandatory word by corpus IDF (the anchor)
-and where that word stands. A file's words are looked up in the anchors; each
-hit proposes one start (hit position - anchor offset), the other words of the
-template are compared at their relative positions, the key phrase must stand
-complete, and the template counts as found when the words in place hold at
-least ``MIN_SHARE`` of its IDF weight. As the anchor lies in the mandatory
-phrase, no place can be missed.
-
-The only shuffle is the document-frequency count of the template vocabulary
-(about 100 words, combined map-side); the scan itself is one narrow projection.
+Every template is a word sequence with a *mandatory key phrase* inside it. The index holds
+postings (template, position) of the words of the key phrases, and every word's IDF over the corpus.
+
+Per file: the words of the index that occur in it say which templates it can hold (those whose
+key phrase has all its words there). Of each of these, the file's ``LOOKUPS`` highest-IDF
+words are looked up; a posting at template position q and a place p of the word in the file put the template
+on the diagonal p - q. Intersecting the diagonals of the words leaves the starts where they
+stand at their relative positions, and there the key phrase must stand complete. The template counts as found
+when its words in place hold at least ``MIN_SHARE`` of its IDF weight. A start of the key phrase lies on
+the diagonal of each of its words, so no place can be missed.
+
+The only shuffle is the document-frequency count of the template vocabulary (a few hundred words,
+combined map-side); the scan itself is one narrow projection.
 
 Defined results: null text counts as empty (0 words, no place, empty labels,
 score 0); repeated rows are scanned each on its own; a template overlapping
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import alnum_words, text_rows
 
 MIN_SHARE = 0.8
+LOOKUPS = 3  # of a template's words in a file
 
 
 @dataclass(frozen=True)
@@ -90,6 +93,42 @@ TEMPLATES = [
              "source code form is subject to the terms"),
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              "unencumbered software released into the public domain"),
+    # Whole notices.
+    Template("mit-notice", """permission is hereby granted free of charge to any person obtaining a copy of this software and
+             associated documentation files the software to deal in the software without restriction including without
+             limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and
+             to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright
+             notice and this permission notice shall be included in all copies or substantial portions of the software the
+             software is provided as is without warranty of any kind express or implied including but not limited to the
+             warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or
+             copyright holders be liable for any claim damages or other liability whether in an action of contract tort or
+             otherwise arising from out of or in connection with the software or the use or other dealings in the software""",
+             "subject to the following conditions the above copyright notice and this permission notice shall be included"),
+    Template("bsd-3-notice", """redistribution and use in source and binary forms with or without modification are permitted provided
+             that the following conditions are met 1 redistributions of source code must retain the above copyright notice this
+             list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright
+             notice this list of conditions and the following disclaimer in the documentation and or other materials provided
+             with the distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to
+             endorse or promote products derived from this software without specific prior written permission""",
+             "redistributions of source code must retain the above copyright notice"),
+    Template("isc-notice", """permission to use copy modify and or distribute this software for any purpose with or without fee is
+             hereby granted provided that the above copyright notice and this permission notice appear in all copies the software
+             is provided as is and the author disclaims all warranties with regard to this software including all implied
+             warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or
+             consequential damages or any damages whatsoever resulting from loss of use data or profits""",
+             "provided that the above copyright notice and this permission notice appear in all copies"),
+    Template("apache-2.0-notice", """licensed under the apache license version 2 0 the license you may not use this file except in
+             compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless
+             required by applicable law or agreed to in writing software distributed under the license is distributed on an as is
+             basis without warranties or conditions of any kind either express or implied see the license for the specific
+             language governing permissions and limitations under the license""",
+             "distributed under the license is distributed on an as is basis"),
+    Template("gpl-notice", """this program is free software you can redistribute it and or modify it under the terms of the gnu general
+             public license as published by the free software foundation either version 3 of the license or at your option any
+             later version this program is distributed in the hope that it will be useful but without any warranty without even
+             the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for
+             more details you should have received a copy of the gnu general public license along with this program if not see""",
+             "distributed in the hope that it will be useful but without any warranty"),
 ]
 
 
@@ -108,28 +147,50 @@ def word_weights(words: DataFrame, vocab: list[str]) -> dict[str, int]:
     return {w: int(math.floor(1000 * math.log((rows + 1) / (counts.get(w, 0) + 1)))) + 1 for w in vocab}
 
 
-def _places(t: Template, weights: dict[str, int]) -> Column:
-    """array<struct<start, share>>: where the key phrase of ``t`` stands complete."""
-    w, k, at = t.words, t.key, t.key_at
-    rare = max(range(len(k)), key=lambda j: (weights[k[j]], -j))  # the first of the rarest
-    anchor, off = k[rare], at + rare
+def _words(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def rare_words(t: Template, weights: dict[str, int]) -> list[str]:
+    """The highest-IDF words of a template's key phrase. (A file that can hold the template has all of them.)"""
+    return sorted(set(t.key), key=lambda w: (-weights[w], w))[:LOOKUPS]
+
+
+def _all_in(wanted: list[str], column: str) -> Column:
+    found = F.lit(True)
+    for w in wanted:
+        found = found & F.array_contains(column, w)
+    return found
+
+
+def _starts(t: Template, weights: dict[str, int]) -> Column:
+    """array<int>: where the key phrase of ``t`` stands complete; ``places`` are those of all looked-up words."""
+    diagonals = None
+    for word in rare_words(t, weights):
+        here = F.filter("places", lambda p: F.get(F.col("words"), p) == word)
+        postings = [q for q, w in enumerate(t.key) if w == word]
+        d = F.flatten(F.array(*[F.transform(here, lambda p: p - q) for q in postings])) if len(postings) > 1 \
+            else F.transform(here, lambda p: p - postings[0])
+        diagonals = F.array_distinct(d) if diagonals is None else F.array_intersect(diagonals, d)
+    key = _words(t.key)
+    return F.filter(diagonals, lambda d: (d >= 0) & (F.slice(F.col("words"), F.greatest(d, F.lit(0)) + 1, len(t.key)) == key))
+
+
+def _aligned(t: Template, weights: dict[str, int]) -> Column:
+    """array<struct<label, start, share, base>> of the places of ``t``."""
+    w, at = t.words, t.key_at
     total = sum(weights[x] for x in w)
-    lit_key = F.array(*[F.lit(x) for x in k])
-    hits = F.filter("hits", lambda h: (h["word"] == anchor) & (h["pos"] >= rare))
-    starts = F.filter(F.transform(hits, lambda h: h["pos"] - rare),  # of the key phrase
-                      lambda s: F.slice(F.col("words"), s + 1, len(k)) == lit_key)
-    if w == k:
-        return F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(1.0).alias("share")))
-    inside = sum(weights[x] for x in k)
+    words, shares = _words(w), F.array(*[F.lit(weights[x]) for x in w])
 
     def share(s: Column) -> Column:
-        hit = F.lit(inside)
-        for j in [j for j in range(len(w)) if not at <= j < at + len(k)]:
-            p = s + (j - at)
-            hit = hit + F.when((p >= 0) & (F.get(F.col("words"), p) == w[j]), weights[w[j]]).otherwise(0)
-        return hit.cast("double") / F.lit(float(total))
+        if w == t.key:
+            return F.lit(1.0)
+        in_place = F.aggregate(F.sequence(F.lit(0), F.lit(len(w) - 1)), F.lit(0), lambda acc, j: acc + F.when(
+            F.get(F.col("words"), s - at + j) == F.get(words, j), F.get(shares, j)).otherwise(0))
+        return in_place.cast("double") / F.lit(float(total))
 
-    return F.transform(starts, lambda s: F.struct((s - at).alias("start"), share(s).alias("share")))
+    return F.transform(_starts(t, weights), lambda s: F.struct(
+        F.lit(t.label).alias("label"), (s - at).cast("long").alias("start"), share(s).alias("share"), F.lit(t.base).alias("base")))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -139,21 +200,18 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     templates = TEMPLATES if templates is None else templates
     words = text_rows(docs, id_col, text_col).select("doc_id", alnum_words(F.col("text")).alias("words"))
     weights = word_weights(words, vocabulary(templates))
-    anchors = sorted({max(enumerate(t.key), key=lambda x: (weights[x[1]], -x[0]))[1] for t in templates})
-    seen = words.withColumn("hits", F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
-        lambda h: h["word"].isin(anchors)))
-
-    def labelled(t: Template) -> Column:
-        return F.transform(_places(t, weights), lambda p: F.struct(
-            F.lit(t.label).alias("label"), p["start"].cast("long").alias("start"), p["share"].alias("share"),
-            F.lit(t.base).alias("base")))
-
-    found = F.flatten(F.array(*[labelled(t) for t in templates]))
-    # Most files hold no anchor: they skip the templates.
+    looked_up = {t.label: rare_words(t, weights) for t in templates}
+    # Which of the looked-up words the file has at all, then their places: nothing is made of other words.
+    every = sorted({w for ws in looked_up.values() for w in ws})
+    seen = words.withColumn("present", F.array_intersect("words", _words(every)))
+    places = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(every), i)))
+    seen = seen.withColumn("places", F.when(F.size("present") > 0, places).otherwise(F.array().cast("array<int>")))
     typ = "array<struct<label:string,start:bigint,share:double,base:boolean>>"
+    none = F.array().cast(typ)
+    found = F.flatten(F.array(*[F.when(_all_in(looked_up[t.label], "present"), _aligned(t, weights)).otherwise(none) for t in templates]))
+    # Most files have none of the words: they skip the templates.
     out = seen.select("doc_id", F.size("words").cast("long").alias("n_words"),
-                      F.when(F.size("hits") > 0, found).otherwise(F.array().cast(typ)).alias("aligned"))
+                      F.when(F.size("present") > 0, found).otherwise(none).alias("aligned"))
     base = F.filter("aligned", lambda p: p["base"])
     kept = F.filter("aligned", lambda p: p["share"] >= min_share)
     names = lambda a: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(a, lambda p: p["label"]))))

@@ -43,6 +43,36 @@ def test_license_method_labels_and_score(llm):
     assert license_scan.scan_licenses(frame(llm, rows).limit(0)).count() == 0
 
 
+def test_whole_notices_by_brute_force(llm):
+    """Notices whole, with words changed, cut off at either end, twice, and their words in another order."""
+    r = random.Random(5)
+    rows = []
+    for t in license_scan.TEMPLATES:
+        w = t.words
+        changed = [x if r.random() > 0.1 or t.key_at <= k < t.key_at + len(t.key) else "changed" for k, x in enumerate(w)]
+        for text in (w, changed, w[t.key_at:], w[:t.key_at + len(t.key)], w + ["and"] + w, sorted(w), ["x"] * 40 + w + ["y"] * 40):
+            rows.append((len(rows), " ".join(text).upper(), "s"))
+    words = [(i, WORDS.findall(t.translate(LOWER))) for i, t, _ in rows]
+    scanned = license_scan.scan_licenses(frame(llm, rows)).collect()
+    vocabulary = license_scan.vocabulary(license_scan.TEMPLATES)
+    docs = {v: sum(v in w for _, w in words) for v in vocabulary}
+    import math
+    weight = {v: int(math.floor(1000 * math.log((len(rows) + 1) / (docs[v] + 1)))) + 1 for v in vocabulary}
+    got = {x.doc_id: sorted((p.label, p.start, round(p.share, 9)) for p in x.places) for x in scanned}
+    for i, w in words:
+        want = []
+        for t in license_scan.TEMPLATES:
+            for s in range(len(w) - len(t.key) + 1):
+                if w[s:s + len(t.key)] == t.key:
+                    start = s - t.key_at
+                    here = sum(weight[x] for j, x in enumerate(t.words) if 0 <= start + j < len(w) and w[start + j] == x)
+                    share = here / sum(weight[x] for x in t.words)
+                    if share >= license_scan.MIN_SHARE:
+                        want.append((t.label, start, round(share, 9)))
+        assert got[i] == sorted(want)
+    assert sum(len(x) for x in got.values()) > 150
+
+
 def _conversations(llm, rows):
     return llm.createDataFrame(rows, "conv_id long, turn long, role string, text string, window string, own string")
 
