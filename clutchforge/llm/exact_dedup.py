@@ -90,11 +90,13 @@ def _normalised(docs: DataFrame) -> DataFrame:
 
 
 def _with_chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per chunk: columns of ``rows`` but text, ``no`` and ``chunk`` (an empty text has one)."""
-    last = F.floor((F.greatest(F.octet_length("text"), F.lit(1)) - 1) / chunk_bytes).cast("int")
-    split = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("no"))
-    cut = F.expr(f"substring(encode(text, 'UTF-8'), no * {chunk_bytes} + 1, {chunk_bytes})")
-    return split.select(*[c for c in rows.columns if c != "text"], "no", cut.alias("chunk"))
+    """One row per chunk: columns of ``rows`` but text, ``no`` and ``chunk`` (an empty text has one).
+    A text is encoded once and cut once, and its chunks leave without it."""
+    others = [c for c in rows.columns if c != "text"]
+    coded = rows.select(*others, F.encode("text", "UTF-8").alias("coded"))
+    last = f"cast((greatest(octet_length(coded), 1) - 1) div {chunk_bytes} as int)"
+    cut = F.expr(f"transform(sequence(0, {last}), i -> substring(coded, i * {chunk_bytes} + 1, {chunk_bytes}))")
+    return coded.select(*others, F.posexplode(cut).alias("no", "chunk"))
 
 
 def fingerprints(docs: DataFrame, modulus: int = MODULUS, base: int = BASE,
