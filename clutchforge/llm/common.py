@@ -37,6 +37,14 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_BYTES = 4 << 20  # of a table that may be broadcast to a join
+
+
+def broadcast_counted(df: DataFrame, row_bytes: int = 64, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a written table of narrow rows, broadcast if its counted rows fit into ``limit``; else joined by sorting."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df.hint("merge")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -45,6 +45,17 @@ def test_exact_dedup_by_brute_force(llm, modulus):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_exact_dedup_of_huge_texts(llm):
+    import time
+    from pyspark.sql import functions as F
+    half = llm.range(3).select(F.col("id").alias("doc_id"), F.expr("repeat('seven c', 7150000)").alias("text"))  # 50 MB each
+    path = exact_dedup.materialise(half.withColumn("text", F.when(F.col("doc_id") == 2, F.concat("text", F.lit("!"))).otherwise(F.col("text"))), "huge")
+    began = time.time()
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.dedup_exact(path).collect()}
+    assert got == {0: (0, 2, True), 1: (0, 2, False), 2: (2, 1, True)}
+    assert time.time() - began < 120  # encoding a text again for each of its chunks took hours
+
+
 def test_exact_dedup_empty(llm):
     assert exact_dedup.dedup_exact(frame(llm, hard_rows()).limit(0)).count() == 0
 
