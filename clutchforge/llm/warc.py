@@ -200,14 +200,14 @@ def archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str
     """Write ``pages`` as WARC files under ``folder``; returns the ranges written."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
-                        F.monotonically_increasing_id().alias("uid"))
-    rows = materialise(rows.withColumn("digest", F.sha2("html", 256)), "pages")  # row ids stay with their rows
-    seen = rows.filter(F.octet_length("html") >= MIN_REVISIT).groupBy("digest").agg(
+                        F.monotonically_increasing_id().alias("uid")).withColumn("digest", F.sha2("html", 256))
+    # Only keys are written between the passes; the html is read from ``pages`` again (files, so row numbers stay).
+    keys = materialise(rows.filter(F.octet_length("html") >= MIN_REVISIT).select("uid", "page_id", "digest"), "keys")
+    seen = keys.groupBy("digest").agg(
         F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "uid")).alias("first"),
-        F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", F.col("first.uid").alias("first_uid"))
-    marked = rows.join(materialise(seen, "seen"), "digest", "left").withColumn(
-        "refers_uid", F.when(F.col("first_uid") != F.col("uid"), F.col("first_uid")))
-    return materialise(write_archives(marked, folder), "ranges")
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", F.col("first.uid").alias("refers_uid"))
+    again = materialise(keys.join(seen, "digest").filter("refers_uid <> uid").select("uid", "refers_uid"), "again")
+    return materialise(write_archives(rows.join(again.hint("merge"), "uid", "left"), folder), "ranges")
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
@@ -217,11 +217,12 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     found = materialise(assemble(records).select(
         "capture_id", "refers_to", "payload_bytes", "payload_digest", "type",
         F.col("metadata.page_id").alias("page_id")), "captures")
-    first = found.filter("type = 'response'").select(F.col("capture_id").alias("refers_to"),
-                                                     F.col("page_id").alias("first_page"))
-    return found.join(first, "refers_to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
-        F.col("first_page").alias("refers_to"))
+    # Responses refer to nothing: only revisits are joined.
+    responses = found.filter("type = 'response'")
+    first = responses.select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("first_page"))
+    revisits = found.filter("type = 'revisit'").join(first, "refers_to", "left")
+    both = responses.withColumn("first_page", F.lit(None).cast("long")).unionByName(revisits)
+    return both.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("first_page").alias("refers_to"))
 
 
 def oracle() -> str:
