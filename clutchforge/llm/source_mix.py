@@ -34,6 +34,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
 BLOCK = 128
+SALTS = 64  # shares of a group of repeated rows
 SEED = 20
 
 
@@ -185,19 +186,35 @@ def mix_sources(docs: DataFrame, **how) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns), every row as often as the mix takes it."""
     own = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    names = [n for n in (f"_mix{i}" for i in range(len(docs.columns) + 3)) if n not in docs.columns][:3]
-    size, copies, row = names
+    names = [n for n in (f"_mix{i}" for i in range(len(docs.columns) + 6)) if n not in docs.columns][:6]
+    size, copies, row = names[:3]
     plan = materialise(decide(docs), "plan")
     rows = docs.withColumn(size, _size("text")).alias("d").join(
         plan.alias("p"), F.expr(f"d.source <=> p.source and d.doc_id <=> p.doc_id and d.{size} = p.size")) \
         .select("d.*", F.col("p.rows").alias(row), F.col("p.copies").alias(copies))
-    single = rows.filter(F.col(row) == 1).withColumn(row, F.col(copies))
-    number = F.row_number().over(Window.partitionBy("source", "doc_id", size).orderBy("text"))  # repeated rows only
-    more = (number <= F.col(copies) % F.col(row)).cast("long")
-    again = rows.filter(F.col(row) > 1).withColumn(row, (F.floor(F.col(copies) / F.col(row)) + more).cast("long"))
-    return single.unionByName(again).filter(F.col(row) > 0) \
+    taken = rows.filter(F.col(row) == 1).withColumn(row, F.col(copies))
+    if not plan.filter("rows > 1").isEmpty():
+        taken = taken.unionByName(_repeated(rows, names))
+    return taken.filter(F.col(row) > 0) \
         .withColumn(size, F.explode(F.sequence(F.lit(1).cast("long"), F.col(row)))).select(*own)
 
 
+def _repeated(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The rows that share source, id and size with others, each with its own number of copies. They are numbered inside
+    ``SALTS`` shares of such a group, which may hold any part of all rows; counts per share place the shares."""
+    size, copies, row, salt, place, number = names
+    again = materialise(rows.filter(F.col(row) > 1).withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))), "again")
+    key = ["source", "doc_id", size]
+    inside = F.row_number().over(Window.partitionBy(*key, salt).orderBy("text"))
+    earlier = Window.partitionBy(*key).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    shares = again.groupBy(*key, salt).agg(F.count(F.lit(1)).alias("n")) \
+        .select(*key, salt, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    same = F.expr(" and ".join(f"a.{c} <=> s.{c}" for c in [*key, salt]))
+    numbered = again.withColumn(place, inside).alias("a").join(shares.alias("s"), same) \
+        .select("a.*", (F.col(f"a.{place}") + F.col("s.base")).alias(number))
+    more = (F.col(number) <= F.col(copies) % F.col(row)).cast("long")
+    return numbered.withColumn(row, (F.floor(F.col(copies) / F.col(row)) + more).cast("long")).drop(place, number, salt)
+
+
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:
     return mix_sources(table(prepare(spark), sf_dir, "documents")).drop("source", "copies")

@@ -200,7 +200,21 @@ def test_rounding_goes_through_the_tree(llm):
 def test_mix_empty_and_rows(llm):
     docs = frame(llm, hard_rows())
     assert source_mix.mix_sources(docs.limit(0)).count() == 0
+    assert source_mix.mixed(docs.limit(0)).count() == 0
     mixed = source_mix.mixed(docs)
     assert mixed.columns == docs.columns
     copies = sum(r.copies for r in source_mix.mix_sources(docs).collect())
     assert mixed.count() == copies
+
+
+def test_a_row_repeated_very_often_is_taken_evenly(llm, monkeypatch):
+    """A third of all rows are copies of one row, in many shares."""
+    monkeypatch.setattr(source_mix, "SALTS", 7)
+    rows = [(1, "a b c", "s")] * 200 + [(i, f"w{i} " * (i % 9), "s") for i in range(2, 400)] + [(None, "x y", None)] * 5
+    docs = frame(llm, rows)
+    copies = sorted(r.copies for r in source_mix.mix_sources(docs).collect() if r.doc_id == 1)
+    assert len(copies) == 200 and copies[-1] - copies[0] <= 1
+    mixed = source_mix.mixed(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.filter("doc_id = 1").count() == sum(copies)
+    assert mixed.count() == sum(r.copies for r in source_mix.mix_sources(docs).collect())
