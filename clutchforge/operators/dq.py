@@ -1,6 +1,6 @@
 """Data-quality rules evaluated as Spark jobs.
 
-Every rule returns one row ``(table, rule, column, failures)``; zero failures
+Every rule returns one row ``(table, rule, column, failures, ...)``; zero failures
 means pass. Row-level rules of one table (not-null, accepted values,
 expressions) are folded into a single aggregate pass; uniqueness is one
 ``groupBy`` with partial aggregation; relationships are a left-anti join.
@@ -8,7 +8,7 @@ expressions) are folded into a single aggregate pass; uniqueness is one
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,42 +16,32 @@ from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
-class NotNull:
-    column: str
-
-
-@dataclass(frozen=True)
-class AcceptedValues:
-    column: str
-    values: tuple[str, ...]
-
-
-@dataclass(frozen=True)
-class Expression:
+class Model:
+    """The row rules of a table; ``key`` names rows in reports. Nulls are the not-null rules' business alone."""
     name: str
-    predicate: str  # SQL predicate that must hold on every row
-
-
-def _row_rule(rule) -> tuple[str, str, Column]:
-    if isinstance(rule, NotNull):
-        return "not_null", rule.column, F.col(rule.column).isNull()
-    if isinstance(rule, AcceptedValues):
-        c = F.col(rule.column)
-        return "accepted_values", rule.column, c.isNotNull() & ~c.isin(*rule.values)
-    if isinstance(rule, Expression):
-        return "expression_is_true", rule.name, ~F.coalesce(F.expr(rule.predicate), F.lit(True))
-    raise TypeError(rule)
-
-
-def row_rules(table: str, df: DataFrame, rules: list) -> DataFrame:
-    """All row-level rules of one table in one pass."""
-    specs = [_row_rule(r) for r in rules]
-    agg = df.agg(*[F.count_if(cond).alias(f"_r{i}") for i, (_, _, cond) in enumerate(specs)])
-    rows = [F.struct(F.lit(kind).alias("rule"), F.lit(colname).alias("column"),
-                     F.col(f"_r{i}").cast("bigint").alias("failures"))
-            for i, (kind, colname, _) in enumerate(specs)]
-    return (agg.select(F.explode(F.array(*rows)).alias("r"))
-            .select(F.lit(table).alias("table"), "r.rule", "r.column", "r.failures"))
+    key: str
+    not_null: tuple[str, ...] = ()
+    accepted: dict[str, tuple] = field(default_factory=dict)
+    non_negative: tuple[str, ...] = ()
+
+    def rules(self, kinds: tuple[str, ...]) -> list[tuple[str, str, Column]]:
+        """(rule, column, whether a row fails it) of the rules of some kinds."""
+        out = [("not_null", c, F.col(c).isNull()) for c in self.not_null]
+        out += [("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(*values)) for c, values in self.accepted.items()]
+        out += [("expression_is_true", f"{c} >= 0", F.col(c) < 0) for c in self.non_negative]
+        return [r for r in out if r[0] in kinds]
+
+
+def model_rules(model: Model, df: DataFrame, kinds: tuple[str, ...] = ("not_null", "accepted_values", "expression_is_true")) -> DataFrame:
+    """One row per rule from one aggregate over ``df``: table, rule, column, failures, sample_key (the smallest
+    key of the rows that fail; null where none does, or none has a key)."""
+    rules = model.rules(kinds)
+    key = F.col(model.key).cast("string")
+    agg = df.agg(*[c for i, (_, _, fails) in enumerate(rules) for c in (
+        F.count_if(fails).alias(f"_n{i}"), F.min(F.when(fails, key)).alias(f"_k{i}"))])
+    rows = [F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), F.col(f"_n{i}").cast("bigint").alias("failures"),
+                     F.col(f"_k{i}").alias("sample_key")) for i, (rule, column, _) in enumerate(rules)]
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(model.name).alias("table"), "r.*")
 
 
 def unique(table: str, df: DataFrame, cols: list[str]) -> DataFrame:

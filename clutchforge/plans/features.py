@@ -96,7 +96,7 @@ def rating_differential(cat: Catalog) -> DataFrame:
 def upset_rate_by_gap(cat: Catalog, buckets: int = GAP_BUCKETS) -> DataFrame:
     """EXT-04: how often the favourite loses, by ranking gap. The gaps are cut where the matches
     fall into ``buckets`` shares of about equal size (a gap lies in one bucket whole), with 95 % bounds (Wilson)."""
-    m = marts.mart_upset_features(cat).where(F.col("favored_team_id").isNotNull())
+    m = marts.table(cat, "mart_upset_features").where(F.col("favored_team_id").isNotNull())
     per_gap = m.groupBy(F.col("ranking_delta").alias("gap")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("winner_id") != F.col("favored_team_id")).alias("upsets"))
     placed = sequence_index(per_gap, [], [F.col("gap").asc()], out="_pos", sum_cols=("n",))

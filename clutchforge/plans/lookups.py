@@ -124,7 +124,7 @@ def second_load(cat: Catalog, folder: str, first_until: str = "1995-06-30") -> t
 def selection_semi_join(cat: Catalog, regions: tuple[str, ...] = ("EUROPE", "ASIA", "AFRICA")) -> DataFrame:
     """Matches where either side's region is in a selection table."""
     from . import marts
-    u = marts.mart_upset_features(cat)
+    u = marts.table(cat, "mart_upset_features")
     # the selection is a short UI list, so an IN list (no join) is the plan
     cond = F.col("team_a_region").isin(*regions) | F.col("team_b_region").isin(*regions)
     return u.where(cond).select("match_sk", "match_id", "team_a_region", "team_b_region")

@@ -433,3 +433,14 @@ def mart_choke_profile(cat: Catalog) -> DataFrame:
         F.lit(None).cast("double").alias("elimination_win_pct"),
         F.lit(None).cast("double").alias("winners_bracket_win_pct"),
     )
+
+
+# ----------------------------------------------------------------------------- materialised marts
+MART_TABLES = {f.__name__: f for f in (mart_upset_features, mart_team_performance, mart_head2head, mart_map_meta,
+                                       mart_player_leaderboard, mart_hidden_gems, mart_choke_profile)}
+
+
+def table(cat: Catalog, name: str) -> DataFrame:
+    """A mart as its readers get it: built once per input and code version and stored as Parquet,
+    like the core tables. The registered ``mart_*`` queries run the builders themselves."""
+    return cat.raw(name, MART_TABLES[name])

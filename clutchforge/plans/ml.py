@@ -41,7 +41,7 @@ STAND_IN_SCALE = 50.0
 
 def feature_frame(cat: Catalog) -> DataFrame:
     """Feature matrix: booleans null -> 0, other nulls -> -1; label as int."""
-    u = marts.mart_upset_features(cat)
+    u = marts.table(cat, "mart_upset_features")
     missing = [c for c in FEATURE_COLUMNS + [TARGET_COLUMN, DATE_COLUMN] if c not in u.columns]
     if missing:
         raise ValueError(f"missing feature columns: {missing}")

@@ -10,7 +10,7 @@ from ..operators import dq
 from ..operators.joins import broadcast_if_small
 from ..sources import standins as raw
 from ..sources.tables import Catalog
-from . import core, lookups, marts, serving, staging as stg
+from . import core, lookups, marts, rules, serving, staging as stg
 from ..streaming.manifest import LoadManifest
 from .registry import query
 
@@ -112,23 +112,10 @@ def q_win_partition_max(cat: Catalog) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- data quality
-def _dq_fact_rules(cat: Catalog) -> DataFrame:
-    f = core.table(cat, "fact_matches")
-    return dq.row_rules("fact_matches", f, [
-        dq.NotNull("match_sk"), dq.NotNull("match_id"), dq.NotNull("source"), dq.NotNull("team_a_id"),
-        dq.NotNull("team_b_id"), dq.AcceptedValues("source", ("faceit", "pandascore", "csapi"))])
-
-
 @query("dq_not_null")
 def q_dq_not_null(cat: Catalog) -> DataFrame:
-    """DQ-01 (+ DQ-03 on the same pass): not-null rules of the fact and dimensions."""
-    t = core.table(cat, "dim_teams")
-    p = core.table(cat, "dim_players")
-    return dq.stack([
-        _dq_fact_rules(cat),
-        dq.row_rules("dim_teams", t, [dq.NotNull("team_id"), dq.NotNull("ranking_source")]),
-        dq.row_rules("dim_players", p, [dq.NotNull("player_id"), dq.NotNull("primary_source")]),
-    ])
+    """DQ-01: every not-null rule of every model."""
+    return rules.check(cat, "not_null")
 
 
 @query("dq_unique")
@@ -146,15 +133,8 @@ def q_dq_unique(cat: Catalog) -> DataFrame:
 
 @query("dq_accepted_values")
 def q_dq_accepted_values(cat: Catalog) -> DataFrame:
-    """DQ-03: accepted values of labels in the marts."""
-    return dq.stack([
-        dq.row_rules("mart_hidden_gems", marts.mart_hidden_gems(cat), [dq.AcceptedValues(
-            "trend_direction", ("gap_growing", "gap_shrinking", "gap_flat", "insufficient_history"))]),
-        dq.row_rules("mart_choke_profile", marts.mart_choke_profile(cat), [dq.AcceptedValues(
-            "sample_quality", ("limited", "directional", "stable"))]),
-        dq.row_rules("stg_hltv_round_history", stg.stg_hltv_round_history(cat), [dq.AcceptedValues(
-            "winner_side", ("t", "ct"))]),
-    ])
+    """DQ-03: every accepted-values rule of every model."""
+    return rules.check(cat, "accepted_values")
 
 
 @query("dq_relationship")
@@ -166,25 +146,15 @@ def q_dq_relationship(cat: Catalog) -> DataFrame:
 
 @query("dq_expression")
 def q_dq_expression(cat: Catalog) -> DataFrame:
-    """DQ-05: expressions that must hold (counts and rates not negative)."""
-    c = marts.mart_choke_profile(cat)
-    return dq.row_rules("mart_choke_profile", c, [
-        dq.Expression("total_maps >= 0", "total_maps >= 0"),
-        dq.Expression("leads_blown >= 0", "leads_blown >= 0"),
-        dq.Expression("lead_blown_rate >= 0", "lead_blown_rate >= 0"),
-        dq.Expression("close_map_win_rate >= 0", "close_map_win_rate >= 0"),
-    ])
+    """DQ-05: every expression that must hold (counts that must not be negative)."""
+    return rules.check(cat, "expression_is_true")
 
 
 @query("dq_non_empty")
 def q_dq_non_empty(cat: Catalog) -> DataFrame:
     """DQ-06 / SET-09: stacked row counts of the marts that must not be empty."""
-    return dq.non_empty({
-        "mart_team_performance": marts.mart_team_performance(cat),
-        "mart_head2head": marts.mart_head2head(cat),
-        "mart_map_meta": marts.mart_map_meta(cat),
-        "mart_player_leaderboard": marts.mart_player_leaderboard(cat),
-    })
+    return dq.non_empty({name: marts.table(cat, name) for name in (
+        "mart_team_performance", "mart_player_leaderboard", "mart_upset_features", "mart_choke_profile")})
 
 
 # --------------------------------------------------------------------------- serving
@@ -298,7 +268,7 @@ def q_scalar_null(cat: Catalog) -> DataFrame:
 @query("scalar_math")
 def q_scalar_math(cat: Catalog) -> DataFrame:
     """SCL-04/05: abs, greatest/least, arithmetic and rounding on integer ratios."""
-    u = marts.mart_upset_features(cat)
+    u = marts.table(cat, "mart_upset_features")
     return u.select("match_sk", F.abs(F.col("score_diff")).alias("abs_diff"),
                     F.greatest("score_a", "score_b").alias("high_score"),
                     F.least("score_a", "score_b").alias("low_score"),
@@ -343,7 +313,7 @@ def q_scalar_ratio(cat: Catalog) -> DataFrame:
 @query("scalar_flags")
 def q_scalar_flags(cat: Catalog) -> DataFrame:
     """SCL-14: boolean columns and 0/1 flags under three-valued logic."""
-    u = marts.mart_upset_features(cat)
+    u = marts.table(cat, "mart_upset_features")
     return u.select("match_sk", "is_cross_region", (F.col("ranking_delta") > 5).alias("delta_over_5"),
                     (F.col("team_a_region") != F.col("team_b_region")).alias("regions_differ"))
 
@@ -362,7 +332,7 @@ def q_scalar_bool(cat: Catalog) -> DataFrame:
 @query("scalar_record")
 def q_scalar_record(cat: Catalog) -> DataFrame:
     """SCL-17: record text, close-map losses, rate text with 'n/a'."""
-    c = marts.mart_choke_profile(cat)
+    c = marts.table(cat, "mart_choke_profile")
     rate = F.round(F.col("close_map_win_rate") * 100, 1)
     return c.select("team_id",
                     F.concat_ws("-", F.col("wins").cast("string"), F.col("losses").cast("string")).alias("record"),

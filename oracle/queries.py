@@ -121,14 +121,75 @@ select map_stats_id, round_number, team1_id, team2_id,
 from stg_hltv_round_history
 """)
 
-_NN = "select '{t}' as \"table\", 'not_null' as rule, '{c}' as \"column\", cast(count_if({c} is null) as bigint) as failures from {t}"
-sql("dq_not_null", "\nunion all\n".join([_NN.format(t="fact_matches", c=c) for c in
-                                         ("match_sk", "match_id", "source", "team_a_id", "team_b_id")]
-                                        + ["""select 'fact_matches', 'accepted_values', 'source',
-       cast(count_if(source is not null and source not in ('faceit', 'pandascore', 'csapi')) as bigint)
-       from fact_matches"""]
-                                        + [_NN.format(t="dim_teams", c=c) for c in ("team_id", "ranking_source")]
-                                        + [_NN.format(t="dim_players", c=c) for c in ("player_id", "primary_source")]))
+# Rules: model, its rows, the key that names them, then columns.
+_MODELS = {
+    "stg_faceit_matches": ("int_matches_unioned where source = 'faceit'", "match_id"),
+    "stg_pandascore_matches": ("int_matches_unioned where source = 'pandascore'", "match_id"),
+    "stg_csapi_matches": ("int_matches_unioned where source = 'csapi'", "match_id"),
+    "stg_csapi_team_rankings": ("stg_csapi_team_rankings", "team_id"),
+    "stg_csapi_player_stats": ("players_unioned_raw where source = 'csapi'", "player_id"),
+    "stg_valve_team_regions": ("stg_valve_team_regions", "team_name"),
+    "stg_hltv_round_history": ("stg_hltv_round_history", "map_stats_id"),
+    "stg_faceit_players": ("players_unioned_raw where source = 'faceit'", "player_id"),
+    "stg_pandascore_players": ("players_unioned_raw where source = 'pandascore'", "player_id"),
+    "stg_liquipedia_teams": ("stg_liquipedia_teams", "team_id"),
+    "int_matches_unioned": ("int_matches_unioned", "match_id"), "int_players_unioned": ("int_players_unioned", "player_id"),
+    "fact_matches": ("fact_matches", "match_sk"), "fact_player_stats": ("fact_player_stats", "player_stat_sk"),
+    "dim_teams": ("dim_teams", "team_id"), "dim_players": ("dim_players", "player_id"), "dim_maps": ("dim_maps", "map_sk"),
+    "mart_team_performance": ("mart_team_performance", "team_id"), "mart_player_leaderboard": ("mart_player_leaderboard", "player_id"),
+    "mart_map_meta": ("mart_map_meta", "map_name"), "mart_head2head": ("mart_head2head", "team_1_id"),
+    "mart_upset_features": ("mart_upset_features", "match_sk"), "mart_hidden_gems": ("mart_hidden_gems", "player_id"),
+    "mart_choke_profile": ("mart_choke_profile", "team_id")}
+
+
+def _rule(model: str, rule: str, column: str, fails: str) -> str:
+    rows, key = _MODELS[model]
+    return f"""select '{model}' as "table", '{rule}' as rule, '{column}' as "column", count(*) filter ({fails}) as failures,
+  min({key}::varchar) filter ({fails}) as sample_key from (from {rows})"""
+
+
+_PRESENT = """
+stg_faceit_matches match_id source team_a_id team_b_id played_at
+stg_pandascore_matches match_id source
+stg_csapi_matches match_id source team_a_id team_b_id played_at
+stg_csapi_team_rankings team_id source world_ranking ranking_date
+stg_csapi_player_stats player_id source
+stg_valve_team_regions snapshot_date source normalized_team_name region
+stg_hltv_round_history source map_stats_id round_number winner_side winner_team_id
+stg_faceit_players player_id source recorded_at
+stg_pandascore_players player_id source
+stg_liquipedia_teams team_id name ingested_at
+int_matches_unioned match_id source
+int_players_unioned player_id source
+fact_matches match_sk match_id source team_a_id played_at
+fact_player_stats player_stat_sk player_id match_id
+dim_teams team_id team_name
+dim_players player_id display_name
+dim_maps map_sk map_name
+mart_team_performance team_id win_rate
+mart_player_leaderboard player_id
+mart_map_meta map_name pick_rate
+mart_head2head team_1_id team_2_id total_matches
+mart_upset_features match_sk is_upset
+mart_hidden_gems player_id is_hidden_gem prospect_score recent_90_day_maps_played minimum_recent_90_day_maps meets_recent_sample_size
+mart_hidden_gems trend_direction
+mart_choke_profile team_id team_name maps_analyzed rounds_analyzed overtime_maps_analyzed close_maps_analyzed maps_with_5plus_lead
+mart_choke_profile minimum_stable_maps sample_quality lead_blown_rate_display halftime_leads_lost halftime_comeback_rate_display
+mart_choke_profile comeback_metric_type halftime_data_available metric_source round_history_available clutch_data_available
+mart_choke_profile bracket_data_available sample_size_warning
+"""
+sql("dq_not_null", "\nunion all\n".join(_rule(m, "not_null", c, f"{c} is null") for m, *cs in map(str.split, _PRESENT.strip().splitlines()) for c in cs))
+sql("dq_accepted_values", "\nunion all\n".join(_rule(m, "accepted_values", c, f"{c} not in ({values})") for m, c, values in [
+    ("stg_faceit_matches", "source", "'faceit'"), ("stg_pandascore_matches", "source", "'pandascore'"), ("stg_csapi_matches", "source", "'csapi'"),
+    ("stg_csapi_team_rankings", "source", "'csapi'"), ("stg_csapi_player_stats", "source", "'csapi'"), ("stg_valve_team_regions", "source", "'valve'"),
+    ("stg_hltv_round_history", "source", "'hltv_unofficial'"), ("stg_hltv_round_history", "winner_side", "'t', 'ct'"),
+    ("int_matches_unioned", "source", "'faceit', 'pandascore', 'csapi'"), ("int_players_unioned", "source", "'faceit', 'pandascore', 'csapi'"),
+    ("mart_upset_features", "is_upset", "0, 1"),
+    ("mart_hidden_gems", "trend_direction", "'gap_growing', 'gap_shrinking', 'gap_flat', 'insufficient_history'"),
+    ("mart_choke_profile", "sample_quality", "'limited', 'directional', 'stable'"), ("mart_choke_profile", "metric_source", "'hltv_unofficial'")]))
+sql("dq_expression", "\nunion all\n".join(_rule("mart_choke_profile", "expression_is_true", f"{c} >= 0", f"{c} < 0") for c in (
+    "maps_analyzed", "rounds_analyzed", "overtime_maps_analyzed", "close_maps_analyzed", "maps_with_5plus_lead", "minimum_stable_maps",
+    "halftime_leads_lost")))
 _UQ = ("select '{t}' as \"table\", 'unique' as rule, '{c}' as \"column\", cast(count(*) as bigint) as failures "
        "from (select {c} from {t} group by {c} having count(*) > 1)")
 sql("dq_unique", "\nunion all\n".join([
@@ -137,32 +198,14 @@ sql("dq_unique", "\nunion all\n".join([
     _UQ.format(t="fact_player_stats", c="player_stat_sk"),
     _UQ.format(t="dim_teams", c="team_id"),
     _UQ.format(t="dim_players", c="player_id")]))
-sql("dq_accepted_values", """
-select 'mart_hidden_gems' as "table", 'accepted_values' as rule, 'trend_direction' as "column",
-  cast(count_if(trend_direction is not null and trend_direction not in
-      ('gap_growing', 'gap_shrinking', 'gap_flat', 'insufficient_history')) as bigint) as failures
-from mart_hidden_gems
-union all
-select 'mart_choke_profile', 'accepted_values', 'sample_quality',
-  cast(count_if(sample_quality is not null and sample_quality not in ('limited', 'directional', 'stable')) as bigint)
-from mart_choke_profile
-union all
-select 'stg_hltv_round_history', 'accepted_values', 'winner_side',
-  cast(count_if(winner_side is not null and winner_side not in ('t', 'ct')) as bigint)
-from stg_hltv_round_history
-""")
 sql("dq_relationship", """
 select 'fact_player_stats' as "table", 'relationships' as rule, 'player_id' as "column", cast(count(*) as bigint) as failures
 from fact_player_stats s where s.player_id is not null
   and not exists (select 1 from dim_players p where p.player_id = s.player_id)
 """)
-sql("dq_expression", "\nunion all\n".join(
-    f"select 'mart_choke_profile' as \"table\", 'expression_is_true' as rule, '{e}' as \"column\", "
-    f"cast(count_if(not coalesce({e}, true)) as bigint) as failures from mart_choke_profile"
-    for e in ("total_maps >= 0", "leads_blown >= 0", "lead_blown_rate >= 0", "close_map_win_rate >= 0")))
 sql("dq_non_empty", "\nunion all\n".join(
     f"select '{t}' as \"table\", cast(count(*) as bigint) as row_count, count(*) = 0 as is_empty from {t}"
-    for t in ("mart_team_performance", "mart_head2head", "mart_map_meta", "mart_player_leaderboard")))
+    for t in ("mart_team_performance", "mart_player_leaderboard", "mart_upset_features", "mart_choke_profile")))
 
 _RL = "case when trim({c}) is null or trim({c}) = '' or lower(trim({c})) = 'global' then 'Unknown' else trim({c}) end"
 _TL = ("case when trim({n}) is not null and trim({n}) != '' then trim({n}) "

@@ -190,7 +190,7 @@ from event_rounds2
 
 cte("raw_hltv_round_history", """
 select
-  'hltv' as source,
+  'hltv_unofficial' as source,
   map_stats_id,
   cast(user_id as varchar) || '-' || cast(map_no // 3 as varchar) as match_id,
   'e' || cast(user_id % 5 as varchar) as event_id,
@@ -360,6 +360,9 @@ from int_players_unioned where match_id is not null
 """)
 
 
+cte("stg_liquipedia_teams", "from raw_liquipedia_teams where team_id is not null")
+cte("stg_valve_team_regions", "from raw_valve_team_regions where snapshot_date is not null and normalized_team_name is not null and region is not null")
+
 cte("stg_hltv_round_history", """
 select source, map_stats_id, match_id, event_id, event_name, map_name,
   try_cast(played_at as timestamp) as played_at, cast(round_number as int) as round_number,
