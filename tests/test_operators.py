@@ -54,8 +54,8 @@ def test_percent_ranks_and_percentiles_match_sql(spark):
 
 def test_dq_rules(spark):
     df = spark.createDataFrame([("1", "csapi"), (None, "other"), ("1", None)], "id string, source string")
-    rr = {(r.rule, r.column): r.failures for r in dq.row_rules("t", df, [
-        dq.NotNull("id"), dq.AcceptedValues("source", ("csapi",))]).collect()}
+    rr = {(r.rule, r.column): r.failures for r in dq.model_rules(
+        dq.Model("t", "id", ("id",), {"source": ("csapi",)}), df).collect()}
     assert rr == {("not_null", "id"): 1, ("accepted_values", "source"): 1}
     assert dq.unique("t", df, ["id"]).collect()[0].failures == 1
     parent = spark.createDataFrame([("1",)], "id string")
