@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import UNRANKED, exact_avg, flag, safe_ratio, strict_greatest, tier
@@ -189,31 +189,38 @@ GEM_STATS = [("avg_adr", "adr_threshold"), ("avg_kd_ratio", "kd_threshold"),
              ("avg_kast", "kast_threshold"), ("avg_rating", "rating_threshold")]
 
 
-def tier_thresholds(cat: Catalog) -> DataFrame:
-    """85th percentile (exact, interpolated) of four averages per tier."""
+def tier_thresholds(cat: Catalog, worst: int | None = None) -> DataFrame:
+    """85th percentile (exact, interpolated) of four averages per tier (up to tier ``worst``)."""
     pa = hidden_gem_player_agg(cat)
+    if worst is not None:
+        pa = pa.where(F.col("player_tier") <= worst)
     return percentiles_cont(pa, ["player_tier"], dict(GEM_STATS), HIDDEN_GEM_PERCENTILE,
                             key_cols=["player_id", "display_name", "team_id", "team_name", "team_region"])
 
 
+TREND_STATS = ("adr", "kd_ratio", "kast", "rating")
+
+
 def player_trends(cat: Catalog) -> DataFrame:
     """Recent (anchor - 89 days .. anchor) and previous (anchor - 179 .. anchor - 90)
-    averages per player; the anchor is the player's latest date. The anchor is
-    an aggregate joined back (AQE splits a hot player's join partition), not a
-    window over all rows of a player."""
-    pms = player_match_stats(cat).select("player_id", "recorded_at", "adr", "kd_ratio", "kast", "rating")
-    anchor = pms.groupBy("player_id").agg(F.max("recorded_at").alias("_anchor"))
-    j = pms.join(anchor, "player_id")
+    averages per player; the anchor is the player's latest date. The stat rows are shuffled once, as sums per
+    player and day (combined map-side); anchor and both windows come from these, a player's days at most."""
+    pms = player_match_stats(cat)
+    exact = {s: F.col(s).cast("decimal(28,10)") for s in TREND_STATS}
+    per_day = pms.groupBy("player_id", "recorded_at").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"{s}_sum") for s, c in exact.items()],
+        *[F.count(c).alias(f"{s}_n") for s, c in exact.items()])
+    anchor = F.max("recorded_at").over(Window.partitionBy("player_id"))
     d, a = F.col("recorded_at"), F.col("_anchor")
     recent = d >= F.date_sub(a, 89)
     prev = (d < F.date_sub(a, 89)) & (d >= F.date_sub(a, 179))
-    aggs = [F.sum(flag(recent)).cast("bigint").alias("recent_90_day_maps_played"),
-            F.sum(flag(prev)).cast("bigint").alias("previous_90_day_maps_played")]
-    for s in ["adr", "kd_ratio", "kast", "rating"]:
-        aggs.append(exact_avg(F.when(recent, F.col(s))).alias(f"recent_90_day_{s}"))
-    for s in ["adr", "kd_ratio", "kast", "rating"]:
-        aggs.append(exact_avg(F.when(prev, F.col(s))).alias(f"previous_90_day_{s}"))
-    return j.groupBy("player_id").agg(*aggs)
+    spans = (("recent", recent), ("previous", prev))
+    aggs = [F.coalesce(F.sum(F.when(span, F.col("n"))), F.lit(0)).cast("bigint").alias(f"{name}_90_day_maps_played") for name, span in spans]
+    for name, span in spans:
+        for s in TREND_STATS:
+            total, count = F.sum(F.when(span, F.col(f"{s}_sum"))), F.sum(F.when(span, F.col(f"{s}_n")))
+            aggs.append(F.try_divide(total, F.nullif(count, F.lit(0))).cast("double").alias(f"{name}_90_day_{s}"))
+    return per_day.withColumn("_anchor", anchor).groupBy("player_id").agg(*aggs)
 
 
 def _gap(window_avg: str, threshold: str) -> Column:
@@ -229,7 +236,7 @@ def _mean_of_available(cols: list[str]) -> Column:
 
 def hidden_gems_scored(cat: Catalog) -> DataFrame:
     pa = hidden_gem_player_agg(cat).where(F.col("player_tier") > 1)
-    th = tier_thresholds(cat)
+    th = tier_thresholds(cat, worst=3)  # the tier above tier 4 is tier 3
     th = F.broadcast(th.withColumn("_join_tier", F.col("player_tier") + 1).drop("player_tier"))  # <= 4 rows
     tr = player_trends(cat)
     j = pa.join(th, pa["player_tier"] == th["_join_tier"], "left").drop("_join_tier").join(tr, "player_id", "left")
