@@ -1,6 +1,7 @@
 """Registered queries against their SQL, and the pipeline against brute force."""
 
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -10,6 +11,7 @@ from clutchforge.llm import registry
 from oracle.check import compare, duck
 
 from ..conftest import SF_SMALL
+from .conftest import frame, hard_rows
 from .test_dedup import components_by_brute_force
 from .test_text_ops import hits_by_brute_force
 
@@ -79,3 +81,58 @@ def test_pipeline_stage_by_stage(llm, fixture, tmp_path):
     before, after = seen["tokens"]
     assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before)
     assert sum(r.n_tokens for r in after) == max(r.start + r.n_tokens for r in after)
+
+
+def hard_documents(llm, folder):
+    """Nulls everywhere, empty and very long texts, ties, near copies, repeated rows, columns of clashing names."""
+    rows = hard_rows(n=60) + [(700, "Good words and more. " * 60_000, "s0"), (701, None, "s1"), (None, None, None), (702, "tie " * 30, "s1"),
+                              (703, "tie " * 30, "s1"), (704, "A b. " * 50, None), (704, "A b. " * 50, None), (704, "A b. " * 50, None)]
+    items = [(1, " ".join(rows[3][1].split()[:12])), (None, "a null id with words of its own here and there"), (2, None), (3, "")]
+    frame(llm, rows).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 1 - i % 2 if i % 5 else None, 0) for i, t, _ in rows if i is not None and i < 60] + [(None, 1, 1), (None, None, None), (9999, 1, 0)]
+    llm.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    llm.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return rows, items
+
+
+def test_stages_on_hard_rows(llm, tmp_path):
+    """Each stage on all hard rows: its own input, not what the stage before has left."""
+    folder = str(tmp_path)
+    rows, items = hard_documents(llm, folder)
+    docs = llm.read.parquet(f"{folder}/documents.parquet")
+    out = {name: stage(llm, docs, folder) for name, stage in corpus_pipeline.STAGES}
+    assert all(out[name].columns == docs.columns for name in out if name != "tokens")
+    got = {name: df.collect() for name, df in out.items()}
+
+    key = lambda i, t: (-1 if i is None else i, t or "", t is None)
+    everything = Counter(key(i, t) for i, t, _ in rows)
+    scores = Counter(key(r.doc_id, r.text) for r in got["quality"])
+    assert scores <= everything and all(n == everything[k] for k, n in scores.items())  # equal rows share their fate
+
+    want, components = components_by_brute_force(rows, 5, 80)
+    empty = sum(not (t or "").split() for _, t, _ in rows)
+    assert components == len(got["near_copies"]) and sum(not (r.text or "").split() for r in got["near_copies"]) == empty
+
+    hits = Counter()
+    for (i, t, _), (n, hit, _) in zip(rows, hits_by_brute_force([t for _, t, _ in rows], items)):
+        hits[key(i, t)] += hit <= 0.5 * n
+    assert len(got["decontaminate"]) == sum(hits.values())
+    assert all(h == 0 for _, h, _ in hits_by_brute_force([r.text for r in got["decontaminate"]], items))
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got["decontaminate"])
+
+    assert sum(len((r.text or "").split()) for r in got["mix"]) > 0
+    assert Counter(key(r.doc_id, r.text) for r in got["mix"]) <= everything + everything
+    assert len(got["tokens"]) == len(rows)
+
+
+def test_run_on_hard_rows_and_empty_tables(llm, tmp_path):
+    folder = str(tmp_path / "hard")
+    hard_documents(llm, folder)
+    assert corpus_pipeline.run(llm, folder).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    for empty in ("documents", "labels", "benchmark"):
+        other = str(tmp_path / f"no_{empty}")
+        for t in ("documents", "labels", "benchmark"):
+            df = llm.read.parquet(f"{folder}/{t}.parquet")
+            (df.limit(0) if t == empty else df).write.parquet(f"{other}/{t}.parquet")
+        n = corpus_pipeline.run(llm, other).count()
+        assert n == 0 if empty in ("documents", "labels") else n > 0

@@ -85,15 +85,33 @@ def test_workers_keep_no_index(llm):
     assert held_by_workers(llm, "SuffixAutomaton") == [0]
 
 
-def test_token_files(llm, encoder):
-    rows = hard_rows()
+def library_ids(texts):
+    """Whole texts through the tokenizers library itself."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(token_output.public_tokenizer())
+    return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+ODD = ["it's THEY'LL we've", "1234567 3.14 1,000", "tab\there", "  two  spaces ", "line\r\nends\r\n\r\n", "naïve façade Œuvre", "漢字かな交じり文 한국어",
+       "👩‍👩‍👧 emoji 🇩🇪", "\u00a0no-break\u2003space", "a" * 3000, "!!!???...", "x_y-z/w\\v", "<|endoftext|> <s>", "\x00\x01\x7f", "ﬁ ligature Å Å",
+       "مرحبا بالعالم", "ǅ ɐɥ ʼn", "e\u0301 combining", "\ud7ff\ue000", "word" + "." * 40 + " next", "UPPER lower MiXed 42nd"]
+
+
+@given(st.lists(st.text(max_size=60), max_size=4))
+@settings(max_examples=150, deadline=None)
+def test_any_text_has_the_ids_of_the_library(encoder, texts):
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == library_ids(texts)
+
+
+def test_token_files(llm):
+    rows = hard_rows() + [(900 + k, t, "s") for k, t in enumerate(ODD)]
     folder = scratch(llm, "test-tokens")
     files = token_output.write_tokens(frame(llm, rows), folder, token_output.public_tokenizer(), frame_ids=500)
     placed = files.collect()
     read = token_output.read_tokens(files).collect()
     by_id = {}
-    for i, t, _ in rows:
-        ids = encoder.encode([t or ""])[0] + b"\0\0\0\0"
+    for (i, _, _), own in zip(rows, library_ids([t or "" for _, t, _ in rows])):
+        ids = np.array([*own, 0], "<u4").tobytes()
         by_id.setdefault(i, []).append((len(ids) // 4, zlib.crc32(ids)))
     got = {}
     at = 0
