@@ -353,6 +353,61 @@ def test_features_of_long_texts(limit):
         assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
 
 
+def toxicity_features_by_brute_force(text, learned, stems):
+    raw, n_bytes = text, len(text.encode())
+    words = ALNUM.findall(text.translate(LOWER))
+    n = max(1, len(words))
+    bad = [w in toxicity.LEXICON for w in words]
+    taught = [w in learned or (len(w.encode()) > toxicity.STEM_BYTES and w.encode()[:toxicity.STEM_BYTES] in stems) for w in words]
+    you = [w in toxicity.SECOND_PERSON for w in words]
+    near = [any(you[j] for j in range(max(0, i - toxicity.NEAR), min(len(words), i + toxicity.NEAR + 1)) if j != i) for i in range(len(words))]
+    upper, letters = re.findall("[A-Z]", raw), re.findall("[A-Za-z]", raw)
+    shouted = [m for m in ALNUM.finditer(raw.translate(LOWER)) if m.end() - m.start() >= 2 and re.fullmatch("[A-Z]+", raw[m.start():m.end()])]
+    signs = re.findall(r"[\x00-\x08\x0e-\x1f\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", raw)
+    read = raw.translate(LOWER).translate({ord(k): v for k, v in toxicity.SIGNS.items()})
+    hidden = sum(w in toxicity.LEXICON or w in learned for w in ALNUM.findall(read)) - sum(b or w in learned for b, w in zip(bad, words))
+    kinds = lambda flags: len({w for w, f in zip(words, flags) if f})
+    return [sum(bad) / n, sum(bad), kinds(bad), sum(taught) / n, sum(taught), kinds(taught),
+            sum((b or t) and c for b, t, c in zip(bad, taught, near)) / n, sum(you) / n, len(upper) / max(1, len(letters)), len(shouted) / n,
+            len(signs) / max(1, n_bytes), raw.count("!") / max(1, n_bytes), max(0, hidden) / n, float(np.log1p(len(words)))]
+
+
+def test_toxicity_features_by_brute_force():
+    r = random.Random(6)
+    pool = ["you", "idiot", "1d10t", "STUPID", "zorp", "zorpling", "zorplex", "u", "fine", "Very", "ok!!", "b@st@rd", "dumb,dumber", "du", "été", "x"]
+    texts = ["", " ", "!!!", "you you", "A", "YOU ARE AN IDIOT"] + [" ".join(r.choice(pool) for _ in range(r.randint(1, 40))) for _ in range(200)]
+    learned, stems = ["zorp", "fine"], [b"zorpl", "étéx".encode()[:5]]
+    at = np.arange(0, 10, 5)
+    hashed = np.sort(textkit.hash_slices(np.frombuffer(b"".join(stems), dtype=np.uint8), at, at + 5))
+    got = toxicity.features(texts, toxicity.word_hashes(learned), hashed)
+    want = np.array([toxicity_features_by_brute_force(t, learned, stems) for t in texts])
+    assert got.shape == (len(texts), len(toxicity.NAMES))
+    for k, name in enumerate(toxicity.NAMES):
+        assert np.allclose(got[:, k], want[:, k]), name
+
+
+def test_learned_lexicon_by_brute_force(llm):
+    r = random.Random(9)
+    words = [f"{a}{b}{c}" for a in ("gra", "blo", "sni") for b in ("ck", "mp", "ffle") for c in ("", "ing", "ers")]
+    rows = [(k, int(r.random() < 0.4), " ".join([*(r.choice(words) for _ in range(9)), *(["grackers"] if k % 3 == 0 else [])])) for k in range(200)]
+    rows = [(k, int(y or "grackers" in t), t) for k, y, t in rows]
+    got = toxicity.learn_lexicon(llm.createDataFrame(rows, "doc_id long, label int, text string"))
+    total = {y: sum(x[1] == y for x in rows) for y in (0, 1)}
+
+    def telling(entries):
+        odds = {}
+        for e in {e for _, _, t in rows for e in entries(t)}:
+            labels = [y for _, y, t in rows if e in entries(t)]
+            a, n = sum(labels), len(labels)
+            odd = np.log((a + 0.5) / (total[1] + 1)) - np.log((n - a + 0.5) / (total[0] + 1))
+            if a >= 4 and odd > 3:
+                odds[e] = odd * a
+        return sorted(sorted(odds, key=lambda e: (-odds[e], e))[:toxicity.LEARNED_WORDS])
+
+    assert got == (telling(lambda t: set(t.split())), [s.encode() for s in telling(lambda t: {w[:5] for w in t.split() if len(w) > 5})])
+    assert got[0] == ["grackers"]
+
+
 def test_ftrl_by_brute_force():
     """The update rule of the method, weight by weight in plain Python."""
     rows, labels = _labelled(n=40)
