@@ -131,6 +131,12 @@ def q_dq_unique(cat: Catalog) -> DataFrame:
     ])
 
 
+@query("dq_unique_models")
+def q_dq_unique_models(cat: Catalog) -> DataFrame:
+    """DQ-02: the unique rules of staging, map dimension and marts."""
+    return rules.unique_models(cat)
+
+
 @query("dq_accepted_values")
 def q_dq_accepted_values(cat: Catalog) -> DataFrame:
     """DQ-03: every accepted-values rule of every model."""

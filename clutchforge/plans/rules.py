@@ -53,6 +53,10 @@ RULES = (
           {"sample_quality": ("limited", "directional", "stable"), "metric_source": ("hltv_unofficial",)}, COUNTS),
 )
 
+# The columns whose values must be unique, beside the keys of facts and dimensions (``dq_unique``).
+UNIQUE = (("dim_maps", "map_sk"), ("dim_maps", "map_name"), ("stg_liquipedia_teams", "team_id"), ("mart_team_performance", "team_id"),
+          ("mart_map_meta", "map_name"), ("mart_upset_features", "match_sk"), ("mart_choke_profile", "team_id"))
+
 READERS: dict[str, Callable[[Catalog], DataFrame]] = {
     **{name: getattr(stg, name) for name in (
         "stg_faceit_matches", "stg_pandascore_matches", "stg_csapi_matches", "stg_csapi_team_rankings", "stg_csapi_player_stats",
@@ -72,3 +76,8 @@ def read(cat: Catalog, model: str) -> DataFrame:
 def check(cat: Catalog, *kinds: str) -> DataFrame:
     """All rules of some kinds (not_null, accepted_values, expression_is_true): one aggregate over each model that has any."""
     return dq.stack([dq.model_rules(m, read(cat, m.name), kinds) for m in RULES if m.rules(kinds)])
+
+
+def unique_models(cat: Catalog) -> DataFrame:
+    """The rules of ``UNIQUE``: how many values occur more than once."""
+    return dq.stack([dq.unique(model, read(cat, model), [column]) for model, column in UNIQUE])

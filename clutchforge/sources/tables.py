@@ -67,7 +67,10 @@ class Catalog:
         changed input or a changed rule never reads tables made before.
         """
         from ..session import ensure_checkpoint_dir
-        base = os.environ.get("CLUTCHFORGE_RAW_DIR") or ensure_checkpoint_dir(self.spark).rstrip("/")
+        base, master = os.environ.get("CLUTCHFORGE_RAW_DIR"), self.spark.sparkContext.master
+        if base and master != "local" and not master.startswith("local["):
+            raise RuntimeError("CLUTCHFORGE_RAW_DIR is for local runs; on a cluster spark.checkpoint.dir names the shared folder")
+        base = base or ensure_checkpoint_dir(self.spark).rstrip("/")
         pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         h = hashlib.md5("\n".join(self.input_files()).encode())
         for dirpath, dirs, files in sorted(os.walk(pkg)):

@@ -198,6 +198,9 @@ sql("dq_unique", "\nunion all\n".join([
     _UQ.format(t="fact_player_stats", c="player_stat_sk"),
     _UQ.format(t="dim_teams", c="team_id"),
     _UQ.format(t="dim_players", c="player_id")]))
+sql("dq_unique_models", "\nunion all\n".join(_UQ.format(t=t, c=c) for t, c in [
+    ("dim_maps", "map_sk"), ("dim_maps", "map_name"), ("stg_liquipedia_teams", "team_id"), ("mart_team_performance", "team_id"),
+    ("mart_map_meta", "map_name"), ("mart_upset_features", "match_sk"), ("mart_choke_profile", "team_id")]))
 sql("dq_relationship", """
 select 'fact_player_stats' as "table", 'relationships' as rule, 'player_id' as "column", cast(count(*) as bigint) as failures
 from fact_player_stats s where s.player_id is not null
