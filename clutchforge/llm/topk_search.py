@@ -44,7 +44,7 @@ from .workers import tidy
 
 SCALE = 256
 BITS = 7            # slices of an attribute
-BLOCK_ROWS = 8192   # rows of a block
+BLOCK_BYTES = 16 << 20  # of the integers of a block
 PART_BYTES = 4 << 20  # of queries that are broadcast at once
 WIDE = 1 << 40      # blocks or queries with larger integers are resolved without slices
 
@@ -280,13 +280,14 @@ def _query_rows(dims: int):
     return rows
 
 
-def build_index(vectors: DataFrame, dims: int, scale: int = SCALE, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def build_index(vectors: DataFrame, dims: int, scale: int = SCALE, bits: int = BITS, block_rows: int | None = None) -> DataFrame:
     """The bit-sliced index of ``vectors`` (vec_id, v), written to the shared folder."""
+    block_rows = block_rows or max(64, BLOCK_BYTES // (8 * max(1, dims)))
     return materialise(vectors.mapInArrow(_block_builder(dims, scale, bits, block_rows), INDEX), "sliced")
 
 
 def search_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-                scale: int = SCALE, bits: int = BITS, block_rows: int = BLOCK_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
+                scale: int = SCALE, bits: int = BITS, block_rows: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of ``df`` for every row whose ``vec_id`` meets ``is_query``."""
     spark = prepare(df.sparkSession)
     vectors = finite_vectors(df, id_col, vec_col)
