@@ -220,6 +220,11 @@ def merge_spans(lists) -> list[int]:
     return flat
 
 
+def once(udf):
+    """Evaluated once per row: the optimizer copies other functions into a filter on their result, which would read every text twice."""
+    return udf.asNondeterministic()
+
+
 FOUND = "n_words long, spans array<int>, items array<string>"
 
 
@@ -236,7 +241,7 @@ def finder(shared, window: int) -> Callable[[Column], Column]:
                 spans, ids, _ = index.find(w)
                 out += [(int(n), s, sorted(i)) for n, s, i in zip(w.counts, spans, ids)]
             yield pd.DataFrame(out, columns=["n_words", "spans", "items"])
-    return find
+    return once(find)
 
 
 def cleaner(shared, window: int, max_match: int, max_coverage: float) -> Callable[[Column], Column]:
@@ -256,7 +261,7 @@ def cleaner(shared, window: int, max_match: int, max_coverage: float) -> Callabl
                     left = text if dropped or not hit else remove(index, text, max_match)
                     out.append((left, left != text, dropped))
             yield pd.DataFrame(out, columns=["text", "changed", "dropped"])
-    return clean
+    return once(clean)
 
 
 def remove(index: Index, text: str, max_match: int) -> str:
@@ -366,7 +371,7 @@ def hits_finder(shared, window: int) -> Callable[[Column], Column]:
                 spans, _, _ = index.find(w, ends)
                 out += [(int(n), s, e) for n, s, e in zip(w.counts, spans, ends)]
             yield pd.DataFrame(out, columns=["n_words", "spans", "ends"])
-    return find
+    return once(find)
 
 
 def lengths_finder(shared, window: int) -> Callable[[Column, Column], Column]:

@@ -253,6 +253,14 @@ def test_a_long_item_is_dealt_to_blocks(llm, monkeypatch, max_match):
     assert sum(bool(s) for _, _, s, _ in want[0]) == 9
 
 
+def test_texts_are_read_once(llm):
+    benchmark = llm.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    docs = frame(llm, hard_rows(n=5))
+    for df in (decontaminate.clean(docs, benchmark, chars_col="n_chars"),
+               decontaminate.find_contamination(docs, benchmark).filter("size(spans) > 0")):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_a_text_above_one_turn(llm):
     benchmark = llm.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     long = "word " * 500_000 + "a b c d e f g h i j " + "word " * 9
