@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas, sinks
 from ..sinks import warehouse
@@ -13,7 +14,7 @@ from ..sources import raw_io
 from ..sources import standins as raw
 from ..sources.tables import Catalog
 from ..streaming.incremental import incremental_load
-from . import core, marts
+from . import core, marts, ml
 from . import staging as stg
 from .registry import query
 
@@ -89,6 +90,48 @@ def q_snapshot_roundtrip(cat: Catalog) -> DataFrame:
     return sinks.read_snapshot(cat.spark, path)
 
 
+def _with_text(schema: T.StructType, *columns: str) -> T.StructType:
+    """A schema and text columns, those of partition folders."""
+    return T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in columns]])
+
+
+@query("sink_date_partitions")
+def q_sink_date_partitions(cat: Catalog) -> DataFrame:
+    """SNK-01: rankings written under year / month / day of their date with the contract's columns, then read back."""
+    def write(folder: str) -> None:
+        sinks.write_date_partitioned(raw.raw_csapi_team_rankings(cat), folder, "ranking_date", schemas.RAW_CSAPI_TEAM_RANKINGS)
+
+    path = cat.stored("ranking_files", write)
+    return raw_io.scan_raw(cat.spark, path, _with_text(schemas.RAW_CSAPI_TEAM_RANKINGS, "year", "month", "day"))
+
+
+@query("sink_batches")
+def q_sink_batches(cat: Catalog) -> DataFrame:
+    """SNK-02 / SNK-03: one batch per region, all of them written twice, and a first write that a second doesn't replace."""
+    rows = raw.raw_valve_team_regions(cat)
+
+    def write(folder: str) -> None:
+        regions = [r["region"] for r in rows.select("region").distinct().collect()]  # a handful
+        for region in regions + regions:
+            sinks.append_batch(rows.where(F.col("region") == region), f"{folder}/batches", region.replace(" ", "_"))
+        sinks.write_if_absent(rows, f"{folder}/once")
+        sinks.write_if_absent(rows.unionByName(rows), f"{folder}/once")
+
+    path = cat.stored("region_batches", write)
+    batches = cat.spark.read.schema(_with_text(rows.schema, "batch_id")).parquet(f"{path}/batches")
+    once = cat.spark.read.schema(rows.schema).parquet(f"{path}/once").withColumn("batch_id", F.lit("once"))
+    return batches.unionByName(once).groupBy("batch_id", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("points").alias("points"))
+
+
+@query("sink_metrics")
+def q_sink_metrics(cat: Catalog) -> DataFrame:
+    """SNK-07: the model's threshold rows persisted and read back."""
+    t = ml.validation_threshold(cat)
+    path = cat.stored("threshold_rows", lambda folder: sinks.write_metrics(t, folder))
+    return cat.spark.read.schema(t.schema).json(path)
+
+
 @query("warehouse_objects")
 def q_warehouse_objects(cat: Catalog) -> DataFrame:
     """SNK-04: staging models as views, marts as tables that are replaced under their readers; rows as the catalog serves them."""

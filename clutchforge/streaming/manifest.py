@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sinks import append_batch
 from ..sources import hadoop
@@ -41,6 +42,6 @@ def load_pending(rows: DataFrame, target: str, manifest: LoadManifest, load_id:
     (The keys are taken from what was written.)"""
     spark = rows.sparkSession
     if append_batch(manifest.pending(rows, load_id), target, load_id):
-        schema = rows.schema.add("batch_id", "string")
+        schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.StringType())])
         written = spark.read.schema(schema).option("basePath", target).parquet(target).where(F.col("batch_id") == load_id)
         manifest.commit(written, load_id)

@@ -614,6 +614,7 @@ from (select count(*) as nn, sum(label) as p from ({_VAL})) tot,
       ) where positive_rate <= cap)
 """
 sql("ml_threshold", _THR)
+sql("sink_metrics", _THR)
 _AUC = """
 select case when p = 0 or q = 0 then 0.5 else num / (2.0 * p * q) end as roc_auc
 from (select sum(pos * (2 * below + neg)) as num, sum(pos) as p, sum(neg) as q
@@ -663,6 +664,13 @@ union all select 'raw_hltv_round_history', count(*), true from raw_hltv_round_hi
 """)
 sql("incremental_load", "select * from raw_matches_all")
 sql("merge_fact_matches", "select * from fact_matches")
+sql("sink_date_partitions", """
+select *, ranking_date[1:4] as year, ranking_date[6:7] as month, ranking_date[9:10] as day from raw_csapi_team_rankings
+""")
+sql("sink_batches", """
+select batch_id, snapshot_date, count(*) as row_count, sum(points)::bigint as points
+from (select unnest([replace(region, ' ', '_'), 'once']) as batch_id, snapshot_date, points from raw_valve_team_regions) group by all
+""")
 sql("warehouse_objects", "\nunion all\n".join(
     f"select '{model}' as model, '{kind}' as kind, count(*) as row_count from {source}" for model, kind, source in [
         ("stg_csapi_team_rankings", "view", "stg_csapi_team_rankings"),
