@@ -22,12 +22,13 @@ They contain every run with a word on both sides, so nothing is missed.
 Words are the maximal runs of characters other than ASCII white space. Defined
 results: a null or empty text has no words, no runs and an empty collapsed text;
 texts are whole, memory grows with the longest stretch of a single text (about
-0.4 kB a word); repeated rows are answered each; empty tables give no rows; other
+0.2 kB a word); repeated rows are answered each; empty tables give no rows; other
 columns are ignored, so their names can't clash.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,22 +42,28 @@ from .workers import tidy
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
 GRAM = 4  # words of the grams that choose the stretches, fewer where runs may be shorter
+LONG = 1 << 20  # states of a stretch that is held in arrays
 ROUNDS = 20  # of narrowing the stretches; the result does not depend on it
 
 RUNS = "array<struct<start: long, length: long, period: long>>"
 
 
+def _numbers(n: int, value: int = 0) -> list[int] | array:
+    """``n`` numbers: a list, which is fast, or for long stretches an array, which is small."""
+    return [value] * n if n < LONG else array("i", [value]) * n
+
+
 def suffix_automaton(words: list[int]) -> tuple[list[int], list[int], list[int]]:
     """(suffix link, longest length) of every state and the state of every prefix.
     State 1 is the root; 0 stands for none."""
     n = 2 * len(words) + 2
-    link, longest = [0] * n, [0] * n
+    link, longest = _numbers(n), _numbers(n)
     # Most states have one transition, kept in two lists; the rest of a state's are in ``more``.
-    word, target = [0] * n, [0] * n
+    word, target = _numbers(n), _numbers(n)
     more: dict[int, dict[int, int]] = {}
-    prefixes = []
+    prefixes = _numbers(len(words))
     last, count = 1, 2
-    for w in words:
+    for i, w in enumerate(words):
         state = count
         count += 1
         longest[state] = longest[last] + 1
@@ -94,8 +101,7 @@ def suffix_automaton(words: list[int]) -> tuple[list[int], list[int], list[int]]
                     break
                 p = link[p]
             link[q] = link[state] = copy
-        prefixes.append(state)
-        last = state
+        prefixes[i] = last = state
     return link, longest, prefixes
 
 
@@ -104,8 +110,8 @@ def runs_of(words: list[int], min_length: int = MIN_LENGTH, min_exponent: int =
     link, longest, prefixes = suffix_automaton(words)
     n = len(words)
     up = link  # of a path's topmost splay node: the state above the path
-    left, right = [0] * len(up), [0] * len(up)
-    colour = [-1] * len(up)  # valid at the root of a splay tree
+    left, right = _numbers(len(up)), _numbers(len(up))
+    colour = _numbers(len(up), -1)  # valid at the root of a splay tree
 
     def rotate(x: int) -> None:
         p = up[x]

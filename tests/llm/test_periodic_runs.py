@@ -61,6 +61,20 @@ def test_runs_and_stretches(w, limits):
     assert periodic_runs.text_runs([b"%d" % x for x in w], *limits) == want  # behind the choice of stretches
 
 
+def test_long_stretches_in_arrays(monkeypatch):
+    import random
+    r = random.Random(2)
+    texts = []
+    for _ in range(60):
+        w = [r.randrange(4) for _ in range(r.randint(0, 50))]
+        for i in range(len(w) // 3 + 3, len(w)):
+            w[i] = w[i - 3]
+        texts.append(w)
+    want = [periodic_runs.runs_of(w, 2, 2) for w in texts]
+    monkeypatch.setattr(periodic_runs, "LONG", 0)
+    assert [periodic_runs.runs_of(w, 2, 2) for w in texts] == want == [brute_runs(w, 2, 2) for w in texts]
+
+
 def test_gram_keys_do_not_overflow():
     import numpy as np
     ids = np.array([0, 1 << 40, 5, 0, 1 << 40, 5, 7])
