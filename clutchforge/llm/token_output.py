@@ -22,7 +22,9 @@ written each; other columns are ignored; empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -40,10 +42,13 @@ from .files import open_fs, write_whole
 from .workers import tidy
 
 FRAME_IDS = 1 << 18
-CACHE_BYTES = 48 << 20  # of a generation of remembered segments; an encoder keeps four at most
+CACHE_BYTES = 96 << 20  # of a generation of remembered segments; an encoder keeps four at most
 ENTRY_BYTES = 180       # of a segment besides its letters and ids
 KNOWN_MARKS, LONG_MARKS = 1 << 13, 16  # marks that are remembered, and letters of the longest
-MARKS, LATIN = ".,!?;:", "\u0250"  # letters below LATIN are the same to Python and to the tokenizer
+# Behind letters these are a piece of their own (the apostrophe may belong to what follows it).
+MARKS = "".join(c for c in string.punctuation if c != "'")
+LATIN = "\u0250"  # letters below it are the same to Python and to the tokenizer
+TASK_BYTES = 64 << 20  # of texts per task, and so per file: segments are remembered for that long
 END_ID = 0
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed by the seekable format
 INDEX = 0x184D2A50
@@ -53,6 +58,7 @@ _RANGE = struct.Struct("<qqIQ")  # first id, last id, documents, ids before this
 # Byte-level vocabularies write the bytes that are no visible Latin-1 signs as U+0100 and up, in order.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+SPACE_SIGN = chr(BYTE_SIGNS[ord(" ")])
 
 
 class _Segments(dict):
@@ -60,16 +66,23 @@ class _Segments(dict):
 
     def __init__(self, tokenizer, before: str):
         super().__init__()
-        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
+        self.tokenizer, self.tokenize, self.before = tokenizer, tokenizer.model.tokenize, before
+        self.sign = SPACE_SIGN if before else ""
         self.old, self.known_marks, self.bytes = {}, {}, 0
 
     def __missing__(self, word: str) -> bytes | None:
         ids = self.old.get(word)
         if ids is None and word:
             core = word.rstrip(MARKS)
-            if core and core.isalpha() and max(core) < LATIN:
+            plain = core.isascii()
+            if core.isalpha() and (plain or max(core) < LATIN):
                 # Letters, then marks: pieces of their own, so words share them.
-                ids = self[core] + self.marks(word[len(core):]) if core != word else self.piece(self.before + core)
+                if core != word:
+                    ids = self[core] + self.marks(word[len(core):])
+                elif plain:  # ASCII letters are written as they are
+                    ids = _packed([t.id for t in self.tokenize(self.sign + core)])
+                else:
+                    ids = self.piece(self.before + core)
             elif not word[0].isspace() and not word[-1].isspace():
                 # (Next to other white space a segment is not encoded by itself.)
                 ids = _packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
@@ -84,7 +97,7 @@ class _Segments(dict):
     def piece(self, text: str) -> bytes:
         """Ids of a text that the tokenizer's pattern would leave whole, from its model."""
         written = text.encode().decode("latin-1").translate(BYTE_SIGNS)
-        return _packed([t.id for t in self.model.tokenize(written)])
+        return _packed([t.id for t in self.tokenize(written)])
 
     def marks(self, text: str) -> bytes:
         if len(text) > LONG_MARKS:
@@ -96,8 +109,12 @@ class _Segments(dict):
         return self.known_marks[text]
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACK[n](*ids) if n < 33 else struct.pack(f"<{n}I", *ids)
 
 
 class Encoder:
@@ -239,7 +256,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
 
     rows = text_rows(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit(""))) \
         .withColumn("tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.repartitionByRange(max(1, math.ceil(total / TASK_BYTES)), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     # Ids travel as text: pandas would turn nullable integers into floats.
     written = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text") \
         .mapInPandas(run, "part int, file string, docs long, ids long")
