@@ -152,7 +152,7 @@ def judged_maps(docs: DataFrame, doc: str = "doc") -> DataFrame:
         present = present & F.col(c).isNotNull()
     d = d.select("*", F.transform("d.roundHistory", _round).alias("rounds"))
     sound = present & F.coalesce(F.forall("rounds", lambda x: x["valid"]), F.lit(True))
-    malformed = F.col("d").isNull() | F.col("d._corrupt_record").isNotNull() | (F.trim("d._corrupt_record") == "")
+    malformed = F.col("d").isNull() | F.col("d._corrupt_record").isNotNull()
     return d.select("*", F.when(malformed, MALFORMED).when(~sound, INVALID)
                     .when(F.coalesce(F.size("rounds"), F.lit(0)) <= 0, EMPTY).otherwise(VALID).alias("verdict"))
 
