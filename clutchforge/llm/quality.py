@@ -137,16 +137,16 @@ class Ftrl:
         self.rows += 1
 
     def learn(self, texts: list[str], labels: list[int]) -> None:
+        """Updates for texts in their order; an empty one moves the bias only."""
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        done = 0
         for place, value, row in sparse(texts):
             cuts = np.searchsorted(row, np.arange(row[0], row[-1] + 2)) if len(row) else np.zeros(0, dtype=int)
             for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                 if b > a:
                     known[int(row[0]) + k] = place[a:b], value[a:b]
         none = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for t in range(done, len(texts)):
-            self.update(*known.get(t, none), labels[t])
+        for t, label in enumerate(labels):
+            self.update(*known.get(t, none), label)
 
 
 def train(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
