@@ -142,19 +142,27 @@ def _round(r: Column, pos: Column) -> Column:
 MALFORMED, INVALID, EMPTY, VALID = "malformed", "invalid", "empty", "valid"
 
 
-def judged_maps(docs: DataFrame, doc: str = "doc") -> DataFrame:
+def _verdict(d: Column, rounds: Column) -> Column:
+    sound = F.coalesce(F.forall(rounds, lambda x: x["valid"]), F.lit(True))
+    for c in (d["date"], d["matchId"], d["map"], d["team1"]["id"], d["team2"]["id"]):
+        sound = sound & c.isNotNull()
+    return F.when(d.isNull() | d["_corrupt_record"].isNotNull(), MALFORMED).when(~sound, INVALID) \
+        .when(F.coalesce(F.size(rounds), F.lit(0)) <= 0, EMPTY).otherwise(VALID)
+
+
+def judged_maps(docs: DataFrame, doc: str = "doc", only: str | None = None) -> DataFrame:
     """``docs`` with the parsed map document ``d``, its ``rounds`` with sides and winners, and a ``verdict``:
     malformed (no JSON document, or a value of another type), invalid (no date, match id, map or
-    teams, or an invalid round), empty (no rounds) or valid."""
+    teams, or an invalid round), empty (no rounds) or valid; all, or those of ``only`` one verdict.
+
+    The generator makes the rounds and judges them once, as ``parsed`` parses once."""
     d = parsed(docs, f"{HLTV_MAP}, _corrupt_record string", doc)
-    present = F.lit(True)
-    for c in ("d.date", "d.matchId", "d.map", "d.team1.id", "d.team2.id"):
-        present = present & F.col(c).isNotNull()
-    d = d.select("*", F.transform("d.roundHistory", _round).alias("rounds"))
-    sound = present & F.coalesce(F.forall("rounds", lambda x: x["valid"]), F.lit(True))
-    malformed = F.col("d").isNull() | F.col("d._corrupt_record").isNotNull()
-    return d.select("*", F.when(malformed, MALFORMED).when(~sound, INVALID)
-                    .when(F.coalesce(F.size("rounds"), F.lit(0)) <= 0, EMPTY).otherwise(VALID).alias("verdict"))
+    made = F.array(F.struct(F.col("d"), F.transform("d.roundHistory", _round).alias("rounds")))
+    judged = F.transform(made, lambda x: F.struct(x["d"].alias("d"), x["rounds"].alias("rounds"), _verdict(x["d"], x["rounds"]).alias("verdict")))
+    if only is not None:
+        judged = F.filter(judged, lambda x: x["verdict"] == only)
+    rest = [c for c in d.columns if c != "d"]
+    return d.select(*rest, F.explode(judged).alias("j")).select(*rest, "j.d", "j.rounds", "j.verdict")
 
 
 def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
@@ -168,7 +176,7 @@ def hltv_rounds(docs: DataFrame, ingested_at: str) -> DataFrame:
     documents neither mix their scores nor reject each other.
     """
     t1, t2 = F.col("d.team1.id"), F.col("d.team2.id")
-    d = judged_maps(docs.select("doc")).where(F.col("verdict") == VALID).select("d", "rounds")
+    d = judged_maps(docs.select("doc"), only=VALID).select("d", "rounds")
     points = "array<struct<s1:bigint,s2:bigint>>"
 
     def score(acc: Column, x: Column) -> Column:
