@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.normalize import HLTV_MAP as MAP_DOCUMENT
+from . import raw_io
 from . import standins as raw
 from .tables import Catalog
 
@@ -216,8 +217,7 @@ def csapi_match_docs(cat: Catalog) -> DataFrame:
 
 
 def write_document_files(cat: Catalog, folder: str) -> None:
-    """Map documents as exported: one (pretty-printed, so multi-line) JSON document per file, below a folder named
-    after it. Beside sound and invalid documents there are files cut off in the middle, blank ones, ones that hold
+    """Map documents as exported: one (pretty-printed, so multi-line) JSON document per file, named after it. Beside sound and invalid documents there are files cut off in the middle, blank ones, ones that hold
     no document and documents without rounds."""
     d = hltv_map_docs(cat).select(F.get_json_object("doc", "$.id").cast("long").alias("id"), F.get_json_object("doc", "$.map").alias("map"),
                                   F.to_json(F.from_json("doc", MAP_DOCUMENT), {"pretty": "true"}).alias("text"))
@@ -231,8 +231,7 @@ def write_document_files(cat: Catalog, folder: str) -> None:
         other("list", sound & (F.col("map") == "Map1"), F.lit("[1, 2]")),
         other("bare", sound & (F.col("map") == "Map0"), F.concat(
             F.lit('{"id": 1, "matchId": 2, "map": "m", "date": 3,\n "team1": {"id": 4}, "team2": {"id": 5}, "roundHistory": []}')))))
-    d.select(F.explode(files).alias("f")).select("f.document", F.col("f.text").alias("value")) \
-        .write.option("maxRecordsPerFile", 1).partitionBy("document").text(folder)
+    raw_io.write_whole_files(d.select(F.explode(files).alias("f")).select("f.*"), folder, "document", "text")
 
 
 def pandascore_player_docs(cat: Catalog) -> DataFrame:
