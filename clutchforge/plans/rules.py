@@ -61,7 +61,8 @@ READERS: dict[str, Callable[[Catalog], DataFrame]] = {
     **{name: getattr(stg, name) for name in (
         "stg_faceit_matches", "stg_pandascore_matches", "stg_csapi_matches", "stg_csapi_team_rankings", "stg_csapi_player_stats",
         "stg_valve_team_regions", "stg_hltv_round_history", "stg_faceit_players", "stg_pandascore_players", "stg_liquipedia_teams",
-        "int_matches_unioned", "int_players_unioned")},
+        "int_matches_unioned")},
+    "int_players_unioned": core.players,
     "dim_maps": core.dim_maps,
 }
 

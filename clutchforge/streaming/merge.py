@@ -28,7 +28,7 @@ BUCKETS = 64
 
 class KeyedTable:
     """``ordering(rows)`` gives the columns whose largest struct picks a key's row (see
-    operators.dedupe); it must order all columns, so that the pick doesn't depend on the order of loads."""
+    operators.dedupe); equal ones are told apart by the whole row, so the pick doesn't depend on the order of loads."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
                  ordering: Callable[[DataFrame], list[Column]], buckets: int = BUCKETS):
