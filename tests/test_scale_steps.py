@@ -5,9 +5,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from clutchforge.operators.dedupe import desc_nulls_last, keep_first
+from clutchforge.operators.dedupe import desc_nulls_last, keep_first, keep_first_laid_out
 from clutchforge.plans import core, marts
+from clutchforge.plans import staging as stg
 from clutchforge.session import FIRST_PARTITIONS, TASK_LIMITS, configure, shuffle_tasks, size_shuffles
+from clutchforge.sources import standins
 from clutchforge.sources.tables import Catalog
 
 from .conftest import SF_SMALL
@@ -75,3 +77,38 @@ def test_trend_windows_against_brute_force(spark):
     assert (p["recent_90_day_maps_played"], p["previous_90_day_maps_played"]) == (2, 2)
     assert (p["recent_90_day_adr"], p["previous_90_day_adr"], p["recent_90_day_kast"]) == (15.0, 60.0, None)
     assert (q["recent_90_day_maps_played"], q["previous_90_day_maps_played"], q["recent_90_day_adr"]) == (0, 0, None)
+
+
+def _exchanges(df):
+    return re.findall(r"Exchange (\w+)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_stored_players_are_moved_once(spark):
+    cat = Catalog(configure(spark), SF_SMALL)
+    laid = keep_first_laid_out(stg.players_unioned_raw(cat), stg.player_grain(), stg.first_provider(), 7)
+    assert _exchanges(laid) == ["rangepartitioning"]  # its aggregate runs inside the ranges
+    plain = stg.int_players_unioned(cat)
+    assert laid.count() == plain.count() and laid.exceptAll(plain).count() == 0
+
+
+def test_rows_of_a_hot_key_are_collapsed_before_they_move(spark):
+    rows = [("hot", None, float(i % 50)) for i in range(300)] + [(f"k{i % 40}", f"m{i % 3}" if i % 5 else None, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, m string, v double")
+    keys, order = ["k", F.coalesce("m", F.lit("none"))], desc_nulls_last(F.col("v"))
+    want = sorted(keep_first(df, keys, order).collect(), key=str)
+    assert sorted(keep_first_laid_out(df, keys, order, 4).collect(), key=str) == want
+    split = keep_first_laid_out(df, keys, order, 4, most_rows=250)
+    assert sorted(_exchanges(split)) == ["hashpartitioning", "rangepartitioning", "rangepartitioning"]
+    assert sorted(split.collect(), key=str) == want
+
+
+def test_line_pairs_move_a_line_once(spark):
+    pairs = standins.lineitem_pairs(Catalog(configure(spark), SF_SMALL))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan  # the winner's fields are in what it is chosen by
+
+
+def test_averages_of_players_are_made_once(spark):
+    cat = Catalog(configure(spark), SF_SMALL)
+    assert all("player_board" in f for f in marts.player_board(cat).inputFiles())
+    assert all("hidden_gem_players" in f for f in marts.hidden_gem_player_agg(cat).inputFiles())
