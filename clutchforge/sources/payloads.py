@@ -304,30 +304,35 @@ def cached_match_docs(cat: Catalog) -> DataFrame:
         F.col("match_id").cast("long").alias("id"), F.col("player_id").cast("long").alias("player"), "display_name",
         F.col("team_id").cast("long").alias("team"), F.col("kills").cast("long").alias("k"), F.col("deaths").cast("long").alias("d"),
         "adr", "kast", "rating")
-    k, d, player = F.col("k"), F.col("d"), F.col("player")
 
-    def on_map(kills: F.Column) -> F.Column:
+    def on_map(p: F.Column, kills: F.Column) -> F.Column:
+        k, d, player = p["k"], p["d"], p["player"]
         return F.struct(
-            player.alias("playerId"), F.col("display_name").alias("nickname"), F.when(player % 4 != 0, F.lit("Nowhere")).alias("country"),
+            player.alias("playerId"), p["display_name"].alias("nickname"), F.when(player % 4 != 0, F.lit("Nowhere")).alias("country"),
             (k % 7).alias("openingKills"), (d % 5).alias("openingDeaths"), ((k % 7) / 2).alias("ecoOpeningKills"),
-            ((d % 5) / 2).alias("ecoOpeningDeaths"), F.when(k % 2 == 1, k % 3).alias("multiKillRounds"), F.col("kast").alias("kast"),
-            (F.col("kast") / 2).alias("ecoKast"), F.when(d % 2 == 0, k % 4).alias("clutchesWon"), kills.alias("kills"),
+            ((d % 5) / 2).alias("ecoOpeningDeaths"), F.when(k % 2 == 1, k % 3).alias("multiKillRounds"), p["kast"].alias("kast"),
+            (p["kast"] / 2).alias("ecoKast"), F.when(d % 2 == 0, k % 4).alias("clutchesWon"), kills.alias("kills"),
             F.floor(kills / 3).alias("headshots"), (kills / 4).alias("ecoKills"), F.lit(None).cast("long").alias("ecoHeadshots"),
             (k % 6).alias("assists"), (k % 2).alias("flashAssists"), d.alias("deaths"), F.floor(d / 4).alias("tradedDeaths"),
-            (d / 2).alias("ecoDeaths"), F.lit(0).alias("ecoTradedDeaths"), F.col("adr").alias("adr"), (F.col("adr") / 2).alias("ecoAdr"),
-            F.lit(1.5).alias("swing"), F.col("rating").alias("rating"))
-
-    over_match = F.struct(
-        F.when(player % 13 != 0, player).alias("playerId"), F.col("display_name").alias("nickname"), F.lit("Nowhere").alias("country"),
-        (2 * k).alias("kills"), (2 * d).alias("deaths"), (k / 2).alias("ecoKills"), (d / 2).alias("ecoDeaths"), F.lit(-0.5).alias("swing"),
-        F.col("adr").alias("adr"), (F.col("adr") / 2).alias("ecoAdr"), F.col("kast").alias("kast"), (F.col("kast") / 2).alias("ecoKast"),
-        F.col("rating").alias("rating"))
-    first = F.col("team") % 2 == 0
-    half = F.floor(k / 2)
-    # Line items of one order: a handful.
-    of = lambda team, value: F.collect_list(F.when(team, value))
-    g = r.groupBy("id").agg(*[of(team, value).alias(f"{name}_{side}") for name, team in (("team1", first), ("team2", ~first))
-                              for side, value in (("combined", on_map(k)), ("t", on_map(half)), ("ct", on_map(k - half)), ("match", over_match))])
+            (d / 2).alias("ecoDeaths"), F.lit(0).alias("ecoTradedDeaths"), p["adr"].alias("adr"), (p["adr"] / 2).alias("ecoAdr"),
+            F.lit(1.5).alias("swing"), p["rating"].alias("rating"))
+
+    def over_match(p: F.Column) -> F.Column:
+        k, d, player = p["k"], p["d"], p["player"]
+        return F.struct(
+            F.when(player % 13 != 0, player).alias("playerId"), p["display_name"].alias("nickname"), F.lit("Nowhere").alias("country"),
+            (2 * k).alias("kills"), (2 * d).alias("deaths"), (k / 2).alias("ecoKills"), (d / 2).alias("ecoDeaths"), F.lit(-0.5).alias("swing"),
+            p["adr"].alias("adr"), (p["adr"] / 2).alias("ecoAdr"), p["kast"].alias("kast"), (p["kast"] / 2).alias("ecoKast"),
+            p["rating"].alias("rating"))
+
+    half = lambda p: F.floor(p["k"] / 2)
+    values = (("combined", lambda p: on_map(p, p["k"])), ("t", lambda p: on_map(p, half(p))),
+              ("ct", lambda p: on_map(p, p["k"] - half(p))), ("match", over_match))
+    # Line items of one order: a handful. A row is gathered once; what a document says of it is made behind the shuffle.
+    rows = r.groupBy("id").agg(F.collect_list(F.struct(*[c for c in r.columns if c != "id"])).alias("rows"))
+    first = F.filter("rows", lambda p: p["team"] % 2 == 0)
+    others = F.filter("rows", lambda p: p["team"] % 2 != 0)
+    g = rows.select("id", *[F.transform(of, value).alias(f"{name}_{side}") for name, of in (("team1", first), ("team2", others)) for side, value in values])
     sides = lambda team: F.struct(F.col(f"{team}_combined").alias("combined"),
                                   F.when(F.col("id") % 2 == 0, F.col(f"{team}_t")).alias("t"), F.col(f"{team}_ct").alias("ct"))
     head = lambda n: [(F.col("id") * 10 + n).alias("mapstatsId")]

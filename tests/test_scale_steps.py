@@ -5,11 +5,12 @@ import re
 
 from pyspark.sql import functions as F
 
+from clutchforge.operators import normalize
 from clutchforge.operators.dedupe import desc_nulls_last, keep_first, keep_first_laid_out
 from clutchforge.plans import core, marts
 from clutchforge.plans import staging as stg
 from clutchforge.session import FIRST_PARTITIONS, TASK_LIMITS, configure, shuffle_tasks, size_shuffles
-from clutchforge.sources import standins
+from clutchforge.sources import payloads, standins
 from clutchforge.sources.tables import Catalog
 
 from .conftest import SF_SMALL
@@ -112,3 +113,20 @@ def test_averages_of_players_are_made_once(spark):
     cat = Catalog(configure(spark), SF_SMALL)
     assert all("player_board" in f for f in marts.player_board(cat).inputFiles())
     assert all("hidden_gem_players" in f for f in marts.hidden_gem_player_agg(cat).inputFiles())
+
+
+def test_cached_documents_gather_a_row_once(spark):
+    cat = Catalog(configure(spark), SF_SMALL)
+    stat = lambda match, player, team, kills: (str(player), "csapi", f"n{player}", team, kills, 5.0, 70.0, 0.5, 1.1, str(match))
+    rows = [stat(2, 1, "4", 7.0), stat(2, 2, "-1", 8.0), stat(2, 3, None, 9.0), stat(2, 1, "4", 7.0), stat(3, 26, "5", None)]
+    cat._memo["raw:raw_players"] = spark.createDataFrame(
+        rows, "player_id string, source string, display_name string, team_id string, kills double, deaths double, adr double, kast double, "
+              "rating double, match_id string").select("*", *[F.lit(None).cast("string").alias(c) for c in (
+                  "team_name", "nationality", "kd_ratio", "swing", "matches_played", "elo", "recorded_at")])
+    docs = payloads.cached_match_docs(cat)
+    assert len(re.findall(r"(?<!partial_)collect_list\(", re.search(r"Aggregate\(keys=[^\n]*", docs._jdf.queryExecution().executedPlan().toString()).group(0))) == 1
+    got = normalize.side_players(docs).select("match_id", "map_stats_id", "team", "side", "player_id", "kills").collect()
+    want = [("2", f"2{m}", team, side, player, kills) for m in (1, 2) for team, player, k in (("team1", "1", 7), ("team1", "1", 7), ("team2", "2", 8))
+            for side, kills in (("combined", k), ("t", k // 2), ("ct", k - k // 2))]
+    want += [("3", "31", "team2", side, "26", kills) for side, kills in (("combined", None), ("ct", None))]
+    assert sorted(map(tuple, got), key=str) == sorted([(*w[:5], None if w[5] is None else float(w[5])) for w in want], key=str)
