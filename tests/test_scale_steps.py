@@ -115,6 +115,28 @@ def test_averages_of_players_are_made_once(spark):
     assert all("hidden_gem_players" in f for f in marts.hidden_gem_player_agg(cat).inputFiles())
 
 
+def _read_columns(df):
+    """The columns of each file scan of a plan."""
+    return [set(re.findall(r"(\w+)#", cols)) for cols in re.findall(r"FileScan parquet \[([^\]]*)\]", df._jdf.queryExecution().executedPlan().toString())]
+
+
+def test_line_pairs_move_what_a_match_is_made_of(spark):
+    (read,) = _read_columns(standins.lineitem_pairs(Catalog(configure(spark), SF_SMALL)))
+    assert read == {"l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity"}
+
+
+def test_line_pairs_of_repeated_lines(spark):
+    day = lambda d: dt.datetime(1995, 1, d)
+    rows = [(1, 1, 7, 3, 9.0, 5.0, day(1)), (1, 1, 8, 2, 1.0, 4.0, day(2)), (1, 1, 8, 2, 2.0, 3.0, day(2)), (1, 2, 5, 6, 4.0, 1.0, None),
+            (1, 2, 5, 6, 4.0, 2.0, None), (2, 1, 1, 1, 1.0, 1.0, day(1)), (3, 1, 1, 4, 1.0, 1.0, day(1)), (3, 2, 1, 4, 1.0, 1.0, day(1))]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                                        "l_extendedprice double, l_shipdate timestamp")
+    cat = Catalog(configure(spark), SF_SMALL)
+    cat.table = lambda name: lines
+    got = standins.lineitem_pairs(cat).select("l_orderkey", "a.l_partkey", "a.l_suppkey", "a.l_quantity", "b.l_suppkey", "b.l_quantity").collect()
+    assert [tuple(r) for r in got] == [(1, 8, 2, 2.0, 6, 4.0)]  # no pair without a second line or within one team
+
+
 def test_cached_documents_gather_a_row_once(spark):
     cat = Catalog(configure(spark), SF_SMALL)
     stat = lambda match, player, team, kills: (str(player), "csapi", f"n{player}", team, kills, 5.0, 70.0, 0.5, 1.1, str(match))
