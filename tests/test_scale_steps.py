@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clutchforge.operators import normalize
 from clutchforge.operators.dedupe import desc_nulls_last, keep_first, keep_first_laid_out
+from clutchforge.operators.frames import near_latest
 from clutchforge.plans import core, marts
 from clutchforge.plans import staging as stg
 from clutchforge.session import FIRST_PARTITIONS, TASK_LIMITS, configure, shuffle_tasks, size_shuffles
@@ -137,6 +138,22 @@ def test_line_pairs_of_repeated_lines(spark):
     assert [tuple(r) for r in got] == [(1, 8, 2, 2.0, 6, 4.0)]  # no pair without a second line or within one team
 
 
+def test_rows_near_the_latest_day(spark):
+    day = lambda n: dt.date(2026, 1, 1) + dt.timedelta(n)
+    rows = [("p", day(200), 1), ("p", day(21), 2), ("p", day(20), 3), ("p", None, 4), ("q", None, 5), ("q", None, 6), (None, day(0), 7), ("r", day(0), 8)]
+    df = spark.createDataFrame(rows, "k string, d date, n int")
+    assert sorted(r["n"] for r in near_latest(df.coalesce(1), "k", "d", 179).collect()) == [1, 2, 5, 6, 7, 8]
+    parted = near_latest(df.repartition(8, "n"), "k", "d", 179)  # rows apart: nothing may be missing
+    assert {1, 2, 5, 6, 7, 8} <= {r["n"] for r in parted.collect()} and parted.schema == df.schema
+
+
+def test_trends_leave_old_rows_out_before_the_shuffle(spark):
+    trends = marts.player_trends(Catalog(configure(spark), SF_SMALL))
+    plan = trends._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("MapInArrow")  # the tree is printed from the result down
+    assert all("team_id" not in read and "display_name" not in read for read in _read_columns(trends))
+
+
 def test_cached_documents_gather_a_row_once(spark):
     cat = Catalog(configure(spark), SF_SMALL)
     stat = lambda match, player, team, kills: (str(player), "csapi", f"n{player}", team, kills, 5.0, 70.0, 0.5, 1.1, str(match))
