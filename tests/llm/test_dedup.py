@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 
-from clutchforge.llm import exact_dedup, jaccard_join
+from clutchforge.llm import bitmaps, exact_dedup, jaccard_join
 from clutchforge.llm.components import connected_components
 
 from .conftest import frame, hard_rows
@@ -134,6 +134,68 @@ def test_links_by_brute_force(llm, monkeypatch, n, percent, block, work, frequen
     assert max(x for _, x in want) > 13
 
 
+def said(seed, k):
+    import random
+    r = random.Random(seed)
+    return [f"{seed}x{r.randrange(1 << 30)}" for _ in range(k)]
+
+
+def sharing(docs, passage, own):
+    """Documents that have one passage in common and are far from linked."""
+    shared = said("p", passage)
+    return [(i, " ".join(said(f"d{i}", own) + shared), "s") for i in range(docs)]
+
+
+@pytest.mark.parametrize("docs, passage, own, most", [(40, 130, 90, 1 << 20), (12, 30, 200, 0)])
+def test_a_common_passage_makes_no_bucket(llm, monkeypatch, docs, passage, own, most):
+    """Most of a document, hashed beyond the first shingles too; or, where the threshold has doubled, in longer lists."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT_MOST", most)
+    rows = sharing(docs, passage, own)
+    copies = [(1000 + i, t + " more", "s") for i, t, _ in rows[:3]]
+    seen, count = [], jaccard_join._count
+    monkeypatch.setattr(jaccard_join, "_count", lambda texts, buckets, *more: seen.append(buckets) or count(texts, buckets, *more))
+    got = jaccard_join.jaccard_join(frame(llm, rows + copies), links=True).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_links) for r in got) == sorted(
+        (i, i % 1000, int(i % 1000 < 3)) for i, _, _ in rows + copies)
+    assert seen[0].count() <= 12  # the three pairs, and not all documents
+
+
+def test_links_where_texts_are_joined_by_sorting(llm, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(jaccard_join, "broadcast_counted", lambda df: df.hint("merge"))
+    docs = frame(llm, [(i, " ".join(said(f"d{i // 2}", 60) + [str(i)]), "s") for i in range(40)] + sharing(300, 0, 40)[40:])
+    moved, among = [], jaccard_join._among
+    monkeypatch.setattr(jaccard_join, "_among", lambda *a: moved.append((among(*a), a[1])) or moved[-1][0])
+    got = jaccard_join.jaccard_join(docs, links=True).collect()
+    assert sorted(r.doc_id for r in got if r.n_links) == list(range(40)) and {r.n_links for r in got} == {0, 1}
+    for rows, ids in moved:
+        uids = {r.uid for r in rows.collect()}
+        assert {r.uid for r in ids.collect()} <= uids and len(uids) < 120  # few of the others
+
+
+def test_packed_sets():
+    import numpy as np
+    r = np.random.default_rng(4)
+    new = lambda k: r.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2)
+    bases = [np.unique(new(400)) for _ in range(3)]
+    near = [np.unique(np.concatenate([np.delete(bases[k % 3], r.integers(0, 399, k % 5)), new(k % 4)])) for k in range(90)]
+    odd = [np.unique(r.integers(0, 600, 200).astype(np.uint64)) for _ in range(20)] + [new(1), np.zeros(0, dtype=np.uint64)]
+    for sets in (near, odd, near + odd, near[:1]):
+        assert all(np.array_equal(a, b) for a, b in zip(sets, jaccard_join.unpack(jaccard_join.pack(sets)), strict=True))
+    assert len(jaccard_join.pack(near)) * 15 < sum(s.nbytes for s in near)
+
+
+def test_bitmap(llm):
+    import numpy as np
+    from pyspark.sql import functions as F
+    values = llm.range(3000).select(F.xxhash64("id").alias("v"))
+    words = bitmaps.bitmap(values.union(values.limit(10)), 3000)
+    member = np.array([x.v for x in values.collect()], dtype=np.int64).view(np.uint64)
+    others = np.array([x.v for x in llm.range(5000, 15000).select(F.xxhash64("id").alias("v")).collect()], dtype=np.int64).view(np.uint64)
+    assert bitmaps.holds(words, member).all() and bitmaps.holds(words, others).mean() < 0.1
+    assert not bitmaps.holds(bitmaps.bitmap(values.limit(0), 0), member).any()
+
+
 def test_jaccard_empty_and_drop(llm):
     docs = frame(llm, near_copies(2, 3, 5))
     assert jaccard_join.jaccard_join(docs.limit(0)).count() == 0
